@@ -124,6 +124,25 @@ def parse_date(raw, as_of, on_unparsed: str = "null", mail_dates: bool = True) -
     return parsed
 
 
+def with_parsed_date(df, raw: str, out: str, as_of, on_unparsed: str = "null", mail_dates: bool = True):
+    """DataFrame form of ``parse_date``: the cleaned text is projected once
+    (a non-cheap expression used by every branch is not re-inlined by the
+    optimizer), which keeps the generated code small enough to compile."""
+    now = to_ts(as_of)
+    s = "__date_s"
+    d = df.withColumn(s, F.lower(py_strip(F.col(raw))))
+    parsed = F.coalesce(
+        F.when(F.col(s).contains("ago") | F.col(s).contains("yesterday"), parse_relative(F.col(s), now)),
+        parse_absolute(F.col(s), mail_dates),
+    )
+    parsed = F.when(F.col(raw).isNotNull() & (F.col(raw) != ""), parsed)
+    if on_unparsed == "now":
+        parsed = F.coalesce(parsed, now)
+    elif on_unparsed != "null":
+        raise ValueError("on_unparsed must be 'now' or 'null'")
+    return d.withColumn(out, parsed).drop(s)
+
+
 def format_iso(ts, as_of=None) -> Column:
     """ISO-8601 in UTC, ``+00:00`` suffix, micros only when non-zero.
     Null becomes ``as_of`` when given (the reference formats "now")."""
