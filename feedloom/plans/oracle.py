@@ -170,3 +170,165 @@ p AS (SELECT event_id, k,
 SELECT event_id, rel_text, {iso('t')} AS published,
        coalesce(t BETWEEN {_A} - INTERVAL 24 HOUR AND {_A} + INTERVAL 1 HOUR, false) AS fresh FROM p
 """
+
+
+# ---------------------------------------------------------------- names
+def _suffix_pats():
+    return [r"\b" + w + (r"\.?" if dot else "") + r"\b" for w, dot in SUFFIX_WORDS]
+
+
+def strip_suffixes(e: str) -> str:
+    for p in _suffix_pats():
+        e = strip(f"regexp_replace({e}, {q(p)}, '', 'gi')")
+    return e
+
+
+def norm_name(e: str) -> str:
+    n = strip_suffixes(strip(f"lower({e})"))
+    n = f"regexp_replace({n}, '[^\\w\\s]', '', 'g')"
+    return f"(CASE WHEN {e} IS NULL OR {e} = '' THEN '' ELSE {strip(f'regexp_replace({n}, {q(chr(92) + 's+')}, {q(' ')}, {q('g')})')} END)"
+
+
+def heuristic(e: str) -> str:
+    h = strip(f"regexp_replace({strip_suffixes(e)}, '[,.]', '', 'g')")
+    return f"(CASE WHEN {h} <> '' THEN {h} ELSE {e} END)"
+
+
+SEEDS_VALUES = ", ".join(f"({i}, {q(s)})" for i, s in enumerate(DEFAULT_SEEDS))
+SEED_TABLE = f"""(SELECT key, arg_max(canonical, rank) AS canonical FROM (
+  SELECT {norm_name('canonical')} AS key, canonical, pos * 2 AS rank FROM (VALUES {SEEDS_VALUES}) s(pos, canonical)
+  UNION ALL
+  SELECT replace({norm_name('canonical')}, ' ', ''), canonical, pos * 2 + 1 FROM (VALUES {SEEDS_VALUES}) s(pos, canonical)
+) GROUP BY key)"""
+
+SEED_LIST = "[" + ", ".join(q(s) for s in DEFAULT_SEEDS) + "]"
+
+
+def company_name(key: str, own: str) -> str:
+    base = f"(CASE WHEN {key} % 3 = 0 THEN {own} ELSE {SEED_LIST}[{key} % {len(DEFAULT_SEEDS)} + 1] END)"
+    arms = []
+    for i, pat in enumerate(I.NAME_VARIANTS):
+        if pat == "lower":
+            v = f"lower({base})"
+        elif pat == "nospace":
+            v = f"replace({base}, ' ', '')"
+        else:
+            pre, post = pat.split("{}")
+            v = f"{q(pre)} || {base} || {q(post)}"
+        arms.append(f"WHEN {i} THEN {v}")
+    return f"(CASE ({key} // 3) % {len(I.NAME_VARIANTS)} {' '.join(arms)} END)"
+
+
+COMPANY_NAMES = (f"(SELECT 1 AS src, s_suppkey AS key, {company_name('s_suppkey', 's_name')} AS raw_name FROM supplier "
+                 f"UNION ALL SELECT 2, c_custkey, {company_name('c_custkey', 'c_name')} FROM customer)")
+
+
+def resolved(src_rel: str) -> str:
+    return f"""(SELECT n.*, {strip('n.raw_name')} AS raw_clean,
+  CASE WHEN n.raw_name IS NULL OR {strip('n.raw_name')} = '' THEN 'Unknown'
+       WHEN s1.canonical IS NOT NULL THEN s1.canonical WHEN s2.canonical IS NOT NULL THEN s2.canonical
+       ELSE {heuristic(strip('n.raw_name'))} END AS canonical_name,
+  CASE WHEN n.raw_name IS NULL OR {strip('n.raw_name')} = '' THEN NULL
+       WHEN s1.canonical IS NOT NULL THEN 'exact_seed_match' WHEN s2.canonical IS NOT NULL THEN 'nospace_seed_match'
+       ELSE 'normalized' END AS match_method
+FROM (SELECT *, {norm_name(strip('raw_name'))} AS nk FROM {src_rel}) n
+LEFT JOIN {SEED_TABLE} s1 ON n.nk = s1.key
+LEFT JOIN {SEED_TABLE} s2 ON replace(n.nk, ' ', '') = s2.key)"""
+
+
+SQL["resolve_names"] = f"SELECT src, key, raw_name, canonical_name, match_method FROM {resolved(COMPANY_NAMES)}"
+SQL["resolution_log"] = (f"SELECT raw_clean AS raw_name, canonical_name, match_method FROM {resolved(COMPANY_NAMES)} "
+                         "WHERE match_method IS NOT NULL")
+SQL["resolution_rates"] = f"""
+WITH l AS (SELECT match_method FROM {resolved(COMPANY_NAMES)} WHERE match_method IS NOT NULL)
+SELECT match_method, count(*) AS n, CAST(count(*) * 1000000 // (SELECT count(*) FROM l) AS BIGINT) AS share_ppm
+FROM l GROUP BY match_method
+"""
+SQL["startup_dedup_canonical"] = f"""
+WITH s AS (SELECT 1 AS source_priority, key, raw_name FROM {COMPANY_NAMES} WHERE src = 1
+  UNION ALL SELECT 2, key, raw_name FROM {COMPANY_NAMES} WHERE src = 2
+  UNION ALL SELECT 3, key, raw_name FROM {COMPANY_NAMES} WHERE src = 1)
+SELECT lower(canonical_name) AS entity_key, source_priority, key, canonical_name FROM {resolved('s')}
+QUALIFY row_number() OVER (PARTITION BY lower(canonical_name) ORDER BY source_priority, key) = 1
+"""
+
+# ---------------------------------------------------------------- tags / extract
+SQL["role_family"] = f"SELECT doc_id, {role_family('text')} AS role_family FROM documents"
+SQL["pricing_model"] = f"SELECT doc_id, {pricing('text')} AS pricing_model FROM documents"
+
+
+def split_part_n(e: str, pat: str, idx: int) -> str:
+    return f"regexp_split_to_array({e}, {q(pat)})[{idx}]"
+
+
+_JOB_SPLIT = r"(?i)\s+at\s+|\s+-\s+|\s+:\s+"
+_PROD_SPLIT = r"(?i)\s+by\s+|\s+-\s+"
+SQL["title_company_split"] = f"""
+WITH b AS (SELECT p_partkey,
+  upper(substr(p_name, 1, 1)) || substr(p_name, 2) AS pn,
+  [' at ', ' - ', ' : ', ' AT '][p_partkey % 4 + 1] AS sep, coalesce(n_name, '') AS nn,
+  CASE WHEN p_partkey % 2 = 0 THEN p_name || ' by ' || p_brand ELSE p_name || ' - ' || p_type END AS product_title,
+  replace(p_brand, '#', '') || '/' || replace(p_name, ' ', '-') AS model_id
+  FROM part LEFT JOIN nation ON CAST(p_partkey % 25 AS INTEGER) = n_nationkey),
+t AS (SELECT *, pn || sep || nn AS job_title FROM b)
+SELECT p_partkey, job_title,
+  CASE WHEN len(regexp_split_to_array(job_title, {q(_JOB_SPLIT)})) > 1
+       THEN {strip(split_part_n('job_title', _JOB_SPLIT, 2))} ELSE 'AI Tech Company' END AS company,
+  product_title,
+  CASE WHEN len(regexp_split_to_array(product_title, {q(_PROD_SPLIT)})) > 1
+       THEN {strip(split_part_n('product_title', _PROD_SPLIT, 2))}
+       ELSE {strip(split_part_n('product_title', _PROD_SPLIT, 1))} END AS vendor,
+  split_part(model_id, '/', 1) AS model_owner
+FROM t
+"""
+
+LINKED_DOCS = """(SELECT doc_id, lang, CASE WHEN doc_id % 7 = 0 THEN text ELSE text || ' Code: ' ||
+  'https://github.com/' || (CASE WHEN doc_id % 4 = 0 THEN 'topics' ELSE 'org' || lang END) || '/r' || CAST(doc_id AS VARCHAR)
+  || ['.', ')', '.git'][doc_id % 3 + 1] || ' mirror ' || 'https://github.com/org' || lang || '/m' || CAST(doc_id AS VARCHAR) || '.'
+  END AS text FROM documents)"""
+_LINK_RE = r"https?://github\.com/([A-Za-z0-9_.-]+)/([A-Za-z0-9_.-]+)"
+_DENY = "('topics', 'sponsors', 'features', 'pricing', 'about', 'blog')"
+REPO_LINK = f"""(list_filter(regexp_extract_all(text, {q(_LINK_RE)}, 0),
+  lambda m: lower(regexp_extract(m, {q(_LINK_RE)}, 1)) NOT IN {_DENY})[1])"""
+
+
+def repo_link_sql() -> str:
+    m = "first_match"
+    return (f"CASE WHEN {m} IS NULL THEN NULL ELSE 'https://github.com/' || regexp_extract({m}, {q(_LINK_RE)}, 1) || '/' || "
+            f"regexp_replace(regexp_extract({m}, {q(_LINK_RE)}, 2), '[.,;:)>\\]]+$', '') END")
+
+
+SQL["repo_link_extract"] = f"SELECT doc_id, {repo_link_sql()} AS github_url FROM (SELECT doc_id, {REPO_LINK} AS first_match FROM {LINKED_DOCS})"
+
+_KEY_RE = r"github\.com/([^/#?]+)/([^/#?]+)"
+SQL["star_join"] = f"""
+WITH p AS (SELECT doc_id, {repo_link_sql()} AS github_url FROM (SELECT doc_id, {REPO_LINK} AS first_match FROM {LINKED_DOCS})),
+k AS (SELECT *, regexp_replace(regexp_replace({strip('github_url')}, '/+$', ''), '\\.git$', '') AS c FROM p),
+kk AS (SELECT doc_id, github_url,
+  CASE WHEN contains(github_url, 'github.com') AND regexp_matches(c, {q(_KEY_RE)})
+        AND lower(regexp_extract(c, {q(_KEY_RE)}, 1)) NOT IN {_DENY}
+       THEN regexp_extract(c, {q(_KEY_RE)}, 1) END AS owner,
+  CASE WHEN contains(github_url, 'github.com') AND regexp_matches(c, {q(_KEY_RE)})
+        AND lower(regexp_extract(c, {q(_KEY_RE)}, 1)) NOT IN {_DENY}
+       THEN regexp_extract(c, {q(_KEY_RE)}, 2) END AS repo FROM k),
+s AS (SELECT 'org' || d.lang AS owner, 'r' || CAST(l.doc_id AS VARCHAR) AS repo,
+  CAST(l.quality * 1000 + l.toxic * 10 + l.doc_id % 10 AS BIGINT) AS stars FROM labels l JOIN documents d USING (doc_id))
+SELECT kk.doc_id, kk.github_url, CASE WHEN kk.github_url IS NOT NULL THEN s.stars END AS github_stars
+FROM kk LEFT JOIN s ON kk.owner = s.owner AND kk.repo = s.repo
+"""
+
+_EMP_RE = r"(?i)(\d+)\s*-\s*(\d+)\s+employees?"
+SQL["employee_range"] = f"""
+WITH c AS (SELECT c_custkey, c_mktsegment,
+  CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name ELSE c_name || ' | ' || CAST(c_custkey % 50 + 1 AS VARCHAR) || ' - '
+    || CAST((c_custkey % 50 + 1) * (c_custkey % 9 + 2) AS VARCHAR)
+    || CASE WHEN c_mktsegment = 'BUILDING' THEN ' Employees' ELSE ' employees' END END AS card,
+  CASE WHEN c_custkey % 2 = 0 THEN '/companies/' || lower(replace(c_name, '#', '-'))
+       ELSE 'https://www.ycombinator.com/companies/' || CAST(c_custkey AS VARCHAR) END AS href,
+  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' ELSE lower(c_mktsegment) END AS ident FROM customer)
+SELECT c_custkey,
+  CASE WHEN regexp_matches(card, {q(_EMP_RE)}) THEN TRY_CAST(regexp_extract(card, {q(_EMP_RE)}, 2) AS BIGINT) END AS employee_count,
+  CASE WHEN starts_with(href, '/') THEN 'https://www.ycombinator.com' || href ELSE href END AS full_url,
+  CASE WHEN ident <> '' THEN 'https://huggingface.co/' || ident ELSE 'https://huggingface.co' END AS profile_url
+FROM c
+"""

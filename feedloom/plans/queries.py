@@ -160,3 +160,137 @@ def publish_time_relative(spark, sf):
     parsed = times.with_parsed_date(d, "rel_text", "__t", as_of)
     return parsed.select("event_id", "rel_text", times.format_iso("__t").alias("published"),
                          times.is_fresh("__t", as_of, 24).alias("fresh"))
+
+
+# ---------------------------------------------------------------- 9-11 NAME
+from feedloom.operators import resolve as R  # noqa: E402
+
+
+def _resolved(spark, sf):
+    return R.resolve_names(I.company_names(spark, sf), "raw_name")
+
+
+@register("resolve_names")
+def resolve_names(spark, sf):
+    """J1 + F8-F12 over every supplier and customer name variant."""
+    return _resolved(spark, sf).select("src", "key", "raw_name", "canonical_name", "match_method")
+
+
+@register("resolution_log")
+def resolution_log(spark, sf):
+    """F13 + SNK3 rows: one per resolve call, duplicates kept."""
+    return R.resolution_log(_resolved(spark, sf))
+
+
+@register("resolution_rates")
+def resolution_rates(spark, sf):
+    """Resolve calls per match method, share in parts per million."""
+    return R.resolution_rates(R.resolution_log(_resolved(spark, sf)))
+
+
+@register("startup_dedup_canonical")
+def startup_dedup_canonical(spark, sf):
+    """Resolve, then first wins per lower-cased canonical name across
+    three prioritised sources (the third repeats the first)."""
+    names = I.company_names(spark, sf)
+    srcs = dedup.union_sources(
+        names.where(F.col("src") == 1).select(F.lit(1).alias("source_priority"), "key", "raw_name"),
+        names.where(F.col("src") == 2).select(F.lit(2).alias("source_priority"), "key", "raw_name"),
+        names.where(F.col("src") == 1).select(F.lit(3).alias("source_priority"), "key", "raw_name"))
+    res = R.resolve_names(srcs, "raw_name").withColumn("entity_key", F.lower("canonical_name"))
+    first = dedup.first_wins(res.select("entity_key", "source_priority", "key", "canonical_name"),
+                             "entity_key", ["source_priority", "key"])
+    return first
+
+
+# ---------------------------------------------------------------- 12-15 TAG / EXTRACT
+@register("role_family")
+def role_family(spark, sf):
+    """F14 over whole document texts."""
+    d = I.table(spark, sf, "documents")
+    return d.select("doc_id", tags.role_family("text").alias("role_family"))
+
+
+@register("pricing_model")
+def pricing_model(spark, sf):
+    """F15 over whole document texts."""
+    d = I.table(spark, sf, "documents")
+    return d.select("doc_id", tags.pricing_model("text").alias("pricing_model"))
+
+
+@register("title_company_split")
+def title_company_split(spark, sf):
+    """F19 job-title company, F20 product vendor, F21 model owner; titles
+    built from part names, brands and nation names."""
+    part = I.table(spark, sf, "part")
+    nation = I.table(spark, sf, "nation")
+    k = F.col("p_partkey")
+    seps = F.element_at(F.array(F.lit(" at "), F.lit(" - "), F.lit(" : "), F.lit(" AT ")), (k % 4 + 1).cast("int"))
+    p = part.withColumn("nk", (k % 25).cast("int"))
+    j = p.join(nation, p["nk"] == nation["n_nationkey"], "left")
+    cap = F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 1 << 30))
+    job_title = F.concat(cap, seps, F.coalesce(F.col("n_name"), F.lit("")))
+    prod_title = F.when(k % 2 == 0, F.concat("p_name", F.lit(" by "), "p_brand")) \
+        .otherwise(F.concat("p_name", F.lit(" - "), "p_type"))
+    model_id = F.concat(F.replace(F.col("p_brand"), F.lit("#"), F.lit("")), F.lit("/"),
+                        F.replace(F.col("p_name"), F.lit(" "), F.lit("-")))
+    return j.select("p_partkey", job_title.alias("job_title"), prod_title.alias("product_title"),
+                    model_id.alias("model_id")) \
+        .select("p_partkey", "job_title", extract.job_company("job_title").alias("company"),
+                "product_title", extract.product_vendor("product_title").alias("vendor"),
+                extract.model_owner("model_id").alias("model_owner"))
+
+
+def _linked_docs(spark, sf):
+    d = I.table(spark, sf, "documents")
+    k = F.col("doc_id")
+    owner1 = F.when(k % 4 == 0, F.lit("topics")).otherwise(F.concat(F.lit("org"), F.col("lang")))
+    tail = F.element_at(F.array(F.lit("."), F.lit(")"), F.lit(".git")), (k % 3 + 1).cast("int"))
+    link1 = F.concat(F.lit("https://github.com/"), owner1, F.lit("/r"), k.cast("string"), tail)
+    link2 = F.concat(F.lit("https://github.com/org"), F.col("lang"), F.lit("/m"), k.cast("string"))
+    text = F.when(k % 7 == 0, F.col("text")).otherwise(
+        F.concat(F.col("text"), F.lit(" Code: "), link1, F.lit(" mirror "), link2, F.lit(".")))
+    return d.select("doc_id", "lang", text.alias("text"))
+
+
+@register("repo_link_extract")
+def repo_link_extract(spark, sf):
+    """F17 + P8: first non-denied repository link in each whole text."""
+    return _linked_docs(spark, sf).select("doc_id", extract.repo_link("text").alias("github_url"))
+
+
+def _star_snapshot(spark, sf):
+    """Star snapshot keyed (owner, repo), from the labels table."""
+    lab = I.table(spark, sf, "labels")
+    docs = I.table(spark, sf, "documents").select("doc_id", "lang")
+    s = lab.join(docs, "doc_id")
+    return s.select(F.concat(F.lit("org"), F.col("lang")).alias("owner"),
+                    F.concat(F.lit("r"), F.col("doc_id").cast("string")).alias("repo"),
+                    (F.col("quality") * 1000 + F.col("toxic") * 10 + F.col("doc_id") % 10).cast("bigint").alias("stars"))
+
+
+@register("star_join")
+def star_join(spark, sf):
+    """J2 + F18 + P11: papers left-joined to the star snapshot."""
+    from feedloom.operators.enrich import with_repo_stars
+    papers = _linked_docs(spark, sf).select("doc_id", extract.repo_link("text").alias("github_url"))
+    return with_repo_stars(papers, _star_snapshot(spark, sf)).select("doc_id", "github_url", "github_stars")
+
+
+@register("employee_range")
+def employee_range(spark, sf):
+    """F22 + F23: employee upper bound from card text; absolute card URL;
+    profile URL from an id (bare host when the id is empty)."""
+    c = I.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    lo = k % 50 + 1
+    hi = lo * (k % 9 + 2)
+    word = F.when(F.col("c_mktsegment") == "BUILDING", F.lit(" Employees")).otherwise(F.lit(" employees"))
+    card = F.when(F.col("c_mktsegment") == "MACHINERY", F.col("c_name")).otherwise(
+        F.concat(F.col("c_name"), F.lit(" | "), lo.cast("string"), F.lit(" - "), hi.cast("string"), word))
+    href = F.when(k % 2 == 0, F.concat(F.lit("/companies/"), F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("-"))))) \
+        .otherwise(F.concat(F.lit("https://www.ycombinator.com/companies/"), k.cast("string")))
+    ident = F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("")).otherwise(F.lower("c_mktsegment"))
+    return c.select("c_custkey", extract.employee_upper(card).alias("employee_count"),
+                    extract.absolute_url(href, "https://www.ycombinator.com").alias("full_url"),
+                    extract.profile_url(ident, "https://huggingface.co").alias("profile_url"))
