@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.names import DEFAULT_SEEDS, heuristic_name, is_blank, normalize_name, nospace
+from feedloom.functions.names import DEFAULT_SEEDS, heuristic_core, is_blank, normalize_name, nospace
 from feedloom.functions.text import py_strip
 
 BROADCAST_MAX_SEEDS = 1_000_000
@@ -55,26 +55,27 @@ def resolve_names(df: DataFrame, name_col: str, seeds: Sequence[str] | None = No
         table = F.broadcast(table)
     p = out_prefix
     raw = F.col(name_col)
-    tmp = (df.withColumn("__raw_clean", py_strip(raw))
-             .withColumn("__norm", normalize_name("__raw_clean"))
-             .withColumn("__heur", heuristic_name("__raw_clean")))
+    base = df.select("*", py_strip(raw).alias("__raw_clean"), is_blank(raw).alias("__blank"))
+    tmp = base.select("*", normalize_name("__raw_clean").alias("__norm"),
+                      heuristic_core("__raw_clean").alias("__heur"))
     t1 = table.select(F.col("key").alias("__k1"), F.col("canonical").alias("__c1"))
     t2 = table.select(F.col("key").alias("__k2"), F.col("canonical").alias("__c2"))
     j = (tmp.join(t1, tmp["__norm"] == t1["__k1"], "left")
             .join(t2, nospace(tmp["__norm"]) == t2["__k2"], "left"))
-    blank = is_blank(raw)
+    blank = F.col("__blank")
     canonical = (F.when(blank, F.lit(UNKNOWN))
                   .when(F.col("__c1").isNotNull(), F.col("__c1"))
                   .when(F.col("__c2").isNotNull(), F.col("__c2"))
-                  .otherwise(F.col("__heur")))
+                  .when(F.col("__heur") != "", F.col("__heur"))
+                  .otherwise(F.col("__raw_clean")))
     method = (F.when(blank, F.lit(None).cast("string"))
                .when(F.col("__c1").isNotNull(), F.lit(EXACT))
                .when(F.col("__c2").isNotNull(), F.lit(NOSPACE))
                .otherwise(F.lit(NORMALIZED)))
-    return (j.withColumn(f"{p}raw_clean", F.when(~blank, F.col("__raw_clean")))
-             .withColumn(f"{p}canonical_name", canonical)
-             .withColumn(f"{p}match_method", method)
-             .drop("__raw_clean", "__norm", "__heur", "__k1", "__c1", "__k2", "__c2"))
+    return j.select(*df.columns,
+                    F.when(~blank, F.col("__raw_clean")).alias(f"{p}raw_clean"),
+                    canonical.alias(f"{p}canonical_name"),
+                    method.alias(f"{p}match_method"))
 
 
 def resolution_log(resolved: DataFrame, prefix: str = "") -> DataFrame:

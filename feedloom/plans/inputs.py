@@ -85,3 +85,101 @@ def company_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(2).alias("src"), F.col("c_custkey").alias("key"),
         company_name(F.col("c_custkey"), F.col("c_name")).alias("raw_name"))
     return s.unionByName(c)
+
+
+# ---------------------------------------------------------------- landed feeds
+FEED_SIZE = 8  # entries per landed feed document (bounded group)
+
+
+def assemble(df: DataFrame, feed_key: Column, order: Column, piece: Column, head: str, tail: str,
+             sep: str = "") -> DataFrame:
+    """Concatenate per-entry text pieces into one document per feed, in
+    entry order.  Feeds hold a bounded number of entries by construction."""
+    g = df.groupBy(feed_key.alias("feed_id")).agg(
+        F.array_sort(F.collect_list(F.struct(order.alias("o"), piece.alias("p")))).alias("__parts"))
+    return g.select("feed_id", F.concat(F.lit(head), F.array_join(F.transform("__parts", lambda x: x["p"]), sep),
+                                        F.lit(tail)).alias("body"))
+
+
+def esc(c: Column) -> Column:
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def first_line(text: Column) -> Column:
+    return F.split(text, "\n", -1)[0]
+
+
+def paper_id(doc_id: Column, text: Column) -> Column:
+    """arXiv-like id from the text hash (exact copies share an id)."""
+    return F.concat(F.substring(F.sha2(text, 256), 1, 10), F.lit("v"), (doc_id % 2 + 1).cast("string"))
+
+
+def doc_published(doc_id: Column) -> Column:
+    return F.concat(F.lit("2024-01-"), F.lpad((doc_id % 28 + 1).cast("string"), 2, "0"), F.lit("T"),
+                    F.lpad((doc_id % 24).cast("string"), 2, "0"), F.lit(":00:00Z"))
+
+
+def atom_paper_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    authors = F.concat(
+        F.lit("<author><name>Author "), (k % 5).cast("string"), F.lit("</name></author>"),
+        F.when(k % 2 == 0, F.concat(F.lit("<author><name>Author "), (k % 3 + 5).cast("string"),
+                                    F.lit("</name></author>"))).otherwise(F.lit("")),
+        F.when(k % 5 == 0, F.lit("<author><name> </name></author>")).otherwise(F.lit("")))
+    comment = F.when(k % 3 == 0, F.concat(F.lit("<arxiv:comment>Code: https://github.com/org"), F.col("lang"),
+                                          F.lit("/r"), k.cast("string"), F.lit("</arxiv:comment>"))).otherwise(F.lit(""))
+    entry = F.concat(
+        F.lit("<entry><id>http://arxiv.org/abs/"), paper_id(k, F.col("text")), F.lit("</id><published>"),
+        doc_published(k), F.lit("</published><title>"), esc(first_line(F.col("text"))), F.lit("</title><summary>"),
+        esc(F.col("text")), F.lit("</summary>"), authors, comment, F.lit("</entry>"))
+    return assemble(d, (k / FEED_SIZE).cast("bigint"), k, entry,
+                    '<?xml version="1.0" encoding="UTF-8"?><feed xmlns="http://www.w3.org/2005/Atom" '
+                    'xmlns:arxiv="http://arxiv.org/schemas/atom">', "</feed>")
+
+
+JOB_ROLES = ["Research Scientist", "Product Manager", "Data Analyst", "UI Designer", "Backend Engineer",
+             "Build Engineer", "Shipment Lead"]
+
+
+def job_title(k: Column, company: Column) -> Column:
+    role = F.element_at(F.array(*[F.lit(r) for r in JOB_ROLES]), (k % len(JOB_ROLES) + 1).cast("int"))
+    sep = F.element_at(F.array(F.lit(" at "), F.lit(" - "), F.lit(" : "), F.lit(" | ")), (k % 4 + 1).cast("int"))
+    return F.concat(role, sep, company)
+
+
+def job_rss_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RSS job feeds; publish times step back from AS_OF_FRESH by the
+    document number (hours), in mail format."""
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    company = company_name(k, F.concat(F.initcap("source"), F.lit(" Group")))
+    pub = to_ts_lit(AS_OF_FRESH) - F.make_dt_interval(F.lit(0), (k % 40).cast("int"))
+    link = F.when(k % 5 == 0, F.lit("")).otherwise(
+        F.concat(F.lit("<link>https://jobs.example.org/"), k.cast("string"), F.lit("</link>")))
+    item = F.concat(F.lit("<item><title>"), esc(job_title(k, company)), F.lit("</title>"), link,
+                    F.lit("<pubDate>"), F.date_format(pub, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate>"),
+                    F.lit("<description>"), esc(F.col("text")), F.lit("</description></item>"))
+    feeds = assemble(d, (k / FEED_SIZE).cast("bigint"), k, item, '<rss version="2.0"><channel>', "</channel></rss>")
+    return feeds.withColumn("source_url", F.concat(F.lit("https://jobs.example.org/feed/"), F.col("feed_id").cast("string")))
+
+
+def news_atom_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Atom news feeds (entry/updated/summary), bodies as escaped HTML."""
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    pub = to_ts_lit(AS_OF_FRESH) - F.make_dt_interval(F.lit(0), (k % 40).cast("int"))
+    date_el = F.when(k % 2 == 0, F.concat(F.lit("<published>"), F.date_format(pub, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+                                          F.lit("</published>"))) \
+        .otherwise(F.concat(F.lit("<updated>"), F.date_format(pub, "yyyy-MM-dd HH:mm:ss"), F.lit("</updated>")))
+    body = F.concat(F.lit("<p>"), F.replace(F.col("text"), F.lit("&"), F.lit("and")), F.lit("</p>"))
+    entry = F.concat(F.lit("<entry><title>"), esc(first_line(F.col("text"))), F.lit("</title>"),
+                     F.lit("<link>https://news.example.org/a/"), k.cast("string"), F.lit("</link>"), date_el,
+                     F.lit("<summary>"), esc(body), F.lit("</summary></entry>"))
+    feeds = assemble(d, (k / FEED_SIZE).cast("bigint"), k, entry, '<feed xmlns="http://www.w3.org/2005/Atom">', "</feed>")
+    return feeds.withColumn("source_url", F.concat(F.lit("https://news.example.org/feed/"), F.col("feed_id").cast("string")))
+
+
+def to_ts_lit(s: str) -> Column:
+    return F.to_timestamp(F.lit(s))

@@ -332,3 +332,73 @@ SELECT c_custkey,
   CASE WHEN ident <> '' THEN 'https://huggingface.co/' || ident ELSE 'https://huggingface.co' END AS profile_url
 FROM c
 """
+
+
+# ---------------------------------------------------------------- feeds
+def first_line(t: str) -> str:
+    return f"split_part({t}, chr(10), 1)"
+
+
+PAPER_ID = "substr(sha256(text), 1, 10) || 'v' || CAST(doc_id % 2 + 1 AS VARCHAR)"
+PUB_TS = "(TIMESTAMP '2024-01-01' + to_days(CAST(doc_id % 28 AS INTEGER)) + to_hours(doc_id % 24))"
+SNAPSHOT = """(SELECT 'org' || d.lang AS owner, 'r' || CAST(l.doc_id AS VARCHAR) AS repo,
+  CAST(l.quality * 1000 + l.toxic * 10 + l.doc_id % 10 AS BIGINT) AS stars FROM labels l JOIN documents d USING (doc_id))"""
+
+
+def paper_rows() -> str:
+    search = "text || ' ' || CASE WHEN doc_id % 3 = 0 THEN 'Code: https://github.com/org' || lang || '/r' || CAST(doc_id AS VARCHAR) ELSE '' END"
+    authors = ("'Author ' || CAST(doc_id % 5 AS VARCHAR) || CASE WHEN doc_id % 2 = 0 THEN ', Author ' || "
+               "CAST(doc_id % 3 + 5 AS VARCHAR) ELSE '' END")
+    title = f"CASE WHEN {strip(first_line('text'))} = '' THEN 'Untitled' ELSE {collapse(first_line('text'))} END"
+    return f"""(SELECT doc_id // {I.FEED_SIZE} AS feed_id, doc_id AS pos, 'https://arxiv.org/abs/' || {PAPER_ID} AS paper_url,
+  {title} AS title, {authors} AS authors, {PUB_TS} AS pub,
+  (list_filter(regexp_extract_all({search}, {q(_LINK_RE)}, 0),
+     lambda m: lower(regexp_extract(m, {q(_LINK_RE)}, 1)) NOT IN {_DENY})[1]) AS first_match FROM documents)"""
+
+
+PAPERS = f"""(WITH e AS (SELECT *, {repo_link_sql()} AS github_url FROM {paper_rows()}),
+r AS (SELECT *, row_number() OVER (PARTITION BY feed_id ORDER BY pub DESC, paper_url, pos) AS rk FROM e),
+o AS (SELECT * FROM r WHERE rk <= {2 * 3}),
+dd AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY feed_id, paper_url ORDER BY rk) = 1),
+f AS (SELECT * FROM dd QUALIFY row_number() OVER (PARTITION BY feed_id ORDER BY rk) <= 3),
+k AS (SELECT *, regexp_replace(regexp_replace({strip('github_url')}, '/+$', ''), '\\.git$', '') AS c FROM f)
+SELECT k.feed_id, k.paper_url, k.title, k.authors, {iso('k.pub')} AS published_date, k.github_url,
+  CASE WHEN k.github_url IS NOT NULL THEN s.stars END AS github_stars
+FROM k LEFT JOIN {SNAPSHOT} s ON regexp_extract(k.c, {q(_KEY_RE)}, 1) = s.owner AND regexp_extract(k.c, {q(_KEY_RE)}, 2) = s.repo)"""
+
+SQL["paper_feed_parse"] = f"SELECT * FROM {PAPERS}"
+SQL["paper_run_summary"] = f"""SELECT count(*) AS total_collected, count(DISTINCT paper_url) AS unique_papers,
+  count(*) FILTER (WHERE github_url IS NOT NULL) AS with_github, count(*) FILTER (WHERE github_url IS NULL) AS without_github
+FROM {PAPERS}"""
+
+_JOB_ROLES = "[" + ", ".join(q(r) for r in I.JOB_ROLES) + "]"
+_FRESH_A = f"TIMESTAMP '{I.AS_OF_FRESH}'"
+
+
+def _doc_company() -> str:
+    own = "upper(substr(source, 1, 1)) || lower(substr(source, 2)) || ' Group'"
+    return company_name("doc_id", own)
+
+
+JOB_ROWS = f"""(SELECT doc_id // {I.FEED_SIZE} AS feed_id, doc_id % {I.FEED_SIZE} AS pos,
+  {_JOB_ROLES}[doc_id % {len(I.JOB_ROLES)} + 1] || [' at ', ' - ', ' : ', ' | '][doc_id % 4 + 1] || {_doc_company()} AS title,
+  CASE WHEN doc_id % 5 = 0 THEN 'https://jobs.example.org/feed/' || CAST(doc_id // {I.FEED_SIZE} AS VARCHAR)
+       ELSE 'https://jobs.example.org/' || CAST(doc_id AS VARCHAR) END AS url,
+  {_FRESH_A} - to_hours(CAST(doc_id % 40 AS BIGINT)) AS t FROM documents)"""
+
+SQL["rss_jobs"] = f"""
+WITH j AS (SELECT *, CASE WHEN len(regexp_split_to_array(title, {q(_JOB_SPLIT)})) > 1
+    THEN {strip(split_part_n('title', _JOB_SPLIT, 2))} ELSE 'AI Tech Company' END AS raw_name
+  FROM {JOB_ROWS} WHERE t BETWEEN {_FRESH_A} - INTERVAL 24 HOUR AND {_FRESH_A} + INTERVAL 1 HOUR)
+SELECT feed_id, pos, canonical_name AS company, {iso('t')} AS date, true AS is_remote, {role_family('title')} AS role_family, url
+FROM {resolved('j')}
+"""
+
+SQL["rss_news"] = f"""
+SELECT feed_id, pos, title, url, {iso('t')} AS publication_date, full_text FROM (
+  SELECT doc_id // {I.FEED_SIZE} AS feed_id, doc_id % {I.FEED_SIZE} AS pos, {strip(first_line('text'))} AS title,
+    'https://news.example.org/a/' || CAST(doc_id AS VARCHAR) AS url,
+    {_FRESH_A} - to_hours(CAST(doc_id % 40 AS BIGINT)) AS t,
+    substr({strip("replace(text, '&', 'and')")}, 1, 2000) AS full_text FROM documents)
+WHERE t BETWEEN {_FRESH_A} - INTERVAL 24 HOUR AND {_FRESH_A} + INTERVAL 1 HOUR
+"""

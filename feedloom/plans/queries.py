@@ -294,3 +294,70 @@ def employee_range(spark, sf):
     return c.select("c_custkey", extract.employee_upper(card).alias("employee_count"),
                     extract.absolute_url(href, "https://www.ycombinator.com").alias("full_url"),
                     extract.profile_url(ident, "https://huggingface.co").alias("profile_url"))
+
+
+# ---------------------------------------------------------------- 16-17 FEEDS
+from feedloom.operators import enrich as EN  # noqa: E402
+from feedloom.sources import feeds as FD  # noqa: E402
+
+PAPER_LIMIT = 3  # records kept per paper feed (the API asks for 2x this)
+
+
+def _papers(spark, sf):
+    feeds = I.atom_paper_feeds(spark, sf)
+    e = FD.atom_paper_entries(feeds, keep=["feed_id"])
+    e = times.with_parsed_date(e, "published_raw", "__pub", I.AS_OF_RELATIVE, on_unparsed="now")
+    e = e.withColumn("github_url", extract.repo_link("search_text"))
+    top = dedup.overfetch_dedup_limit(e, "feed_id", [F.col("__pub").desc(), F.col("paper_url"), F.col("pos")],
+                                      "paper_url", PAPER_LIMIT)
+    top = EN.with_repo_stars(top, _star_snapshot(spark, sf))
+    return top.select("feed_id", "paper_url", "title", F.array_join("authors", ", ").alias("authors"),
+                      times.format_iso("__pub").alias("published_date"), "github_url", "github_stars")
+
+
+@register("paper_feed_parse")
+def paper_feed_parse(spark, sf):
+    """SRC1 + SRC2 + O1 + L2 + D3 + J2: Atom paper feeds -> newest first,
+    over-fetch 2x, dedup by paper URL, keep the limit, enrich stars."""
+    return _papers(spark, sf)
+
+
+@register("paper_run_summary")
+def paper_run_summary(spark, sf):
+    """G1 over the paper feed run."""
+    return EN.paper_summary(_papers(spark, sf))
+
+
+def _jobs(spark, sf, freshness_hours=24):
+    feeds = I.job_rss_feeds(spark, sf)
+    items = FD.feed_items(feeds, keep=["feed_id"])
+    items = times.with_parsed_date(items, "date_raw", "__t", I.AS_OF_FRESH, on_unparsed="now")
+    fresh = items.where(times.is_fresh("__t", I.AS_OF_FRESH, freshness_hours))
+    fresh = fresh.withColumn("company_raw", extract.job_company("title"))
+    res = R.resolve_names(fresh, "company_raw")
+    return res.select("feed_id", "pos", F.col("canonical_name").alias("company"),
+                      times.format_iso("__t").alias("date"), F.lit(True).alias("is_remote"),
+                      tags.role_family("title").alias("role_family"), "url")
+
+
+@register("rss_jobs")
+def rss_jobs(spark, sf):
+    """SRC3 + P3 + F19 + J1 + F14 + F16: RSS job feeds to job records."""
+    return _jobs(spark, sf)
+
+
+def _news(spark, sf):
+    from feedloom.operators.html import fragment_text
+    feeds = I.news_atom_feeds(spark, sf)
+    items = FD.feed_items(feeds, keep=["feed_id"])
+    items = times.with_parsed_date(items, "date_raw", "__t", I.AS_OF_FRESH, on_unparsed="now")
+    fresh = items.where(times.is_fresh("__t", I.AS_OF_FRESH, 24))  # filter before the Python stage
+    txt = fragment_text(fresh.select("feed_id", "pos", "title", "url", "__t", "body_html"), "body_html", "full")
+    return txt.select("feed_id", "pos", "title", "url", times.format_iso("__t").alias("publication_date"),
+                      truncate(F.col("full"), 2000).alias("full_text"))
+
+
+@register("rss_news")
+def rss_news(spark, sf):
+    """SRC4 + P3 + F27 + F24: Atom news feeds to news records."""
+    return _news(spark, sf)
