@@ -183,3 +183,124 @@ def news_atom_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def to_ts_lit(s: str) -> Column:
     return F.to_timestamp(F.lit(s))
+
+
+def json_array_feeds(df: DataFrame, key: Column, element: Column, wrap_key: str | None = None) -> DataFrame:
+    """JSON documents of FEED_SIZE elements each (``[..]`` or ``{k:[..]}``)."""
+    head, tail = ("[", "]") if wrap_key is None else ('{"' + wrap_key + '": [', "]}")
+    return assemble(df, (key / FEED_SIZE).cast("bigint"), key, F.to_json(element), head, tail, sep=", ")
+
+
+def org_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC6 input: organisation arrays built from supplier rows."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    ident = F.when(k % 6 == 5, F.lit(None)).otherwise(F.lower(F.replace(F.col("s_name"), F.lit("#"), F.lit("-"))))
+    name = company_name(k, F.col("s_name"))
+    full = F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.lit(None)).otherwise(F.concat(name, F.lit(" Inc.")))
+    el = F.struct(ident.alias("id"), name.alias("name"), full.alias("fullname"))
+    return json_array_feeds(s, k, el)
+
+
+def model_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC7 input: model arrays (``owner/name`` ids) built from part rows."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    mid = (F.when(k % 13 == 0, F.lit(""))
+            .when(k % 10 == 0, F.replace(F.col("p_name"), F.lit(" "), F.lit("-")))
+            .otherwise(F.concat(F.replace(F.col("p_brand"), F.lit("#"), F.lit("")), F.lit("/"),
+                                F.replace(F.col("p_name"), F.lit(" "), F.lit("-")))))
+    return json_array_feeds(p, k, F.struct(mid.alias("id")))
+
+
+def job_json_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC10 input: ``{"jobs": [...]}`` documents built from orders."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    company = F.when(k % 9 == 0, F.lit(None)).otherwise(company_name(k, F.concat(F.lit("Client "), F.col("o_custkey").cast("string"))))
+    url = F.when(k % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("https://remote.example.org/job/"), k.cast("string")))
+    pub = to_ts_lit(AS_OF_FRESH) - F.make_dt_interval(F.lit(0), (k % 40).cast("int"))
+    el = F.struct(job_title(k, F.col("o_orderpriority")).alias("title"), company.alias("company_name"),
+                  url.alias("url"), F.date_format(pub, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publication_date"))
+    return json_array_feeds(o, k, el, "jobs").withColumn("source_url", F.lit("https://remote.example.org/api/jobs"))
+
+
+PAGE_ITEMS = 10
+MAX_PAGES = 14
+
+
+def paged_feeds(df: DataFrame, key: Column, element: Column) -> DataFrame:
+    """SRC8/SRC9 input: one JSON page of PAGE_ITEMS items per row, 14 pages
+    per query; per query one page fails (status 500) or comes back empty."""
+    per_query = PAGE_ITEMS * MAX_PAGES
+    d = df.select((key / per_query).cast("bigint").alias("query_id"),
+                  ((key % per_query) / PAGE_ITEMS).cast("int").alias("__p"), key.alias("__k"), F.to_json(element).alias("__j"))
+    pages = d.groupBy("query_id", "__p").agg(F.array_sort(F.collect_list(F.struct("__k", "__j"))).alias("__parts"))
+    page = F.col("__p") + 1
+    q = F.col("query_id")
+    status = F.when((q % 3 == 0) & (page == q % 5 + 10), F.lit(500)).otherwise(F.lit(200))
+    body = F.when((q % 3 == 1) & (page == 12), F.lit('{"items": []}')).otherwise(
+        F.concat(F.lit('{"items": ['), F.array_join(F.transform("__parts", lambda x: x["__j"]), ", "), F.lit("]}")))
+    return pages.select("query_id", page.alias("page"), status.alias("status"), body.alias("body"))
+
+
+def org_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    login = F.when(k % 11 == 0, F.lit("")).otherwise(F.concat(F.lit("org-"), F.lower(F.col("c_mktsegment")),
+                                                               F.lit("-"), k.cast("string")))
+    url = F.when(k % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit("https://github.com/"), login))
+    return paged_feeds(c, k, F.struct(login.alias("login"), url.alias("html_url")))
+
+
+def repo_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    owner = F.concat(F.lit("team-"), F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")))
+    url = F.when(k % 17 == 0, F.lit("")).otherwise(
+        F.concat(F.lit("https://github.com/"), owner, F.lit("/"), F.replace(F.col("p_name"), F.lit(" "), F.lit("-")),
+                 F.lit("-"), k.cast("string")))
+    desc = F.element_at(F.array(F.lit("Open-source toolkit"), F.lit("Freemium plan"), F.lit("Enterprise ready"),
+                                F.lit("Paid $9"), F.lit("Limited preview"), F.lit("A tool")), (k % 6 + 1).cast("int"))
+    el = F.struct(url.alias("html_url"), F.struct(owner.alias("login")).alias("owner"),
+                  F.concat(desc, F.lit(" for "), F.col("p_type")).alias("description"))
+    return paged_feeds(p, k, el)
+
+
+CARD_PAGE = 10
+
+
+def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC11 input: directory HTML, CARD_PAGE customers per page; even pages
+    use the primary card markup, odd pages the fallback markup."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    pid = (k / CARD_PAGE).cast("bigint")
+    name = company_name(k, F.col("c_name"))
+    slug = F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("-")))
+    lo = k % 50 + 1
+    hi = lo * (k % 9 + 2)
+    emp = F.concat(lo.cast("string"), F.lit(" - "), hi.cast("string"), F.lit(" employees"))
+    primary = F.concat(F.lit('<a class="_company_159g8_11 x" href="/companies/'), slug, F.lit('"><span class="_name_159g8_25">'),
+                       esc(name), F.lit('</span><span class="s">'), emp, F.lit("</span></a>"))
+    fallback = F.concat(F.lit('<a href="/companies/'), slug, F.lit('"><div><span class="font-bold">'), esc(name),
+                        F.lit('</span></div><span>'), emp, F.lit("</span></a>"))
+    card = F.when(pid % 2 == 0, primary).otherwise(fallback)
+    pages = assemble(c, pid, k, card, '<html><body><nav><a href="/about">About</a></nav><div class="grid">',
+                     "</div></body></html>")
+    return pages.withColumnRenamed("feed_id", "page_id")
+
+
+def product_rss_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    vendor = company_name(k, F.concat(F.lit("Maker "), F.col("p_brand")))
+    title = F.when(k % 3 == 0, F.col("p_name")).otherwise(
+        F.concat(F.col("p_name"), F.when(k % 3 == 1, F.lit(" by ")).otherwise(F.lit(" - ")), vendor))
+    link = F.when(k % 8 == 0, F.lit("")).otherwise(
+        F.concat(F.lit("<link>https://products.example.org/p/"), (k / 2).cast("bigint").cast("string"), F.lit("</link>")))
+    desc = F.element_at(F.array(F.lit("Free trial available"), F.lit("Custom pricing"), F.lit("MIT licensed"),
+                                F.lit("Subscription"), F.lit("New launch")), (k % 5 + 1).cast("int"))
+    item = F.concat(F.lit("<item><title>"), esc(title), F.lit("</title>"), link, F.lit("<description>"), desc,
+                    F.lit("</description></item>"))
+    return assemble(p, (k / FEED_SIZE).cast("bigint"), k, item, "<rss><channel>", "</channel></rss>")

@@ -402,3 +402,103 @@ SELECT feed_id, pos, title, url, {iso('t')} AS publication_date, full_text FROM
     substr({strip("replace(text, '&', 'and')")}, 1, 2000) AS full_text FROM documents)
 WHERE t BETWEEN {_FRESH_A} - INTERVAL 24 HOUR AND {_FRESH_A} + INTERVAL 1 HOUR
 """
+
+
+# ---------------------------------------------------------------- JSON / paged / cards
+def first_non_empty(*es: str) -> str:
+    return "coalesce(" + ", ".join(f"nullif({e}, '')" for e in es) + ")"
+
+
+def _name(key: str, own: str) -> str:
+    return company_name(key, own)
+
+
+ORG_SRC = f"""(SELECT feed_id, pos, org_id, raw_name,
+    CASE WHEN org_id IS NOT NULL AND org_id <> '' THEN 'https://huggingface.co/' || org_id ELSE 'https://huggingface.co' END AS url
+  FROM (SELECT s_suppkey // {I.FEED_SIZE} AS feed_id, s_suppkey % {I.FEED_SIZE} AS pos, id AS org_id,
+          {first_non_empty('fullname', 'name', 'id')} AS raw_name
+        FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 6 = 5 THEN NULL ELSE lower(replace(s_name, '#', '-')) END AS id,
+                {_name('s_suppkey', 's_name')} AS name,
+                CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE {_name('s_suppkey', 's_name')} || ' Inc.' END AS fullname
+              FROM supplier))
+  WHERE raw_name IS NOT NULL)"""
+SQL["json_orgs"] = f"SELECT feed_id, pos, raw_name, canonical_name AS entity_name, url FROM {resolved(ORG_SRC)}"
+
+MODEL_SRC = f"""(SELECT feed_id, pos, model_id, split_part(model_id, '/', 1) AS raw_name, 'https://huggingface.co/' || model_id AS url
+  FROM (SELECT p_partkey // {I.FEED_SIZE} AS feed_id, p_partkey % {I.FEED_SIZE} AS pos,
+          CASE WHEN p_partkey % 13 = 0 THEN '' WHEN p_partkey % 10 = 0 THEN replace(p_name, ' ', '-')
+               ELSE replace(p_brand, '#', '') || '/' || replace(p_name, ' ', '-') END AS model_id FROM part)
+  WHERE model_id <> '' AND contains(model_id, '/'))"""
+SQL["json_models"] = f"SELECT feed_id, pos, url, canonical_name AS startup_name, 'FREE' AS pricing_model FROM {resolved(MODEL_SRC)}"
+
+_ORD_T = f"({_FRESH_A} - to_hours(CAST(o_orderkey % 40 AS BIGINT)))"
+JSON_JOBS = f"""(SELECT o_orderkey // {I.FEED_SIZE} AS feed_id, o_orderkey % {I.FEED_SIZE} AS pos,
+    {_JOB_ROLES}[o_orderkey % {len(I.JOB_ROLES)} + 1] || [' at ', ' - ', ' : ', ' | '][o_orderkey % 4 + 1] || o_orderpriority AS title,
+    CASE WHEN o_orderkey % 9 = 0 THEN 'AI Company' ELSE {_name('o_orderkey', "'Client ' || CAST(o_custkey AS VARCHAR)")} END AS raw_name,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'https://remote.example.org/api/jobs'
+         ELSE 'https://remote.example.org/job/' || CAST(o_orderkey AS VARCHAR) END AS url,
+    {_ORD_T} AS t FROM orders)"""
+SQL["json_jobs"] = f"""
+SELECT feed_id, pos, canonical_name AS company, {iso('t')} AS date, true AS is_remote, {role_family('title')} AS role_family, url
+FROM {resolved(f"(SELECT * FROM {JSON_JOBS} WHERE t BETWEEN {_FRESH_A} - INTERVAL 24 HOUR AND {_FRESH_A} + INTERVAL 1 HOUR)")}
+"""
+
+_PQ = I.PAGE_ITEMS * I.MAX_PAGES
+
+
+def paged(key: str, table: str, cols: str) -> str:
+    """Items of pages before each query's first bad page."""
+    return f"""(WITH it AS (SELECT {key} // {_PQ} AS query_id, ({key} % {_PQ}) // {I.PAGE_ITEMS} + 1 AS page,
+      {key} % {I.PAGE_ITEMS} AS pos, {cols} FROM {table}),
+    pg AS (SELECT DISTINCT query_id, page,
+      ((query_id % 3 = 0 AND page = query_id % 5 + 10) OR (query_id % 3 = 1 AND page = 12)) AS bad FROM it),
+    fb AS (SELECT query_id, min(page) FILTER (WHERE bad) AS first_bad FROM pg GROUP BY query_id)
+    SELECT it.* FROM it JOIN fb USING (query_id) WHERE fb.first_bad IS NULL OR it.page < fb.first_bad)"""
+
+
+ORG_PAGED = f"""(SELECT query_id, page, pos, login AS raw_name, coalesce(html_url, 'https://github.com/' || login) AS url
+  FROM {paged('c_custkey', 'customer', "CASE WHEN c_custkey % 11 = 0 THEN '' ELSE 'org-' || lower(c_mktsegment) || '-' || CAST(c_custkey AS VARCHAR) END AS login, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'https://github.com/' || (CASE WHEN c_custkey % 11 = 0 THEN '' ELSE 'org-' || lower(c_mktsegment) || '-' || CAST(c_custkey AS VARCHAR) END) END AS html_url")}
+  WHERE login <> '')"""
+SQL["paged_orgs"] = f"SELECT query_id, page, pos, canonical_name AS entity_name, url FROM {resolved(ORG_PAGED)}"
+
+_DESCS = "['Open-source toolkit', 'Freemium plan', 'Enterprise ready', 'Paid $9', 'Limited preview', 'A tool']"
+REPO_PAGED = f"""(SELECT query_id, page, pos, url, owner AS raw_name, description
+  FROM {paged('p_partkey', 'part', "'team-' || replace(p_brand, 'Brand#', '') AS owner, CASE WHEN p_partkey % 17 = 0 THEN '' ELSE 'https://github.com/team-' || replace(p_brand, 'Brand#', '') || '/' || replace(p_name, ' ', '-') || '-' || CAST(p_partkey AS VARCHAR) END AS url, " + _DESCS + "[p_partkey % 6 + 1] || ' for ' || p_type AS description")}
+  WHERE url <> '')"""
+SQL["paged_repos"] = f"SELECT query_id, page, pos, url, canonical_name AS startup_name, {pricing('description')} AS pricing_model FROM {resolved(REPO_PAGED)}"
+
+CARDS = f"""(SELECT c_custkey // {I.CARD_PAGE} AS page_id, c_custkey % {I.CARD_PAGE} AS card_pos,
+    {strip(_name('c_custkey', 'c_name'))} AS raw_name,
+    (c_custkey % 50 + 1) * (c_custkey % 9 + 2) AS employee_count,
+    'https://www.ycombinator.com/companies/' || lower(replace(c_name, '#', '-')) AS url FROM customer)"""
+SQL["html_cards"] = f"SELECT page_id, card_pos, raw_name, canonical_name AS entity_name, employee_count, url FROM {resolved(CARDS)}"
+
+_PDESC = "['Free trial available', 'Custom pricing', 'MIT licensed', 'Subscription', 'New launch']"
+_VENDOR = _name('p_partkey', "'Maker ' || p_brand")
+PRODUCT_RSS = f"""(SELECT feed_id, pos, url,
+    CASE WHEN len(regexp_split_to_array(title, {q(_PROD_SPLIT)})) > 1 THEN {strip(split_part_n('title', _PROD_SPLIT, 2))}
+         ELSE {strip(split_part_n('title', _PROD_SPLIT, 1))} END AS raw_name, {pricing('description')} AS pricing_model
+  FROM (SELECT p_partkey // {I.FEED_SIZE} AS feed_id, p_partkey % {I.FEED_SIZE} AS pos,
+          CASE WHEN p_partkey % 8 = 0 THEN '' ELSE 'https://products.example.org/p/' || CAST(p_partkey // 2 AS VARCHAR) END AS url,
+          CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' by ' || {_VENDOR} ELSE p_name || ' - ' || {_VENDOR} END AS title,
+          {_PDESC}[p_partkey % 5 + 1] AS description FROM part) WHERE url <> '')"""
+SQL["rss_products"] = f"SELECT feed_id, pos, url, canonical_name AS startup_name, pricing_model FROM {resolved(PRODUCT_RSS)}"
+
+STARTUP_CANDS = f"""(SELECT 1 AS source_priority, feed_id AS page, pos, raw_name, CAST(NULL AS BIGINT) AS employee_count, url,
+    'Hugging Face Organizations' AS source_name FROM {ORG_SRC}
+  UNION ALL SELECT 2, query_id * 100 + page, pos, raw_name, NULL, url, 'GitHub AI Organizations' FROM {ORG_PAGED}
+  UNION ALL SELECT 3, page_id, card_pos, raw_name, employee_count, url, 'Y Combinator Directory' FROM {CARDS})"""
+SQL["startup_records"] = f"""
+SELECT canonical_name AS entity_name, employee_count, source_name, url, source_priority, page, pos
+FROM {resolved(STARTUP_CANDS)}
+QUALIFY row_number() OVER (PARTITION BY lower(canonical_name) ORDER BY source_priority, page, pos) = 1
+"""
+
+PRODUCT_CANDS = f"""(SELECT 1 AS source_priority, feed_id AS page, pos, url, raw_name, 'FREE' AS pricing_model,
+    'Hugging Face Models' AS source_name FROM {MODEL_SRC}
+  UNION ALL SELECT 2, query_id * 100 + page, pos, url, raw_name, {pricing('description')}, 'GitHub AI Products' FROM {REPO_PAGED}
+  UNION ALL SELECT 3, feed_id, pos, url, raw_name, pricing_model, 'Product Hunt AI' FROM {PRODUCT_RSS})"""
+SQL["product_records"] = f"""
+SELECT canonical_name AS startup_name, pricing_model, source_name, url, source_priority, page, pos
+FROM {resolved(f"(SELECT * FROM {PRODUCT_CANDS} QUALIFY row_number() OVER (PARTITION BY url ORDER BY source_priority, page, pos) = 1)")}
+"""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import chunking, extract, tags, times, urls
-from feedloom.functions.text import collapse_ws, truncate
+from feedloom.functions.text import collapse_ws, first_non_empty, truncate
 from feedloom.operators import dedup
 from feedloom.plans import inputs as I
 
@@ -361,3 +361,171 @@ def _news(spark, sf):
 def rss_news(spark, sf):
     """SRC4 + P3 + F27 + F24: Atom news feeds to news records."""
     return _news(spark, sf)
+
+
+# ---------------------------------------------------------------- 18-20 JSON / PAGED / HTML
+HF = "https://huggingface.co"
+GH = "https://github.com"
+YC = "https://www.ycombinator.com"
+
+
+def _org_source(spark, sf):
+    e = FD.json_array_entries(I.org_feeds(spark, sf), "id:string,name:string,fullname:string", keep=["feed_id"])
+    named = e.select("feed_id", "pos", F.col("e.id").alias("org_id"),
+                     first_non_empty("e.fullname", "e.name", "e.id").alias("raw_name"))
+    named = named.where(F.col("raw_name").isNotNull())  # P4
+    return named.withColumn("url", extract.profile_url("org_id", HF))
+
+
+@register("json_orgs")
+def json_orgs(spark, sf):
+    """SRC6 + P4 + P6 + F23: organisation arrays -> named orgs, resolved."""
+    r = R.resolve_names(_org_source(spark, sf), "raw_name")
+    return r.select("feed_id", "pos", "raw_name", F.col("canonical_name").alias("entity_name"), "url")
+
+
+def _model_source(spark, sf):
+    e = FD.json_array_entries(I.model_feeds(spark, sf), "id:string", keep=["feed_id"])
+    m = e.select("feed_id", "pos", F.col("e.id").alias("model_id")) \
+        .where((F.col("model_id") != "") & F.col("model_id").contains("/"))  # P4, P5
+    return m.select("feed_id", "pos", "model_id", extract.model_owner("model_id").alias("raw_name"),
+                    F.concat(F.lit(HF + "/"), F.col("model_id")).alias("url"))
+
+
+@register("json_models")
+def json_models(spark, sf):
+    """SRC7 + P4 + P5 + F21 + F16: model arrays -> products (FREE)."""
+    r = R.resolve_names(_model_source(spark, sf), "raw_name")
+    return r.select("feed_id", "pos", "url", F.col("canonical_name").alias("startup_name"),
+                    F.lit("FREE").alias("pricing_model"))
+
+
+@register("json_jobs")
+def json_jobs(spark, sf):
+    """SRC10 + P7 + P3 + J1 + F14: ``{jobs:[..]}`` documents -> job records."""
+    feeds = I.job_json_feeds(spark, sf)
+    e = FD.json_array_entries(feeds, "title:string,company_name:string,url:string,publication_date:string",
+                              path="jobs", keep=["feed_id", "source_url"])
+    j = e.select("feed_id", "pos", F.coalesce(F.col("e.title"), F.lit("")).alias("title"),
+                 F.coalesce(F.col("e.company_name"), F.lit("AI Company")).alias("company_raw"),
+                 F.coalesce(F.col("e.url"), F.col("source_url")).alias("url"),
+                 F.col("e.publication_date").alias("date_raw"))
+    j = times.with_parsed_date(j, "date_raw", "__t", I.AS_OF_FRESH, on_unparsed="now")
+    j = R.resolve_names(j.where(times.is_fresh("__t", I.AS_OF_FRESH, 24)), "company_raw")
+    return j.select("feed_id", "pos", F.col("canonical_name").alias("company"), times.format_iso("__t").alias("date"),
+                    F.lit(True).alias("is_remote"), tags.role_family("title").alias("role_family"), "url")
+
+
+def _paged_items(pages, element_schema):
+    ok = (F.col("status") == 200) & (F.size(F.from_json("body", "struct<items:array<string>>")["items"]) > 0)
+    kept = FD.pages_before_first_bad(pages.withColumn("ok", F.coalesce(ok, F.lit(False))), ["query_id"],
+                                     max_pages=I.MAX_PAGES)
+    return FD.json_array_entries(kept, element_schema, path="items", keep=["query_id", "page"])
+
+
+def _org_paged_source(spark, sf):
+    e = _paged_items(I.org_pages(spark, sf), "login:string,html_url:string")
+    o = e.select("query_id", "page", "pos", F.col("e.login").alias("raw_name"),
+                 F.coalesce(F.col("e.html_url"), F.concat(F.lit(GH + "/"), F.col("e.login"))).alias("url"))
+    return o.where(F.col("raw_name") != "")  # P4
+
+
+@register("paged_orgs")
+def paged_orgs(spark, sf):
+    """SRC8 + P4 + F23: paged organisation search, pages after the first
+    failing or empty page of a query are not read."""
+    r = R.resolve_names(_org_paged_source(spark, sf), "raw_name")
+    return r.select("query_id", "page", "pos", F.col("canonical_name").alias("entity_name"), "url")
+
+
+def _repo_paged_source(spark, sf):
+    e = _paged_items(I.repo_pages(spark, sf), "html_url:string,owner:struct<login:string>,description:string")
+    r = e.select("query_id", "page", "pos", F.col("e.html_url").alias("url"),
+                 F.coalesce(F.col("e.owner.login"), F.lit("")).alias("raw_name"),
+                 F.coalesce(F.col("e.description"), F.lit("")).alias("description"))
+    return r.where(F.col("url").isNotNull() & (F.col("url") != ""))  # P4
+
+
+@register("paged_repos")
+def paged_repos(spark, sf):
+    """SRC9 + P4 + F15: paged repository search -> products with pricing."""
+    r = R.resolve_names(_repo_paged_source(spark, sf), "raw_name")
+    return r.select("query_id", "page", "pos", "url", F.col("canonical_name").alias("startup_name"),
+                    tags.pricing_model("description").alias("pricing_model"))
+
+
+def _card_source(spark, sf):
+    from feedloom.operators.html import directory_cards
+    c = directory_cards(I.card_pages(spark, sf), "body", ["page_id"])
+    c = c.where(F.col("raw_name") != "")  # P4
+    return c.select("page_id", "card_pos", "href", "raw_name",
+                    extract.employee_upper("card_text").alias("employee_count"),
+                    extract.absolute_url("href", YC).alias("url"))
+
+
+@register("html_cards")
+def html_cards(spark, sf):
+    """SRC11 + F22 + F23: directory cards (primary markup, else fallback)."""
+    r = R.resolve_names(_card_source(spark, sf), "raw_name")
+    return r.select("page_id", "card_pos", "raw_name", F.col("canonical_name").alias("entity_name"),
+                    "employee_count", "url")
+
+
+def _product_rss_source(spark, sf):
+    items = FD.product_rss_items(I.product_rss_feeds(spark, sf), keep=["feed_id"])
+    return items.select("feed_id", "pos", "url", extract.product_vendor("title").alias("raw_name"),
+                        tags.pricing_model("description").alias("pricing_model"))
+
+
+@register("rss_products")
+def rss_products(spark, sf):
+    """SRC5 + P4 + F20 + F15: product RSS items."""
+    r = R.resolve_names(_product_rss_source(spark, sf), "raw_name")
+    return r.select("feed_id", "pos", "url", F.col("canonical_name").alias("startup_name"), "pricing_model")
+
+
+def _startup_candidates(spark, sf):
+    a = _org_source(spark, sf).select(F.lit(1).alias("source_priority"), F.col("feed_id").alias("page"), "pos",
+                                      "raw_name", F.lit(None).cast("bigint").alias("employee_count"), "url",
+                                      F.lit("Hugging Face Organizations").alias("source_name"))
+    b = _org_paged_source(spark, sf).select(
+        F.lit(2).alias("source_priority"), (F.col("query_id") * 100 + F.col("page")).alias("page"), "pos", "raw_name",
+        F.lit(None).cast("bigint").alias("employee_count"), "url", F.lit("GitHub AI Organizations").alias("source_name"))
+    c = _card_source(spark, sf).select(F.lit(3).alias("source_priority"), F.col("page_id").alias("page"),
+                                       F.col("card_pos").alias("pos"), "raw_name", "employee_count", "url",
+                                       F.lit("Y Combinator Directory").alias("source_name"))
+    return R.resolve_names(dedup.union_sources(a, b, c), "raw_name")
+
+
+@register("startup_records")
+def startup_records(spark, sf):
+    """D1 + U1 across three startup sources (resolve, then first wins per
+    lower-cased canonical name in source order)."""
+    res = _startup_candidates(spark, sf).withColumn("entity_key", F.lower("canonical_name"))
+    first = dedup.first_wins(res.select("entity_key", "source_priority", "page", "pos", "canonical_name",
+                                        "employee_count", "url", "source_name"),
+                             "entity_key", ["source_priority", "page", "pos"])
+    return first.select(F.col("canonical_name").alias("entity_name"), "employee_count", "source_name", "url",
+                        "source_priority", "page", "pos")
+
+
+def _product_candidates(spark, sf):
+    a = _model_source(spark, sf).select(F.lit(1).alias("source_priority"), F.col("feed_id").alias("page"), "pos", "url",
+                                        "raw_name", F.lit("FREE").alias("pricing_model"),
+                                        F.lit("Hugging Face Models").alias("source_name"))
+    b = _repo_paged_source(spark, sf).select(
+        F.lit(2).alias("source_priority"), (F.col("query_id") * 100 + F.col("page")).alias("page"), "pos", "url",
+        "raw_name", tags.pricing_model("description").alias("pricing_model"), F.lit("GitHub AI Products").alias("source_name"))
+    c = _product_rss_source(spark, sf).select(F.lit(3).alias("source_priority"), F.col("feed_id").alias("page"), "pos",
+                                              "url", "raw_name", "pricing_model", F.lit("Product Hunt AI").alias("source_name"))
+    return dedup.union_sources(a, b, c)
+
+
+@register("product_records")
+def product_records(spark, sf):
+    """D2 + U1 across three product sources: first wins per exact URL,
+    then resolve (products dedup before resolving, as in the reference)."""
+    first = dedup.first_wins(_product_candidates(spark, sf), "url", ["source_priority", "page", "pos"])
+    r = R.resolve_names(first, "raw_name")
+    return r.select(F.col("canonical_name").alias("startup_name"), "pricing_model", "source_name", "url",
+                    "source_priority", "page", "pos")
