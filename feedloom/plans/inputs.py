@@ -304,3 +304,49 @@ def product_rss_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = F.concat(F.lit("<item><title>"), esc(title), F.lit("</title>"), link, F.lit("<description>"), desc,
                     F.lit("</description></item>"))
     return assemble(p, (k / FEED_SIZE).cast("bigint"), k, item, "<rss><channel>", "</channel></rss>")
+
+
+# ---------------------------------------------------------------- extraction responses
+PRIORITY_TO_PRICING = [("1-URGENT", '"ENTERPRISE"'), ("2-HIGH", '"PAID"'), ("3-MEDIUM", '"FREEMIUM"'),
+                       ("4-NOT SPECIFIED", '"INVALID_PRICING_MODEL"'), ("5-LOW", "null")]
+PROVIDERS = ["primary", "secondary", "tertiary"]
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``responses(doc_id, tier, provider, raw, error)``: three attempts per
+    order (one per provider tier), built from order columns."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    name = F.concat(F.lit("Client "), F.col("o_custkey").cast("string"))
+    pm = None
+    for pri, val in PRIORITY_TO_PRICING:
+        pm = F.when(F.col("o_orderpriority") == pri, F.lit(val)) if pm is None else pm.when(F.col("o_orderpriority") == pri, F.lit(val))
+    pm = pm.otherwise(F.lit("null"))
+    r1 = F.concat(F.lit('```json\n{"startupName": "'), name, F.lit('", "pricingModel": '), pm, F.lit("}\n```"))
+    e1 = F.when(F.col("o_orderstatus") == "F", F.lit("429 Too Many Requests"))
+    r2 = (F.when(k % 4 == 0, F.concat(F.lit('{"startupName": "'), name))
+           .when(k % 4 == 1, F.concat(F.lit('{"startupName": '), F.col("o_custkey").cast("string"), F.lit("}")))
+           .when(k % 4 == 2, F.concat(F.lit('```\n{"startupName": "'), name, F.lit('", "pricingModel": "FREE"}```')))
+           .otherwise(F.lit('{"pricingModel": "PAID"}')))
+    e2 = F.when(k % 10 == 0, F.lit("Quota exceeded for project"))
+    r3 = F.concat(F.lit('{"startupName": "'), name, F.lit('", "pricingModel": "FREE", "extra": 1}'))
+    e3 = F.when(F.col("o_orderstatus") == "O", F.lit("upstream connect error 503"))
+    att = F.array(
+        F.struct(F.lit(1).alias("tier"), F.lit(PROVIDERS[0]).alias("provider"), r1.alias("raw"), e1.alias("error")),
+        F.struct(F.lit(2).alias("tier"), F.lit(PROVIDERS[1]).alias("provider"), r2.alias("raw"), e2.alias("error")),
+        F.struct(F.lit(3).alias("tier"), F.lit(PROVIDERS[2]).alias("provider"), r3.alias("raw"), e3.alias("error")))
+    return o.select(k.alias("doc_id"), F.explode(att).alias("a")).select("doc_id", "a.*")
+
+
+SECRET_PROPS = ["api_key", "session_token", "Authorization", "page"]
+
+
+def event_props(e: DataFrame) -> Column:
+    """Property map of an event: its JSON props plus derived attributes."""
+    base = F.from_json(F.col("props"), "map<string,string>")
+    extra = F.create_map(
+        F.lit("api_key"), F.concat(F.lit("ak-"), F.col("user_id").cast("string")),
+        F.lit("session_token"), F.concat(F.lit("st-"), F.col("event_id").cast("string")),
+        F.lit("Authorization"), F.lit("Bearer x"),
+        F.lit("page"), F.col("event_type"))
+    return F.map_concat(base, extra)

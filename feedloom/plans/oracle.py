@@ -502,3 +502,104 @@ SQL["product_records"] = f"""
 SELECT canonical_name AS startup_name, pricing_model, source_name, url, source_priority, page, pos
 FROM {resolved(f"(SELECT * FROM {PRODUCT_CANDS} QUALIFY row_number() OVER (PARTITION BY url ORDER BY source_priority, page, pos) = 1)")}
 """
+
+
+# ---------------------------------------------------------------- HTML text / chunks
+SQL["html_regex_text"] = f"SELECT page_id, {regex_html_text('html')} AS text FROM pages"
+
+M = 4000
+
+
+def chunks_sql(doc_rel: str) -> str:
+    """Greedy packing as a recursive CTE over numbered paragraphs."""
+    nl2 = "chr(10) || chr(10)"
+    return f"""(WITH RECURSIVE d AS (SELECT doc_id, text AS t FROM {doc_rel}),
+whole AS (SELECT doc_id, 0 AS g, 0 AS s, t AS chunk FROM d WHERE t IS NOT NULL AND t <> '' AND length(t) <= {M}),
+raw AS (SELECT doc_id, unnest(string_split(t, {nl2})) AS para, generate_subscripts(string_split(t, {nl2}), 1) AS ord
+        FROM d WHERE length(t) > {M}),
+p AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS i, para, length(para) AS L
+      FROM (SELECT doc_id, ord, {strip('para')} AS para FROM raw) WHERE para <> ''),
+r AS (SELECT doc_id, i, CASE WHEN L + 2 <= {M} THEN L + 2 WHEN L > {M} THEN 0 ELSE L END AS n, 1 AS g,
+             L > {M} AND NOT (L + 2 <= {M}) AS big FROM p WHERE i = 1
+      UNION ALL
+      SELECT p.doc_id, p.i,
+        CASE WHEN r.n + p.L + 2 <= {M} THEN r.n + p.L + 2 WHEN p.L > {M} THEN 0 ELSE p.L END,
+        CASE WHEN r.n + p.L + 2 <= {M} AND r.n > 0 THEN r.g ELSE r.g + 1 END,
+        NOT (r.n + p.L + 2 <= {M}) AND p.L > {M}
+      FROM r JOIN p ON p.doc_id = r.doc_id AND p.i = r.i + 1),
+pg AS (SELECT p.doc_id, p.i, p.para, p.L, r.g, r.big FROM p JOIN r USING (doc_id, i)),
+packed AS (SELECT doc_id, g, 0 AS s, string_agg(para, {nl2} ORDER BY i) AS chunk FROM pg WHERE NOT big GROUP BY doc_id, g),
+sliced AS (SELECT doc_id, g, s, substr(para, s * {M} + 1, {M}) AS chunk
+           FROM (SELECT doc_id, g, para, unnest(range(0, CAST(ceil(L / {M}) AS BIGINT))) AS s FROM pg WHERE big)),
+allc AS (SELECT * FROM whole UNION ALL SELECT * FROM packed UNION ALL SELECT * FROM sliced)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY g, s) - 1 AS chunk_idx, chunk, length(chunk) AS chunk_len FROM allc)"""
+
+
+SQL["chunk_documents"] = f"SELECT doc_id, CAST(chunk_idx AS BIGINT) AS chunk_idx, chunk, CAST(chunk_len AS BIGINT) AS chunk_len FROM {chunks_sql('documents')}"
+PARA_DOCS = "(SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS text FROM documents)"
+SQL["chunk_packing"] = f"SELECT doc_id, CAST(chunk_idx AS BIGINT) AS chunk_idx, chunk, CAST(chunk_len AS BIGINT) AS chunk_len FROM {chunks_sql(PARA_DOCS)}"
+SQL["chunk_stats"] = f"""
+SELECT d.doc_id, coalesce(c.n, 0) AS n_chunks, CAST(length(d.text) AS BIGINT) AS text_len, c.first_chunk
+FROM {PARA_DOCS} d LEFT JOIN (SELECT doc_id, count(*) AS n, arg_min(chunk, chunk_idx) AS first_chunk
+  FROM {chunks_sql(PARA_DOCS)} GROUP BY doc_id) c USING (doc_id)
+"""
+
+# ---------------------------------------------------------------- responses
+_PM = "CASE o_orderpriority " + " ".join(f"WHEN {q(p)} THEN {q(v)}" for p, v in I.PRIORITY_TO_PRICING) + " ELSE 'null' END"
+_NAME = "'Client ' || CAST(o_custkey AS VARCHAR)"
+RESPONSES = f"""(SELECT o_orderkey AS doc_id, 1 AS tier, 'primary' AS provider,
+    '```json' || chr(10) || '{{"startupName": "' || {_NAME} || '", "pricingModel": ' || {_PM} || '}}' || chr(10) || '```' AS raw,
+    CASE WHEN o_orderstatus = 'F' THEN '429 Too Many Requests' END AS error FROM orders
+  UNION ALL SELECT o_orderkey, 2, 'secondary',
+    CASE o_orderkey % 4 WHEN 0 THEN '{{"startupName": "' || {_NAME}
+      WHEN 1 THEN '{{"startupName": ' || CAST(o_custkey AS VARCHAR) || '}}'
+      WHEN 2 THEN '```' || chr(10) || '{{"startupName": "' || {_NAME} || '", "pricingModel": "FREE"}}```'
+      ELSE '{{"pricingModel": "PAID"}}' END,
+    CASE WHEN o_orderkey % 10 = 0 THEN 'Quota exceeded for project' END FROM orders
+  UNION ALL SELECT o_orderkey, 3, 'tertiary', '{{"startupName": "' || {_NAME} || '", "pricingModel": "FREE", "extra": 1}}',
+    CASE WHEN o_orderstatus = 'O' THEN 'upstream connect error 503' END FROM orders)"""
+
+
+def fence_strip(t: str) -> str:
+    s = strip(t)
+    inner = f"regexp_replace(regexp_replace({s}, '^```[a-zA-Z]*\\n?', ''), '\\n?```$', '')"
+    return strip(f"(CASE WHEN starts_with({s}, '```') THEN {inner} ELSE {s} END)")
+
+
+_DOM = "('FREE', 'FREEMIUM', 'PAID', 'ENTERPRISE')"
+VALIDATED = f"""(WITH a AS (SELECT *, CASE WHEN error IS NULL THEN {fence_strip('raw')} END AS clean FROM {RESPONSES}),
+b AS (SELECT *, clean IS NOT NULL AND json_valid(clean) AS parsed FROM a),
+c AS (SELECT *, CASE WHEN parsed THEN json_type(clean) END AS jt,
+   CASE WHEN parsed THEN json_type(clean, '$.startupName') END AS t1,
+   CASE WHEN parsed THEN json_type(clean, '$.pricingModel') END AS t2,
+   CASE WHEN parsed THEN json_extract_string(clean, '$.pricingModel') END AS v2 FROM b),
+d AS (SELECT *, CASE WHEN parsed THEN list_filter([
+    CASE WHEN jt <> 'OBJECT' THEN 'not_object' END,
+    CASE WHEN t1 IS NULL THEN 'missing:startupName' WHEN t1 = 'NULL' THEN 'null:startupName'
+         WHEN t1 <> 'VARCHAR' THEN 'type:startupName' END,
+    CASE WHEN t2 IS NULL OR t2 = 'NULL' THEN NULL WHEN t2 <> 'VARCHAR' OR v2 NOT IN {_DOM} THEN 'type:pricingModel' END],
+    lambda x: x IS NOT NULL) END AS viol FROM c)
+SELECT doc_id, tier, provider,
+  CASE WHEN error IS NOT NULL THEN 'provider_error' WHEN NOT parsed THEN 'malformed_json'
+       WHEN len(viol) > 0 THEN 'schema_invalid' ELSE 'ok' END AS outcome,
+  array_to_string(viol, ',') AS violations,
+  coalesce(contains(error, '429') OR contains(lower(error), 'rate limit') OR contains(lower(error), 'quota'), false) AS rate_limited,
+  CASE WHEN error IS NULL AND parsed AND len(viol) = 0 THEN json_extract_string(clean, '$.startupName') END AS startupName,
+  CASE WHEN error IS NULL AND parsed AND len(viol) = 0 THEN v2 END AS pricingModel
+FROM d)"""
+
+SQL["validate_split"] = f"SELECT * FROM {VALIDATED}"
+SQL["validated_records"] = f"SELECT doc_id, tier, startupName, pricingModel FROM {VALIDATED} WHERE outcome = 'ok'"
+SQL["first_valid_by_tier"] = f"""
+SELECT o.o_orderkey AS doc_id, b.tier, b.provider, b.startupName, b.pricingModel FROM orders o
+LEFT JOIN (SELECT * FROM {VALIDATED} WHERE outcome = 'ok' QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY tier) = 1) b
+ON o.o_orderkey = b.doc_id
+"""
+SQL["attempt_outcomes"] = f"""SELECT provider, outcome, count(*) AS attempts, count(*) FILTER (WHERE rate_limited) AS rate_limited
+FROM {VALIDATED} GROUP BY provider, outcome"""
+
+SQL["redact_props"] = """
+SELECT event_id, array_to_string(list_sort([
+  'Authorization=***REDACTED***', 'api_key=***REDACTED***', 'session_token=***REDACTED***',
+  'page=' || event_type, 'k=' || json_extract_string(props, '$.k')]), ';') AS props_redacted FROM events
+"""

@@ -529,3 +529,108 @@ def product_records(spark, sf):
     r = R.resolve_names(first, "raw_name")
     return r.select(F.col("canonical_name").alias("startup_name"), "pricing_model", "source_name", "url",
                     "source_priority", "page", "pos")
+
+
+# ---------------------------------------------------------------- 21-23 HTML / CHUNKS
+@register("html_clean_text")
+def html_clean_text(spark, sf):
+    """page HTML -> visible text (Arrow mapInPandas, html.parser)."""
+    from feedloom.operators.html import clean_html
+    return clean_html(I.table(spark, sf, "pages").select("page_id", "html"), "html", "clean_text").drop("html")
+
+
+@register("extraction_input")
+def extraction_input(spark, sf):
+    """F25 -> F28 -> F29: the first chunk of each page's clean text, the
+    input of the extraction step; pages with no text give no row."""
+    from feedloom.operators.html import clean_html
+    c = clean_html(I.table(spark, sf, "pages").select("page_id", "html"), "html", "clean_text")
+    ch = c.select("page_id", chunking.chunk_text("clean_text", chunking.DEFAULT_CHUNK).alias("chunks"))
+    return ch.where(F.size("chunks") > 0).select("page_id", F.get("chunks", 0).alias("first_chunk"),
+                                                 F.size("chunks").cast("bigint").alias("n_chunks"))
+
+
+@register("html_regex_text")
+def html_regex_text(spark, sf):
+    """regex fallback text of each page."""
+    return I.table(spark, sf, "pages").select("page_id", chunking.regex_html_text("html").alias("text"))
+
+
+def _chunks(df, text_col, m=chunking.DEFAULT_CHUNK):
+    c = df.select("doc_id", F.posexplode(chunking.chunk_text(text_col, m)).alias("chunk_idx", "chunk"))
+    return c.select("doc_id", F.col("chunk_idx").cast("bigint").alias("chunk_idx"), "chunk",
+                    F.length("chunk").cast("bigint").alias("chunk_len"))
+
+
+@register("chunk_documents")
+def chunk_documents(spark, sf):
+    """F28 over whole documents (single-newline texts: long ones are
+    hard-sliced at 4,000 characters)."""
+    return _chunks(I.table(spark, sf, "documents"), "text")
+
+
+def _paragraph_docs(spark, sf):
+    d = I.table(spark, sf, "documents")
+    return d.select("doc_id", F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")).alias("text"))
+
+
+@register("chunk_packing")
+def chunk_packing(spark, sf):
+    """F28 greedy packing: every line made a paragraph (blank-line
+    separated), packed up to 4,000 characters."""
+    return _chunks(_paragraph_docs(spark, sf), "text")
+
+
+@register("chunk_stats")
+def chunk_stats(spark, sf):
+    """G4 + F29: chunk count, text length and first chunk per document."""
+    d = _paragraph_docs(spark, sf).select("doc_id", "text", chunking.chunk_text("text").alias("c"))
+    return d.select("doc_id", F.size("c").cast("bigint").alias("n_chunks"), F.length("text").cast("bigint").alias("text_len"),
+                    F.get("c", 0).alias("first_chunk"))
+
+
+# ---------------------------------------------------------------- 24-26 RESPONSES / REDACT
+from feedloom.operators import validate as V  # noqa: E402
+
+
+def _validated(spark, sf):
+    return V.validate_responses(I.responses(spark, sf), "PRODUCT")
+
+
+@register("validate_split")
+def validate_split(spark, sf):
+    """F30 + V1 + T2 + F31: every attempt with its outcome and reasons."""
+    v = _validated(spark, sf)
+    return v.select("doc_id", "tier", "provider", "outcome", F.array_join("violations", ",").alias("violations"),
+                    "rate_limited", "startupName", "pricingModel")
+
+
+@register("validated_records")
+def validated_records(spark, sf):
+    """V1 valid side: typed records only (rejects are ``validate_split``
+    rows with outcome != ok)."""
+    ok, _ = V.split_valid(_validated(spark, sf))
+    return ok.select("doc_id", "tier", "startupName", "pricingModel")
+
+
+@register("first_valid_by_tier")
+def first_valid_by_tier(spark, sf):
+    """Lowest-tier valid response per order; none -> nulls."""
+    docs = I.table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"))
+    return V.first_valid_by_tier(_validated(spark, sf), docs, "PRODUCT")
+
+
+@register("attempt_outcomes")
+def attempt_outcomes(spark, sf):
+    """T2 summary per provider and outcome, with rate-limit counts."""
+    return V.attempt_outcomes(_validated(spark, sf))
+
+
+@register("redact_props")
+def redact_props(spark, sf):
+    """F32 over each event's property map (JSON props + attributes)."""
+    from feedloom.functions.redact import redact_map
+    e = I.events(spark, sf)
+    m = redact_map(I.event_props(e))
+    kv = F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda x: F.concat(x["key"], F.lit("="), x["value"]))), ";")
+    return e.select("event_id", kv.alias("props_redacted"))
