@@ -603,3 +603,57 @@ SELECT event_id, array_to_string(list_sort([
   'Authorization=***REDACTED***', 'api_key=***REDACTED***', 'session_token=***REDACTED***',
   'page=' || event_type, 'k=' || json_extract_string(props, '$.k')]), ';') AS props_redacted FROM events
 """
+
+
+# ---------------------------------------------------------------- limit / tabs / edges / fallback
+STARTUP_RECORDS = f"""(SELECT canonical_name AS entity_name, employee_count, source_name, url, source_priority, page, pos
+FROM {resolved(STARTUP_CANDS)}
+QUALIFY row_number() OVER (PARTITION BY lower(canonical_name) ORDER BY source_priority, page, pos) = 1)"""
+SQL["priority_fill_limit"] = f"""SELECT entity_name, url, source_priority, page, pos FROM {STARTUP_RECORDS}
+ORDER BY source_priority, page, pos LIMIT 1000"""
+
+PRODUCT_RECORDS = f"""(SELECT canonical_name AS startup_name, pricing_model, source_name, url, source_priority, page, pos
+FROM {resolved(f"(SELECT * FROM {PRODUCT_CANDS} QUALIFY row_number() OVER (PARTITION BY url ORDER BY source_priority, page, pos) = 1)")})"""
+_COLL = "'2024-01-15T12:00:00+00:00'"
+
+
+def txt(e: str) -> str:
+    return f"coalesce(CAST({e} AS VARCHAR), '')"
+
+
+SQL["tab_startups"] = f"""SELECT entity_name AS "Entity Name", {txt('employee_count')} AS "Employee Count",
+  source_name AS "Source Name", url AS "Source URL", {_COLL} AS "Collected At" FROM {STARTUP_RECORDS}"""
+SQL["tab_products"] = f"""SELECT startup_name AS "Startup Name", {txt('pricing_model')} AS "Pricing Model",
+  source_name AS "Source Name", url AS "Source URL", {_COLL} AS "Collected At" FROM {PRODUCT_RECORDS}"""
+SQL["tab_research_papers"] = f"""SELECT title AS "Title", authors AS "Authors", paper_url AS "Paper URL",
+  {txt('github_url')} AS "GitHub URL", {txt('github_stars')} AS "GitHub Stars", published_date AS "Published Date" FROM {PAPERS}"""
+JOBS = f"""(WITH j AS (SELECT *, CASE WHEN len(regexp_split_to_array(title, {q(_JOB_SPLIT)})) > 1
+    THEN {strip(split_part_n('title', _JOB_SPLIT, 2))} ELSE 'AI Tech Company' END AS raw_name
+  FROM {JOB_ROWS} WHERE t BETWEEN {_FRESH_A} - INTERVAL 24 HOUR AND {_FRESH_A} + INTERVAL 1 HOUR)
+SELECT feed_id, pos, canonical_name AS company, {iso('t')} AS date, true AS is_remote, {role_family('title')} AS role_family, url
+FROM {resolved('j')})"""
+SQL["tab_jobs"] = f"""SELECT company AS "Company", date AS "Date", 'True' AS "Is Remote", role_family AS "Role Family",
+  'Job feed ' || CAST(feed_id AS VARCHAR) AS "Source Name", url AS "Source URL" FROM {JOBS}"""
+SQL["tab_news"] = f"""SELECT title AS "Title", 'News feed ' || CAST(feed_id AS VARCHAR) AS "Source Name", url AS "URL",
+  publication_date AS "Publication Date", substr(full_text, 1, 200) AS "Text Snippet" FROM ({SQL['rss_news']})"""
+SQL["tab_entity_mapping_log"] = f"""SELECT raw_clean AS "Raw Name", canonical_name AS "Canonical Name", match_method AS "Match Method"
+FROM {resolved(COMPANY_NAMES)} WHERE match_method IS NOT NULL"""
+
+SQL["relationship_edges"] = f"""
+SELECT s.entity_name AS src, 'LAUNCHED' AS rel, p.url AS dst FROM {STARTUP_RECORDS} s JOIN {PRODUCT_RECORDS} p ON s.entity_name = p.startup_name
+UNION ALL
+SELECT s.entity_name, 'POSTED', j.url FROM {STARTUP_RECORDS} s JOIN {JOBS} j ON s.entity_name = j.company
+"""
+
+_URL_E = "'https://site.example.org/e/' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id AS VARCHAR)"
+SQL["missing_date_fallback"] = f"""
+WITH c AS (SELECT event_id, {fp(norm_url(_URL_E))} AS link_hash,
+    CASE WHEN event_id % 5 = 0 THEN NULL ELSE date_trunc('second', ts) END AS p,
+    CASE WHEN event_id % 10 = 0 THEN NULL ELSE date_trunc('second', ts) + INTERVAL 1 HOUR END AS m FROM events),
+pr AS (SELECT {fp(norm_url(_URL_E))} AS link_hash, TIMESTAMP '2024-01-20 00:00:00' AS first_seen FROM events
+       WHERE ts < TIMESTAMP '2024-01-20 00:00:00')
+SELECT event_id, {iso(f"coalesce(p, m, first_seen, TIMESTAMP '{I.AS_OF_RELATIVE}')")} AS published,
+  CASE WHEN p IS NOT NULL THEN 'published' WHEN m IS NOT NULL THEN 'last_modified'
+       WHEN first_seen IS NOT NULL THEN 'previous_crawl' ELSE 'first_seen' END AS date_source
+FROM c LEFT JOIN pr USING (link_hash)
+"""

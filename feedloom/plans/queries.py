@@ -311,7 +311,7 @@ def _papers(spark, sf):
     top = dedup.overfetch_dedup_limit(e, "feed_id", [F.col("__pub").desc(), F.col("paper_url"), F.col("pos")],
                                       "paper_url", PAPER_LIMIT)
     top = EN.with_repo_stars(top, _star_snapshot(spark, sf))
-    return top.select("feed_id", "paper_url", "title", F.array_join("authors", ", ").alias("authors"),
+    return top.select("feed_id", "paper_url", "title", "authors",
                       times.format_iso("__pub").alias("published_date"), "github_url", "github_stars")
 
 
@@ -319,7 +319,7 @@ def _papers(spark, sf):
 def paper_feed_parse(spark, sf):
     """SRC1 + SRC2 + O1 + L2 + D3 + J2: Atom paper feeds -> newest first,
     over-fetch 2x, dedup by paper URL, keep the limit, enrich stars."""
-    return _papers(spark, sf)
+    return _papers(spark, sf).withColumn("authors", F.array_join("authors", ", "))
 
 
 @register("paper_run_summary")
@@ -634,3 +634,110 @@ def redact_props(spark, sf):
     m = redact_map(I.event_props(e))
     kv = F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda x: F.concat(x["key"], F.lit("="), x["value"]))), ";")
     return e.select("event_id", kv.alias("props_redacted"))
+
+
+# ---------------------------------------------------------------- 27 LIMIT
+FILL_LIMIT = 1000
+
+
+@register("priority_fill_limit")
+def priority_fill_limit(spark, sf):
+    """L1 + L3: fill from source 1, then 2, then 3 (deduplicated by
+    canonical name) up to the record limit."""
+    res = _startup_candidates(spark, sf).withColumn("entity_key", F.lower("canonical_name"))
+    top = dedup.priority_fill(res.select("entity_key", "source_priority", "page", "pos", "canonical_name", "url"),
+                              "entity_key", ["source_priority", "page", "pos"], FILL_LIMIT)
+    return top.select(F.col("canonical_name").alias("entity_name"), "url", "source_priority", "page", "pos")
+
+
+# ---------------------------------------------------------------- 30 ENVELOPES / TABS
+from feedloom.sources import store as ST  # noqa: E402
+
+COLLECTED_AT = I.AS_OF_FRESH
+
+
+def _collected():
+    return times.format_iso(times.to_ts(COLLECTED_AT))
+
+
+def envelopes(spark, sf, record_type: str) -> DataFrame:
+    """P1 envelopes of one record type from its record job."""
+    if record_type == "STARTUP":
+        r = startup_records(spark, sf)
+        return ST.envelope(r, "STARTUP", {"entityName": F.col("entity_name"), "employeeCount": F.col("employee_count")},
+                           F.col("source_name"), F.col("url"), _collected())
+    if record_type == "PRODUCT":
+        r = product_records(spark, sf)
+        return ST.envelope(r, "PRODUCT", {"startupName": F.col("startup_name"), "pricingModel": F.col("pricing_model")},
+                           F.col("source_name"), F.col("url"), _collected())
+    if record_type == "RESEARCH_PAPER":
+        r = _papers(spark, sf)
+        return ST.envelope(r, "RESEARCH_PAPER", {
+            "title": F.col("title"), "authors": F.col("authors"),
+            "paper_url": F.col("paper_url"), "github_url": F.col("github_url"), "github_stars": F.col("github_stars"),
+            "published_date": F.col("published_date")}, F.lit("arXiv"), F.col("paper_url"), _collected())
+    if record_type == "JOB":
+        r = _jobs(spark, sf)
+        return ST.envelope(r, "JOB", {"company": F.col("company"), "date": F.col("date"), "is_remote": F.col("is_remote"),
+                                      "role_family": F.col("role_family")},
+                           F.concat(F.lit("Job feed "), F.col("feed_id").cast("string")), F.col("url"), _collected())
+    if record_type == "NEWS":
+        r = _news(spark, sf)
+        return ST.envelope(r, "NEWS", {"title": F.col("title"), "publication_date": F.col("publication_date"),
+                                       "full_text": F.col("full_text")},
+                           F.concat(F.lit("News feed "), F.col("feed_id").cast("string")), F.col("url"), _collected())
+    raise ValueError(record_type)
+
+
+for _tab, (_rt, _layout) in ST.TABS.items():
+    def _mk(rt=_rt, tab=_tab):
+        def fn(spark, sf):
+            return ST.tab_frame(envelopes(spark, sf, rt), tab)
+        fn.__doc__ = f"P2 + SNK6: the {tab} export tab (text columns, CSV value rules)."
+        return fn
+    register(f"tab_{_tab}")(_mk())
+
+
+@register("tab_entity_mapping_log")
+def tab_entity_mapping_log(spark, sf):
+    """P2 + SNK6: the entity mapping log tab."""
+    return ST.log_tab_frame(R.resolution_log(_resolved(spark, sf)))
+
+
+# ---------------------------------------------------------------- 31 EDGES
+@register("relationship_edges")
+def relationship_edges(spark, sf):
+    """Startup LAUNCHED product and startup POSTED job edges (inner
+    equi-joins on canonical name; startups are unique by name)."""
+    s = startup_records(spark, sf).select(F.col("entity_name").alias("name"))
+    p = product_records(spark, sf).select(F.col("startup_name").alias("name"), F.col("url").alias("id"))
+    j = _jobs(spark, sf).select(F.col("company").alias("name"), F.col("url").alias("id"))
+    return EN.relationship_edges(s, p, j)
+
+
+# ---------------------------------------------------------------- 33 MISSING DATES
+PREVIOUS_CRAWL = "2024-01-20 00:00:00"
+
+
+@register("missing_date_fallback")
+def missing_date_fallback(spark, sf):
+    """Publish date, else the Last-Modified header, else the first-seen
+    time of the link in the previous crawl (left join on the link hash),
+    else the crawl time."""
+    e = I.events(spark, sf)
+    k = F.col("event_id")
+    url = F.concat(F.lit("https://site.example.org/e/"), F.col("user_id").cast("string"), F.lit("/"), k.cast("string"))
+    cur = e.select("event_id", urls.fingerprint(urls.normalize_url(url)).alias("link_hash"),
+                   F.when(k % 5 == 0, F.lit(None)).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("published_raw"),
+                   F.when(k % 10 == 0, F.lit(None)).otherwise(
+                       F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "EEE, dd MMM yyyy HH:mm:ss"),
+                                F.lit(" GMT"))).alias("last_modified"))
+    prev = e.where(F.col("ts") < times.to_ts(PREVIOUS_CRAWL)).select(
+        urls.fingerprint(urls.normalize_url(url)).alias("link_hash"), times.to_ts(PREVIOUS_CRAWL).alias("first_seen"))
+    cur = times.with_parsed_date(cur, "published_raw", "__p", I.AS_OF_RELATIVE)
+    cur = times.with_parsed_date(cur, "last_modified", "__m", I.AS_OF_RELATIVE)
+    j = cur.join(prev, "link_hash", "left")
+    src = (F.when(F.col("__p").isNotNull(), F.lit("published")).when(F.col("__m").isNotNull(), F.lit("last_modified"))
+            .when(F.col("first_seen").isNotNull(), F.lit("previous_crawl")).otherwise(F.lit("first_seen")))
+    t = F.coalesce("__p", "__m", "first_seen", times.to_ts(I.AS_OF_RELATIVE))
+    return j.select("event_id", times.format_iso(t).alias("published"), src.alias("date_source"))
