@@ -657,3 +657,14 @@ SELECT event_id, {iso(f"coalesce(p, m, first_seen, TIMESTAMP '{I.AS_OF_RELATIVE}
        WHEN first_seen IS NOT NULL THEN 'previous_crawl' ELSE 'first_seen' END AS date_source
 FROM c LEFT JOIN pr USING (link_hash)
 """
+
+SQL["store_roundtrip"] = f"""
+SELECT 'STARTUP' AS record_type, count(*) AS n, count(*) FILTER (WHERE url <> '') AS n_with_url,
+  count(*) AS n_payload_url_match FROM {STARTUP_RECORDS}
+UNION ALL SELECT 'PRODUCT', count(*), count(*) FILTER (WHERE url <> ''), count(*) FROM {PRODUCT_RECORDS}
+UNION ALL SELECT 'RESEARCH_PAPER', count(*), count(*) FILTER (WHERE paper_url <> ''), count(*) FROM {PAPERS}
+UNION ALL SELECT 'JOB', count(*), count(*) FILTER (WHERE url <> ''), count(*) FROM {JOBS}
+UNION ALL SELECT 'NEWS', count(*), count(*) FILTER (WHERE url <> ''), count(*) FROM ({SQL['rss_news']})
+"""
+SQL["stream_dedup"] = f"SELECT event_id, user_id, event_type, {iso('ts')} AS published FROM events"
+SQL["stream_freshness"] = SQL["freshness_filter"]

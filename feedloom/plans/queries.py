@@ -741,3 +741,69 @@ def missing_date_fallback(spark, sf):
             .when(F.col("first_seen").isNotNull(), F.lit("previous_crawl")).otherwise(F.lit("first_seen")))
     t = F.coalesce("__p", "__m", "first_seen", times.to_ts(I.AS_OF_RELATIVE))
     return j.select("event_id", times.format_iso(t).alias("published"), src.alias("date_source"))
+
+
+# ---------------------------------------------------------------- 28 STORE
+@register("store_roundtrip")
+def store_roundtrip(spark, sf):
+    """SNK1 + SNK2 + X3 (write, partitioned by type and month), then SRC12 +
+    P9 + G2/G3 + X4 (read back with partition pruning, count per type,
+    query payload keys).  The store lives under the shared checkpoint
+    folder."""
+    from feedloom.session import scratch_path
+    path = scratch_path(spark, "store")
+    for rt in ["STARTUP", "PRODUCT", "RESEARCH_PAPER", "JOB", "NEWS"]:
+        env = envelopes(spark, sf, rt)
+        ST.save_records(ST.to_store_rows(env, rt, month_from="collectedAt"), path, ("record_type", "month"))
+    stored = spark.read.parquet(path)
+    out = None
+    for rt in ["STARTUP", "PRODUCT", "RESEARCH_PAPER", "JOB", "NEWS"]:
+        typed = ST.read_records(spark, path, rt)
+        part = typed.agg(F.count(F.lit(1)).alias("n"),
+                         F.count_if(F.col("source.url") != "").alias("n_with_url")).select(F.lit(rt).alias("record_type"), "*")
+        out = part if out is None else out.unionByName(part)
+    payload_urls = (stored.groupBy("record_type")
+                    .agg(F.count_if(ST.payload_field(F.col("payload"), "$.source.url") == F.col("source_url"))
+                         .alias("n_payload_url_match")))
+    return out.join(payload_urls, "record_type", "left")
+
+
+# ---------------------------------------------------------------- 32 STREAMS
+def _land_events_twice(spark, sf, path):
+    """Land the events table twice (a re-delivery) as two files."""
+    e = I.table(spark, sf, "events")
+    e.coalesce(1).write.mode("overwrite").parquet(f"{path}/delivery=1")
+    e.coalesce(1).write.mode("overwrite").parquet(f"{path}/delivery=2")
+    return e.schema
+
+
+@register("stream_dedup")
+def stream_dedup(spark, sf):
+    """ST1 + ST2: events landed twice, streamed (availableNow), re-deliveries
+    dropped per event id within a 1-hour watermark."""
+    from feedloom.session import scratch_path
+    from feedloom.streaming import ingest
+    base = scratch_path(spark, "stream-dedup")
+    schema = _land_events_twice(spark, sf, f"{base}/landing")
+    s = ingest.read_landed(spark, f"{base}/landing/*", schema, max_files_per_trigger=1)
+    s = s.withColumn("ts", F.col("ts").cast("timestamp"))
+    d = ingest.dedup_within_watermark(s, "event_id", "ts", "1 hour")
+    ingest.run_available_now(d.select("event_id", "user_id", "event_type", "ts"), f"{base}/_ckpt", f"{base}/out")
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("event_id", "user_id", "event_type", times.format_iso("ts").alias("published"))
+
+
+@register("stream_freshness")
+def stream_freshness(spark, sf):
+    """ST1 + ST3 + ST4: streamed events filtered by freshness at a fixed
+    as-of and appended to a key ledger with an idempotent foreachBatch."""
+    from feedloom.session import scratch_path
+    from feedloom.streaming import ingest
+    base = scratch_path(spark, "stream-fresh")
+    schema = _land_events_twice(spark, sf, f"{base}/landing")
+    s = ingest.read_landed(spark, f"{base}/landing/*", schema, max_files_per_trigger=1)
+    s = s.withColumn("ts", F.col("ts").cast("timestamp"))
+    f = ingest.fresh_only(s, "ts", I.AS_OF_FRESH, 24).select("event_id", "user_id", "event_type", "ts")
+    ingest.run_available_now(f, f"{base}/_ckpt", ingest.ledger_writer(f"{base}/ledger", "event_id"))
+    out = spark.read.parquet(f"{base}/ledger")
+    return out.select("event_id", "user_id", "event_type", times.format_iso("ts").alias("published"))
