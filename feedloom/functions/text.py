@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() / \s are Unicode-aware; Java regexes need (?U) for that.
-_STRIP = r"(?U)^\s+|\s+$"
+# The characters Python's str.strip() removes (str.isspace()), generated
+# from the Unicode tables; btrim over this set is str.strip() without regex.
+PY_WHITESPACE = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
 
 
 def col_(c) -> Column:
@@ -15,7 +16,7 @@ def col_(c) -> Column:
 
 def py_strip(c) -> Column:
     """``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(col_(c), _STRIP, "")
+    return F.btrim(col_(c), F.lit(PY_WHITESPACE))
 
 
 def collapse_ws(c) -> Column:

@@ -69,46 +69,62 @@ def _typed(fv: Column, kind: str) -> Column:
     raise ValueError(kind)
 
 
-def violations(v: Column, record_type: str) -> Column:
-    """V1: array of rule violations for a parsed response (empty = valid)."""
-    checks = [F.when(~F.schema_of_variant(v).startswith("OBJECT"), F.lit("not_object"))]
-    for name, kind, required, nullable, domain in VALIDATION[record_type]:
-        fv = _field(v, name)
-        is_null = F.schema_of_variant(fv) == "VOID"
+def _violations(root_t: Column, fields: list[tuple[Column, Column]], record_type: str) -> Column:
+    checks = [F.when(~root_t.startswith("OBJECT"), F.lit("not_object"))]
+    for (name, kind, required, nullable, domain), (fv, ft) in zip(VALIDATION[record_type], fields):
         bad = (F.when(fv.isNull(), F.lit(f"missing:{name}") if required else F.lit(None))
-                .when(is_null, F.lit(None) if nullable else F.lit(f"null:{name}"))
+                .when(ft == "VOID", F.lit(None) if nullable else F.lit(f"null:{name}"))
                 .when(~_kind_ok(fv, kind, domain), F.lit(f"type:{name}")))
         checks.append(bad)
     return F.array_compact(F.array(*checks))
 
 
+def violations(v: Column, record_type: str) -> Column:
+    """V1: array of rule violations for a parsed response (empty = valid)."""
+    fields = [(_field(v, f[0]), F.schema_of_variant(_field(v, f[0]))) for f in VALIDATION[record_type]]
+    return _violations(F.schema_of_variant(v), fields, record_type)
+
+
 def validate_responses(df: DataFrame, record_type: str, raw_col: str = "raw",
                        error_col: str = "error") -> DataFrame:
     """Adds ``clean``, ``violations``, ``outcome`` (T2), ``rate_limited``
-    (F31) and one typed column per schema field (null unless valid)."""
-    clean = strip_code_fence(F.col(raw_col))
-    out = (df.withColumn("clean", F.when(F.col(error_col).isNull(), clean))
-             .withColumn("__v", F.try_parse_json(F.col("clean")))
-             .withColumn("violations", F.when(F.col("__v").isNotNull(), violations(F.col("__v"), record_type))))
+    (F31) and one typed column per schema field (null unless valid).
+
+    Each stage is its own projection: the parsed variant and each field's
+    value are computed once per row and referenced by the later rules
+    (the optimizer does not re-inline non-trivial shared expressions)."""
+    spec = VALIDATION[record_type]
+    base = df.select("*", F.when(F.col(error_col).isNull(), strip_code_fence(F.col(raw_col))).alias("clean"))
+    parsed = base.select("*", F.try_parse_json(F.col("clean")).alias("__v"))
+    fcols = []
+    for i, (name, *_rest) in enumerate(spec):
+        fcols.append(_field(F.col("__v"), name).alias(f"__f{i}"))
+    withf = parsed.select("*", F.schema_of_variant(F.col("__v")).alias("__root"), *fcols)
+    withf = withf.select("*", *[F.schema_of_variant(F.col(f"__f{i}")).alias(f"__t{i}") for i in range(len(spec))])
+    pairs = [(F.col(f"__f{i}"), F.col(f"__t{i}")) for i in range(len(spec))]
+    viol = withf.select("*", F.when(F.col("__v").isNotNull(), _violations(F.col("__root"), pairs, record_type))
+                        .alias("violations"))
     err = F.lower(F.col(error_col))
     outcome = (F.when(F.col(error_col).isNotNull(), F.lit(PROVIDER_ERROR))
                 .when(F.col("__v").isNull(), F.lit(MALFORMED))
                 .when(F.size("violations") > 0, F.lit(INVALID))
                 .otherwise(F.lit(OK)))
-    out = out.withColumn("outcome", outcome).withColumn(
-        "rate_limited",
-        F.coalesce(F.col(error_col).contains("429") | err.contains("rate limit") | err.contains("quota"),
-                   F.lit(False)))
+    rate = F.coalesce(F.col(error_col).contains("429") | err.contains("rate limit") | err.contains("quota"),
+                      F.lit(False))
+    out = viol.select("*", outcome.alias("outcome"), rate.alias("rate_limited"))
     defaults = DEFAULTS.get(record_type, {})
-    for name, kind, *_ in VALIDATION[record_type]:
-        fv = _field(F.col("__v"), name)
+    typed = []
+    for i, (name, kind, *_r) in enumerate(spec):
+        fv = F.col(f"__f{i}")
         val = _typed(fv, kind)
         if name in defaults:
             d = defaults[name]
             lit = F.array().cast("array<string>") if d == [] else F.lit(d)
             val = F.when(fv.isNull(), lit).otherwise(val)
-        out = out.withColumn(name, F.when(F.col("outcome") == OK, val))
-    return out.drop("__v")
+        typed.append(F.when(F.col("outcome") == OK, val).alias(name))
+    out = out.select("*", *typed)
+    temps = ["__v", "__root"] + [f"__f{i}" for i in range(len(spec))] + [f"__t{i}" for i in range(len(spec))]
+    return out.drop(*temps)
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -117,18 +133,22 @@ def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
             validated.where(F.col("outcome") != OK))
 
 
-def first_valid_by_tier(validated: DataFrame, docs: DataFrame, record_type: str,
+def first_valid_by_tier(validated: DataFrame, docs: DataFrame | None, record_type: str,
                         key: str = "doc_id") -> DataFrame:
     """Per document, the lowest-tier valid response; none -> nulls.
 
-    ``min(struct(tier, ...))`` aggregates map-side, so a document with many
-    attempts never gathers them in one task."""
+    ``min`` over ``struct(tier, ...)`` of valid attempts (null for the
+    others, which ``min`` skips) aggregates map-side, so a document with
+    many attempts never gathers them in one task.  Pass ``docs`` only when
+    some documents have no attempt at all; that join is a shuffle join,
+    since both sides grow with the data."""
     fields = [f[0] for f in VALIDATION[record_type]]
-    best = (validated.where(F.col("outcome") == OK)
-            .groupBy(key)
-            .agg(F.min(F.struct("tier", "provider", *fields)).alias("__b")))
+    packed = F.when(F.col("outcome") == OK, F.struct("tier", "provider", *fields))
+    best = validated.groupBy(key).agg(F.min(packed).alias("__b"))
     best = best.select(key, *[F.col(f"__b.{c}").alias(c) for c in ["tier", "provider", *fields]])
-    return docs.select(key).join(best, key, "left")
+    if docs is None:
+        return best
+    return docs.select(key).join(best.hint("shuffle_hash"), key, "left")
 
 
 def attempt_outcomes(validated: DataFrame) -> DataFrame:

@@ -615,9 +615,9 @@ def validated_records(spark, sf):
 
 @register("first_valid_by_tier")
 def first_valid_by_tier(spark, sf):
-    """Lowest-tier valid response per order; none -> nulls."""
-    docs = I.table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"))
-    return V.first_valid_by_tier(_validated(spark, sf), docs, "PRODUCT")
+    """Lowest-tier valid response per order; none -> nulls.  Every order
+    has attempts, so no join back to the orders is needed."""
+    return V.first_valid_by_tier(_validated(spark, sf), None, "PRODUCT")
 
 
 @register("attempt_outcomes")
