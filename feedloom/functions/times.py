@@ -156,15 +156,22 @@ def format_iso(ts, as_of=None) -> Column:
                            F.lit("+00:00")))
 
 
-def is_fresh(ts, as_of, hours: int = 24) -> Column:
-    """``as_of - hours <= ts <= as_of + 1h``; null is never fresh."""
+def fresh_window(ts, as_of, hours: int = 24) -> Column:
+    """P3 predicate ``as_of - hours <= ts <= as_of + 1h`` (null when ts is
+    null).  With a literal ``as_of`` it folds to two literal bounds, which
+    the Parquet scan can use against row-group statistics."""
     t = col_(ts)
     now = to_ts(as_of)
     lo = now - F.make_dt_interval(F.lit(0), F.lit(hours))
     hi = now + F.expr("INTERVAL 1 HOUR")
-    return F.coalesce((t >= lo) & (t <= hi), F.lit(False))
+    return (t >= lo) & (t <= hi)
+
+
+def is_fresh(ts, as_of, hours: int = 24) -> Column:
+    """P3 as a boolean column; null is never fresh."""
+    return F.coalesce(fresh_window(ts, as_of, hours), F.lit(False))
 
 
 def freshness_filter(df, ts_col: str, as_of, hours: int = 24):
-    """DataFrame form of P3."""
-    return df.filter(is_fresh(ts_col, as_of, hours))
+    """DataFrame form of P3 (a pushable filter; null rows are dropped)."""
+    return df.filter(fresh_window(ts_col, as_of, hours))

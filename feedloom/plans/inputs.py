@@ -13,7 +13,8 @@ AS_OF_RELATIVE = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from feedloom.sources.io import read_table
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
