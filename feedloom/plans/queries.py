@@ -227,7 +227,8 @@ def title_company_split(spark, sf):
     k = F.col("p_partkey")
     seps = F.element_at(F.array(F.lit(" at "), F.lit(" - "), F.lit(" : "), F.lit(" AT ")), (k % 4 + 1).cast("int"))
     p = part.withColumn("nk", (k % 25).cast("int"))
-    j = p.join(nation, p["nk"] == nation["n_nationkey"], "left")
+    # nation is a fixed 25-row dimension: a proven bound, broadcast it
+    j = p.join(F.broadcast(nation), p["nk"] == nation["n_nationkey"], "left")
     cap = F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 1 << 30))
     job_title = F.concat(cap, seps, F.coalesce(F.col("n_name"), F.lit("")))
     prod_title = F.when(k % 2 == 0, F.concat("p_name", F.lit(" by "), "p_brand")) \

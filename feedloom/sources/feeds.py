@@ -64,10 +64,12 @@ def feed_items(docs: DataFrame, body: str = "body", feed_url: str = "source_url"
     chains: date = pubDate -> published -> updated; link = element text
     (-> ``href`` when ``link_href_fallback``) -> feed URL; body = encoded ->
     description -> summary -> title."""
-    rss = F.from_xml(F.col(body), RSS_SCHEMA, _XML_OPTS)
-    atom = F.from_xml(F.col(body), ATOM_SCHEMA, _XML_OPTS)
-    items = F.coalesce(F.when(F.size(rss["channel"]["item"]) > 0, rss["channel"]["item"]), atom["entry"])
-    e = _explode(docs.select(*keep, feed_url, body), items, [*keep, feed_url])
+    # RSS parse projected once; the Atom parse runs only where it found no item
+    parsed = docs.select(*keep, feed_url, body,
+                         F.from_xml(F.col(body), RSS_SCHEMA, _XML_OPTS)["channel"]["item"].alias("__rss"))
+    atom = F.from_xml(F.col(body), ATOM_SCHEMA, _XML_OPTS)["entry"]
+    items = F.when(F.size(F.col("__rss")) > 0, F.col("__rss")).otherwise(atom)
+    e = _explode(parsed, items, [*keep, feed_url])
     link_text = py_strip(F.col("e.link._VALUE"))
     link_chain = [link_text, F.col("e.link._href")] if link_href_fallback else [link_text]
     title = py_strip(F.coalesce(F.col("e.title"), F.lit("")))
