@@ -18,6 +18,10 @@ from feedloom.functions.names import DEFAULT_SEEDS, heuristic_core, is_blank, no
 from feedloom.functions.text import py_strip
 
 BROADCAST_MAX_SEEDS = 1_000_000
+# Up to this many seeds the lookup is a literal map inside the projection:
+# no join, no exchange.  The seed list is driver-side input (a Python list),
+# so its normalised keys (at most two per seed) are a bounded collect.
+MAP_MAX_SEEDS = 5_000
 
 EXACT = "exact_seed_match"
 NOSPACE = "nospace_seed_match"
@@ -42,6 +46,21 @@ def seed_table(spark: SparkSession, seeds: Sequence[str] | None = None) -> DataF
     return last.select("key", F.col("w.canonical").alias("canonical"))
 
 
+_SEED_MAPS: dict = {}
+
+
+def _seed_map(spark: SparkSession, seeds: tuple | None):
+    """The seed table as a literal ``map<key, canonical>`` (keys normalised
+    by the same Spark expressions as the names)."""
+    if seeds not in _SEED_MAPS:
+        rows = seed_table(spark, list(seeds) if seeds else None).collect()
+        _SEED_MAPS[seeds] = sorted((r.key, r.canonical) for r in rows)
+    pairs = _SEED_MAPS[seeds]
+    if not pairs:
+        return F.create_map().cast("map<string,string>")
+    return F.map_from_arrays(F.array(*[F.lit(k) for k, _ in pairs]), F.array(*[F.lit(c) for _, c in pairs]))
+
+
 def resolve_names(df: DataFrame, name_col: str, seeds: Sequence[str] | None = None,
                   out_prefix: str = "") -> DataFrame:
     """Add ``{p}raw_clean``, ``{p}canonical_name``, ``{p}match_method``.
@@ -51,17 +70,22 @@ def resolve_names(df: DataFrame, name_col: str, seeds: Sequence[str] | None = No
     spark = df.sparkSession
     n_seeds = len(seeds) if seeds else len(DEFAULT_SEEDS)
     table = seed_table(spark, seeds)
-    if 2 * n_seeds <= BROADCAST_MAX_SEEDS:
-        table = F.broadcast(table)
     p = out_prefix
     raw = F.col(name_col)
     base = df.select("*", py_strip(raw).alias("__raw_clean"), is_blank(raw).alias("__blank"))
     tmp = base.select("*", normalize_name("__raw_clean").alias("__norm"),
                       heuristic_core("__raw_clean").alias("__heur"))
-    t1 = table.select(F.col("key").alias("__k1"), F.col("canonical").alias("__c1"))
-    t2 = table.select(F.col("key").alias("__k2"), F.col("canonical").alias("__c2"))
-    j = (tmp.join(t1, tmp["__norm"] == t1["__k1"], "left")
-            .join(t2, nospace(tmp["__norm"]) == t2["__k2"], "left"))
+    if n_seeds <= MAP_MAX_SEEDS:
+        lookup = _seed_map(spark, tuple(seeds) if seeds else None)
+        j = tmp.select("*", F.try_element_at(lookup, F.col("__norm")).alias("__c1"),
+                       F.try_element_at(lookup, nospace(F.col("__norm"))).alias("__c2"))
+    else:
+        if 2 * n_seeds <= BROADCAST_MAX_SEEDS:
+            table = F.broadcast(table)
+        t1 = table.select(F.col("key").alias("__k1"), F.col("canonical").alias("__c1"))
+        t2 = table.select(F.col("key").alias("__k2"), F.col("canonical").alias("__c2"))
+        j = (tmp.join(t1, tmp["__norm"] == t1["__k1"], "left")
+                .join(t2, nospace(tmp["__norm"]) == t2["__k2"], "left"))
     blank = F.col("__blank")
     canonical = (F.when(blank, F.lit(UNKNOWN))
                   .when(F.col("__c1").isNotNull(), F.col("__c1"))

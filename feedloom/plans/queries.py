@@ -808,3 +808,13 @@ def stream_freshness(spark, sf):
     ingest.run_available_now(f, f"{base}/_ckpt", ingest.ledger_writer(f"{base}/ledger", "event_id"))
     out = spark.read.parquet(f"{base}/ledger")
     return out.select("event_id", "user_id", "event_type", times.format_iso("ts").alias("published"))
+
+
+# ---------------------------------------------------------------- 34 CLUSTERS
+@register("topic_clusters")
+def topic_clusters(spark, sf):
+    """K-means topics over the embedding vectors (k = number of labels)."""
+    from feedloom.operators.clusters import topic_clusters as tc
+    emb = I.table(spark, sf, "embeddings")
+    k = max(2, emb.select(F.count_distinct("label")).first()[0])  # one scalar to the driver
+    return tc(emb, "embedding", k).join(emb.select("vec_id", "label"), "vec_id")

@@ -32,7 +32,7 @@ def test_entry_runs(spark):
 
 
 def test_every_plan_has_oracle_or_is_declared():
-    rows_only = {"html_clean_text", "extraction_input"}
+    rows_only = {"html_clean_text", "extraction_input", "topic_clusters"}
     assert set(QS) - set(SQLS) == rows_only
 
 
