@@ -15,6 +15,9 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # CPU-heavy per-row stages (regex folds, parsing) follow small shuffles;
+    # do not merge those below 256 KB per task (large inputs are unaffected).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # No broadcast from planner estimates (they can be far off after
     # filters and generators); a join side is broadcast only when it is
