@@ -14,32 +14,31 @@ from pyspark.sql import functions as F
 from feedloom.functions.text import col_, py_strip
 
 _REL_RE = r"(?U)(\d+)\s+(minute|min|hour|hr|day|sec|second)s?\s+ago"
-_OFF = r"(z|[+-]\d\d:?\d\d)"
 
 # (guard regex on the lower-cased text, Spark pattern).  Guards keep the
 # parser as strict as the reference: "2024", "2024-01" and "18:00" must not
 # parse, which a bare cast would accept.
 _ABSOLUTE = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}t\d{1,2}:\d{1,2}:\d{1,2}(z|[+-]\d\d:\d\d)$", "yyyy-M-d'T'H:m:sXXX"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}t\d{1,2}:\d{1,2}:\d{1,2}[+-]\d{4}$", "yyyy-M-d'T'H:m:sxx"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}t\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}(z|[+-]\d\d:\d\d)$", "yyyy-M-d'T'H:m:s.SSSSSSXXX"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}t\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}[+-]\d{4}$", "yyyy-M-d'T'H:m:s.SSSSSSxx"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}t\d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d'T'H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
+    # every ISO date-time with seconds: "t" or space, optional fraction,
+    # optional zone (z, +hh:mm, +hhmm -> normalised to +hh:mm first)
+    (r"^\d{4}-\d{1,2}-\d{1,2}t\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?(z|[+-]\d\d:\d\d)?$",
+     "yyyy-M-d'T'H:m:s[.SSSSSS][XXX]"),
+    (r"^\d{4}-\d{2}-\d{2}t\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm"),
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
     (r"^[a-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
     (r"^[a-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
     (r"^\d{1,2} [a-z]{3} \d{4}$", "d MMM yyyy"),
-    # ISO forms the standard library's fromisoformat also takes
-    (r"^\d{4}-\d{2}-\d{2}[t ]\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm"),
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}" + _OFF + "$", "yyyy-MM-dd HH:mm:ssXXX"),
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{1,6}" + _OFF + "?$", "yyyy-MM-dd HH:mm:ss.SSSSSS[XXX]"),
-    (r"^\d{4}-\d{2}-\d{2}t\d{2}:\d{2}:\d{2}\.\d{1,6}$", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
     (r"^\d{8}$", "yyyyMMdd"),
     (r"^\d{8}t\d{6}$", "yyyyMMdd'T'HHmmss"),
 ]
 
+
+def _iso_canonical(s: Column) -> Column:
+    """Space between date and time -> "t"; "+hhmm" -> "+hh:mm"."""
+    t = F.regexp_replace(s, r"^(\d{4}-\d{1,2}-\d{1,2}) (\d)", "$1t$2")
+    return F.regexp_replace(t, r"([+-]\d\d)(\d\d)$", "$1:$2")
+
+
 # Mail-style dates ("Mon, 22 Jan 2024 10:00:00 GMT"): weekday dropped, zone
 # names mapped to an offset, then parsed with an explicit pattern.
 _MAIL_RE = r"^(?:[a-z]{3},\s*)?(\d{1,2} [a-z]{3} \d{4} \d{1,2}:\d{2}:\d{2}) (gmt|utc|ut|z|[+-]\d{4})$"
@@ -90,9 +89,11 @@ def _iso_week(s: Column) -> Column:
     return F.when(ok, F.to_timestamp(day))
 
 
-def parse_absolute(s: Column, mail_dates: bool = True) -> Column:
-    """F5 (+ F7 when ``mail_dates``) on lower-cased, stripped text."""
-    cands = [F.when(s.rlike(g), F.try_to_timestamp(s, F.lit(fmt))) for g, fmt in _ABSOLUTE]
+def parse_absolute(s: Column, mail_dates: bool = True, iso: Column | None = None) -> Column:
+    """F5 (+ F7 when ``mail_dates``) on lower-cased, stripped text.
+    ``iso`` may pass ``_iso_canonical(s)`` already projected."""
+    c = _iso_canonical(s) if iso is None else iso
+    cands = [F.when(c.rlike(g), F.try_to_timestamp(c, F.lit(fmt))) for g, fmt in _ABSOLUTE]
     cands.append(_iso_week(s))
     if mail_dates:
         body = F.regexp_extract(s, _MAIL_RE, 1)
@@ -131,16 +132,17 @@ def with_parsed_date(df, raw: str, out: str, as_of, on_unparsed: str = "null", m
     now = to_ts(as_of)
     s = "__date_s"
     d = df.withColumn(s, F.lower(py_strip(F.col(raw))))
+    d = d.withColumn("__date_iso", _iso_canonical(F.col(s)))
     parsed = F.coalesce(
         F.when(F.col(s).contains("ago") | F.col(s).contains("yesterday"), parse_relative(F.col(s), now)),
-        parse_absolute(F.col(s), mail_dates),
+        parse_absolute(F.col(s), mail_dates, F.col("__date_iso")),
     )
     parsed = F.when(F.col(raw).isNotNull() & (F.col(raw) != ""), parsed)
     if on_unparsed == "now":
         parsed = F.coalesce(parsed, now)
     elif on_unparsed != "null":
         raise ValueError("on_unparsed must be 'now' or 'null'")
-    return d.withColumn(out, parsed).drop(s)
+    return d.withColumn(out, parsed).drop(s, "__date_iso")
 
 
 def format_iso(ts, as_of=None) -> Column:

@@ -237,7 +237,7 @@ def paged_feeds(df: DataFrame, key: Column, element: Column) -> DataFrame:
     d = df.select((key / per_query).cast("bigint").alias("query_id"),
                   ((key % per_query) / PAGE_ITEMS).cast("int").alias("__p"), key.alias("__k"), F.to_json(element).alias("__j"))
     pages = d.groupBy("query_id", "__p").agg(F.array_sort(F.collect_list(F.struct("__k", "__j"))).alias("__parts"))
-    page = F.col("__p") + 1
+    page = (F.col("__p") + 1).cast("bigint")
     q = F.col("query_id")
     status = F.when((q % 3 == 0) & (page == q % 5 + 10), F.lit(500)).otherwise(F.lit(200))
     body = F.when((q % 3 == 1) & (page == 12), F.lit('{"items": []}')).otherwise(

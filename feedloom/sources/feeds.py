@@ -31,7 +31,8 @@ RSS_ANY_ITEM_SCHEMA = f"channel struct<item:array<struct<{_ITEM_FIELDS}>>>"
 
 
 def _explode(df: DataFrame, arr, keep: Sequence[str]) -> DataFrame:
-    return df.select(*keep, F.posexplode_outer(arr).alias("pos", "e")).where(F.col("e").isNotNull())
+    out = df.select(*keep, F.posexplode_outer(arr).alias("pos", "e")).where(F.col("e").isNotNull())
+    return out.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def atom_paper_entries(docs: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
