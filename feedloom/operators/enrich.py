@@ -16,8 +16,10 @@ def with_repo_stars(papers: DataFrame, stars: DataFrame, link_col: str = "github
     hash/sort-merge, or broadcast when the snapshot is measured small)."""
     k = repo_key(F.col(link_col))
     keyed = papers.withColumn("__owner", k["owner"]).withColumn("__repo", k["repo"])
-    s = stars.select(F.col("owner").alias("__owner"), F.col("repo").alias("__repo"),
-                     F.col("stars").alias("__stars"))
+    # one row per repository (a snapshot may repeat a key; the highest count
+    # wins), so the left join never multiplies papers
+    s = (stars.groupBy(F.col("owner").alias("__owner"), F.col("repo").alias("__repo"))
+              .agg(F.max("stars").alias("__stars")))
     j = keyed.join(s, ["__owner", "__repo"], "left")
     return (j.withColumn("github_stars", F.when(F.col(link_col).isNotNull(), F.col("__stars")).cast("bigint"))
              .drop("__owner", "__repo", "__stars"))

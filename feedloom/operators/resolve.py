@@ -113,8 +113,8 @@ def resolution_log(resolved: DataFrame, prefix: str = "") -> DataFrame:
 
 def resolution_rates(log: DataFrame) -> DataFrame:
     """Calls per method and the share in parts per million."""
-    total = log.agg(F.count(F.lit(1)).alias("__total"))
+    from pyspark.sql import Window
     per = log.groupBy("match_method").agg(F.count(F.lit(1)).alias("n"))
-    return (per.crossJoin(total)  # one-row side: a scalar, not a pair expansion
-               .select("match_method", "n",
-                       (F.col("n") * 1_000_000 / F.col("__total")).cast("bigint").alias("share_ppm")))
+    # the window spans the few aggregated rows (one per method), not the log
+    total = F.sum("n").over(Window.partitionBy())
+    return per.select("match_method", "n", (F.col("n") * 1_000_000 / total).cast("bigint").alias("share_ppm"))

@@ -311,8 +311,9 @@ kk AS (SELECT doc_id, github_url,
   CASE WHEN contains(github_url, 'github.com') AND regexp_matches(c, {q(_KEY_RE)})
         AND lower(regexp_extract(c, {q(_KEY_RE)}, 1)) NOT IN {_DENY}
        THEN regexp_extract(c, {q(_KEY_RE)}, 2) END AS repo FROM k),
-s AS (SELECT 'org' || d.lang AS owner, 'r' || CAST(l.doc_id AS VARCHAR) AS repo,
+s AS (SELECT owner, repo, max(stars) AS stars FROM (SELECT 'org' || d.lang AS owner, 'r' || CAST(l.doc_id AS VARCHAR) AS repo,
   CAST(l.quality * 1000 + l.toxic * 10 + l.doc_id % 10 AS BIGINT) AS stars FROM labels l JOIN documents d USING (doc_id))
+  GROUP BY owner, repo)
 SELECT kk.doc_id, kk.github_url, CASE WHEN kk.github_url IS NOT NULL THEN s.stars END AS github_stars
 FROM kk LEFT JOIN s ON kk.owner = s.owner AND kk.repo = s.repo
 """
@@ -341,8 +342,9 @@ def first_line(t: str) -> str:
 
 PAPER_ID = "substr(sha256(text), 1, 10) || 'v' || CAST(doc_id % 2 + 1 AS VARCHAR)"
 PUB_TS = "(TIMESTAMP '2024-01-01' + to_days(CAST(doc_id % 28 AS INTEGER)) + to_hours(doc_id % 24))"
-SNAPSHOT = """(SELECT 'org' || d.lang AS owner, 'r' || CAST(l.doc_id AS VARCHAR) AS repo,
-  CAST(l.quality * 1000 + l.toxic * 10 + l.doc_id % 10 AS BIGINT) AS stars FROM labels l JOIN documents d USING (doc_id))"""
+SNAPSHOT = """(SELECT owner, repo, max(stars) AS stars FROM (SELECT 'org' || d.lang AS owner, 'r' || CAST(l.doc_id AS VARCHAR) AS repo,
+  CAST(l.quality * 1000 + l.toxic * 10 + l.doc_id % 10 AS BIGINT) AS stars FROM labels l JOIN documents d USING (doc_id))
+  GROUP BY owner, repo)"""
 
 
 def paper_rows() -> str:
@@ -650,8 +652,8 @@ SQL["missing_date_fallback"] = f"""
 WITH c AS (SELECT event_id, {fp(norm_url(_URL_E))} AS link_hash,
     CASE WHEN event_id % 5 = 0 THEN NULL ELSE date_trunc('second', ts) END AS p,
     CASE WHEN event_id % 10 = 0 THEN NULL ELSE date_trunc('second', ts) + INTERVAL 1 HOUR END AS m FROM events),
-pr AS (SELECT {fp(norm_url(_URL_E))} AS link_hash, TIMESTAMP '2024-01-20 00:00:00' AS first_seen FROM events
-       WHERE ts < TIMESTAMP '2024-01-20 00:00:00')
+pr AS (SELECT {fp(norm_url(_URL_E))} AS link_hash, min(TIMESTAMP '2024-01-20 00:00:00') AS first_seen FROM events
+       WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1)
 SELECT event_id, {iso(f"coalesce(p, m, first_seen, TIMESTAMP '{I.AS_OF_RELATIVE}')")} AS published,
   CASE WHEN p IS NOT NULL THEN 'published' WHEN m IS NOT NULL THEN 'last_modified'
        WHEN first_seen IS NOT NULL THEN 'previous_crawl' ELSE 'first_seen' END AS date_source

@@ -733,8 +733,12 @@ def missing_date_fallback(spark, sf):
                    F.when(k % 10 == 0, F.lit(None)).otherwise(
                        F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "EEE, dd MMM yyyy HH:mm:ss"),
                                 F.lit(" GMT"))).alias("last_modified"))
-    prev = e.where(F.col("ts") < times.to_ts(PREVIOUS_CRAWL)).select(
-        urls.fingerprint(urls.normalize_url(url)).alias("link_hash"), times.to_ts(PREVIOUS_CRAWL).alias("first_seen"))
+    # previous crawl: one row per link (a link seen many times must not
+    # multiply the current rows in the join)
+    prev = (e.where(F.col("ts") < times.to_ts(PREVIOUS_CRAWL))
+             .select(urls.fingerprint(urls.normalize_url(url)).alias("link_hash"),
+                     times.to_ts(PREVIOUS_CRAWL).alias("first_seen"))
+             .groupBy("link_hash").agg(F.min("first_seen").alias("first_seen")))
     cur = times.with_parsed_date(cur, "published_raw", "__p", I.AS_OF_RELATIVE)
     cur = times.with_parsed_date(cur, "last_modified", "__m", I.AS_OF_RELATIVE)
     j = cur.join(prev, "link_hash", "left")
