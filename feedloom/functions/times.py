@@ -142,7 +142,8 @@ def with_parsed_date(df, raw: str, out: str, as_of, on_unparsed: str = "null", m
         parsed = F.coalesce(parsed, now)
     elif on_unparsed != "null":
         raise ValueError("on_unparsed must be 'now' or 'null'")
-    return d.withColumn(out, parsed).drop(s, "__date_iso")
+    from feedloom.functions.once import compute_once
+    return compute_once(d, **{out: parsed}).drop(s, "__date_iso")
 
 
 def format_iso(ts, as_of=None) -> Column:

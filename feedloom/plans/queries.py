@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import chunking, extract, tags, times, urls
+from feedloom.functions.once import compute_once
 from feedloom.functions.text import collapse_ws, first_non_empty, truncate
 from feedloom.operators import dedup
 from feedloom.plans import inputs as I
@@ -93,8 +94,8 @@ def _frontier(spark, sf):
 def frontier_new_only(spark, sf):
     """Frontier URLs whose normalised form is not already processed."""
     p, frontier = _frontier(spark, sf)
-    ledger = p.select(urls.normalize_url("url").alias("norm_url"))
-    f = frontier.select("page_id", urls.normalize_url("url").alias("norm_url"))
+    ledger = compute_once(p.select("url"), norm_url=urls.normalize_url("url")).select("norm_url")
+    f = compute_once(frontier.select("page_id", "url"), norm_url=urls.normalize_url("url")).select("page_id", "norm_url")
     new = dedup.new_only(f, ledger, "norm_url")
     return new.groupBy("norm_url").agg(F.min("page_id").alias("page_id"))
 
@@ -105,8 +106,9 @@ def ledger_new_only(spark, sf):
     p, frontier = _frontier(spark, sf)
 
     def fp(df):
-        return df.select("page_id", urls.fingerprint(urls.normalize_url("url"), I.html_lang(F.col("html")))
-                         .alias("fingerprint"))
+        return compute_once(df.select("page_id", "url", "html"),
+                            fingerprint=urls.fingerprint(urls.normalize_url("url"), I.html_lang(F.col("html")))
+                            ).select("page_id", "fingerprint")
     adds = dedup.ledger_additions(fp(frontier), fp(p), "fingerprint", extra=["page_id"])
     return adds.select("fingerprint", "page_id", F.lit("PAGE").alias("record_type"))
 
