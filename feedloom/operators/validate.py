@@ -156,3 +156,15 @@ def attempt_outcomes(validated: DataFrame) -> DataFrame:
     return (validated.groupBy("provider", "outcome")
             .agg(F.count(F.lit(1)).alias("attempts"),
                  F.count_if(F.col("rate_limited")).alias("rate_limited")))
+
+
+def split_by_source_url(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """P10: records without a source URL are rejected (kept aside with the
+    reason); the rest pass.  Papers fall back to ``content.paper_url``
+    first (SNK2), as the store does."""
+    src = F.col("source.url")
+    if "paper_url" in envelopes.schema["content"].dataType.fieldNames():
+        src = F.coalesce(F.when(src != "", src), F.col("content.paper_url"))
+    ok = F.coalesce(src != "", F.lit(False))
+    return (envelopes.where(ok),
+            envelopes.where(~ok).withColumn("violations", F.array(F.lit("missing:source.url"))))

@@ -660,13 +660,21 @@ SELECT event_id, {iso(f"coalesce(p, m, first_seen, TIMESTAMP '{I.AS_OF_RELATIVE}
 FROM c LEFT JOIN pr USING (link_hash)
 """
 
+_KEPT = "count(*) FILTER (WHERE url <> '')"
 SQL["store_roundtrip"] = f"""
-SELECT 'STARTUP' AS record_type, count(*) AS n, count(*) FILTER (WHERE url <> '') AS n_with_url,
-  count(*) AS n_payload_url_match FROM {STARTUP_RECORDS}
-UNION ALL SELECT 'PRODUCT', count(*), count(*) FILTER (WHERE url <> ''), count(*) FROM {PRODUCT_RECORDS}
-UNION ALL SELECT 'RESEARCH_PAPER', count(*), count(*) FILTER (WHERE paper_url <> ''), count(*) FROM {PAPERS}
-UNION ALL SELECT 'JOB', count(*), count(*) FILTER (WHERE url <> ''), count(*) FROM {JOBS}
-UNION ALL SELECT 'NEWS', count(*), count(*) FILTER (WHERE url <> ''), count(*) FROM ({SQL['rss_news']})
+SELECT 'STARTUP' AS record_type, {_KEPT} AS n, {_KEPT} AS n_with_url, {_KEPT} AS n_payload_url_match FROM {STARTUP_RECORDS}
+UNION ALL SELECT 'PRODUCT', {_KEPT}, {_KEPT}, {_KEPT} FROM {PRODUCT_RECORDS}
+UNION ALL SELECT 'RESEARCH_PAPER', count(*) FILTER (WHERE paper_url <> ''), count(*) FILTER (WHERE paper_url <> ''),
+  count(*) FILTER (WHERE paper_url <> '') FROM {PAPERS}
+UNION ALL SELECT 'JOB', {_KEPT}, {_KEPT}, {_KEPT} FROM {JOBS}
+UNION ALL SELECT 'NEWS', {_KEPT}, {_KEPT}, {_KEPT} FROM ({SQL['rss_news']})
 """
 SQL["stream_dedup"] = f"SELECT event_id, user_id, event_type, {iso('ts')} AS published FROM events"
 SQL["stream_freshness"] = SQL["freshness_filter"]
+
+SQL["job_fingerprint_dedup"] = f"""
+WITH j AS ({SQL['json_jobs']}),
+f AS (SELECT *, {fp(norm_url('url'), 'company', 'date')} AS fingerprint FROM j)
+SELECT fingerprint, feed_id, pos, company, date, url FROM f
+QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY feed_id, pos) = 1
+"""

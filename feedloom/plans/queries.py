@@ -753,14 +753,14 @@ def missing_date_fallback(spark, sf):
 # ---------------------------------------------------------------- 28 STORE
 @register("store_roundtrip")
 def store_roundtrip(spark, sf):
-    """SNK1 + SNK2 + X3 (write, partitioned by type and month), then SRC12 +
+    """P10 + SNK1 + SNK2 + X3 (write, partitioned by type and month), then SRC12 +
     P9 + G2/G3 + X4 (read back with partition pruning, count per type,
     query payload keys).  The store lives under the shared checkpoint
     folder."""
     from feedloom.session import scratch_path
     path = scratch_path(spark, "store")
     for rt in ["STARTUP", "PRODUCT", "RESEARCH_PAPER", "JOB", "NEWS"]:
-        env = envelopes(spark, sf, rt)
+        env, _rejected = V.split_by_source_url(envelopes(spark, sf, rt))  # P10
         ST.save_records(ST.to_store_rows(env, rt, month_from="collectedAt"), path, ("record_type", "month"))
     stored = spark.read.parquet(path)
     out = None
@@ -824,3 +824,15 @@ def topic_clusters(spark, sf):
     emb = I.table(spark, sf, "embeddings")
     k = max(2, emb.select(F.count_distinct("label")).first()[0])  # one scalar to the driver
     return tc(emb, "embedding", k).join(emb.select("vec_id", "label"), "vec_id")
+
+
+# ---------------------------------------------------------------- F3 / D5
+@register("job_fingerprint_dedup")
+def job_fingerprint_dedup(spark, sf):
+    """F3 + D5: record fingerprint = normalised URL | canonical company |
+    published date; job records deduplicated on it (first in feed order)."""
+    j = json_jobs(spark, sf)
+    fp = compute_once(j, fingerprint=urls.record_fingerprint(urls.normalize_url("url"), F.col("company"), F.col("date")))
+    first = dedup.first_wins(fp.select("fingerprint", "feed_id", "pos", "company", "date", "url"),
+                             "fingerprint", ["feed_id", "pos"])
+    return first

@@ -136,3 +136,15 @@ def test_csv_and_json_sinks(spark, tmp_path):
     store.write_json_lines(env, str(tmp_path / "json"))
     back = spark.read.json(str(tmp_path / "json")).first()
     assert back.content.company == 'Acme "Q", Inc'
+
+
+def test_source_url_rule(spark):
+    from feedloom.operators.validate import split_by_source_url
+    from feedloom.sources import store
+    base = spark.createDataFrame([("a", "u1"), ("b", ""), ("c", None)], "n string, u string")
+    env = store.envelope(base, "STARTUP", {"entityName": F.col("n"), "employeeCount": F.lit(None).cast("bigint")},
+                         F.lit("s"), F.col("u"), F.lit("t"))
+    ok, bad = split_by_source_url(env)
+    assert [r.content.entityName for r in ok.collect()] == ["a"]
+    assert sorted((r.content.entityName, list(r.violations)) for r in bad.collect()) == [
+        ("b", ["missing:source.url"]), ("c", ["missing:source.url"])]
