@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -42,9 +44,37 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedloom`` importable in executor Python workers (the Arrow
+    HTML stage pickles its functions by module reference).  The package is
+    zipped once per SparkContext and added with ``addPyFile``; Spark's file
+    server hands it to every executor, including ones started later."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("feedloom", os.path.relpath(full, pkg)))
+    out = os.path.join(tempfile.mkdtemp(prefix="feedloom-py-"), "feedloom.zip")
+    with open(out, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def apply_conf(spark: SparkSession) -> None:
     """Pin the SQL settings on a session someone else built."""
     for k, v in BASE_CONF.items():
