@@ -151,3 +151,20 @@ def test_source_url_rule(spark):
     assert [r.content.entityName for r in ok.collect()] == ["a"]
     assert sorted((r.content.entityName, list(r.violations)) for r in bad.collect()) == [
         ("b", ["missing:source.url"]), ("c", ["missing:source.url"])]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.integers(0, 3), st.integers(0, 50)),
+                min_size=1, max_size=40))
+def test_first_wins_property(spark, rows):
+    rows = [(k, p, i, f"{k}-{p}-{i}-{n}") for n, (k, p, i) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "k string, p int, i int, v string")
+    got = {r.k: (r.p, r.i, r.v) for r in dedup.first_wins(df, "k", ["p", "i", "v"]).collect()}
+    expect = {}
+    for k, p, i, v in sorted(rows, key=lambda r: (r[1], r[2], r[3])):
+        expect.setdefault(k, (p, i, v))
+    assert got == expect
+    assert dedup.first_wins(df, "k", ["p", "i", "v"]).count() == len({r[0] for r in rows})
