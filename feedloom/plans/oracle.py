@@ -678,3 +678,4 @@ f AS (SELECT *, {fp(norm_url('url'), 'company', 'date')} AS fingerprint FROM j)
 SELECT fingerprint, feed_id, pos, company, date, url FROM f
 QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY feed_id, pos) = 1
 """
+SQL["stream_feed_parse"] = SQL["rss_jobs"]

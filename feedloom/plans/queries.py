@@ -836,3 +836,26 @@ def job_fingerprint_dedup(spark, sf):
     first = dedup.first_wins(fp.select("fingerprint", "feed_id", "pos", "company", "date", "url"),
                              "fingerprint", ["feed_id", "pos"])
     return first
+
+
+@register("stream_feed_parse")
+def stream_feed_parse(spark, sf):
+    """ST1: landed RSS job feeds read as a file stream (availableNow) and
+    turned into job records by the batch parse / freshness / resolve
+    functions; equals the batch ``rss_jobs``."""
+    from feedloom.session import scratch_path
+    from feedloom.streaming import ingest
+    base = scratch_path(spark, "stream-feeds")
+    feeds = I.job_rss_feeds(spark, sf)
+    feeds.write.mode("overwrite").parquet(f"{base}/landing/batch=1")
+    s = ingest.read_landed(spark, f"{base}/landing/*", feeds.schema)
+    items = FD.feed_items(s, keep=["feed_id"])
+    items = times.with_parsed_date(items, "date_raw", "__t", I.AS_OF_FRESH, on_unparsed="now")
+    fresh = ingest.fresh_only(items, "__t", I.AS_OF_FRESH, 24)
+    fresh = fresh.withColumn("company_raw", extract.job_company("title"))
+    res = R.resolve_names(fresh, "company_raw")
+    out = res.select("feed_id", "pos", F.col("canonical_name").alias("company"),
+                     times.format_iso("__t").alias("date"), F.lit(True).alias("is_remote"),
+                     tags.role_family("title").alias("role_family"), "url")
+    ingest.run_available_now(out, f"{base}/_ckpt", f"{base}/out")
+    return spark.read.parquet(f"{base}/out")
