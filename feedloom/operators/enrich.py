@@ -14,8 +14,9 @@ def with_repo_stars(papers: DataFrame, stars: DataFrame, link_col: str = "github
 
     Both sides can be large, so the join is left to the planner (shuffle
     hash/sort-merge, or broadcast when the snapshot is measured small)."""
+    from feedloom.functions.once import compute_once
     k = repo_key(F.col(link_col))
-    keyed = papers.withColumn("__owner", k["owner"]).withColumn("__repo", k["repo"])
+    keyed = compute_once(papers, __owner=k["owner"], __repo=k["repo"])
     # one row per repository (a snapshot may repeat a key; the highest count
     # wins), so the left join never multiplies papers
     s = (stars.groupBy(F.col("owner").alias("__owner"), F.col("repo").alias("__repo"))

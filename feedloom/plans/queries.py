@@ -730,17 +730,18 @@ def missing_date_fallback(spark, sf):
     e = I.events(spark, sf)
     k = F.col("event_id")
     url = F.concat(F.lit("https://site.example.org/e/"), F.col("user_id").cast("string"), F.lit("/"), k.cast("string"))
-    cur = e.select("event_id", urls.fingerprint(urls.normalize_url(url)).alias("link_hash"),
+    keyed = compute_once(e.select("event_id", "user_id", "ts"), link_hash=urls.fingerprint(urls.normalize_url(url)))
+    cur = keyed.select("event_id", "link_hash",
                    F.when(k % 5 == 0, F.lit(None)).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("published_raw"),
                    F.when(k % 10 == 0, F.lit(None)).otherwise(
                        F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "EEE, dd MMM yyyy HH:mm:ss"),
                                 F.lit(" GMT"))).alias("last_modified"))
     # previous crawl: one row per link (a link seen many times must not
     # multiply the current rows in the join)
-    prev = (e.where(F.col("ts") < times.to_ts(PREVIOUS_CRAWL))
-             .select(urls.fingerprint(urls.normalize_url(url)).alias("link_hash"),
-                     times.to_ts(PREVIOUS_CRAWL).alias("first_seen"))
-             .groupBy("link_hash").agg(F.min("first_seen").alias("first_seen")))
+    prev = (compute_once(e.where(F.col("ts") < times.to_ts(PREVIOUS_CRAWL)).select("event_id", "user_id"),
+                         link_hash=urls.fingerprint(urls.normalize_url(url)))
+            .select("link_hash", times.to_ts(PREVIOUS_CRAWL).alias("first_seen"))
+            .groupBy("link_hash").agg(F.min("first_seen").alias("first_seen")))
     cur = times.with_parsed_date(cur, "published_raw", "__p", I.AS_OF_RELATIVE)
     cur = times.with_parsed_date(cur, "last_modified", "__m", I.AS_OF_RELATIVE)
     j = cur.join(prev, "link_hash", "left")
