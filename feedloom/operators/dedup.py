@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -76,7 +76,6 @@ def priority_fill(df: DataFrame, key, order: Sequence[str], limit: int) -> DataF
 
 
 def rank_within(df: DataFrame, group, order: Sequence[Column]) -> Column:
-    from pyspark.sql import Window
     return F.row_number().over(Window.partitionBy(*_cols(group)).orderBy(*order))
 
 

@@ -50,7 +50,6 @@ LOG_SCHEMA = T.StructType([T.StructField("raw_name", T.StringType()),
 
 # Validation specs: (field, kind, required, nullable, domain).  "required"
 # means a missing key is rejected; "nullable" means JSON null is accepted.
-FieldSpec = tuple
 VALIDATION = {
     "STARTUP": [("entityName", "str", True, False, None), ("employeeCount", "int", False, True, None)],
     "PRODUCT": [("startupName", "str", True, False, None),
