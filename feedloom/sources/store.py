@@ -44,10 +44,14 @@ def to_store_rows(envelopes: DataFrame, record_type: str, month_from: str | None
     return envelopes.select(*cols)
 
 
-def save_records(rows: DataFrame, path: str, partition_by: Sequence[str] = ("record_type",)) -> None:
-    """SNK1: append (no dedup, as in the reference; pair with
-    ``dedup.ledger_additions`` for insert-if-absent)."""
-    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+def save_records(rows: DataFrame, path: str, partition_by: Sequence[str] = ("record_type",)) -> int:
+    """SNK1 + G2: append (no dedup, as in the reference; pair with
+    ``dedup.ledger_additions`` for insert-if-absent) and return the number
+    of rows written, observed during the write itself (no second pass)."""
+    from pyspark.sql import Observation
+    obs = Observation("saved")
+    rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(*partition_by).parquet(path)
+    return int(obs.get["n"])
 
 
 def save_log(log: DataFrame, path: str) -> None:

@@ -168,3 +168,16 @@ def test_first_wins_property(spark, rows):
         expect.setdefault(k, (p, i, v))
     assert got == expect
     assert dedup.first_wins(df, "k", ["p", "i", "v"]).count() == len({r[0] for r in rows})
+
+
+def test_save_records_returns_count_and_reads_back(spark):
+    from feedloom.session import scratch_path
+    from feedloom.sources import store
+    env = store.envelope(spark.range(5), "STARTUP", {"entityName": F.concat(F.lit("n"), F.col("id").cast("string")),
+                                                     "employeeCount": F.col("id")},
+                         F.lit("s"), F.lit("u"), F.lit("t"))
+    path = scratch_path(spark, "t-store")
+    assert store.save_records(store.to_store_rows(env, "STARTUP"), path) == 5
+    back = store.read_records(spark, path, "STARTUP")
+    assert sorted(r.content.entityName for r in back.collect()) == [f"n{i}" for i in range(5)]
+    assert {r.record_type: r.n for r in store.count_by_type(spark, path).collect()} == {"STARTUP": 5}
