@@ -679,3 +679,8 @@ SELECT fingerprint, feed_id, pos, company, date, url FROM f
 QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY feed_id, pos) = 1
 """
 SQL["stream_feed_parse"] = SQL["rss_jobs"]
+SQL["export_roundtrip"] = " UNION ALL ".join(
+    [f"SELECT {q(t)} AS output, count(*) AS n FROM ({SQL['tab_' + t]})" for t in
+     ["startups", "products", "research_papers", "jobs", "news"]]
+    + [f"SELECT 'entity_mapping_log' AS output, count(*) AS n FROM ({SQL['tab_entity_mapping_log']})",
+       f"SELECT 'research_papers_json' AS output, count(*) AS n FROM ({SQL['tab_research_papers']})"])

@@ -860,3 +860,30 @@ def stream_feed_parse(spark, sf):
                      tags.role_family("title").alias("role_family"), "url")
     ingest.run_available_now(out, f"{base}/_ckpt", f"{base}/out")
     return spark.read.parquet(f"{base}/out")
+
+
+@register("export_roundtrip")
+def export_roundtrip(spark, sf):
+    """SNK5 + SNK6 + SNK7: the six tabs written as CSV (header, doubled
+    quotes) and the papers as JSON under the shared folder, then read back
+    and counted per output."""
+    from feedloom.session import scratch_path
+    base = scratch_path(spark, "exports")
+    outs = []
+    for tab, (rt, _layout) in ST.TABS.items():
+        ST.write_csv(ST.tab_frame(envelopes(spark, sf, rt), tab), f"{base}/{tab}")
+        outs.append(tab)
+    ST.write_csv(ST.log_tab_frame(R.resolution_log(_resolved(spark, sf))), f"{base}/entity_mapping_log")
+    outs.append("entity_mapping_log")
+    ST.write_json_lines(envelopes(spark, sf, "RESEARCH_PAPER"), f"{base}/research_papers_json")
+    parts = []
+    for tab in outs:
+        back = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+                .csv(f"{base}/{tab}"))
+        parts.append(back.agg(F.count(F.lit(1)).alias("n")).select(F.lit(tab).alias("output"), "n"))
+    js = spark.read.json(f"{base}/research_papers_json")
+    parts.append(js.agg(F.count(F.lit(1)).alias("n")).select(F.lit("research_papers_json").alias("output"), "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
