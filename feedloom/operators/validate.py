@@ -148,7 +148,7 @@ def first_valid_by_tier(validated: DataFrame, docs: DataFrame | None, record_typ
     best = best.select(key, *[F.col(f"__b.{c}").alias(c) for c in ["tier", "provider", *fields]])
     if docs is None:
         return best
-    return docs.select(key).join(best.hint("shuffle_hash"), key, "left")
+    return docs.select(key).join(best.hint("merge"), key, "left")
 
 
 def attempt_outcomes(validated: DataFrame) -> DataFrame:

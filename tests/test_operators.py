@@ -181,3 +181,14 @@ def test_save_records_returns_count_and_reads_back(spark):
     back = store.read_records(spark, path, "STARTUP")
     assert sorted(r.content.entityName for r in back.collect()) == [f"n{i}" for i in range(5)]
     assert {r.record_type: r.n for r in store.count_by_type(spark, path).collect()} == {"STARTUP": 5}
+
+
+def test_first_valid_by_tier_with_docs_without_attempts(spark):
+    from feedloom.operators.validate import first_valid_by_tier
+    rows = [(1, 1, "p1", None, "429"), (1, 2, "p2", '{"startupName": "A"}', None),
+            (2, 1, "p1", "{bad", None), (2, 2, "p2", '{"startupName": "B", "pricingModel": "FREE"}', None)]
+    df = spark.createDataFrame(rows, "doc_id long, tier int, provider string, raw string, error string")
+    docs = spark.createDataFrame([(1,), (2,), (3,)], "doc_id long")
+    got = {r.doc_id: (r.tier, r.startupName, r.pricingModel)
+           for r in first_valid_by_tier(validate_responses(df, "PRODUCT"), docs, "PRODUCT").collect()}
+    assert got == {1: (2, "A", None), 2: (2, "B", "FREE"), 3: (None, None, None)}
