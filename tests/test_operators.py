@@ -192,3 +192,12 @@ def test_first_valid_by_tier_with_docs_without_attempts(spark):
     got = {r.doc_id: (r.tier, r.startupName, r.pricingModel)
            for r in first_valid_by_tier(validate_responses(df, "PRODUCT"), docs, "PRODUCT").collect()}
     assert got == {1: (2, "A", None), 2: (2, "B", "FREE"), 3: (None, None, None)}
+
+
+def test_read_floor_is_size_aware(spark):
+    from feedloom.sources.io import read_table
+    slots = spark.sparkContext.defaultParallelism
+    tiny = read_table(spark, "/root/testdata/sf0.001/nation.parquet")
+    assert tiny.rdd.getNumPartitions() == 1  # a 25-row dimension is not fanned out
+    docs = read_table(spark, "/root/testdata/sf0.01/documents.parquet")  # ~1.4 MB, one row group
+    assert docs.rdd.getNumPartitions() == min(slots, 6)

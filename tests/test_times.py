@@ -44,3 +44,31 @@ def test_unparsed_now_reproduces_reference_default(spark):
 def test_mail_dates_can_be_disabled(spark):
     got = one(spark, ["Mon, 22 Jan 2024 10:00:00 GMT"], "s string", parse_date("s", T, mail_dates=False))
     assert got == [None]
+
+
+import datetime as _dt  # noqa: E402
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+# (Spark pattern used to write the text, truncation of the instant it must parse back to)
+ROUND_TRIP = [
+    ("yyyy-MM-dd'T'HH:mm:ss'Z'", "second"), ("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", None),
+    ("yyyy-MM-dd HH:mm:ss", "second"), ("yyyy-MM-dd", "day"), ("MMM d, yyyy", "day"),
+    ("MMMM d, yyyy", "day"), ("d MMM yyyy", "day"), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "second"),
+    ("yyyyMMdd", "day"), ("yyyy-MM-dd'T'HH:mm:ssxx", "second"),
+]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.datetimes(min_value=_dt.datetime(1990, 1, 1), max_value=_dt.datetime(2037, 12, 31)),
+                min_size=1, max_size=12))
+def test_formats_round_trip(spark, instants):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(instants)], "i long, t timestamp")
+    cols = []
+    for k, (fmt, unit) in enumerate(ROUND_TRIP):
+        exp = F.col("t") if unit is None else F.date_trunc(unit, "t")
+        cols += [format_iso(parse_date(F.date_format("t", fmt), T)).alias(f"g{k}"), format_iso(exp).alias(f"e{k}")]
+    for r in df.select(*cols).collect():  # one job per example, all formats
+        for k, (fmt, _unit) in enumerate(ROUND_TRIP):
+            assert r[f"g{k}"] == r[f"e{k}"], fmt
