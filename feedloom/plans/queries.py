@@ -76,18 +76,23 @@ def url_dedup_first_wins(spark, sf):
 def product_dedup_exact_url(spark, sf):
     """Exact (case-sensitive, not normalised) URL across three sources."""
     p = I.table(spark, sf, "pages")
-    s1 = p.select(F.lit(1).alias("source_priority"), "page_id", "url")
-    s2 = p.select(F.lit(2).alias("source_priority"), "page_id", I.url_variant(F.col("url"), F.lit(1)).alias("url"))
-    s3 = p.select(F.lit(3).alias("source_priority"), "page_id", "url")
-    u = dedup.union_sources(s1, s2, s3)
+    # one scan; each page row fans out to its three source rows
+    srcs = F.array(F.struct(F.lit(1).alias("source_priority"), F.col("url").alias("url")),
+                   F.struct(F.lit(2).alias("source_priority"), I.url_variant(F.col("url"), F.lit(1)).alias("url")),
+                   F.struct(F.lit(3).alias("source_priority"), F.col("url").alias("url")))
+    u = p.select("page_id", F.inline(srcs)).select("source_priority", "page_id", "url")
     return dedup.first_wins(u, "url", ["source_priority", "page_id"])
 
 
 def _frontier(spark, sf):
+    """Pages (the processed ledger side) and the frontier: every page's
+    three crawl variants plus its next-page URL, fanned out from one scan."""
     p = I.table(spark, sf, "pages")
-    v = I.page_variants(p, "html").select("page_id", "url", "html")
-    nxt = p.select("page_id", F.concat(F.regexp_extract("url", r"^[^?#]*", 0), F.lit("/next")).alias("url"), "html")
-    return p, v.unionByName(nxt)
+    k = F.col("k")
+    url = F.when(k < 3, I.url_variant(F.col("url"), k)).otherwise(
+        F.concat(F.regexp_extract("url", r"^[^?#]*", 0), F.lit("/next")))
+    f = p.select("page_id", "url", "html", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("k"))
+    return p, f.select("page_id", url.alias("url"), "html")
 
 
 @register("frontier_new_only")
@@ -195,10 +200,9 @@ def startup_dedup_canonical(spark, sf):
     """Resolve, then first wins per lower-cased canonical name across
     three prioritised sources (the third repeats the first)."""
     names = I.company_names(spark, sf)
-    srcs = dedup.union_sources(
-        names.where(F.col("src") == 1).select(F.lit(1).alias("source_priority"), "key", "raw_name"),
-        names.where(F.col("src") == 2).select(F.lit(2).alias("source_priority"), "key", "raw_name"),
-        names.where(F.col("src") == 1).select(F.lit(3).alias("source_priority"), "key", "raw_name"))
+    # suppliers feed sources 1 and 3 (a repeat), customers source 2: one scan each
+    prio = F.when(F.col("src") == 1, F.array(F.lit(1), F.lit(3))).otherwise(F.array(F.lit(2)))
+    srcs = names.select(F.explode(prio).alias("source_priority"), "key", "raw_name")
     res = R.resolve_names(srcs, "raw_name").withColumn("entity_key", F.lower("canonical_name"))
     first = dedup.first_wins(res.select("entity_key", "source_priority", "key", "canonical_name"),
                              "entity_key", ["source_priority", "key"])
