@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from feedloom.session import apply_conf, ensure_checkpoint_dir, ship_package
 
@@ -95,6 +96,11 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def plus(df: DataFrame, name: str, kind: str | DataType) -> StructType:
+    """Schema of ``df`` and one more column (``df`` keeps its own)."""
+    return StructType([*df.schema.fields]).add(name, kind)
+
+
 def ids_of(batch: pa.RecordBatch, name: str = "doc_id") -> list:
     return column(batch, name).to_pylist()
 
@@ -146,14 +152,14 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(h + (ends - starts).astype(U64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of consecutive documents: start, end (byte
-    positions) and, of length documents + 1, the first word of each document.
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs of bytes that ``space`` does not mark; by default
+    ``[^\\x20\\x09-\\x0D]+``) of consecutive documents: start, end (byte positions) and, of length documents + 1, the first word of each document.
     A document's end always ends a word."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+    inside = ~space[data]
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
     before = np.empty(n, bool)

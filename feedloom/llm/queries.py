@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontam import op6_decontamination
+from .pii import op4_pii
 from .sharding import op8_sharding
+from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op3_toxicity,
+    op4_pii,
+    op6_decontamination,
     op8_sharding,
 )}
 SQL: dict[str, str] = {}
