@@ -64,6 +64,19 @@ def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def range_splits(df: DataFrame, col: str, buckets: int) -> list[int]:
+    """At most ``buckets - 1`` ascending values of an integer column that cut
+    its rows into near-equal ranges; row ``r`` is in range ``searchsorted(splits, r, "right")``.
+
+    The values are approximate quantiles (a mergeable sketch, one number a
+    range reaches the driver), so they hold for any distribution of the ids."""
+    if buckets < 2:
+        return []
+    q = [i / buckets for i in range(1, buckets)]
+    r = df.agg(F.percentile_approx(col, q, max(10_000, 10 * buckets)).alias("q")).head()["q"]
+    return sorted(set(r or []))
+
+
 # ------------------------------------------------------------ Arrow text
 def utf8_view(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and ``n + 1`` offsets of a string column, without copying the

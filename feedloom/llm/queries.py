@@ -6,15 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .cws import op9_fingerprints
 from .decontam import op6_decontamination
+from .minhash import ORACLE_SQL as MINHASH_SQL
+from .minhash import op1_minhash
 from .pii import op4_pii
+from .rans import op5_rans_tokens
 from .sharding import op8_sharding
 from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_minhash,
     op3_toxicity,
     op4_pii,
+    op5_rans_tokens,
     op6_decontamination,
     op8_sharding,
+    op9_fingerprints,
 )}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_minhash": MINHASH_SQL}
