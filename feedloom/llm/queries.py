@@ -12,11 +12,13 @@ from .minhash import ORACLE_SQL as MINHASH_SQL
 from .minhash import op1_minhash
 from .pii import op4_pii
 from .rans import op5_rans_tokens
+from .suffix import op2_suffix_array
 from .sharding import op8_sharding
 from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_minhash,
+    op2_suffix_array,
     op3_toxicity,
     op4_pii,
     op5_rans_tokens,
