@@ -12,8 +12,9 @@ from .minhash import ORACLE_SQL as MINHASH_SQL
 from .minhash import op1_minhash
 from .pii import op4_pii
 from .rans import op5_rans_tokens
-from .suffix import op2_suffix_array
+from .sampling import op10_sentencepiece
 from .sharding import op8_sharding
+from .suffix import op2_suffix_array
 from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
@@ -25,5 +26,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op6_decontamination,
     op8_sharding,
     op9_fingerprints,
+    op10_sentencepiece,
 )}
 SQL: dict[str, str] = {"op1_minhash": MINHASH_SQL}
