@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chaining import op7_fuzzy_passages
 from .cws import op9_fingerprints
 from .decontam import op6_decontamination
 from .minhash import ORACLE_SQL as MINHASH_SQL
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op4_pii,
     op5_rans_tokens,
     op6_decontamination,
+    op7_fuzzy_passages,
     op8_sharding,
     op9_fingerprints,
     op10_sentencepiece,
