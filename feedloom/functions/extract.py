@@ -11,6 +11,8 @@ from feedloom.functions.text import col_, py_strip
 # routes, not repository owners.
 DENIED_OWNERS = ["topics", "sponsors", "features", "pricing", "about", "blog"]
 
+# Fixed values (must equal the reference): patterns of repository links and
+# keys, title splits and employee ranges.
 REPO_LINK_RE = r"https?://github\.com/([A-Za-z0-9_.-]+)/([A-Za-z0-9_.-]+)"
 _REPO_KEY_RE = r"github\.com/([^/#?]+)/([^/#?]+)"
 _JOB_TITLE_SPLIT = r"(?iU)\s+at\s+|\s+-\s+|\s+:\s+"
@@ -53,11 +55,6 @@ def product_vendor(title) -> Column:
     return F.when(F.size(parts) > 1, py_strip(F.get(parts, 1))).otherwise(py_strip(F.get(parts, 0)))
 
 
-def product_title(title) -> Column:
-    parts = F.split(F.coalesce(col_(title), F.lit("")), _PRODUCT_TITLE_SPLIT, -1)
-    return py_strip(F.get(parts, 0))
-
-
 def model_owner(model_id) -> Column:
     """``owner`` of ``owner/name`` (split once)."""
     return F.substring_index(col_(model_id), "/", 1)

@@ -37,9 +37,3 @@ def first_non_empty(*cols) -> Column:
 def truncate(c, n: int) -> Column:
     """``s[:n]`` counting code points."""
     return F.substring(col_(c), 1, n)
-
-
-def xml_escape(c) -> Column:
-    c = col_(c)
-    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
-                     F.lit(">"), F.lit("&gt;"))

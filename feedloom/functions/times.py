@@ -11,7 +11,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import col_, py_strip
+from feedloom.functions.text import col_, nullif_empty, py_strip
 
 _REL_RE = r"(?U)(\d+)\s+(minute|min|hour|hr|day|sec|second)s?\s+ago"
 
@@ -19,11 +19,11 @@ _REL_RE = r"(?U)(\d+)\s+(minute|min|hour|hr|day|sec|second)s?\s+ago"
 # parser as strict as the reference: "2024", "2024-01" and "18:00" must not
 # parse, which a bare cast would accept.
 _ABSOLUTE = [
-    # every ISO date-time with seconds: "t" or space, optional fraction,
-    # optional zone (z, +hh:mm, +hhmm -> normalised to +hh:mm first)
+    # ISO date-time, in the form that _iso_canonical gives it
     (r"^\d{4}-\d{1,2}-\d{1,2}t\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?(z|[+-]\d\d:\d\d)?$",
      "yyyy-M-d'T'H:m:s[.SSSSSS][XXX]"),
-    (r"^\d{4}-\d{2}-\d{2}t\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm"),
+    (r"^\d{4}-\d{2}-\d{2}t\d{2}:\d{2}(z|[+-]\d\d:\d\d)?$", "yyyy-MM-dd'T'HH:mm[XXX]"),
+    (r"^\d{4}-\d{2}-\d{2}t\d{2}(z|[+-]\d\d:\d\d)?$", "yyyy-MM-dd'T'HH[XXX]"),
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
     (r"^[a-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
     (r"^[a-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
@@ -34,14 +34,23 @@ _ABSOLUTE = [
 
 
 def _iso_canonical(s: Column) -> Column:
-    """Space between date and time -> "t"; "+hhmm" -> "+hh:mm"."""
+    """Space between date and time -> "t"; a fraction's comma -> point and its
+    digits beyond the sixth dropped; "+hhmm" and "+hh" -> "+hh:mm"."""
     t = F.regexp_replace(s, r"^(\d{4}-\d{1,2}-\d{1,2}) (\d)", "$1t$2")
-    return F.regexp_replace(t, r"([+-]\d\d)(\d\d)$", "$1:$2")
+    t = F.regexp_replace(t, r"(t\d{1,2}:\d{1,2}:\d{1,2})[.,](\d{1,6})\d*", "$1.$2")
+    t = F.regexp_replace(t, r"(t\d.*[+-]\d\d)(\d\d)$", "$1:$2")
+    return F.regexp_replace(t, r"(t\d[^+-]*[+-]\d\d)$", "$1:00")
 
 
-# Mail-style dates ("Mon, 22 Jan 2024 10:00:00 GMT"): weekday dropped, zone
-# names mapped to an offset, then parsed with an explicit pattern.
-_MAIL_RE = r"^(?:[a-z]{3},\s*)?(\d{1,2} [a-z]{3} \d{4} \d{1,2}:\d{2}:\d{2}) (gmt|utc|ut|z|[+-]\d{4})$"
+# Mail-style dates ("Mon, 22 Jan 2024 10:00:00 GMT"): weekday (short or full)
+# dropped, seconds optional, zone names mapped to an offset, then parsed with
+# an explicit pattern.
+_MAIL_RE = r"^(?:[a-z]{3,9},?\s+)?(\d{1,2} [a-z]{3} \d{4} \d{1,2}:\d{2})(:\d{2})? ([a-z]{1,3}|[+-]\d{4})$"
+# The zone names of mail dates.
+_MAIL_ZONES = {
+    "gmt": "+0000", "utc": "+0000", "ut": "+0000", "z": "+0000", "est": "-0500", "edt": "-0400", "cst": "-0600",
+    "cdt": "-0500", "mst": "-0700", "mdt": "-0600", "pst": "-0800", "pdt": "-0700",
+}
 
 
 def to_ts(as_of) -> Column:
@@ -96,14 +105,30 @@ def parse_absolute(s: Column, mail_dates: bool = True, iso: Column | None = None
     cands = [F.when(c.rlike(g), F.try_to_timestamp(c, F.lit(fmt))) for g, fmt in _ABSOLUTE]
     cands.append(_iso_week(s))
     if mail_dates:
-        body = F.regexp_extract(s, _MAIL_RE, 1)
-        zone = F.regexp_extract(s, _MAIL_RE, 2)
-        off = F.when(zone.isin("gmt", "utc", "ut", "z"), F.lit("+0000")).otherwise(zone)
-        cands.append(F.when(s.rlike(_MAIL_RE),
+        body = F.concat(F.regexp_extract(s, _MAIL_RE, 1),
+                        F.coalesce(nullif_empty(F.regexp_extract(s, _MAIL_RE, 2)), F.lit(":00")))
+        zone = F.regexp_extract(s, _MAIL_RE, 3)
+        off = zone
+        for name, value in _MAIL_ZONES.items():
+            off = F.when(zone == name, F.lit(value)).otherwise(off)
+        cands.append(F.when(s.rlike(_MAIL_RE) & off.rlike(r"^[+-]"),
                             F.try_to_timestamp(F.concat_ws(" ", body, off), F.lit("d MMM yyyy H:mm:ss Z"))))
     return F.coalesce(*cands)
 
 
+def _parsed(raw: Column, s: Column, iso: Column, as_of, on_unparsed: str, mail_dates: bool) -> Column:
+    """The parser: ``raw`` text, its cleaned and its canonical form."""
+    if on_unparsed not in ("now", "null"):
+        raise ValueError("on_unparsed must be 'now' or 'null'")
+    now = to_ts(as_of)
+    parsed = F.coalesce(
+        F.when(s.contains("ago") | s.contains("yesterday"), parse_relative(s, now)),
+        parse_absolute(s, mail_dates, iso),
+    )
+    parsed = F.when(raw.isNotNull() & (raw != ""), parsed)
+    return F.coalesce(parsed, now) if on_unparsed == "now" else parsed
+
+
 def parse_date(raw, as_of, on_unparsed: str = "null", mail_dates: bool = True) -> Column:
     """Publish text -> UTC instant.
 
@@ -111,37 +136,18 @@ def parse_date(raw, as_of, on_unparsed: str = "null", mail_dates: bool = True) -
     (unparsed and empty text become ``as_of``); ``'null'`` keeps them null.
     """
     raw = col_(raw)
-    now = to_ts(as_of)
     s = F.lower(py_strip(raw))
-    parsed = F.coalesce(
-        F.when(s.contains("ago") | s.contains("yesterday"), parse_relative(s, now)),
-        parse_absolute(s, mail_dates),
-    )
-    parsed = F.when(raw.isNotNull() & (raw != ""), parsed)
-    if on_unparsed == "now":
-        return F.coalesce(parsed, now)
-    if on_unparsed != "null":
-        raise ValueError("on_unparsed must be 'now' or 'null'")
-    return parsed
+    return _parsed(raw, s, _iso_canonical(s), as_of, on_unparsed, mail_dates)
 
 
 def with_parsed_date(df, raw: str, out: str, as_of, on_unparsed: str = "null", mail_dates: bool = True):
     """DataFrame form of ``parse_date``: the cleaned text is projected once
     (a non-cheap expression used by every branch is not re-inlined by the
     optimizer), which keeps the generated code small enough to compile."""
-    now = to_ts(as_of)
     s = "__date_s"
     d = df.withColumn(s, F.lower(py_strip(F.col(raw))))
     d = d.withColumn("__date_iso", _iso_canonical(F.col(s)))
-    parsed = F.coalesce(
-        F.when(F.col(s).contains("ago") | F.col(s).contains("yesterday"), parse_relative(F.col(s), now)),
-        parse_absolute(F.col(s), mail_dates, F.col("__date_iso")),
-    )
-    parsed = F.when(F.col(raw).isNotNull() & (F.col(raw) != ""), parsed)
-    if on_unparsed == "now":
-        parsed = F.coalesce(parsed, now)
-    elif on_unparsed != "null":
-        raise ValueError("on_unparsed must be 'now' or 'null'")
+    parsed = _parsed(F.col(raw), F.col(s), F.col("__date_iso"), as_of, on_unparsed, mail_dates)
     from feedloom.functions.once import compute_once
     return compute_once(d, **{out: parsed}).drop(s, "__date_iso")
 

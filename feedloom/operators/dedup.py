@@ -57,14 +57,17 @@ def new_only(frontier: DataFrame, ledger: DataFrame, on) -> DataFrame:
 
 
 def ledger_additions(candidates: DataFrame, ledger: DataFrame, key: str,
-                     extra: Sequence[str] = ()) -> DataFrame:
-    """SNK4 insert-if-absent: the distinct new keys to append to a ledger."""
+                     extra: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
+    """SNK4 insert-if-absent: the new keys to append to a ledger, each with
+    the ``extra`` columns of one of its rows: the first by ``order``, then by
+    the columns themselves."""
     cols = [key, *extra]
-    fresh = candidates.select(*cols).where(F.col(key).isNotNull())
+    fresh = candidates.where(F.col(key).isNotNull())
     if extra:
-        fresh = fresh.groupBy(key).agg(*[F.min(c).alias(c) for c in extra])
+        by = [*order, *[c for c in extra if c not in order]]
+        fresh = first_wins(fresh.select(key, *by), key, by).select(*cols)
     else:
-        fresh = fresh.distinct()
+        fresh = fresh.select(key).distinct()
     return new_only(fresh, ledger, key)
 
 

@@ -12,8 +12,9 @@ def with_repo_stars(papers: DataFrame, stars: DataFrame, link_col: str = "github
     """J2 + P11: left join to a star snapshot keyed ``(owner, repo)``.
     No link -> null link and null stars; unknown repo -> null stars.
 
-    Both sides can be large, so the join is left to the planner (shuffle
-    hash/sort-merge, or broadcast when the snapshot is measured small)."""
+    Only papers with a repository key take part in the join; the others, a
+    single hot null key otherwise, are added back as they are.  Both sides can
+    be large, so the join is left to the planner."""
     from feedloom.functions.once import compute_once
     k = repo_key(F.col(link_col))
     keyed = compute_once(papers, __owner=k["owner"], __repo=k["repo"])
@@ -21,20 +22,26 @@ def with_repo_stars(papers: DataFrame, stars: DataFrame, link_col: str = "github
     # wins), so the left join never multiplies papers
     s = (stars.groupBy(F.col("owner").alias("__owner"), F.col("repo").alias("__repo"))
               .agg(F.max("stars").alias("__stars")))
-    j = keyed.join(s, ["__owner", "__repo"], "left")
-    return (j.withColumn("github_stars", F.when(F.col(link_col).isNotNull(), F.col("__stars")).cast("bigint"))
-             .drop("__owner", "__repo", "__stars"))
-
-
-def relationship_edges(startups: DataFrame, products: DataFrame, jobs: DataFrame) -> DataFrame:
-    """``(src, rel, dst)`` edges: startup LAUNCHED product, startup
-    POSTED job (inner equi-joins on the canonical name)."""
-    s = startups.select(F.col("name").alias("src")).distinct()
-    launched = s.join(products.select(F.col("name").alias("src"), F.col("id").alias("dst")), "src") \
-        .select("src", F.lit("LAUNCHED").alias("rel"), "dst")
-    posted = s.join(jobs.select(F.col("name").alias("src"), F.col("id").alias("dst")), "src") \
-        .select("src", F.lit("POSTED").alias("rel"), "dst")
-    return launched.unionByName(posted)
+    cols = papers.columns
+    linked = keyed.where(F.col("__repo").isNotNull()).join(s, ["__owner", "__repo"], "left") \
+        .select(*cols, F.col("__stars").cast("bigint").alias("github_stars"))
+    rest = keyed.where(F.col("__repo").isNull()).select(*cols, F.lit(None).cast("bigint").alias("github_stars"))
+    return linked.unionByName(rest)
+
+
+def relationship_edges(startups: DataFrame, products: DataFrame, jobs: DataFrame,
+                       papers: DataFrame | None = None) -> DataFrame:
+    """``(src, rel, dst)`` edges: startup LAUNCHED product and startup
+    POSTED job (one equi-join on the canonical name over both), and paper
+    HAS_REPO repository (a projection of ``papers(paper_url, github_url)``)."""
+    tagged = products.select("name", F.lit("LAUNCHED").alias("rel"), F.col("id").alias("dst")).unionByName(
+        jobs.select("name", F.lit("POSTED").alias("rel"), F.col("id").alias("dst")))
+    names = startups.select("name").distinct()
+    edges = tagged.join(names, "name", "left_semi").select(F.col("name").alias("src"), "rel", "dst")
+    if papers is None:
+        return edges
+    return edges.unionByName(papers.where(F.col("github_url").isNotNull())
+                             .select(F.col("paper_url").alias("src"), F.lit("HAS_REPO").alias("rel"), F.col("github_url").alias("dst")))
 
 
 def paper_summary(papers: DataFrame) -> DataFrame:

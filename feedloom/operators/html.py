@@ -1,8 +1,8 @@
 """Job HTML (Python part): parsed-HTML text and directory cards.
 
 F25, F27, SRC11.  An HTML tree walk has no native Spark expression, so
-this is the one Arrow-batched ``mapInPandas`` stage: each task parses its
-own pages with the standard-library tokenizer; nothing crosses the driver.
+these are Arrow-batched Python stages: each task parses its own pages with
+the standard-library tokenizer; nothing crosses the driver.
 The tree rules follow the html.parser tree builder: an end tag closes the
 most recent open element of that name (or nothing), void elements never
 open, whitespace-only text runs become a single newline or space.
@@ -16,14 +16,20 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from feedloom.functions.chunking import regex_html_text
 
 # Fixed values (must equal the reference): subtrees removed before text
 # extraction.
 STRIPPED_TAGS = ("script", "style", "nav", "header", "footer", "noscript", "svg", "iframe")
 
-VOID_TAGS = frozenset(
-    "area base br col embed hr img input keygen link menuitem meta param source track wbr "
-    "basefont bgsound command frame image isindex nextid spacer".split())
+# The void elements of HTML (those without an end tag) and their
+# obsolete predecessors, as the HTML standard lists them.
+VOID_TAGS = frozenset((
+    "area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img", "input",
+    "isindex", "keygen", "link", "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr",
+))
 _ASCII_SPACES = " \n\t\x0c\r"
 _PRESERVE_WS = frozenset(("pre", "textarea"))
 _BLANK_RUN = re.compile(r"\n\s*\n")
@@ -87,19 +93,18 @@ class _TextWalker(HTMLParser):
 
 
 def html_text(raw: str | None, separator: str = "\n", strip: Sequence[str] = STRIPPED_TAGS,
-              collapse_blank: bool = True) -> str:
+              collapse_blank: bool = True) -> str | None:
     """Visible text of an HTML string (F25 with defaults; F27 with
-    ``separator=' '``, ``strip=()``, ``collapse_blank=False``)."""
+    ``separator=' '``, ``strip=()``, ``collapse_blank=False``); None if the
+    tokenizer fails on it."""
     if not raw:
         return ""
     w = _TextWalker(strip)
     try:
         w.feed(raw)
         parts = w.text()
-    except Exception:  # tokenizer failure: the regex path of F26
-        t = re.sub(r"<(script|style).*?>.*?</\1>", "", raw, flags=re.DOTALL | re.IGNORECASE)
-        t = re.sub(r"<[^>]+>", " ", t)
-        return re.sub(r"\s+", " ", t).strip()
+    except Exception:
+        return None
     text = separator.join(parts)
     if collapse_blank:
         text = _BLANK_RUN.sub("\n\n", text)
@@ -108,19 +113,19 @@ def html_text(raw: str | None, separator: str = "\n", strip: Sequence[str] = STR
 
 def clean_html(df: DataFrame, html_col: str, out_col: str = "clean_text", separator: str = "\n",
                strip: Sequence[str] = STRIPPED_TAGS, collapse_blank: bool = True) -> DataFrame:
-    """F25 / F27 as an Arrow ``mapInPandas`` stage (no shuffle)."""
-    keep = [c for c in df.columns if c != out_col]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep]
-                       + [f"`{out_col}` string"])
+    """The other columns of ``df`` and the text of ``html_col``,
+    which itself is dropped.  A scalar Arrow UDF: only the HTML goes to
+    Python and only the text comes back.  Where the tokenizer fails, the
+    regex text (F26) stands in."""
     strip = tuple(strip)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf = pdf[keep].copy()
-            pdf[out_col] = [html_text(h, separator, strip, collapse_blank) for h in pdf[html_col]]
-            yield pdf
+    @F.pandas_udf("string")
+    def text(html: pd.Series) -> pd.Series:
+        return pd.Series([html_text(h, separator, strip, collapse_blank) for h in html], dtype=object)
 
-    return df.mapInPandas(run, schema)
+    keep = [c for c in df.columns if c not in (html_col, out_col)]
+    t = df.select(*keep, text(F.col(html_col)).alias(out_col), regex_html_text(html_col).alias("__plain"))
+    return t.select(*keep, F.coalesce(out_col, "__plain").alias(out_col))
 
 
 def fragment_text(df: DataFrame, html_col: str, out_col: str = "fragment_text") -> DataFrame:
@@ -136,57 +141,50 @@ NAME_FALLBACK_CLASS = "font-bold"
 
 
 class _CardWalker(HTMLParser):
-    """Finds ``a`` elements with their href, class list, full text and the
-    text of the first span matching each name selector."""
+    """Finds the ``a`` elements of a page: href, classes, text, and for each
+    name class the first ``span`` in document order that has it (spans are
+    seen when they open, so an outer one comes before those inside it)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[dict] = []
+        self.stack: list[tuple[str, dict | None]] = []  # open elements; a node for a and span only
+        self.text: list[dict] = []  # the open a and span nodes
         self.cards: list[dict] = []
 
     def handle_starttag(self, tag, attrs):
         if tag in VOID_TAGS:
             return
-        a = dict(attrs)
-        node = {"tag": tag, "cls": (a.get("class") or "").split(), "href": a.get("href"), "text": []}
-        if tag == "a":
-            node["names"] = {}
-            self.cards.append(node)
-        self.stack.append(node)
+        node = None
+        if tag in ("a", "span"):
+            a = dict(attrs)
+            node = {"tag": tag, "cls": (a.get("class") or "").split(), "href": a.get("href"), "parts": [], "names": {}}
+            if tag == "a":
+                self.cards.append(node)
+            else:
+                for card in self.text:
+                    if card["tag"] == "a":
+                        for c in node["cls"]:
+                            card["names"].setdefault(c, node)
+            self.text.append(node)
+        self.stack.append((tag, node))
 
     def handle_endtag(self, tag):
-        if tag in VOID_TAGS or all(n["tag"] != tag for n in self.stack):
+        if tag in VOID_TAGS or all(t != tag for t, _ in self.stack):
             return
         while self.stack:
-            n = self.stack.pop()
-            if n["tag"] == "span":
-                for anc in self.stack:
-                    if anc["tag"] == "a":
-                        for c in (NAME_PRIMARY_CLASS, NAME_FALLBACK_CLASS):
-                            if c in n["cls"] and c not in anc["names"]:
-                                anc["names"][c] = (n["order"], "".join(n["text"]))
-            if n["tag"] == tag:
+            t, node = self.stack.pop()
+            if node is not None:
+                self.text.pop()
+            if t == tag:
                 break
 
     def handle_data(self, data):
-        for n in self.stack:
-            n["text"].append(data)
+        for node in self.text:
+            node["parts"].append(data)
 
     def parse(self, raw: str) -> list[dict]:
-        # spans are ranked by start order so "first match" is document order
-        order = [0]
-        orig = self.handle_starttag
-
-        def start(tag, attrs):
-            orig(tag, attrs)
-            if self.stack and self.stack[-1]["tag"] == tag and tag not in VOID_TAGS:
-                self.stack[-1]["order"] = order[0]
-                order[0] += 1
-        self.handle_starttag = start
         self.feed(raw)
         self.close()
-        while self.stack:
-            self.handle_endtag(self.stack[0]["tag"])
         return self.cards
 
 
@@ -199,7 +197,7 @@ def _cards_of(raw: str | None) -> list[tuple]:
     rows = []
     for pos, c in enumerate(chosen):
         name = c["names"].get(NAME_PRIMARY_CLASS) or c["names"].get(NAME_FALLBACK_CLASS)
-        rows.append((pos, c["href"] or "", (name[1] if name else "").strip(), "".join(c["text"])))
+        rows.append((pos, c["href"] or "", "".join(name["parts"]).strip() if name else "", "".join(c["parts"])))
     return rows
 
 

@@ -1,27 +1,20 @@
 """J1 entity resolution against a seed table, and its audit log.
 
-Plan: the seed table is tiny and its size is known on the driver (it is a
-Python list), so it is broadcast behind an explicit row bound; beyond the
-bound the same joins run as ordinary shuffled equi-joins.  The names side
-is never shuffled when the seeds are broadcast: two BroadcastHashJoins in
-one stage, no exchange.
+The seed table is one side of two left equi-joins.  No hint and no row
+count decides the plan: Spark broadcasts the table while its size is under
+the session's threshold and shuffles both sides beyond it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.names import DEFAULT_SEEDS, heuristic_core, is_blank, normalize_name, nospace
-from feedloom.functions.text import py_strip
-
-BROADCAST_MAX_SEEDS = 1_000_000
-# Up to this many seeds the lookup is a literal map inside the projection:
-# no join, no exchange.  The seed list is driver-side input (a Python list),
-# so its normalised keys (at most two per seed) are a bounded collect.
-MAP_MAX_SEEDS = 5_000
+from feedloom.functions.text import nullif_empty, py_strip
 
 EXACT = "exact_seed_match"
 NOSPACE = "nospace_seed_match"
@@ -34,7 +27,8 @@ def seed_table(spark: SparkSession, seeds: Sequence[str] | None = None) -> DataF
     form without spaces; on a collision the later seed wins.  An empty or
     missing list means the default list."""
     seeds = list(seeds) if seeds else list(DEFAULT_SEEDS)
-    df = spark.createDataFrame([(i, s) for i, s in enumerate(seeds)], "seed_pos long, canonical string")
+    # an Arrow table becomes a local relation, whose size the planner knows
+    df = spark.createDataFrame(pa.table({"seed_pos": pa.array(range(len(seeds)), pa.int64()), "canonical": pa.array(seeds, pa.string())}))
     norm = normalize_name("canonical")
     keyed = df.select(
         "seed_pos", "canonical",
@@ -46,52 +40,27 @@ def seed_table(spark: SparkSession, seeds: Sequence[str] | None = None) -> DataF
     return last.select("key", F.col("w.canonical").alias("canonical"))
 
 
-_SEED_MAPS: dict = {}
-
-
-def _seed_map(spark: SparkSession, seeds: tuple | None):
-    """The seed table as a literal ``map<key, canonical>`` (keys normalised
-    by the same Spark expressions as the names)."""
-    if seeds not in _SEED_MAPS:
-        rows = seed_table(spark, list(seeds) if seeds else None).collect()
-        _SEED_MAPS[seeds] = sorted((r.key, r.canonical) for r in rows)
-    pairs = _SEED_MAPS[seeds]
-    if not pairs:
-        return F.create_map().cast("map<string,string>")
-    return F.map_from_arrays(F.array(*[F.lit(k) for k, _ in pairs]), F.array(*[F.lit(c) for _, c in pairs]))
-
-
 def resolve_names(df: DataFrame, name_col: str, seeds: Sequence[str] | None = None,
                   out_prefix: str = "") -> DataFrame:
     """Add ``{p}raw_clean``, ``{p}canonical_name``, ``{p}match_method``.
 
     Blank names resolve to ``Unknown`` with a null method (they write no
-    log row)."""
-    spark = df.sparkSession
-    n_seeds = len(seeds) if seeds else len(DEFAULT_SEEDS)
-    table = seed_table(spark, seeds)
+    log row).  The fallback heuristic is evaluated for unmatched names only."""
+    table = seed_table(df.sparkSession, seeds)
     p = out_prefix
     raw = F.col(name_col)
     base = df.select("*", py_strip(raw).alias("__raw_clean"), is_blank(raw).alias("__blank"))
-    tmp = base.select("*", normalize_name("__raw_clean").alias("__norm"),
-                      heuristic_core("__raw_clean").alias("__heur"))
-    if n_seeds <= MAP_MAX_SEEDS:
-        lookup = _seed_map(spark, tuple(seeds) if seeds else None)
-        j = tmp.select("*", F.try_element_at(lookup, F.col("__norm")).alias("__c1"),
-                       F.try_element_at(lookup, nospace(F.col("__norm"))).alias("__c2"))
-    else:
-        if 2 * n_seeds <= BROADCAST_MAX_SEEDS:
-            table = F.broadcast(table)
-        t1 = table.select(F.col("key").alias("__k1"), F.col("canonical").alias("__c1"))
-        t2 = table.select(F.col("key").alias("__k2"), F.col("canonical").alias("__c2"))
-        j = (tmp.join(t1, tmp["__norm"] == t1["__k1"], "left")
-                .join(t2, nospace(tmp["__norm"]) == t2["__k2"], "left"))
+    tmp = base.select("*", normalize_name("__raw_clean").alias("__norm"))
+    t1 = table.select(F.col("key").alias("__k1"), F.col("canonical").alias("__c1"))
+    t2 = table.select(F.col("key").alias("__k2"), F.col("canonical").alias("__c2"))
+    j = (tmp.join(t1, tmp["__norm"] == t1["__k1"], "left")
+            .join(t2, nospace(tmp["__norm"]) == t2["__k2"], "left"))
     blank = F.col("__blank")
+    core = heuristic_core("__raw_clean")
     canonical = (F.when(blank, F.lit(UNKNOWN))
                   .when(F.col("__c1").isNotNull(), F.col("__c1"))
                   .when(F.col("__c2").isNotNull(), F.col("__c2"))
-                  .when(F.col("__heur") != "", F.col("__heur"))
-                  .otherwise(F.col("__raw_clean")))
+                  .otherwise(F.coalesce(nullif_empty(core), F.col("__raw_clean"))))
     method = (F.when(blank, F.lit(None).cast("string"))
                .when(F.col("__c1").isNotNull(), F.lit(EXACT))
                .when(F.col("__c2").isNotNull(), F.lit(NOSPACE))

@@ -58,7 +58,8 @@ def _typed(fv: Column, kind: str) -> Column:
         t = F.schema_of_variant(fv)
         return (F.when(t == "BOOLEAN", F.try_variant_get(fv, "$", "boolean").cast("bigint"))
                  .when(t == "STRING", F.regexp_extract(text, r"[+-]?\d+", 0).try_cast("bigint"))
-                 .otherwise(F.try_variant_get(fv, "$", "double").cast("bigint")))
+                 .when(t == "DOUBLE", F.try_variant_get(fv, "$", "double").try_cast("bigint"))
+                 .otherwise(F.try_variant_get(fv, "$", "bigint")))
     if kind == "bool":
         t = F.schema_of_variant(fv)
         return (F.when(t == "BOOLEAN", F.try_variant_get(fv, "$", "boolean"))
@@ -151,6 +152,17 @@ def first_valid_by_tier(validated: DataFrame, docs: DataFrame | None, record_typ
     return docs.select(key).join(best.hint("merge"), key, "left")
 
 
+def failover_rate(validated: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Documents answered by their first tier, by a later one (failed
+    over) and by none, and the failover share in parts per million."""
+    tiers = validated.groupBy(key).agg(F.min("tier").alias("first"), F.min(F.when(F.col("outcome") == OK, F.col("tier"))).alias("got"))
+    n = F.count(F.lit(1))
+    over = F.count_if(F.col("got") > F.col("first"))
+    return tiers.agg(n.alias("documents"), F.count_if(F.col("got") == F.col("first")).alias("first_tier"),
+                     over.alias("failed_over"), F.count_if(F.col("got").isNull()).alias("unanswered"),
+                     F.expr("try_divide(count_if(got > first) * 1000000, count(1))").cast("bigint").alias("failover_ppm"))
+
+
 def attempt_outcomes(validated: DataFrame) -> DataFrame:
     """T2 summary: attempts per provider and outcome, with rate-limit count."""
     return (validated.groupBy("provider", "outcome")

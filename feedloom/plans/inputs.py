@@ -92,14 +92,16 @@ def company_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 FEED_SIZE = 8  # entries per landed feed document (bounded group)
 
 
-def assemble(df: DataFrame, feed_key: Column, order: Column, piece: Column, head: str, tail: str,
+def assemble(df: DataFrame, feed_key: Column, order: Column, piece: Column, head: str | Column, tail: str | Column,
              sep: str = "") -> DataFrame:
     """Concatenate per-entry text pieces into one document per feed, in
-    entry order.  Feeds hold a bounded number of entries by construction."""
+    entry order, between ``head`` and ``tail`` (columns may use ``feed_id``).
+    Feeds hold a bounded number of entries by construction."""
+    head, tail = (F.lit(x) if isinstance(x, str) else x for x in (head, tail))
     g = df.groupBy(feed_key.alias("feed_id")).agg(
         F.array_sort(F.collect_list(F.struct(order.alias("o"), piece.alias("p")))).alias("__parts"))
-    return g.select("feed_id", F.concat(F.lit(head), F.array_join(F.transform("__parts", lambda x: x["p"]), sep),
-                                        F.lit(tail)).alias("body"))
+    return g.select("feed_id", F.concat(head, F.array_join(F.transform("__parts", lambda x: x["p"]), sep),
+                                        tail).alias("body"))
 
 
 def esc(c: Column) -> Column:
@@ -166,22 +168,49 @@ def job_rss_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.withColumn("source_url", F.concat(F.lit("https://jobs.example.org/feed/"), F.col("feed_id").cast("string")))
 
 
-def news_atom_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Atom news feeds (entry/updated/summary), bodies as escaped HTML."""
+def news_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News feeds, bodies as escaped HTML.  Two in three are Atom (entries
+    with ``href`` links, the alternate before the edit link; some without a
+    link), every third is RDF (items beside the channel, link as text).
+    Every second title has its ``&`` unescaped."""
     d = table(spark, sf_dir, "documents")
     k = F.col("doc_id")
+    feed = (k / FEED_SIZE).cast("bigint")
     pub = to_ts_lit(AS_OF_FRESH) - F.make_dt_interval(F.lit(0), (k % 40).cast("int"))
     date_el = F.when(k % 2 == 0, F.concat(F.lit("<published>"), F.date_format(pub, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
                                           F.lit("</published>"))) \
         .otherwise(F.concat(F.lit("<updated>"), F.date_format(pub, "yyyy-MM-dd HH:mm:ss"), F.lit("</updated>")))
     body = F.concat(F.lit("<p>"), F.replace(F.col("text"), F.lit("&"), F.lit("and")), F.lit("</p>"))
-    entry = F.concat(F.lit("<entry><title>"), esc(first_line(F.col("text"))), F.lit("</title>"),
-                     F.lit("<link>https://news.example.org/a/"), k.cast("string"), F.lit("</link>"), date_el,
-                     F.lit("<summary>"), esc(body), F.lit("</summary></entry>"))
-    feeds = assemble(d, (k / FEED_SIZE).cast("bigint"), k, entry, '<feed xmlns="http://www.w3.org/2005/Atom">', "</feed>")
+    line = first_line(F.col("text"))
+    bare = F.replace(F.replace(line, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    title = F.concat(F.lit("<title>"), F.when(k % 2 == 0, esc(line)).otherwise(bare), F.lit("</title>"))
+    at = F.concat(F.lit("https://news.example.org/a/"), k.cast("string"))
+    links = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(
+        F.lit('<link rel="alternate" href="'), at, F.lit('"/><link rel="edit" href="https://news.example.org/edit/'),
+        k.cast("string"), F.lit('"/>')))
+    text_link = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("<link>"), at, F.lit("</link>")))
+    summary = F.concat(F.lit("<summary>"), esc(body), F.lit("</summary>"))
+    rdf = feed % 3 == 2
+    entry = F.when(rdf, F.concat(F.lit('<item rdf:about="urn:'), k.cast("string"), F.lit('">'), title, text_link, date_el, summary, F.lit("</item>"))) \
+        .otherwise(F.concat(F.lit("<entry>"), title, links, date_el, summary, F.lit("</entry>")))
+    is_rdf = F.col("feed_id") % 3 == 2
+    head = F.when(is_rdf, F.lit('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#"><channel><title>News</title></channel>')) \
+        .otherwise(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'))
+    tail = F.when(is_rdf, F.lit("</rdf:RDF>")).otherwise(F.lit("</feed>"))
+    feeds = assemble(d, feed, k, entry, head, tail)
     return feeds.withColumn("source_url", F.concat(F.lit("https://news.example.org/feed/"), F.col("feed_id").cast("string")))
 
 
+def broken_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job feeds, of which four in five are damaged: missing, not a feed,
+    with one unreadable item in front, blank."""
+    k = F.col("feed_id") % 5
+    body = (F.when(k == 1, F.lit(None)).when(k == 2, F.lit("<html><body>moved</body></html>"))
+             .when(k == 3, F.replace(F.col("body"), F.lit("<channel>"), F.lit("<channel><item><title>cut<off</title></item>")))
+             .when(k == 4, F.lit("  ")).otherwise(F.col("body")))
+    return job_rss_feeds(spark, sf_dir).withColumn("body", body)
+
+
 def to_ts_lit(s: str) -> Column:
     return F.to_timestamp(F.lit(s))
 
@@ -227,13 +256,13 @@ def job_json_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAGE_ITEMS = 10
-MAX_PAGES = 14
+PAGES_PER_QUERY = 20
 
 
 def paged_feeds(df: DataFrame, key: Column, element: Column) -> DataFrame:
-    """SRC8/SRC9 input: one JSON page of PAGE_ITEMS items per row, 14 pages
-    per query; per query one page fails (status 500) or comes back empty."""
-    per_query = PAGE_ITEMS * MAX_PAGES
+    """SRC8/SRC9 input: one JSON page of PAGE_ITEMS items per row, PAGES_PER_QUERY
+    pages per query; per query one page fails (status 500) or comes back empty."""
+    per_query = PAGE_ITEMS * PAGES_PER_QUERY
     d = df.select((key / per_query).cast("bigint").alias("query_id"),
                   ((key % per_query) / PAGE_ITEMS).cast("int").alias("__p"), key.alias("__k"), F.to_json(element).alias("__j"))
     pages = d.groupBy("query_id", "__p").agg(F.array_sort(F.collect_list(F.struct("__k", "__j"))).alias("__parts"))
@@ -282,8 +311,10 @@ def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = k % 50 + 1
     hi = lo * (k % 9 + 2)
     emp = F.concat(lo.cast("string"), F.lit(" - "), hi.cast("string"), F.lit(" employees"))
+    # every third card has a second name span inside the first
+    inner = F.when(k % 3 == 0, F.lit(' <span class="_name_159g8_25">Group</span>')).otherwise(F.lit(""))
     primary = F.concat(F.lit('<a class="_company_159g8_11 x" href="/companies/'), slug, F.lit('"><span class="_name_159g8_25">'),
-                       esc(name), F.lit('</span><span class="s">'), emp, F.lit("</span></a>"))
+                       esc(name), inner, F.lit('</span><span class="s">'), emp, F.lit("</span></a>"))
     fallback = F.concat(F.lit('<a href="/companies/'), slug, F.lit('"><div><span class="font-bold">'), esc(name),
                         F.lit('</span></div><span>'), emp, F.lit("</span></a>"))
     card = F.when(pid % 2 == 0, primary).otherwise(fallback)
@@ -339,6 +370,42 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(k.alias("doc_id"), F.explode(att).alias("a")).select("doc_id", "a.*")
 
 
+def typed_responses(spark: SparkSession, sf_dir: str, record_type: str) -> DataFrame:
+    """``responses`` of one tier for a record type, whose fields take every
+    form that the lax rules accept or refuse, by ``doc_id``."""
+    source, key, name = {"STARTUP": ("supplier", "s_suppkey", "s_name"), "RESEARCH_PAPER": ("part", "p_partkey", "p_name"),
+                         "JOB": ("orders", "o_orderkey", "o_clerk"), "NEWS": ("customer", "c_custkey", "c_name")}[record_type]
+    d = table(spark, sf_dir, source)
+    if name not in d.columns:
+        name = key
+    k = F.col(key)
+    text = F.concat(F.lit('"'), F.replace(F.col(name).cast("string"), F.lit('"'), F.lit("'")), F.lit('"'))
+
+    def pick(*forms: str) -> Column:
+        out = None
+        for i, f in enumerate(forms):
+            out = F.when(k % len(forms) == i, F.lit(f)) if out is None else out.when(k % len(forms) == i, F.lit(f))
+        return out
+
+    raw = F.concat(F.lit("{"), {
+        "STARTUP": F.concat(F.when(k % 7 == 3, F.lit('"entity": ')).otherwise(F.lit('"entityName": ')), text, pick(
+            ', "employeeCount": 12', ', "employeeCount": "12"', ', "employeeCount": 12.0', ', "employeeCount": 12.5', ', "employeeCount": true',
+            ', "employeeCount": null', ', "employeeCount": 9007199254740993', "", ', "employeeCount": "many"', ', "employeeCount": -3')),
+        "RESEARCH_PAPER": F.concat(F.lit('"title": '), text, F.lit(', "paper_url": "u"'),
+                                   pick(', "authors": ["A", "B"]', ', "authors": []', "", ', "authors": ["A", 1]', ', "authors": null', ', "authors": "A"'),
+                                   pick(', "github_stars": 5', ', "github_stars": "5"', "", ', "github_stars": 5.0', ', "github_stars": false'),
+                                   F.when(k % 11 == 0, F.lit("")).otherwise(F.lit(', "published_date": "2024-01-01"'))),
+        "JOB": F.concat(F.lit('"company": '), text, F.lit(', "date": "2024-01-01"'),
+                        pick(', "is_remote": true', ', "is_remote": "yes"', ', "is_remote": 0', ', "is_remote": 1.0', ', "is_remote": "maybe"', "",
+                             ', "is_remote": null', ', "is_remote": 2', ', "is_remote": "OFF"'),
+                        F.when(k % 2 == 0, F.lit(', "role_family": "Design"')).otherwise(F.lit(""))),
+        "NEWS": F.concat(F.lit('"title": '), text, F.lit(', "publication_date": "2024-01-01"'),
+                         pick(', "full_text": "t"', ', "full_text": null', ', "full_text": 5', "", ', "full_text": ""')),
+    }[record_type], F.lit("}"))
+    return d.select(k.cast("bigint").alias("doc_id"), F.lit(1).alias("tier"), F.lit(PROVIDERS[0]).alias("provider"), raw.alias("raw"),
+                    F.lit(None).cast("string").alias("error"))
+
+
 SECRET_PROPS = ["api_key", "session_token", "Authorization", "page"]
 
 

@@ -1,12 +1,14 @@
 """DuckDB SQL equivalents of the registered plans (the correctness oracle).
 
-Written independently of the Spark code: RE2 patterns (no Java flags),
-DuckDB string/date functions.  Helpers below only assemble SQL text.
+The logic is written apart from the Spark code: RE2 patterns (no Java flags),
+DuckDB string/date functions.  Helpers below only assemble SQL text.  Of the
+fixed values, the seed list and the rule tables of the taggers are shared
+with the library; everything else is stated here again.
 """
 
 from __future__ import annotations
 
-from feedloom.functions.names import DEFAULT_SEEDS, SUFFIX_WORDS
+from feedloom.functions.names import DEFAULT_SEEDS
 from feedloom.functions.tags import PRICING_RULES, ROLE_DEFAULT, ROLE_RULES
 from feedloom.plans import inputs as I
 
@@ -141,10 +143,18 @@ _ABS_SQL = [
     ("strftime(ts, '%B %-d, %Y')", "date_trunc('day', ts)"),
     ("strftime(ts, '%-d %b %Y')", "date_trunc('day', ts)"),
     ("strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' GMT'", "date_trunc('second', ts)"),
+    ("strftime(ts, '%Y-%m-%dT%H:%M') || 'Z'", "date_trunc('minute', ts)"),
+    ("strftime(ts, '%Y-%m-%dT%H:%M') || '+02:00'", "date_trunc('minute', ts) - INTERVAL 2 HOUR"),
+    ("strftime(ts, '%Y-%m-%dT%H')", "date_trunc('hour', ts)"),
+    ("strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '7Z'", "ts"),
+    ("strftime(ts, '%a, %d %b %Y %H:%M') || ' GMT'", "date_trunc('minute', ts)"),
+    ("strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' EST'", "date_trunc('second', ts) + INTERVAL 5 HOUR"),
+    ("strftime(ts, '%A, %d %b %Y %H:%M:%S') || ' GMT'", "date_trunc('second', ts)"),
+    ("strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-0530'", "date_trunc('second', ts) + INTERVAL 330 MINUTE"),
 ]
 SQL["publish_time_absolute"] = (
-    "SELECT event_id, CASE event_id % 8 " + " ".join(f"WHEN {i} THEN {t}" for i, (t, _) in enumerate(_ABS_SQL))
-    + " END AS date_text, CASE event_id % 8 "
+    f"SELECT event_id, CASE event_id % {len(_ABS_SQL)} " + " ".join(f"WHEN {i} THEN {t}" for i, (t, _) in enumerate(_ABS_SQL))
+    + f" END AS date_text, CASE event_id % {len(_ABS_SQL)} "
     + " ".join(f"WHEN {i} THEN {iso(p)}" for i, (_, p) in enumerate(_ABS_SQL)) + " END AS published FROM events"
 )
 
@@ -173,12 +183,15 @@ SELECT event_id, rel_text, {iso('t')} AS published,
 
 
 # ---------------------------------------------------------------- names
-def _suffix_pats():
-    return [r"\b" + w + (r"\.?" if dot else "") + r"\b" for w, dot in SUFFIX_WORDS]
+# The company-suffix patterns, in their order.
+SUFFIXES = [
+    r"\binc\.?\b", r"\bllc\.?\b", r"\bcorp\.?\b", r"\bcorporation\b", r"\bltd\.?\b", r"\blimited\b", r"\bco\.?\b",
+    r"\bcompany\b", r"\bgmbh\b", r"\bpbc\b", r"\btechnologies\b", r"\btech\b", r"\blabs?\b",
+]
 
 
 def strip_suffixes(e: str) -> str:
-    for p in _suffix_pats():
+    for p in SUFFIXES:
         e = strip(f"regexp_replace({e}, {q(p)}, '', 'gi')")
     return e
 
@@ -358,17 +371,23 @@ def paper_rows() -> str:
      lambda m: lower(regexp_extract(m, {q(_LINK_RE)}, 1)) NOT IN {_DENY})[1]) AS first_match FROM documents)"""
 
 
-PAPERS = f"""(WITH e AS (SELECT *, {repo_link_sql()} AS github_url FROM {paper_rows()}),
+def papers(limit: int | None) -> str:
+    """Paper records: per feed the newest first and each paper once; with a
+    limit, of the first 2 * limit entries that many."""
+    over = f"WHERE rk <= {2 * limit}" if limit else ""
+    top = f"QUALIFY row_number() OVER (PARTITION BY feed_id ORDER BY rk) <= {limit}" if limit else ""
+    return f"""(WITH e AS (SELECT *, {repo_link_sql()} AS github_url FROM {paper_rows()}),
 r AS (SELECT *, row_number() OVER (PARTITION BY feed_id ORDER BY pub DESC, paper_url, pos) AS rk FROM e),
-o AS (SELECT * FROM r WHERE rk <= {2 * 3}),
+o AS (SELECT * FROM r {over}),
 dd AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY feed_id, paper_url ORDER BY rk) = 1),
-f AS (SELECT * FROM dd QUALIFY row_number() OVER (PARTITION BY feed_id ORDER BY rk) <= 3),
+f AS (SELECT * FROM dd {top}),
 k AS (SELECT *, regexp_replace(regexp_replace({strip('github_url')}, '/+$', ''), '\\.git$', '') AS c FROM f)
 SELECT k.feed_id, k.paper_url, k.title, k.authors, {iso('k.pub')} AS published_date, k.github_url,
   CASE WHEN k.github_url IS NOT NULL THEN s.stars END AS github_stars
 FROM k LEFT JOIN {SNAPSHOT} s ON regexp_extract(k.c, {q(_KEY_RE)}, 1) = s.owner AND regexp_extract(k.c, {q(_KEY_RE)}, 2) = s.repo)"""
 
-SQL["paper_feed_parse"] = f"SELECT * FROM {PAPERS}"
+PAPERS = papers(None)
+SQL["paper_feed_parse"] = f"SELECT * FROM {papers(3)}"
 SQL["paper_run_summary"] = f"""SELECT count(*) AS total_collected, count(DISTINCT paper_url) AS unique_papers,
   count(*) FILTER (WHERE github_url IS NOT NULL) AS with_github, count(*) FILTER (WHERE github_url IS NULL) AS without_github
 FROM {PAPERS}"""
@@ -399,13 +418,22 @@ FROM {resolved('j')}
 SQL["rss_news"] = f"""
 SELECT feed_id, pos, title, url, {iso('t')} AS publication_date, full_text FROM (
   SELECT doc_id // {I.FEED_SIZE} AS feed_id, doc_id % {I.FEED_SIZE} AS pos, {strip(first_line('text'))} AS title,
-    'https://news.example.org/a/' || CAST(doc_id AS VARCHAR) AS url,
+    CASE WHEN doc_id % 7 = 0 THEN 'https://news.example.org/feed/' || CAST(doc_id // {I.FEED_SIZE} AS VARCHAR)
+         ELSE 'https://news.example.org/a/' || CAST(doc_id AS VARCHAR) END AS url,
     {_FRESH_A} - to_hours(CAST(doc_id % 40 AS BIGINT)) AS t,
     substr({strip("replace(text, '&', 'and')")}, 1, 2000) AS full_text FROM documents)
 WHERE t BETWEEN {_FRESH_A} - INTERVAL 24 HOUR AND {_FRESH_A} + INTERVAL 1 HOUR
 """
 
 
+_FEEDS = f"(SELECT DISTINCT doc_id // {I.FEED_SIZE} AS feed_id FROM documents)"
+SQL["feed_rejects"] = f"""SELECT feed_id, CAST(CASE feed_id % 5 WHEN 3 THEN 0 END AS BIGINT) AS pos,
+  CASE feed_id % 5 WHEN 1 THEN 'empty_document' WHEN 2 THEN 'no_items' WHEN 3 THEN 'unreadable_item' ELSE 'empty_document' END AS reason
+FROM {_FEEDS} WHERE feed_id % 5 <> 0"""
+SQL["feed_reject_counts"] = f"""SELECT reason, count(*) AS n FROM (SELECT reason FROM ({SQL['feed_rejects']})
+  UNION ALL SELECT 'kept' FROM documents WHERE doc_id // {I.FEED_SIZE} % 5 IN (0, 3)) GROUP BY reason"""
+
+
 # ---------------------------------------------------------------- JSON / paged / cards
 def first_non_empty(*es: str) -> str:
     return "coalesce(" + ", ".join(f"nullif({e}, '')" for e in es) + ")"
@@ -445,7 +473,7 @@ SELECT feed_id, pos, canonical_name AS company, {iso('t')} AS date, true AS is_r
 FROM {resolved(f"(SELECT * FROM {JSON_JOBS} WHERE t BETWEEN {_FRESH_A} - INTERVAL 24 HOUR AND {_FRESH_A} + INTERVAL 1 HOUR)")}
 """
 
-_PQ = I.PAGE_ITEMS * I.MAX_PAGES
+_PQ = I.PAGE_ITEMS * I.PAGES_PER_QUERY
 
 
 def paged(key: str, table: str, cols: str) -> str:
@@ -470,7 +498,7 @@ REPO_PAGED = f"""(SELECT query_id, page, pos, url, owner AS raw_name, descriptio
 SQL["paged_repos"] = f"SELECT query_id, page, pos, url, canonical_name AS startup_name, {pricing('description')} AS pricing_model FROM {resolved(REPO_PAGED)}"
 
 CARDS = f"""(SELECT c_custkey // {I.CARD_PAGE} AS page_id, c_custkey % {I.CARD_PAGE} AS card_pos,
-    {strip(_name('c_custkey', 'c_name'))} AS raw_name,
+    {strip(_name('c_custkey', 'c_name') + f" || CASE WHEN c_custkey % 3 = 0 AND c_custkey // {I.CARD_PAGE} % 2 = 0 THEN ' Group' ELSE '' END")} AS raw_name,
     (c_custkey % 50 + 1) * (c_custkey % 9 + 2) AS employee_count,
     'https://www.ycombinator.com/companies/' || lower(replace(c_name, '#', '-')) AS url FROM customer)"""
 SQL["html_cards"] = f"SELECT page_id, card_pos, raw_name, canonical_name AS entity_name, employee_count, url FROM {resolved(CARDS)}"
@@ -600,6 +628,35 @@ ON o.o_orderkey = b.doc_id
 SQL["attempt_outcomes"] = f"""SELECT provider, outcome, count(*) AS attempts, count(*) FILTER (WHERE rate_limited) AS rate_limited
 FROM {VALIDATED} GROUP BY provider, outcome"""
 
+SQL["failover_rate"] = f"""WITH t AS (SELECT doc_id, min(tier) AS f, min(tier) FILTER (WHERE outcome = 'ok') AS g FROM {VALIDATED} GROUP BY doc_id)
+SELECT count(*) AS documents, count(*) FILTER (WHERE g = f) AS first_tier, count(*) FILTER (WHERE g > f) AS failed_over,
+  count(*) FILTER (WHERE g IS NULL) AS unanswered, CAST(count(*) FILTER (WHERE g > f) * 1000000 // count(*) AS BIGINT) AS failover_ppm FROM t"""
+
+
+def typed(table: str, key: str, violations: list[str], values: dict[str, str]) -> str:
+    """Records whose fields take each form in turn: the rules' verdict on
+    each form is written out by the row's number ``k``."""
+    viol = "list_filter([" + ", ".join(violations) + "], lambda x: x IS NOT NULL)"
+    cols = ", ".join(f"CASE WHEN len(v) = 0 THEN {e} END AS {n}" for n, e in values.items())
+    return f"""SELECT k AS doc_id, CASE WHEN len(v) > 0 THEN 'schema_invalid' ELSE 'ok' END AS outcome,
+  array_to_string(v, ',') AS violations, {cols} FROM (SELECT *, {viol} AS v FROM (SELECT *, CAST({key} AS BIGINT) AS k FROM {table}))"""
+
+
+SQL["validate_startup"] = typed("supplier", "s_suppkey", [
+    "CASE WHEN k % 7 = 3 THEN 'missing:entityName' END", "CASE WHEN k % 10 IN (3, 8) THEN 'type:employeeCount' END"],
+    {"entityName": "s_name", "employeeCount": "CAST([12, 12, 12, NULL, 1, NULL, 9007199254740993, NULL, NULL, -3][k % 10 + 1] AS BIGINT)"})
+SQL["validate_research_paper"] = typed("part", "p_partkey", [
+    "CASE k % 6 WHEN 3 THEN 'type:authors' WHEN 4 THEN 'null:authors' WHEN 5 THEN 'type:authors' END",
+    "CASE WHEN k % 11 = 0 THEN 'missing:published_date' END"],
+    {"authors": "CASE WHEN k % 6 = 0 THEN 'A|B' ELSE '' END", "github_stars": "CAST([5, 5, NULL, 5, 0][k % 5 + 1] AS BIGINT)",
+     "published_date": "'2024-01-01'"})
+SQL["validate_job"] = typed("orders", "o_orderkey", [
+    "CASE k % 9 WHEN 4 THEN 'type:is_remote' WHEN 6 THEN 'null:is_remote' WHEN 7 THEN 'type:is_remote' END"],
+    {"is_remote": "k % 9 NOT IN (2, 8)", "role_family": "CASE WHEN k % 2 = 0 THEN 'Design' ELSE 'Engineering' END"})
+SQL["validate_news"] = typed("customer", "c_custkey", [
+    "CASE k % 5 WHEN 1 THEN 'null:full_text' WHEN 2 THEN 'type:full_text' WHEN 3 THEN 'missing:full_text' END"],
+    {"full_text": "CASE WHEN k % 5 = 0 THEN 't' ELSE '' END"})
+
 SQL["redact_props"] = """
 SELECT event_id, array_to_string(list_sort([
   'Authorization=***REDACTED***', 'api_key=***REDACTED***', 'session_token=***REDACTED***',
@@ -638,13 +695,20 @@ SQL["tab_jobs"] = f"""SELECT company AS "Company", date AS "Date", 'True' AS "Is
   'Job feed ' || CAST(feed_id AS VARCHAR) AS "Source Name", url AS "Source URL" FROM {JOBS}"""
 SQL["tab_news"] = f"""SELECT title AS "Title", 'News feed ' || CAST(feed_id AS VARCHAR) AS "Source Name", url AS "URL",
   publication_date AS "Publication Date", substr(full_text, 1, 200) AS "Text Snippet" FROM ({SQL['rss_news']})"""
-SQL["tab_entity_mapping_log"] = f"""SELECT raw_clean AS "Raw Name", canonical_name AS "Canonical Name", match_method AS "Match Method"
-FROM {resolved(COMPANY_NAMES)} WHERE match_method IS NOT NULL"""
+_FIRST_PRODUCTS = f"(SELECT * FROM {PRODUCT_CANDS} QUALIFY row_number() OVER (PARTITION BY url ORDER BY source_priority, page, pos) = 1)"
+_JOB_NAMES = f"""(SELECT *, CASE WHEN len(regexp_split_to_array(title, {q(_JOB_SPLIT)})) > 1
+    THEN {strip(split_part_n('title', _JOB_SPLIT, 2))} ELSE 'AI Tech Company' END AS raw_name
+  FROM {JOB_ROWS} WHERE t BETWEEN {_FRESH_A} - INTERVAL 24 HOUR AND {_FRESH_A} + INTERVAL 1 HOUR)"""
+SQL["tab_entity_mapping_log"] = " UNION ALL ".join(
+    f"""SELECT raw_clean AS "Raw Name", canonical_name AS "Canonical Name", match_method AS "Match Method"
+FROM {resolved(src)} WHERE match_method IS NOT NULL""" for src in (STARTUP_CANDS, _FIRST_PRODUCTS, _JOB_NAMES))
 
 SQL["relationship_edges"] = f"""
 SELECT s.entity_name AS src, 'LAUNCHED' AS rel, p.url AS dst FROM {STARTUP_RECORDS} s JOIN {PRODUCT_RECORDS} p ON s.entity_name = p.startup_name
 UNION ALL
 SELECT s.entity_name, 'POSTED', j.url FROM {STARTUP_RECORDS} s JOIN {JOBS} j ON s.entity_name = j.company
+UNION ALL
+SELECT paper_url, 'HAS_REPO', github_url FROM {PAPERS} WHERE github_url IS NOT NULL
 """
 
 _URL_E = "'https://site.example.org/e/' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id AS VARCHAR)"
@@ -660,16 +724,19 @@ SELECT event_id, {iso(f"coalesce(p, m, first_seen, TIMESTAMP '{I.AS_OF_RELATIVE}
 FROM c LEFT JOIN pr USING (link_hash)
 """
 
-_KEPT = "count(*) FILTER (WHERE url <> '')"
-SQL["store_roundtrip"] = f"""
-SELECT 'STARTUP' AS record_type, {_KEPT} AS n, {_KEPT} AS n_with_url, {_KEPT} AS n_payload_url_match FROM {STARTUP_RECORDS}
-UNION ALL SELECT 'PRODUCT', {_KEPT}, {_KEPT}, {_KEPT} FROM {PRODUCT_RECORDS}
-UNION ALL SELECT 'RESEARCH_PAPER', count(*) FILTER (WHERE paper_url <> ''), count(*) FILTER (WHERE paper_url <> ''),
-  count(*) FILTER (WHERE paper_url <> '') FROM {PAPERS}
-UNION ALL SELECT 'JOB', {_KEPT}, {_KEPT}, {_KEPT} FROM {JOBS}
-UNION ALL SELECT 'NEWS', {_KEPT}, {_KEPT}, {_KEPT} FROM ({SQL['rss_news']})
-"""
+STORED = {
+    "STARTUP": f"SELECT 'STARTUP' AS record_type, url AS source_url, entity_name AS key, CAST(employee_count AS VARCHAR) AS more, source_name FROM {STARTUP_RECORDS}",
+    "PRODUCT": f"SELECT 'PRODUCT', url, startup_name, pricing_model, source_name FROM {PRODUCT_RECORDS}",
+    "RESEARCH_PAPER": f"SELECT 'RESEARCH_PAPER', paper_url, title, CAST(github_stars AS VARCHAR), 'arXiv' FROM {PAPERS}",
+    "JOB": f"SELECT 'JOB', url, company, 'true', 'Job feed ' || CAST(feed_id AS VARCHAR) FROM {JOBS}",
+    "NEWS": f"SELECT 'NEWS', url, title, full_text, 'News feed ' || CAST(feed_id AS VARCHAR) FROM ({SQL['rss_news']})",
+}
+SQL["store_roundtrip"] = "SELECT * FROM (" + " UNION ALL ".join(STORED.values()) + ") WHERE source_url <> ''"
+SQL["store_counts"] = f"SELECT record_type, count(*) AS n, count(*) AS n_payload_url_match FROM ({SQL['store_roundtrip']}) GROUP BY record_type"
+SQL["url_rejects"] = f"""SELECT 'JOB' AS record_type, CASE WHEN contains(url, '/feed/') THEN 'missing:source.url' ELSE 'ok' END AS reason,
+  company, 'Job feed ' || CAST(feed_id AS VARCHAR) AS source_name FROM {JOBS}"""
 SQL["stream_dedup"] = f"SELECT event_id, user_id, event_type, {iso('ts')} AS published FROM events"
+SQL["stream_ledger_restart"] = SQL["stream_dedup"]
 SQL["stream_freshness"] = SQL["freshness_filter"]
 
 SQL["job_fingerprint_dedup"] = f"""
@@ -679,8 +746,40 @@ SELECT fingerprint, feed_id, pos, company, date, url FROM f
 QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY feed_id, pos) = 1
 """
 SQL["stream_feed_parse"] = SQL["rss_jobs"]
-SQL["export_roundtrip"] = " UNION ALL ".join(
-    [f"SELECT {q(t)} AS output, count(*) AS n FROM ({SQL['tab_' + t]})" for t in
-     ["startups", "products", "research_papers", "jobs", "news"]]
-    + [f"SELECT 'entity_mapping_log' AS output, count(*) AS n FROM ({SQL['tab_entity_mapping_log']})",
-       f"SELECT 'research_papers_json' AS output, count(*) AS n FROM ({SQL['tab_research_papers']})"])
+_TAB_COLUMNS = {
+    "startups": ["Entity Name", "Employee Count", "Source Name", "Source URL", "Collected At"],
+    "products": ["Startup Name", "Pricing Model", "Source Name", "Source URL", "Collected At"],
+    "research_papers": ["Title", "Authors", "Paper URL", "GitHub URL", "GitHub Stars", "Published Date"],
+    "jobs": ["Company", "Date", "Is Remote", "Role Family", "Source Name", "Source URL"],
+    "news": ["Title", "Source Name", "URL", "Publication Date", "Text Snippet"],
+    "entity_mapping_log": ["Raw Name", "Canonical Name", "Match Method"],
+}
+
+
+def _exported(output: str, tab: str) -> str:
+    cols = ", ".join(f"""coalesce("{c}", '')""" for c in _TAB_COLUMNS[tab])
+    return f"SELECT {q(output)} AS output, concat_ws(chr(31), {cols}) AS row_text FROM ({SQL['tab_' + tab]})"
+
+
+SQL["export_roundtrip"] = " UNION ALL ".join([*[_exported(t, t) for t in _TAB_COLUMNS], _exported("research_papers_json", "research_papers")])
+SQL["topic_clusters_check"] = """SELECT count(*) AS vectors, count(DISTINCT vec_id) AS distinct_vectors, false AS out_of_range,
+  false AS bad_distance, true AS at_most_k FROM embeddings"""
+
+# ---------------------------------------------------------------- HTML text by pattern (regular markup only)
+_HIDDEN = "|".join(f"<{t}(\\s[^>]*)?>.*?</{t}>" for t in ("script", "style", "nav", "header", "footer", "noscript", "svg", "iframe"))
+
+
+def unescape(e: str) -> str:
+    for name, c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
+        e = f"replace({e}, {q(name)}, '{c}')"
+    return e
+
+
+_RUNS = f"string_split(regexp_replace(regexp_replace(html, '(?is){_HIDDEN}', chr(30), 'g'), '(?s)<!--.*?-->|<[^>]*>', chr(30), 'g'), chr(30))"
+CLEAN = f"""(SELECT page_id, trim(regexp_replace(array_to_string(list_transform(list_filter({_RUNS}, lambda r: r <> ''),
+    lambda r: CASE WHEN trim(r, ' ' || chr(9) || chr(10) || chr(12) || chr(13)) <> '' THEN {unescape('r')} WHEN contains(r, chr(10)) THEN chr(10) ELSE ' ' END),
+    chr(10)), '\\n\\s*\\n', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(12) || chr(13)) AS clean_text FROM pages)"""
+SQL["html_clean_text"] = f"SELECT page_id, clean_text FROM {CLEAN}"
+_PAGE_DOCS = f"(SELECT page_id AS doc_id, clean_text AS text FROM {CLEAN})"
+SQL["extraction_input"] = f"""SELECT doc_id AS page_id, arg_min(chunk, chunk_idx) AS first_chunk, CAST(count(*) AS BIGINT) AS n_chunks
+FROM {chunks_sql(_PAGE_DOCS)} GROUP BY doc_id"""

@@ -33,14 +33,14 @@ def register(name: str):
 def page_role_summary(spark: SparkSession, sf: str) -> DataFrame:
     """pages -> F1 -> D4 first wins over three crawls -> F26 text ->
     F14/F15 tags -> per role family: pages, pricing models, hosts."""
-    pages = I.table(spark, sf, "pages")
-    v = I.page_variants(pages, "html").withColumn("norm_url", urls.normalize_url("url"))
-    first = dedup.first_wins(v, "norm_url", ["priority", "page_id", "variant"])
-    text = first.select("norm_url", chunking.regex_html_text("html").alias("text"))
-    tagged = text.select(urls.url_host("norm_url").alias("host"),
-                         tags.role_family("text").alias("role_family"),
+    # tags once a page; only narrow rows take part in the fan-out and dedup
+    text = I.table(spark, sf, "pages").select("page_id", "url", chunking.regex_html_text("html").alias("text"))
+    tagged = text.select("page_id", "url", tags.role_family("text").alias("role_family"),
                          tags.pricing_model("text").alias("pricing_model"))
-    return tagged.groupBy("role_family").agg(
+    v = I.page_variants(tagged, "role_family", "pricing_model").withColumn("norm_url", urls.normalize_url("url")).drop("url")
+    first = dedup.first_wins(v, "norm_url", ["priority", "page_id", "variant"]) \
+        .select(urls.url_host("norm_url").alias("host"), "role_family", "pricing_model")
+    return first.groupBy("role_family").agg(
         F.count(F.lit(1)).alias("pages"),
         F.count_distinct("pricing_model").alias("pricing_models"),
         F.count_distinct("host").alias("hosts"))
@@ -132,12 +132,15 @@ def freshness_filter(spark, sf):
 ABS_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd",
     "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "EEE, dd MMM yyyy HH:mm:ss 'GMT'",
+    "yyyy-MM-dd'T'HH:mm'Z'", "yyyy-MM-dd'T'HH:mm'+02:00'", "yyyy-MM-dd'T'HH", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'7Z'",
+    "EEE, dd MMM yyyy HH:mm 'GMT'", "EEE, dd MMM yyyy HH:mm:ss 'EST'", "EEEE, dd MMM yyyy HH:mm:ss 'GMT'",
+    "yyyy-MM-dd'T'HH:mm:ss'-0530'",
 ]
 
 
 @register("publish_time_absolute")
 def publish_time_absolute(spark, sf):
-    """F5 + F7 + F6: each event time written in one of eight feed formats,
+    """F5 + F7 + F6: each event time written in one of the feed formats,
     parsed back to an instant and printed as ISO-8601."""
     e = I.events(spark, sf)
     k = (F.col("event_id") % len(ABS_FORMATS)).cast("int")
@@ -233,8 +236,7 @@ def title_company_split(spark, sf):
     k = F.col("p_partkey")
     seps = F.element_at(F.array(F.lit(" at "), F.lit(" - "), F.lit(" : "), F.lit(" AT ")), (k % 4 + 1).cast("int"))
     p = part.withColumn("nk", (k % 25).cast("int"))
-    # nation is a fixed 25-row dimension: a proven bound, broadcast it
-    j = p.join(F.broadcast(nation), p["nk"] == nation["n_nationkey"], "left")
+    j = p.join(nation, p["nk"] == nation["n_nationkey"], "left")
     cap = F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 1 << 30))
     job_title = F.concat(cap, seps, F.coalesce(F.col("n_name"), F.lit("")))
     prod_title = F.when(k % 2 == 0, F.concat("p_name", F.lit(" by "), "p_brand")) \
@@ -307,16 +309,20 @@ def employee_range(spark, sf):
 from feedloom.operators import enrich as EN  # noqa: E402
 from feedloom.sources import feeds as FD  # noqa: E402
 
-PAPER_LIMIT = 3  # records kept per paper feed (the API asks for 2x this)
+PAPER_LIMIT = 3  # records per feed that ``paper_feed_parse`` asks for
 
 
-def _papers(spark, sf):
+def _papers(spark, sf, limit=None):
     feeds = I.atom_paper_feeds(spark, sf)
     e = FD.atom_paper_entries(feeds, keep=["feed_id"])
     e = times.with_parsed_date(e, "published_raw", "__pub", I.AS_OF_RELATIVE, on_unparsed="now")
     e = e.withColumn("github_url", extract.repo_link("search_text"))
-    top = dedup.overfetch_dedup_limit(e, "feed_id", [F.col("__pub").desc(), F.col("paper_url"), F.col("pos")],
-                                      "paper_url", PAPER_LIMIT)
+    if limit is None:  # every entry, first wins per feed and paper in feed order
+        e = e.withColumn("__newest", -F.unix_micros("__pub"))
+        top = dedup.first_wins(e, ["feed_id", "paper_url"], ["__newest", "pos"])
+    else:
+        top = dedup.overfetch_dedup_limit(e, "feed_id", [F.col("__pub").desc(), F.col("paper_url"), F.col("pos")],
+                                          "paper_url", limit)
     top = EN.with_repo_stars(top, _star_snapshot(spark, sf))
     return top.select("feed_id", "paper_url", "title", "authors",
                       times.format_iso("__pub").alias("published_date"), "github_url", "github_stars")
@@ -326,7 +332,7 @@ def _papers(spark, sf):
 def paper_feed_parse(spark, sf):
     """SRC1 + SRC2 + O1 + L2 + D3 + J2: Atom paper feeds -> newest first,
     over-fetch 2x, dedup by paper URL, keep the limit, enrich stars."""
-    return _papers(spark, sf).withColumn("authors", F.array_join("authors", ", "))
+    return _papers(spark, sf, PAPER_LIMIT).withColumn("authors", F.array_join("authors", ", "))
 
 
 @register("paper_run_summary")
@@ -335,16 +341,20 @@ def paper_run_summary(spark, sf):
     return EN.paper_summary(_papers(spark, sf))
 
 
-def _jobs(spark, sf, freshness_hours=24):
+def _resolved_jobs(spark, sf, freshness_hours=24):
     feeds = I.job_rss_feeds(spark, sf)
     items = FD.feed_items(feeds, keep=["feed_id"])
     items = times.with_parsed_date(items, "date_raw", "__t", I.AS_OF_FRESH, on_unparsed="now")
     fresh = items.where(times.is_fresh("__t", I.AS_OF_FRESH, freshness_hours))
     fresh = fresh.withColumn("company_raw", extract.job_company("title"))
-    res = R.resolve_names(fresh, "company_raw")
-    return res.select("feed_id", "pos", F.col("canonical_name").alias("company"),
-                      times.format_iso("__t").alias("date"), F.lit(True).alias("is_remote"),
-                      tags.role_family("title").alias("role_family"), "url")
+    return R.resolve_names(fresh, "company_raw")
+
+
+def _jobs(spark, sf, freshness_hours=24):
+    return _resolved_jobs(spark, sf, freshness_hours).select(
+        "feed_id", "pos", F.col("canonical_name").alias("company"),
+        times.format_iso("__t").alias("date"), F.lit(True).alias("is_remote"),
+        tags.role_family("title").alias("role_family"), "url")
 
 
 @register("rss_jobs")
@@ -355,7 +365,7 @@ def rss_jobs(spark, sf):
 
 def _news(spark, sf):
     from feedloom.operators.html import fragment_text
-    feeds = I.news_atom_feeds(spark, sf)
+    feeds = I.news_feeds(spark, sf)
     items = FD.feed_items(feeds, keep=["feed_id"])
     items = times.with_parsed_date(items, "date_raw", "__t", I.AS_OF_FRESH, on_unparsed="now")
     fresh = items.where(times.is_fresh("__t", I.AS_OF_FRESH, 24))  # filter before the Python stage
@@ -366,10 +376,26 @@ def _news(spark, sf):
 
 @register("rss_news")
 def rss_news(spark, sf):
-    """SRC4 + P3 + F27 + F24: Atom news feeds to news records."""
+    """SRC4 + P3 + F27 + F24: Atom and RDF news feeds to news records."""
     return _news(spark, sf)
 
 
+@register("feed_rejects")
+def feed_rejects(spark, sf):
+    """SRC3/SRC4: feed documents without items, and items that can't be
+    read, each with its reason."""
+    return FD.feed_rejects(I.broken_feeds(spark, sf), keep=["feed_id"])
+
+
+@register("feed_reject_counts")
+def feed_reject_counts(spark, sf):
+    """Rejected documents and items by reason, beside the items kept."""
+    feeds = I.broken_feeds(spark, sf)
+    lost = FD.feed_rejects(feeds, keep=["feed_id"]).select("reason")
+    kept = FD.feed_items(feeds, keep=["feed_id"]).select(F.lit("kept").alias("reason"))
+    return lost.unionByName(kept).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- 18-20 JSON / PAGED / HTML
 HF = "https://huggingface.co"
 GH = "https://github.com"
@@ -425,8 +451,7 @@ def json_jobs(spark, sf):
 
 def _paged_items(pages, element_schema):
     ok = (F.col("status") == 200) & (F.size(F.from_json("body", "struct<items:array<string>>")["items"]) > 0)
-    kept = FD.pages_before_first_bad(pages.withColumn("ok", F.coalesce(ok, F.lit(False))), ["query_id"],
-                                     max_pages=I.MAX_PAGES)
+    kept = FD.pages_before_first_bad(pages.withColumn("ok", F.coalesce(ok, F.lit(False))), ["query_id"])
     return FD.json_array_entries(kept, element_schema, path="items", keep=["query_id", "page"])
 
 
@@ -541,9 +566,9 @@ def product_records(spark, sf):
 # ---------------------------------------------------------------- 21-23 HTML / CHUNKS
 @register("html_clean_text")
 def html_clean_text(spark, sf):
-    """page HTML -> visible text (Arrow mapInPandas, html.parser)."""
+    """page HTML -> visible text (Arrow UDF, html.parser)."""
     from feedloom.operators.html import clean_html
-    return clean_html(I.table(spark, sf, "pages").select("page_id", "html"), "html", "clean_text").drop("html")
+    return clean_html(I.table(spark, sf, "pages").select("page_id", "html"), "html", "clean_text")
 
 
 @register("extraction_input")
@@ -633,6 +658,27 @@ def attempt_outcomes(spark, sf):
     return V.attempt_outcomes(_validated(spark, sf))
 
 
+@register("failover_rate")
+def failover_rate(spark, sf):
+    """Documents answered by the first tier, a later one, none."""
+    return V.failover_rate(_validated(spark, sf))
+
+
+def _register_typed(record_type: str, fields: list[str]) -> None:
+    @register(f"validate_{record_type.lower()}")
+    def fn(spark, sf):
+        v = V.validate_responses(I.typed_responses(spark, sf, record_type), record_type)
+        cols = [F.array_join(f, "|").alias(f) if f == "authors" else F.col(f) for f in fields]
+        return v.select("doc_id", "outcome", F.array_join("violations", ",").alias("violations"), *cols)
+    fn.__doc__ = f"V1 for {record_type}: every lax form of its int, bool and list fields."
+
+
+_register_typed("STARTUP", ["entityName", "employeeCount"])
+_register_typed("RESEARCH_PAPER", ["authors", "github_stars", "published_date"])
+_register_typed("JOB", ["is_remote", "role_family"])
+_register_typed("NEWS", ["full_text"])
+
+
 @register("redact_props")
 def redact_props(spark, sf):
     """F32 over each event's property map (JSON props + attributes)."""
@@ -705,21 +751,32 @@ for _tab, (_rt, _layout) in ST.TABS.items():
     register(f"tab_{_tab}")(_mk())
 
 
+def _pipeline_log(spark, sf):
+    """every resolve call of the startup, product and job pipelines."""
+    products = R.resolve_names(dedup.first_wins(_product_candidates(spark, sf), "url", ["source_priority", "page", "pos"]), "raw_name")
+    logs = [R.resolution_log(x) for x in (_startup_candidates(spark, sf), products, _resolved_jobs(spark, sf))]
+    return logs[0].unionByName(logs[1]).unionByName(logs[2])
+
+
 @register("tab_entity_mapping_log")
 def tab_entity_mapping_log(spark, sf):
-    """P2 + SNK6: the entity mapping log tab."""
-    return ST.log_tab_frame(R.resolution_log(_resolved(spark, sf)))
+    """F13 + SNK3 + P2 + SNK6: the resolution log of the pipelines, saved and
+    read back as the entity mapping log tab."""
+    from feedloom.session import scratch_path
+    path = scratch_path(spark, "log")
+    ST.save_log(_pipeline_log(spark, sf), path)
+    return ST.log_tab_frame(spark.read.parquet(path))
 
 
 # ---------------------------------------------------------------- 31 EDGES
 @register("relationship_edges")
 def relationship_edges(spark, sf):
-    """Startup LAUNCHED product and startup POSTED job edges (inner
-    equi-joins on canonical name; startups are unique by name)."""
+    """Startup LAUNCHED product and startup POSTED job edges (one
+    equi-join on canonical name), and paper HAS_REPO repository edges."""
     s = startup_records(spark, sf).select(F.col("entity_name").alias("name"))
     p = product_records(spark, sf).select(F.col("startup_name").alias("name"), F.col("url").alias("id"))
     j = _jobs(spark, sf).select(F.col("company").alias("name"), F.col("url").alias("id"))
-    return EN.relationship_edges(s, p, j)
+    return EN.relationship_edges(s, p, j, _papers(spark, sf).select("paper_url", "github_url"))
 
 
 # ---------------------------------------------------------------- 33 MISSING DATES
@@ -748,61 +805,133 @@ def missing_date_fallback(spark, sf):
             .groupBy("link_hash").agg(F.min("first_seen").alias("first_seen")))
     cur = times.with_parsed_date(cur, "published_raw", "__p", I.AS_OF_RELATIVE)
     cur = times.with_parsed_date(cur, "last_modified", "__m", I.AS_OF_RELATIVE)
-    j = cur.join(prev, "link_hash", "left")
-    src = (F.when(F.col("__p").isNotNull(), F.lit("published")).when(F.col("__m").isNotNull(), F.lit("last_modified"))
-            .when(F.col("first_seen").isNotNull(), F.lit("previous_crawl")).otherwise(F.lit("first_seen")))
-    t = F.coalesce("__p", "__m", "first_seen", times.to_ts(I.AS_OF_RELATIVE))
-    return j.select("event_id", times.format_iso(t).alias("published"), src.alias("date_source"))
+    # only rows without either date look the link up
+    dated = F.col("__p").isNotNull() | F.col("__m").isNotNull()
+    known = cur.where(dated).select("event_id", F.coalesce("__p", "__m").alias("t"),
+                                    F.when(F.col("__p").isNotNull(), F.lit("published")).otherwise(F.lit("last_modified")).alias("date_source"))
+    looked = cur.where(~dated).join(prev, "link_hash", "left").select(
+        "event_id", F.coalesce("first_seen", times.to_ts(I.AS_OF_RELATIVE)).alias("t"),
+        F.when(F.col("first_seen").isNotNull(), F.lit("previous_crawl")).otherwise(F.lit("first_seen")).alias("date_source"))
+    return known.unionByName(looked).select("event_id", times.format_iso("t").alias("published"), "date_source")
 
 
 # ---------------------------------------------------------------- 28 STORE
+def _write_store(spark, sf, path):
+    """P10 + SNK1 + SNK2 + X3: every record type to the store, partitioned by
+    type and month; records without a source URL go to the rejects beside it."""
+    for rt in ST.RECORD_TYPES:
+        kept, rejected = V.split_by_source_url(envelopes(spark, sf, rt))
+        ST.save_records(ST.to_store_rows(kept, rt, month_from="collectedAt"), f"{path}/records", ("record_type", "month"))
+        ST.save_rejects(rejected, rt, f"{path}/rejects")
+
+
+# the text of a record that its key and one more field give, by type
+STORE_FIELDS = {"STARTUP": ("entityName", "employeeCount"), "PRODUCT": ("startupName", "pricingModel"),
+                "RESEARCH_PAPER": ("title", "github_stars"), "JOB": ("company", "is_remote"), "NEWS": ("title", "full_text")}
+
+
 @register("store_roundtrip")
 def store_roundtrip(spark, sf):
-    """P10 + SNK1 + SNK2 + X3 (write, partitioned by type and month), then SRC12 +
-    P9 + G2/G3 + X4 (read back with partition pruning, count per type,
-    query payload keys).  The store lives under the shared checkpoint
-    folder."""
+    """P10 + SNK1 + SNK2 + X3, then SRC12 + P9 + X4: the records as read back
+    (partition pruned, typed), with two of their fields as text, and whether
+    the payload's key query agrees with the stored URL."""
     from feedloom.session import scratch_path
     path = scratch_path(spark, "store")
-    for rt in ["STARTUP", "PRODUCT", "RESEARCH_PAPER", "JOB", "NEWS"]:
-        env, _rejected = V.split_by_source_url(envelopes(spark, sf, rt))  # P10
-        ST.save_records(ST.to_store_rows(env, rt, month_from="collectedAt"), path, ("record_type", "month"))
-    stored = spark.read.parquet(path)
+    _write_store(spark, sf, path)
     out = None
-    for rt in ["STARTUP", "PRODUCT", "RESEARCH_PAPER", "JOB", "NEWS"]:
-        typed = ST.read_records(spark, path, rt)
-        part = typed.agg(F.count(F.lit(1)).alias("n"),
-                         F.count_if(F.col("source.url") != "").alias("n_with_url")).select(F.lit(rt).alias("record_type"), "*")
+    for rt, (key, more) in STORE_FIELDS.items():
+        part = ST.read_records(spark, f"{path}/records", rt).select(
+            F.lit(rt).alias("record_type"), F.col("source.url").alias("source_url"), F.col(f"content.{key}").alias("key"),
+            F.col(f"content.{more}").cast("string").alias("more"), F.col("source.name").alias("source_name"))
         out = part if out is None else out.unionByName(part)
-    payload_urls = (stored.groupBy("record_type")
-                    .agg(F.count_if(ST.payload_field(F.col("payload"), "$.source.url") == F.col("source_url"))
-                         .alias("n_payload_url_match")))
-    return out.join(payload_urls, "record_type", "left")
+    return out
+
+
+@register("store_counts")
+def store_counts(spark, sf):
+    """G2 + G3 + X4: stored rows per type, and those whose payload holds the
+    stored source URL."""
+    from feedloom.session import scratch_path
+    path = scratch_path(spark, "store")
+    _write_store(spark, sf, path)
+    match = spark.read.parquet(f"{path}/records").groupBy("record_type").agg(
+        F.count_if(ST.payload_field(F.col("payload"), "$.source.url") == F.col("source_url")).alias("n_payload_url_match"))
+    return ST.count_by_type(spark, f"{path}/records").join(match, "record_type")
+
+
+@register("url_rejects")
+def url_rejects(spark, sf):
+    """P10: job records of which the items without a link have no source URL;
+    the written rejects with their reason, and the records kept."""
+    from feedloom.session import scratch_path
+    path = scratch_path(spark, "rejects")
+    jobs = _jobs(spark, sf)
+    bare = jobs.withColumn("url", F.when(F.col("url").contains("/feed/"), F.lit("")).otherwise(F.col("url")))
+    env = ST.envelope(bare, "JOB", {"company": F.col("company"), "date": F.col("date"), "is_remote": F.col("is_remote"),
+                                    "role_family": F.col("role_family")},
+                      F.concat(F.lit("Job feed "), F.col("feed_id").cast("string")), F.col("url"), _collected())
+    kept, rejected = V.split_by_source_url(env)
+    ST.save_rejects(rejected, "JOB", path)
+    back = spark.read.parquet(path).select("record_type", "reason", ST.payload_field(F.col("payload"), "$.content.company").alias("company"),
+                                           ST.payload_field(F.col("payload"), "$.source.name").alias("source_name"))
+    return back.unionByName(kept.select(F.lit("JOB").alias("record_type"), F.lit("ok").alias("reason"),
+                                        F.col("content.company").alias("company"), F.col("source.name").alias("source_name")))
 
 
 # ---------------------------------------------------------------- 32 STREAMS
-def _land_events_twice(spark, sf, path):
-    """Land the events table twice (a re-delivery) as two files."""
+LATE = 10  # every tenth event is missing from the first delivery
+
+
+def _land_events(spark, sf, path):
+    """Two deliveries of the events: the first lacks every tenth, the second
+    repeats all and so holds new events that are older than those seen."""
     e = I.table(spark, sf, "events")
-    e.coalesce(1).write.mode("overwrite").parquet(f"{path}/delivery=1")
-    e.coalesce(1).write.mode("overwrite").parquet(f"{path}/delivery=2")
+    e.where(F.col("event_id") % LATE != 0).write.mode("overwrite").parquet(f"{path}/delivery=1")
+    e.write.mode("overwrite").parquet(f"{path}/delivery=2")
     return e.schema
 
 
+def _event_stream(spark, path, schema):
+    from feedloom.streaming import ingest
+    s = ingest.read_landed(spark, path, schema)
+    return s.withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "user_id", "event_type", "ts")
+
+
+def _to_ledger(stream, base, run):
+    from feedloom.streaming import ingest
+    ckpt = f"{base}/_ckpt-{run}"
+    ingest.run_available_now(stream, ckpt, ingest.ledger_writer(f"{base}/ledger", "event_id", ckpt, ["ts", "user_id"]))
+
+
+def _ledger_rows(spark, base):
+    return spark.read.parquet(f"{base}/ledger").select("event_id", "user_id", "event_type", times.format_iso("ts").alias("published"))
+
+
 @register("stream_dedup")
 def stream_dedup(spark, sf):
-    """ST1 + ST2: events landed twice, streamed (availableNow), re-deliveries
-    dropped per event id within a 1-hour watermark."""
+    """ST1 + ST2: two deliveries streamed one after the other with one
+    checkpoint; re-delivered events are dropped, late new ones kept."""
     from feedloom.session import scratch_path
-    from feedloom.streaming import ingest
     base = scratch_path(spark, "stream-dedup")
-    schema = _land_events_twice(spark, sf, f"{base}/landing")
-    s = ingest.read_landed(spark, f"{base}/landing/*", schema, max_files_per_trigger=1)
-    s = s.withColumn("ts", F.col("ts").cast("timestamp"))
-    d = ingest.dedup_within_watermark(s, "event_id", "ts", "1 hour")
-    ingest.run_available_now(d.select("event_id", "user_id", "event_type", "ts"), f"{base}/_ckpt", f"{base}/out")
-    out = spark.read.parquet(f"{base}/out")
-    return out.select("event_id", "user_id", "event_type", times.format_iso("ts").alias("published"))
+    e = I.table(spark, sf, "events")
+    landing = f"{base}/landing"
+    e.where(F.col("event_id") % LATE != 0).write.mode("append").parquet(landing)
+    _to_ledger(_event_stream(spark, landing, e.schema), base, "a")
+    e.write.mode("append").parquet(landing)
+    _to_ledger(_event_stream(spark, landing, e.schema), base, "a")
+    return _ledger_rows(spark, base)
+
+
+@register("stream_ledger_restart")
+def stream_ledger_restart(spark, sf):
+    """ST4: two streams with checkpoints of their own over one ledger; the
+    second keeps what the first wrote and adds what is new."""
+    from feedloom.session import scratch_path
+    base = scratch_path(spark, "stream-restart")
+    schema = _land_events(spark, sf, f"{base}/landing")
+    _to_ledger(_event_stream(spark, f"{base}/landing/delivery=1", schema), base, "a")
+    _to_ledger(_event_stream(spark, f"{base}/landing/delivery=2", schema), base, "b")
+    return _ledger_rows(spark, base)
 
 
 @register("stream_freshness")
@@ -812,13 +941,9 @@ def stream_freshness(spark, sf):
     from feedloom.session import scratch_path
     from feedloom.streaming import ingest
     base = scratch_path(spark, "stream-fresh")
-    schema = _land_events_twice(spark, sf, f"{base}/landing")
-    s = ingest.read_landed(spark, f"{base}/landing/*", schema, max_files_per_trigger=1)
-    s = s.withColumn("ts", F.col("ts").cast("timestamp"))
-    f = ingest.fresh_only(s, "ts", I.AS_OF_FRESH, 24).select("event_id", "user_id", "event_type", "ts")
-    ingest.run_available_now(f, f"{base}/_ckpt", ingest.ledger_writer(f"{base}/ledger", "event_id"))
-    out = spark.read.parquet(f"{base}/ledger")
-    return out.select("event_id", "user_id", "event_type", times.format_iso("ts").alias("published"))
+    schema = _land_events(spark, sf, f"{base}/landing")
+    _to_ledger(ingest.fresh_only(_event_stream(spark, f"{base}/landing/*", schema), "ts", I.AS_OF_FRESH, 24), base, "a")
+    return _ledger_rows(spark, base)
 
 
 # ---------------------------------------------------------------- 34 CLUSTERS
@@ -868,26 +993,46 @@ def stream_feed_parse(spark, sf):
 
 @register("export_roundtrip")
 def export_roundtrip(spark, sf):
-    """SNK5 + SNK6 + SNK7: the six tabs written as CSV (header, doubled
-    quotes) and the papers as JSON under the shared folder, then read back
-    and counted per output."""
+    """SNK5 + SNK6 + SNK7: records written to the store once, exported from it
+    as CSV tabs (header, doubled quotes) and the papers as JSON, and every
+    exported value read back, joined by U+001F."""
     from feedloom.session import scratch_path
     base = scratch_path(spark, "exports")
+    _write_store(spark, sf, base)
     outs = []
     for tab, (rt, _layout) in ST.TABS.items():
-        ST.write_csv(ST.tab_frame(envelopes(spark, sf, rt), tab), f"{base}/{tab}")
+        ST.write_csv(ST.tab_frame(ST.read_records(spark, f"{base}/records", rt), tab), f"{base}/{tab}")
         outs.append(tab)
-    ST.write_csv(ST.log_tab_frame(R.resolution_log(_resolved(spark, sf))), f"{base}/entity_mapping_log")
+    ST.write_csv(ST.log_tab_frame(_pipeline_log(spark, sf)), f"{base}/entity_mapping_log")
     outs.append("entity_mapping_log")
-    ST.write_json_lines(envelopes(spark, sf, "RESEARCH_PAPER"), f"{base}/research_papers_json")
+    papers = ST.read_records(spark, f"{base}/records", "RESEARCH_PAPER")
+    ST.write_json_lines(papers, f"{base}/research_papers_json")
+
+    def joined(df, cols):
+        return F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
     parts = []
     for tab in outs:
         back = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-                .csv(f"{base}/{tab}"))
-        parts.append(back.agg(F.count(F.lit(1)).alias("n")).select(F.lit(tab).alias("output"), "n"))
-    js = spark.read.json(f"{base}/research_papers_json")
-    parts.append(js.agg(F.count(F.lit(1)).alias("n")).select(F.lit("research_papers_json").alias("output"), "n"))
+                .option("lineSep", "\n").csv(f"{base}/{tab}"))
+        parts.append(back.select(F.lit(tab).alias("output"), joined(back, back.columns).alias("row_text")))
+    js = spark.read.schema(papers.schema).json(f"{base}/research_papers_json")
+    flat = ST.tab_frame(js, "research_papers")
+    parts.append(flat.select(F.lit("research_papers_json").alias("output"), joined(flat, flat.columns).alias("row_text")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register("topic_clusters_check")
+def topic_clusters_check(spark, sf):
+    """What must hold for any k-means result: every vector is assigned
+    once, to one of k clusters, at a distance."""
+    from feedloom.operators.clusters import topic_clusters as tc
+    emb = I.table(spark, sf, "embeddings")
+    k = max(2, emb.select(F.count_distinct("label")).first()[0])  # one scalar to the driver
+    got = tc(emb, "embedding", k)
+    return got.agg(F.count(F.lit(1)).alias("vectors"), F.count_distinct("vec_id").alias("distinct_vectors"),
+                   F.max((F.col("cluster") >= k) | (F.col("cluster") < 0)).alias("out_of_range"),
+                   F.max(F.col("distance").isNull() | (F.col("distance") < 0)).alias("bad_distance"),
+                   (F.count_distinct("cluster") <= k).alias("at_most_k"))

@@ -44,10 +44,6 @@ def envelope_schema(record_type: str) -> T.StructType:
     ])
 
 
-LOG_SCHEMA = T.StructType([T.StructField("raw_name", T.StringType()),
-                           T.StructField("canonical_name", T.StringType()),
-                           T.StructField("match_method", T.StringType())])
-
 # Validation specs: (field, kind, required, nullable, domain).  "required"
 # means a missing key is rejected; "nullable" means JSON null is accepted.
 VALIDATION = {

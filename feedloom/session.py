@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -21,10 +23,9 @@ BASE_CONF = {
     # do not merge those below 256 KB per task (large inputs are unaffected).
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # No broadcast from planner estimates (they can be far off after
-    # filters and generators); a join side is broadcast only when it is
-    # bounded by construction (explicit hint) or measured at runtime by AQE.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # From planner estimates only very small sides are broadcast (estimates
+    # can be far off after generators); larger ones when measured at runtime.
+    "spark.sql.autoBroadcastJoinThreshold": "1MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # the HTML stage ships whole pages to Python: bound each Arrow batch by
@@ -90,15 +91,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is always read from
-    the session.  Only when it is unset (local tests) do we pick a scratch
-    folder of our own.
+    the session.  Only when it is unset and the master is local do we pick a
+    scratch folder of our own, which goes when the process ends.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="feedloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # core setting may be read-only on some deployments

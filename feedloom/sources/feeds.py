@@ -5,7 +5,7 @@ plus whatever ordering columns the caller carries (``source_priority``,
 ``page``).  Each parser emits one row per entry with ``pos`` (the entry's
 position in its document), so first-wins order survives the shuffle.
 Parsing is per row (``from_xml``/``from_json`` + ``posexplode``): no
-shuffle, and a malformed document yields no entries instead of failing.
+shuffle, and a malformed document fails nothing; ``feed_rejects`` lists it.
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ ATOM_PAPER_SCHEMA = (
     "entry array<struct<id:string,title:string,published:string,summary:string,comment:string,"
     "author:array<struct<name:string>>>>"
 )
-_ITEM_FIELDS = ("title:string,link:struct<_href:string,_VALUE:string>,pubDate:string,published:string,"
-                "updated:string,description:string,encoded:string,summary:string")
-RSS_SCHEMA = f"channel struct<item:array<struct<{_ITEM_FIELDS}>>>"
-ATOM_SCHEMA = f"entry array<struct<{_ITEM_FIELDS}>>"
-RSS_ANY_ITEM_SCHEMA = f"channel struct<item:array<struct<{_ITEM_FIELDS}>>>"
+# a link may hold text (RSS) or an href (Atom), and an entry several links
+ITEM_SCHEMA = ("title string, link array<struct<_href:string,_VALUE:string>>, pubDate string, published string, "
+               "updated string, description string, encoded string, summary string")
+_ITEM_FIELDS = ("title", "link", "pubDate", "published", "updated", "description", "encoded", "summary")
+#: Why a feed document, or an item of it, gives no record.
+EMPTY, NO_ITEMS, BAD_ITEM = "empty_document", "no_items", "unreadable_item"
 
 
 def _explode(df: DataFrame, arr, keep: Sequence[str]) -> DataFrame:
@@ -59,37 +60,67 @@ def atom_paper_entries(docs: DataFrame, body: str = "body", keep: Sequence[str]
                               F.coalesce(F.col("e.comment"), F.lit(""))).alias("search_text")))
 
 
+def _elements(body, name: str):
+    """Every ``<name>`` element at any depth, as text, in document order."""
+    tag = rf"(?:\w+:)?{name}"
+    return F.regexp_extract_all(body, F.lit(rf"(?s)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>"), F.lit(0))
+
+
+def _parsed_items(docs: DataFrame, body: str, keep: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``keep`` + ``__blank`` + ``__items``: array of ``(pos, e)``, the
+    document's elements of the first of ``names`` that it has, each parsed by
+    itself (``e`` is null for one that can't be read).
+
+    One broken item costs that item only; a bare ``&`` is taken as text, as a
+    recovering reader does."""
+    text = F.regexp_replace(F.coalesce(F.col(body), F.lit("")), r"(?s)<!--.*?-->", "")
+    text = F.regexp_replace(text, r"&(?!(?:#\d+|#x[0-9a-fA-F]+|\w+);)", "&amp;")
+    d = docs.select(*keep, text.alias("__text"))
+    found = None
+    for n in names:
+        e = _elements(F.col("__text"), n)
+        found = e if found is None else F.when(F.size(found) > 0, found).otherwise(e)
+    d = d.select(*keep, (F.trim("__text") == "").alias("__blank"), F.posexplode_outer(found).alias("pos", "__xml"))
+    e = F.from_xml("__xml", ITEM_SCHEMA, _XML_OPTS)
+    # an item that can't be read has no field at all
+    read = F.coalesce(*[F.when(F.col(f"e.{f}").isNotNull(), F.lit(True)) for f in _ITEM_FIELDS], F.lit(False))
+    return d.select(*keep, "__blank", F.col("pos").cast("bigint").alias("pos"), "__xml", e.alias("e")) \
+        .withColumn("__ok", F.col("__xml").isNotNull() & read)
+
+
 def feed_items(docs: DataFrame, body: str = "body", feed_url: str = "source_url",
-               keep: Sequence[str] = (), link_href_fallback: bool = False) -> DataFrame:
-    """SRC3/SRC4/SRC5: RSS ``item``s, else Atom ``entry``s, with the field
-    chains: date = pubDate -> published -> updated; link = element text
-    (-> ``href`` when ``link_href_fallback``) -> feed URL; body = encoded ->
+               keep: Sequence[str] = ()) -> DataFrame:
+    """SRC3/SRC4: ``item``s at any depth (RSS, RDF), else Atom ``entry``s,
+    with the field chains: date = pubDate -> published -> updated; link = the
+    first link's text -> its ``href`` -> feed URL; body = encoded ->
     description -> summary -> title."""
-    # RSS parse projected once; the Atom parse runs only where it found no item
-    parsed = docs.select(*keep, feed_url, body,
-                         F.from_xml(F.col(body), RSS_SCHEMA, _XML_OPTS)["channel"]["item"].alias("__rss"))
-    atom = F.from_xml(F.col(body), ATOM_SCHEMA, _XML_OPTS)["entry"]
-    items = F.when(F.size(F.col("__rss")) > 0, F.col("__rss")).otherwise(atom)
-    e = _explode(parsed, items, [*keep, feed_url])
-    link_text = py_strip(F.col("e.link._VALUE"))
-    link_chain = [link_text, F.col("e.link._href")] if link_href_fallback else [link_text]
+    e = _parsed_items(docs, body, [*keep, feed_url], ["item", "entry"]).where("__ok")
+    first = F.get(F.col("e.link"), 0)
     title = py_strip(F.coalesce(F.col("e.title"), F.lit("")))
     return e.select(
         *keep, F.col(feed_url), "pos",
         title.alias("title"),
-        F.coalesce(first_non_empty(*link_chain), F.col(feed_url)).alias("url"),
+        F.coalesce(first_non_empty(py_strip(first["_VALUE"]), first["_href"]), F.col(feed_url)).alias("url"),
         py_strip(first_non_empty("e.pubDate", "e.published", "e.updated")).alias("date_raw"),
         F.coalesce(first_non_empty("e.encoded", "e.description", "e.summary"), title).alias("body_html"),
         F.coalesce(F.col("e.description"), F.lit("")).alias("description"),
     )
 
 
+def feed_rejects(docs: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+    """The other side of ``feed_items``: ``keep`` + ``pos, reason`` for every
+    document without items (``pos`` null) and every item that can't be read."""
+    e = _parsed_items(docs, body, keep, ["item", "entry"]).where("not __ok")
+    reason = (F.when(F.col("__blank"), F.lit(EMPTY)).when(F.col("__xml").isNull(), F.lit(NO_ITEMS))
+               .otherwise(F.lit(BAD_ITEM)))
+    return e.select(*keep, "pos", reason.alias("reason"))
+
+
 def product_rss_items(docs: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
-    """SRC5: ``.//item`` with title, link text and description; entries
-    without a link are dropped (P4)."""
-    rss = F.from_xml(F.col(body), RSS_SCHEMA, _XML_OPTS)
-    e = _explode(docs.select(*keep, body), rss["channel"]["item"], keep)
-    url = py_strip(F.col("e.link._VALUE"))
+    """SRC5: items at any depth with title, link text and description;
+    entries without a link are dropped (P4)."""
+    e = _parsed_items(docs, body, keep, ["item"]).where("__ok")
+    url = py_strip(F.get(F.col("e.link"), 0)["_VALUE"])
     return (e.select(*keep, "pos", py_strip(F.coalesce(F.col("e.title"), F.lit(""))).alias("title"),
                      url.alias("url"), F.coalesce(F.col("e.description"), F.lit("")).alias("description"))
              .where(F.col("url").isNotNull() & (F.col("url") != "")))

@@ -1,34 +1,18 @@
-"""Table reading with a parallelism floor."""
+"""Table reading."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 
-# Smallest slice of input worth its own task when a scan is spread out.
-MIN_BYTES_PER_TASK = 256 * 1024
-
-_SPREAD: dict[tuple[str, str, int], int] = {}
+#: Session setting: deal the rows of every table over this many partitions
+#: after the scan.  Unset (the default), a table is returned as scanned.  For
+#: files of a single row group, which no scan setting can split.
+SCAN_PARTITIONS = "feedloom.scanPartitions"
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a table; spread its rows over more tasks when the scan has
-    fewer splits than its size and the cluster's task slots call for.
-
-    A file written as one row group is one scan task, and every per-row
-    expression before the first shuffle would run in that one task.  The
-    split count and the input size are known at planning time (no job
-    runs).  Large inputs already have more splits than slots and are
-    returned as scanned (no extra shuffle); tiny dimension tables stay in
-    one partition.  Filters and column pruning still reach the scan."""
+    """Read a table.  Filters and column pruning reach the scan; splits follow
+    ``spark.sql.files.maxPartitionBytes`` and, if set, ``SCAN_PARTITIONS``."""
     df = spark.read.format(fmt).load(path)
-    slots = spark.sparkContext.defaultParallelism
-    key = (path, fmt, slots)
-    if key not in _SPREAD:
-        splits = df.rdd.getNumPartitions()
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        want = min(slots, max(1, math.ceil(size / MIN_BYTES_PER_TASK)))
-        _SPREAD[key] = want if want > splits else 0
-    n = _SPREAD[key]
-    return df.repartition(n) if n else df
+    n = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df

@@ -54,6 +54,14 @@ def save_records(rows: DataFrame, path: str, partition_by: Sequence[str] = ("rec
     return int(obs.get["n"])
 
 
+def save_rejects(rejected: DataFrame, record_type: str, path: str) -> None:
+    """P10: the records left out, as ``record_type, reason, payload``."""
+    cols = [c for c in rejected.columns if c != "violations"]
+    (rejected.select(F.lit(record_type).alias("record_type"), F.array_join("violations", ",").alias("reason"),
+                     F.to_json(F.struct(*[F.col(c) for c in cols])).alias("payload"))
+     .write.mode("append").parquet(path))
+
+
 def save_log(log: DataFrame, path: str) -> None:
     """SNK3."""
     log.select("raw_name", "canonical_name", "match_method").write.mode("append").parquet(path)
@@ -107,7 +115,8 @@ def log_tab_frame(log: DataFrame) -> DataFrame:
 def write_csv(frame: DataFrame, path: str) -> None:
     """SNK6/SNK7: header row, minimal quoting, quotes doubled."""
     (frame.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
-          .option("emptyValue", "").csv(path))
+          .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+          .csv(path))
 
 
 def write_json_lines(envelopes: DataFrame, path: str) -> None:

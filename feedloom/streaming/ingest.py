@@ -6,13 +6,15 @@ column expressions, so the same code runs on a streaming DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from feedloom.functions.times import to_ts
+from feedloom.operators.dedup import first_wins
 
 
 def read_landed(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -24,13 +26,6 @@ def read_landed(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return r.load(path)
 
 
-def dedup_within_watermark(df: DataFrame, key, ts_col: str, delay: str = "1 hour") -> DataFrame:
-    """ST2: drop re-delivered records per key; state is kept only while the
-    event time is within ``delay`` of the watermark, so it stays bounded."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)
-
-
 def fresh_only(df: DataFrame, ts_col: str, as_of=None, hours: int = 24) -> DataFrame:
     """ST3: P3 as a late-data policy.  ``as_of=None`` uses the processing
     clock of each micro-batch (live); tests pass a literal."""
@@ -40,22 +35,43 @@ def fresh_only(df: DataFrame, ts_col: str, as_of=None, hours: int = 24) -> DataF
     return df.where((F.col(ts_col) >= lo) & (F.col(ts_col) <= hi))
 
 
-def ledger_writer(ledger_path: str, key: str) -> Callable[[DataFrame, int], None]:
-    """ST4 + SNK4: ``foreachBatch`` sink that appends only keys absent from
-    the ledger.  Each micro-batch owns the partition ``batch_id=<id>`` and
-    overwrites it, so a replayed batch (after a failure) writes the same
-    rows once; the anti-join ignores the batch's own earlier attempt."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps with its checkpoint: the same over
+    restarts, another one for another checkpoint."""
+    row = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").head()
+    return json.loads(row[0])["id"]
+
+
+def ledger_writer(ledger_path: str, key: str, checkpoint: str,
+                  order: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """ST2 + ST4 + SNK4: ``foreachBatch`` sink that appends only keys absent
+    from the ledger, however late they come; within a batch the first row by
+    ``order`` wins.
+
+    A micro-batch owns the partition ``run=<query id>/batch_id=<id>`` and
+    overwrites it, so a replayed batch (after a failure) writes the same rows
+    once.  The query id comes from the checkpoint: another stream over the
+    same ledger, whose batches count from 0 again, owns other partitions and
+    meets the earlier rows in the anti join, which skips only the batch's own
+    earlier attempt.  Each batch reads the ledger's key column."""
+    path = ledger_path.rstrip("/")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates([key])
-        try:
-            led = spark.read.parquet(ledger_path).where(F.col("batch_id") != batch_id).select(key)
+        run = query_id(spark, checkpoint)
+        fresh = first_wins(batch, key, list(order))
+        if _exists(spark, path):
+            own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+            led = spark.read.option("basePath", path).schema(
+                StructType([batch.schema[key], StructField("run", StringType()), StructField("batch_id", LongType())])
+            ).parquet(path).where(~own).select(key)
             fresh = fresh.join(led, key, "left_anti")
-        except Exception as e:  # first batch: no ledger yet
-            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) \
-                    and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        (fresh.write.mode("overwrite").parquet(f"{ledger_path.rstrip('/')}/batch_id={batch_id}"))
+        fresh.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
     return write
 
 

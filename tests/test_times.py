@@ -23,6 +23,16 @@ GOLDEN = [
     ("18:00", None, False),
     ("Mon, 22 Jan 2024 10:00:00 GMT", "2024-01-22T10:00:00+00:00", False),
     ("2024-01-05T10:00:00.123+05:30", "2024-01-05T04:30:00.123000+00:00", False),
+    ("2024-01-22T10:00Z", "2024-01-22T10:00:00+00:00", False),
+    ("2024-01-21T14:00+02:00", "2024-01-21T12:00:00+00:00", True),
+    ("2024-01-21T14+02", "2024-01-21T12:00:00+00:00", True),
+    ("2024-01-21T10", "2024-01-21T10:00:00+00:00", True),
+    ("2024-01-21T10:00:00.1234567Z", "2024-01-21T10:00:00.123456+00:00", True),
+    ("2024-01-21T10:00:00,5+0000", "2024-01-21T10:00:00.500000+00:00", True),
+    ("Sun, 21 Jan 2024 10:00 GMT", "2024-01-21T10:00:00+00:00", True),
+    ("Sunday, 21 Jan 2024 05:00:00 EST", "2024-01-21T10:00:00+00:00", True),
+    ("21 Jan 2024 11:30:00 +0130", "2024-01-21T10:00:00+00:00", True),
+    ("Sun, 21 Jan 2024 10:00:00 XYZ", None, False),
     ("", None, False),
     (None, None, False),
 ]
