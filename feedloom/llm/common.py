@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
@@ -77,6 +78,23 @@ def range_splits(df: DataFrame, col: str, buckets: int) -> list[int]:
     return sorted(set(r or []))
 
 
+def range_number(value: Column, splits: list[int]) -> Column:
+    """Number of splits that are at most ``value``: a binary search over a
+    literal array, all in the JVM."""
+    if not splits:
+        return F.lit(0)
+    cuts = F.array(*[F.lit(x) for x in splits])
+
+    def half(s: Column, _: Column) -> Column:
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        up = F.element_at(cuts, F.least(mid, F.lit(len(splits) - 1)) + 1) <= value
+        return F.when(s["lo"] >= s["hi"], s).when(up, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))) \
+            .otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi")))
+
+    steps = F.sequence(F.lit(0), F.lit(len(splits).bit_length()))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(splits)).alias("hi")), half, lambda s: s["lo"])
+
+
 # ------------------------------------------------------------ Arrow text
 def utf8_view(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and ``n + 1`` offsets of a string column, without copying the
@@ -207,10 +225,40 @@ def shingle_hashes(w: np.ndarray, size: int) -> np.ndarray:
     return mix(h + U64(size))
 
 
+# ------------------------------------------------------------ packing
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """Arrays as byte planes (all first bytes, all second ones, ..), compressed."""
+    planes = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays if len(a))
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def expand(data: bytes, *kinds: tuple[str, int]) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data, max_output_size=sum(np.dtype(k).itemsize * n for k, n in kinds)) \
+        if any(n for _, n in kinds) else b""
+    out, at = [], 0
+    for k, n in kinds:
+        w = np.dtype(k).itemsize
+        planes = np.frombuffer(raw, np.uint8, w * n, at).reshape(w, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(k))
+        at += w * n
+    return out
+
+
+def groups(key: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys and the items of each."""
+    order = np.argsort(key, kind="stable")
+    key, items = key[order], items[order]
+    cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return key[cut], np.split(items, cut[1:]) if len(key) else []
+
+
 # ------------------------------------------------------------ components
-def _fingerprint(edges: DataFrame) -> tuple[int, int]:
-    r = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).head()
-    return r["n"], r["h"] or 0
+def _stars(edges: DataFrame) -> bool:
+    """Is every node either a root or linked with one root alone?"""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")) \
+        .union(edges.select(F.col("b").alias("node"), F.lit(0), F.lit(1)))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return seen.where("out > 1 or (out = 1 and in = 1)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -220,24 +268,28 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps until the edges are stars.
     Each step is a grouped minimum (combined before the shuffle) and a join
     whose large side may be split, so a hub never has to fit in one task.
-    Every round is checkpointed to the shared folder."""
-    e = edges.select("a", "b").where("a <> b")
-    e = materialize(e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-                    .where("a > b"), "edges")
-    seen = None
-    while True:
+    Every step is written to the shared folder."""
+    e = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    while not _stars(e):
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .where("a <> b").distinct()
-        low2 = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low2, "a")
-        small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .union(low2.select("a", F.col("m").alias("b"))).distinct()
-        e = materialize(small, "edges")
-        now = _fingerprint(e)
-        if now == seen:
-            break
-        seen = now
+        large = materialize(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")), "edges")
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        e = materialize(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
     return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
         e.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+
+
+def merge_labels(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """``(node, comp)`` after adding ``edges (a, b)`` to the graph of which
+    ``labels`` gives the components: only the new edges, between components,
+    are contracted.  Nodes without edges aren't listed."""
+    if labels is None:
+        return materialize(components(edges), "labels")
+    a, b = labels.select(F.col("node").alias("a"), F.col("comp").alias("ca")), labels.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
+    between = edges.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    new = materialize(components(between), "labels")
+    moved = labels.join(new, labels["comp"] == new["node"], "left").select(labels["node"], F.coalesce(new["comp"], labels["comp"]).alias("comp"))
+    added = new.join(labels.select("node"), "node", "left_anti")
+    return materialize(moved.union(added.select("node", "comp")), "labels")

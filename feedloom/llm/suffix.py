@@ -31,10 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, RADIX, column, documents, materialize, mix, prefix_hash, prepare, shuffle_width, span_hash, text_rows, utf8_view
+from .common import BYTE_CODE, RADIX, column, documents, expand, groups, materialize, mix, prefix_hash, prepare, shuffle_width, span_hash, squeeze, text_rows, utf8_view
 
 LENGTH = 100
 GRAM = 32
@@ -46,6 +47,7 @@ _SEGMENT = 1 << 20
 _NO_ID = np.iinfo(np.int64).max
 _ENTRY = np.dtype([("hash", "<u8"), ("pos", "<u4"), ("doc", "<u2"), ("lo", "u1"), ("hi", "u1")])
 _PLACE = np.dtype([("pos", "<u4"), ("lo", "u1"), ("hi", "u1")])
+_SPAN = np.dtype([("a", "<u4"), ("b", "<u4")])
 _RUN = np.dtype([("did", "<i8"), ("th", "<i8"), ("pos", "<u4"), ("lo", "u1"), ("hi", "u1"), ("right", "u1"), ("left", "u1"),
                  ("lcp", "u1"), ("lcs", "u1")])
 
@@ -89,23 +91,53 @@ def anchors(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, _ENTRY)
 
 
-_KINDS = "bucket int, kind int, did long, th long, payload binary"
-_NAMES = ["bucket", "kind", "did", "th", "payload"]
+_KINDS = "bucket int, kind int, payload binary"
+_NAMES = ["bucket", "kind", "payload"]
 
 
-def _rows(bucket, kind: int, did, th, payload: list[bytes]) -> pa.RecordBatch:
-    n = len(payload)
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.asarray(bucket, np.int32)), pa.array(np.full(n, kind, np.int32)), pa.array(np.asarray(did, np.int64)),
-        pa.array(np.asarray(th, np.int64)), pa.array(payload, pa.binary())], names=_NAMES)
+def _rows(bucket, kind: int, payload: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(bucket, np.int32)), pa.array(np.full(len(payload), kind, np.int32)),
+                                       pa.array(payload, pa.binary())], names=_NAMES)
 
 
-def _by_doc(doc: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Items of each document as bytes, and the documents."""
-    order = np.argsort(doc, kind="stable")
-    doc, items = doc[order], items[order]
-    cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-    return doc[cut], [x.tobytes() for x in np.split(items, cut[1:])] if len(doc) else []
+# Parcels: items (places or intervals) of many documents, by a hash of the
+# document, so that their number doesn't grow with documents times buckets.
+def _parcels(did: np.ndarray, th: np.ndarray, doc: np.ndarray, items: np.ndarray, width: int, kind: int) -> Iterator[pa.RecordBatch]:
+    """``items[i]`` belongs to document ``did[doc[i]], th[doc[i]]``."""
+    if not len(doc):
+        return
+    with np.errstate(over="ignore"):
+        home = (mix(did.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + th.astype(np.uint64)) % np.uint64(width)).astype(np.int64)
+    names, at = np.unique(doc, return_inverse=True)
+    homes, parts = groups(home[names][at], np.arange(len(doc)))
+    rows = []
+    for p in parts:
+        which, local = np.unique(at[p], return_inverse=True)
+        order = np.argsort(local, kind="stable")
+        n = np.bincount(local).astype("<u4")
+        d = names[which]
+        rows.append(np.array([len(d), len(p)], "<i8").tobytes()
+                    + squeeze(did[d].astype("<i8"), th[d].astype("<i8"), n, items[p][order]))
+    yield _rows(homes, kind, rows)
+
+
+def _open_parcels(item: np.dtype):
+    """(did, th, payload) of the documents of a home's parcels."""
+    def run(table: pa.Table) -> pa.Table:
+        dids, ths, ns, items = [], [], [], []
+        for p in table.column("payload").to_pylist():
+            docs, n = np.frombuffer(p, "<i8", 2).tolist()
+            d, t, c, x = expand(p[16:], ("<i8", docs), ("<i8", docs), ("<u4", docs), (item, n))
+            dids.append(d)
+            ths.append(t)
+            ns.append(c)
+            items.append(x)
+        did, th, n, x = (np.concatenate(v) for v in (dids, ths, ns, items))
+        _, first, doc = np.unique(np.stack([did, th], 1), axis=0, return_index=True, return_inverse=True)
+        docs, parts = groups(np.repeat(doc.ravel(), n), x)
+        return pa.table({"did": pa.array(did[first[docs]]), "th": pa.array(th[first[docs]]),
+                         "payload": pa.array([v.tobytes() for v in parts], pa.binary())})
+    return run
 
 
 def _places(e: np.ndarray) -> np.ndarray:
@@ -116,74 +148,68 @@ def _places(e: np.ndarray) -> np.ndarray:
 
 
 def _post_anchors(width: int):
-    """kind 0: packed entries of one bucket; kind 1: places of a document that
-    are known to repeat."""
+    """kind 0: packed entries by hash; kind 1: parcels of places that are known
+    to repeat."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            did, th = column(b, "did").to_numpy(), column(b, "th").to_numpy()
+            dids, ths = column(b, "did").to_numpy(), column(b, "th").to_numpy()
             for lo in range(0, b.num_rows, 60_000):
-                data, off = utf8_view(column(b, "text").slice(lo, 60_000))
-                e = anchors(data, off)
+                did, th = dids[lo:lo + 60_000], ths[lo:lo + 60_000]
+                e = anchors(*utf8_view(column(b, "text").slice(lo, 60_000)))
                 e = e[np.argsort(e["hash"], kind="stable")]
                 _, first, count = np.unique(e["hash"], return_index=True, return_counts=True)
                 many = np.repeat(count > 1, count)
-                docs, places = _by_doc(e["doc"][many], _places(e[many]))
-                if len(docs):
-                    yield _rows(docs % width, 1, did[lo + docs], th[lo + docs], places)
+                yield from _parcels(did, th, e["doc"][many].astype(np.int64), _places(e[many]), width, 1)
                 # the rest, and one marker (lo > hi, its count in pos) for each repeated hash
                 mark = e[first[count > 1]].copy()
                 mark["pos"], mark["lo"], mark["hi"] = np.minimum(count[count > 1], 2**32 - 1), 1, 0
                 e = np.concatenate([e[~many], mark])
-                bucket = (e["hash"] % np.uint64(width)).astype(np.int64)
-                buckets, packed = _by_doc(bucket, e)
+                buckets, parts = groups((e["hash"] % np.uint64(width)).astype(np.int64), e)
                 if len(buckets):
-                    yield _rows(buckets, 0, np.zeros(len(buckets)), np.zeros(len(buckets)),
-                                [_pack(np.frombuffer(p, _ENTRY), did[lo:], th[lo:]) for p in packed])
+                    yield _rows(buckets, 0, [_pack(p[np.argsort(p["hash"])], did, th) for p in parts])
     return run
 
 
 def _pack(e: np.ndarray, did: np.ndarray, th: np.ndarray) -> bytes:
-    """Entries, after the names of the documents that they mention."""
+    """Entries and the names of the documents that they mention."""
     docs, local = np.unique(e["doc"], return_inverse=True)
-    e = e.copy()
-    e["doc"] = local
-    return np.array([len(docs)], "<i8").tobytes() + did[docs].astype("<i8").tobytes() + th[docs].astype("<i8").tobytes() + e.tobytes()
+    return np.array([len(docs), len(e)], "<i8").tobytes() + squeeze(
+        did[docs].astype("<i8"), th[docs].astype("<i8"), e["hash"], local.astype("<u2"), e["pos"], e["lo"], e["hi"])
 
 
 def _unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(payload, "<i8", 1)[0])
-    did, th = np.frombuffer(payload, "<i8", n, 8), np.frombuffer(payload, "<i8", n, 8 + 8 * n)
-    return did, th, np.frombuffer(payload, _ENTRY, -1, 8 + 16 * n)
+    docs, n = np.frombuffer(payload, "<i8", 2).tolist()
+    did, th, h, doc, pos, lo, hi = expand(payload[16:], ("<i8", docs), ("<i8", docs), ("<u8", n), ("<u2", n), ("<u4", n), ("u1", n), ("u1", n))
+    e = np.zeros(n, _ENTRY)
+    e["hash"], e["doc"], e["pos"], e["lo"], e["hi"] = h, doc, pos, lo, hi
+    return did, th, e
 
 
-def _repeated(frequent: int):
-    """Of one bucket, the places of hashes that occur twice (kind 1) and the
-    hashes that are frequent (kind 2, hash in ``did``)."""
+def _repeated(frequent: int, width: int):
+    """Of one bucket, parcels of the places of hashes that occur twice (kind
+    1) and the hashes that are frequent (kind 2)."""
     def run(table: pa.Table) -> pa.Table:
         kind = column_np(table, "kind")
         out = [table.filter(pa.array(kind == 1)).select(_NAMES)]
-        dids, ths, es = [], [], []
-        at = 0
+        dids, ths, es, docs, at = [], [], [], [], 0
         for p in table.filter(pa.array(kind == 0)).column("payload").to_pylist():
             did, th, e = _unpack(p)
             dids.append(did)
             ths.append(th)
-            es.append((e, at))
+            es.append(e)
+            docs.append(e["doc"].astype(np.int64) + at)
             at += len(did)
         if es:
-            did, th = np.concatenate(dids), np.concatenate(ths)
-            e = np.concatenate([x for x, _ in es])
-            doc = np.concatenate([x["doc"].astype(np.int64) + base for x, base in es])
+            e, doc = np.concatenate(es), np.concatenate(docs)
             weight = np.where(e["lo"] > e["hi"], e["pos"], 1)
-            _, inv, n = np.unique(e["hash"], return_inverse=True, return_counts=True)
+            _, inv = np.unique(e["hash"], return_inverse=True)
             total = np.bincount(inv, weights=weight)
             keep = (total[inv] > 1) & (e["lo"] <= e["hi"])
-            docs, places = _by_doc(doc[keep], _places(e[keep]))
-            if len(docs):
-                out.append(pa.Table.from_batches([_rows(np.zeros(len(docs)), 1, did[docs], th[docs], places)]))
-            hot = np.unique(e["hash"][total[inv] > frequent]).view(np.int64)
+            out += [pa.Table.from_batches([x]) for x in
+                    _parcels(np.concatenate(dids), np.concatenate(ths), doc[keep], _places(e[keep]), width, 1)]
+            hot = np.unique(e["hash"][total[inv] > frequent]).astype("<u8")
             if len(hot):
-                out.append(pa.Table.from_batches([_rows(np.zeros(len(hot)), 2, hot, np.zeros(len(hot)), [b""] * len(hot))]))
+                out.append(pa.Table.from_batches([_rows([0], 2, [hot.tobytes()])]))
         return pa.concat_tables(out)
     return run
 
@@ -205,10 +231,11 @@ def front_code(rec: np.ndarray, right: list[bytes], left: list[bytes]) -> bytes:
         body.append(r[n:])
         body.append(x[m:])
         was_r, was_l = r, x
-    return np.array([len(rec)], "<i8").tobytes() + rec.tobytes() + b"".join(body)
+    return zstandard.ZstdCompressor(level=3).compress(np.array([len(rec)], "<i8").tobytes() + rec.tobytes() + b"".join(body))
 
 
 def read_run(payload: bytes) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+    payload = zstandard.ZstdDecompressor().decompress(payload)
     n = int(np.frombuffer(payload, "<i8", 1)[0])
     rec = np.frombuffer(payload, _RUN, n, 8)
     at = 8 + rec.nbytes
@@ -337,7 +364,7 @@ def _make_runs(width: int, hot: np.ndarray):
             recs = []  # (suffix, left context from the anchor on, lo, did, th, pos, hi, place of exchange)
             for d, h, t, ps in zip(did, th, column(b, "text"), column(b, "places").to_pylist(), strict=True):
                 text = t.as_buffer().to_pybytes()
-                e = np.frombuffer(b"".join(ps), _PLACE)
+                e = np.frombuffer(ps, _PLACE)
                 pos = e["pos"].astype(np.int64)
                 gram = span_hash(prefix_hash(np.frombuffer(text, np.uint8)), pos, pos + GRAM)
                 often = np.isin(gram.view(np.int64), hot).tolist()
@@ -363,8 +390,7 @@ def _make_runs(width: int, hot: np.ndarray):
             by_bucket: dict[int, list] = {}
             for r in keep:
                 by_bucket.setdefault(r[7] % width, []).append(r)
-            yield _rows(list(by_bucket), 0, np.zeros(len(by_bucket)), np.zeros(len(by_bucket)),
-                        [front_code(_records(rs), [r[0] for r in rs], [r[1] for r in rs]) for rs in by_bucket.values()])
+            yield _rows(list(by_bucket), 0, [front_code(_records(rs), [r[0] for r in rs], [r[1] for r in rs]) for rs in by_bucket.values()])
     return run
 
 
@@ -373,15 +399,17 @@ def _records(recs: list[tuple]) -> np.ndarray:
 
 
 def _emit(rec: np.ndarray, span: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
-    """Interval rows (kind 1), one a document."""
-    _, first, doc = np.unique(np.stack([rec["did"], rec["th"]], 1), axis=0, return_index=True, return_inverse=True)
-    docs, payload = _by_doc(doc.ravel(), span.astype("<i8"))
-    if len(docs):
-        at = first[docs]
-        yield _rows(docs % width, 1, rec["did"][at], rec["th"][at], payload)
+    """Parcels (kind 1) of intervals."""
+    s = np.zeros(len(span), _SPAN)
+    s["a"], s["b"] = span[:, 0], span[:, 1]
+    yield from _parcels(rec["did"], rec["th"], np.arange(len(rec)), s, width, 1)
+
+
+def _merge_bucket(width: int):
+    return lambda table: _merged(table, width)
 
 
-def _merge_bucket(table: pa.Table) -> pa.Table:
+def _merged(table: pa.Table, width: int) -> pa.Table:
     kind = column_np(table, "kind")
     out = [table.filter(pa.array(kind == 1)).select(_NAMES)]
     runs = [read_run(p) for p in table.filter(pa.array(kind == 0)).column("payload").to_pylist()]
@@ -399,11 +427,12 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
             left[i, :len(x)] = np.frombuffer(x, np.uint8)
         dup = repeated_strings(rec, np.array(lcp), left)
         row, span = intervals(dup, rec["pos"])
-        out += [pa.Table.from_batches([x]) for x in _emit(rec[row], span, 1)]
+        out += [pa.Table.from_batches([x]) for x in _emit(rec[row], span, width)]
     return pa.concat_tables(out)
 
 
 # ------------------------------------------------------------ operator
+_DOC = "did long, th long, payload binary"
 _OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -424,7 +453,7 @@ def _finish(with_bytes: bool):
             for t, spans, first in zip(column(b, "text"), column(b, "spans").to_pylist(), column(b, "first").to_pylist(), strict=True):
                 text = t.as_buffer().to_pybytes() if t.is_valid else b""
                 if first:
-                    runs = covered(np.frombuffer(b"".join(spans or []), "<i8").reshape(-1, 2))
+                    runs = covered(np.frombuffer(spans or b"", "<u4").astype(np.int64).reshape(-1, 2))
                 else:
                     runs = [(0, len(text))] if len(text) >= LENGTH else []
                 kept, at = [], 0
@@ -467,20 +496,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     frequent = max(FREQUENT, int(total * 2 / (REACH + 2) * FREQUENT_SHARE))
 
     posted = rows.select("did", "th", "text").where(F.octet_length("text") >= LENGTH).mapInArrow(_post_anchors(width), _KINDS)
-    found = materialize(posted.groupBy("bucket").applyInArrow(_repeated(frequent), _KINDS), "anchors")
-    hot = np.array(sorted(r["did"] for r in found.where("kind = 2").select("did").collect()), np.int64)
+    found = materialize(posted.groupBy("bucket").applyInArrow(_repeated(frequent, width), _KINDS), "anchors")
+    hot = np.frombuffer(b"".join(r["payload"] for r in found.where("kind = 2").select("payload").collect()), "<i8")
 
     # exact copies of an earlier text need no search
     first = info.groupBy("sha").agg(F.min("did").alias("did0"))
     firsts = info.join(first, (info["sha"] == first["sha"]) & (info["did"] == first["did0"])).select("did", "th").distinct()
-    places = found.where("kind = 1").groupBy("did", "th").agg(F.collect_list("payload").alias("places")).join(firsts, ["did", "th"])
+    places = found.where("kind = 1").groupBy("bucket").applyInArrow(_open_parcels(_PLACE), _DOC) \
+        .withColumnRenamed("payload", "places").join(firsts, ["did", "th"])
 
     dealt = rows.repartition(width, "did", "th")
     searched = dealt.join(places.hint("shuffle_hash"), ["did", "th"]).select("did", "th", "text", "places")
     if not info.groupBy("did", "th").count().where("count > 1").isEmpty():
         searched = searched.dropDuplicates(["did", "th"])
-    spans = searched.mapInArrow(_make_runs(width, hot), _KINDS).groupBy("bucket").applyInArrow(_merge_bucket, _KINDS) \
-        .groupBy("did", "th").agg(F.collect_list("payload").alias("spans"))
+    spans = searched.mapInArrow(_make_runs(width, hot), _KINDS).groupBy("bucket").applyInArrow(_merge_bucket(width), _KINDS) \
+        .groupBy("bucket").applyInArrow(_open_parcels(_SPAN), _DOC).withColumnRenamed("payload", "spans")
     out = dealt.join(firsts.withColumn("first", F.lit(True)).hint("shuffle_hash"), ["did", "th"], "left") \
         .join(spans.hint("shuffle_hash"), ["did", "th"], "left") \
         .select("doc_id", "text", "spans", F.coalesce("first", F.lit(False)).alias("first"))
