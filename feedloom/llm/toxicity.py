@@ -37,6 +37,9 @@ MAX_VOTERS, MIN_SUPPORT, MIN_SHARE, MIN_RATIO = 192, 3, 0.004, 8.0
 #: Bytes of a word's start that make a stem.
 STEMS = (4, 5, 6)
 EM_STEPS = 8
+#: Residual correlation from which voters share weight: below it lie voters
+#: that merely occur in the same kind of text.
+STRONG = 0.6
 #: Fixed lexicon of the first voters.
 LEXICON = ("idiot", "moron", "stupid", "loser", "pathetic", "worthless", "scum", "trash", "disgusting", "clown",
            "imbecile", "garbage", "filthy", "vermin", "hateful", "ugly")
@@ -172,41 +175,71 @@ def _matrix(b: pa.RecordBatch, v: int) -> np.ndarray:
     return np.array(column(b, "x").to_pylist(), bool).reshape(-1, v)
 
 
+def correlations(n: float, ones: np.ndarray, both: np.ndarray, triplets: int = 400) -> np.ndarray:
+    """Correlation of voters beyond what the label they share explains.
+
+    Under voters independent given the label, the covariance of two is
+    ``a_i a_j``, so ``a_i**2 = C_ij C_ik / C_jk`` for any other two; a low
+    quantile over many of them is not misled by a few correlated pairs."""
+    v = len(ones)
+    p = ones / n
+    c = both / n - np.outer(p, p)
+    scale = np.sqrt(np.maximum(np.outer(p * (1 - p), p * (1 - p)), 1e-18))
+    a = np.zeros(v)
+    rng = np.random.default_rng(7)
+    for i in range(v):
+        others = np.array([j for j in range(v) if j != i])
+        pairs = np.array([(j, k) for j in others for k in others if j < k]) if v <= 30 else \
+            rng.choice(others, (triplets, 2))
+        if not len(pairs):
+            continue
+        j, k = pairs[:, 0], pairs[:, 1]
+        ok = (j != k) & (c[j, k] > 1e-9)
+        if ok.any():
+            a[i] = np.sqrt(np.quantile(np.abs(c[i, j[ok]] * c[i, k[ok]] / c[j[ok], k[ok]]), 0.4, method="lower"))
+    rho = (c - np.outer(a, a)) / scale
+    np.fill_diagonal(rho, 0)
+    return np.clip(rho, -1, 1)
+
+
 def fit_label_model(votes: DataFrame, v: int) -> LabelModel:
-    """EM over the votes ``x array<boolean>``.  Each step sends one row of
-    sums a partition; nothing else leaves the executors."""
-    def sums(model: LabelModel | None, pairs: bool):
+    """The generative model of the votes ``x array<boolean>``: first the
+    voters' correlations, by which correlated ones share weight, then their
+    accuracies by EM.  Each pass sends one row of sums a partition; nothing
+    else leaves the executors."""
+    def passed(run) -> np.ndarray:
+        return np.sum([r["s"] for r in votes.mapInArrow(run, "s array<double>").collect()], axis=0)
+
+    def sums(model: LabelModel | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = s = 0.0
             a1, a0 = np.zeros(v), np.zeros(v)
-            p1 = np.zeros((v, v)) if pairs else np.zeros((0, 0))
             for b in batches:
                 x = _matrix(b, v)
                 p = np.where(x.any(1), 0.9, 0.02) if model is None else model.posterior(x)
                 n, s = n + len(x), s + p.sum()
                 a1, a0 = a1 + p @ x, a0 + (1 - p) @ x
-                if pairs:
-                    p1 += (x * p[:, None]).T.astype(float) @ x
-            yield pa.RecordBatch.from_arrays([pa.array([[n, s, *a1, *a0, *p1.ravel()]], pa.list_(pa.float64()))], names=["s"])
-        rows = votes.mapInArrow(run, "s array<double>").collect()
-        return np.sum([r["s"] for r in rows], axis=0)
-
-    model, share = None, np.ones(v)
-    for step in range(EM_STEPS + 1):
-        last = step == EM_STEPS
-        got = sums(model, last)
+            yield pa.RecordBatch.from_arrays([pa.array([[n, s, *a1, *a0]], pa.list_(pa.float64()))], names=["s"])
+        return run
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both, ones, n = np.zeros((v, v)), np.zeros(v), 0.0
+        for b in batches:
+            x = _matrix(b, v).astype(float)
+            both, ones, n = both + x.T @ x, ones + x.sum(0), n + len(x)
+        yield pa.RecordBatch.from_arrays([pa.array([[n, *ones, *both.ravel()]], pa.list_(pa.float64()))], names=["s"])
+
+    got = passed(together)
+    rho = correlations(max(got[0], 1.0), got[1:1 + v], got[1 + v:].reshape(v, v))
+    share = 1 / (1 + np.where(rho > STRONG, rho, 0).sum(1))
+    model = None
+    for _ in range(EM_STEPS):
+        got = passed(sums(model))
         n, s, a1, a0 = got[0], got[1], got[2:2 + v], got[2 + v:2 + 2 * v]
-        if last:
-            # correlation of two voters among rows that the model holds toxic
-            both = got[2 + 2 * v:].reshape(v, v) / max(s, 1e-9)
-            m = np.clip(a1 / max(s, 1e-9), 1e-6, 1 - 1e-6)
-            rho = (both - np.outer(m, m)) / np.sqrt(np.outer(m * (1 - m), m * (1 - m)))
-            np.fill_diagonal(rho, 0)
-            share = 1 / (1 + np.where(rho > 0.1, rho, 0).sum(1))
-        model = LabelModel(prior=min(max((s + 1) / (n + 2), 1e-3), 0.5), fire1=(a1 + 0.5) / (s + 1), fire0=(a0 + 0.05) / (n - s + 1), share=share)
+        fire1, fire0 = (a1 + 0.5) / (s + 1), (a0 + 0.05) / (n - s + 1)
         # a voter that fires rather on the other class says nothing
-        model.fire1 = np.clip(np.maximum(model.fire1, model.fire0), 1e-6, 1 - 1e-6)
-        model.fire0 = np.clip(model.fire0, 1e-6, 1 - 1e-6)
+        model = LabelModel(prior=min(max((s + 1) / (n + 2), 1e-3), 0.5), share=share, fire0=np.clip(fire0, 1e-6, 1 - 1e-6),
+                           fire1=np.clip(np.maximum(fire1, fire0), 1e-6, 1 - 1e-6))
     return model
 
 
