@@ -15,6 +15,7 @@ from .pii import op4_pii
 from .rans import op5_rans_tokens
 from .sampling import op10_sentencepiece
 from .sharding import op8_sharding
+from .suffix import ORACLE_SQL as SUFFIX_SQL
 from .suffix import op2_suffix_array
 from .toxicity import op3_toxicity
 
@@ -30,4 +31,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op9_fingerprints,
     op10_sentencepiece,
 )}
-SQL: dict[str, str] = {"op1_minhash": MINHASH_SQL}
+SQL: dict[str, str] = {"op1_minhash": MINHASH_SQL, "op2_suffix_array": SUFFIX_SQL}

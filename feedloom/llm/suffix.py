@@ -517,6 +517,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.mapInArrow(_finish(with_bytes), _OUT + (", kept binary" if with_bytes else ""))
 
 
+#: The same by hashing every string, for DuckDB.
+ORACLE_SQL = r"""
+with t as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, s, md5(substr(h, 2 * s + 1, 200)) as k
+      from (select doc_id, h, unnest(range(0, length(h) // 2 - 99)) as s from t where length(h) >= 200)),
+d as (select doc_id, s from (select doc_id, s, row_number() over (partition by k order by doc_id, s) as r from w) where r > 1),
+g as (select doc_id, s, case when s > lag(s) over (partition by doc_id order by s) + 100 then 1 else 0 end as new from d),
+i as (select doc_id, s, sum(new) over (partition by doc_id order by s) as run from g),
+r as (select doc_id, min(s) as a, max(s) + 100 as b from i group by doc_id, run),
+p as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as was from r),
+c as (select doc_id, sum(b - a) as removed, count(*) as spans, max(b) as last,
+             string_agg(substr(h, 2 * was + 1, 2 * (a - was)), '' order by a) as front
+      from p join t using (doc_id) group by doc_id)
+select t.doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed,
+       cast(coalesce(spans, 0) as bigint) as n_spans,
+       sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from t left join c using (doc_id)
+"""
+
+
 def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return remove_repeats(documents(spark, sf_dir), with_bytes=False)
