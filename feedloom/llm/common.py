@@ -21,6 +21,9 @@ U64 = np.uint64
 def prepare(spark: SparkSession) -> None:
     """Session settings, shared checkpoint folder and shipped package."""
     apply_conf(spark)
+    # sides that grow with the corpus are shuffled alike at every size; a
+    # broadcast of tens of megabytes would weigh on the driver
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "4MB")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 
