@@ -54,9 +54,11 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins across it, so a text's
     ids are its words' ids in a row.  Distinct words are encoded once, many
-    in one call, parted by a pre-token of its own.  Words with other than
-    letters of the first code points, digits and signs, and anything that
-    looks like a special token, take the tokenizer's whole path."""
+    in one call; a word's last id in each of its pre-tokens is one of the
+    vocabulary's word-final ids, which tells them apart again.  Words with
+    other than letters of the first code points, digits and signs, and
+    anything that looks like a special token, take the tokenizer's whole
+    path."""
 
     def __init__(self, path: str):
         import regex
@@ -75,29 +77,40 @@ class WordEncoder:
             if not self.byte_char[b]:
                 self.byte_char[b] = chr(256 + n)
                 n += 1
-        self.mark = self.byte_char[0]
-        self.mark_id = self.bare.encode(self.mark, add_special_tokens=False).ids
         self.latin = {i: "".join(self.byte_char[b] for b in chr(i).encode()) for i in range(33, 0x180)}
+        vocab = self.whole.get_vocab()
+        self.final = np.zeros(max(vocab.values()) + 1, bool)
+        self.final[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
-    def _encode_simple(self, words: list[str]) -> Iterator[np.ndarray]:
-        text, latin = [], self.latin
+    def _encode_simple(self, words: list[str]) -> list[bytes] | None:
+        """Ids of each word; None if they can't be told apart."""
+        text, parts, latin, split = [], [], self.latin, self.split
         for w in words:
             w = w.lower()
-            text.append(w.translate(latin) if w.isalpha() else " ".join([p.translate(latin) for p in self.split(w)]))
-        ids = np.array(self.bare.encode(f" {self.mark} ".join([*text, ""]), add_special_tokens=False).ids, np.uint32)
-        cuts = np.flatnonzero(ids == self.mark_id[0])
-        lo = 0
-        for c in cuts:
-            yield ids[lo:c]
-            lo = c + 1
+            if w.isalpha():
+                # bytes of printable ASCII stand for themselves
+                text.append(w if w.isascii() else w.translate(latin))
+                parts.append(1)
+            else:
+                p = split(w)
+                text += p if w.isascii() else [x.translate(latin) for x in p]
+                parts.append(len(p))
+        ids = np.array(self.bare.encode_batch_fast([" ".join(text)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.flatnonzero(self.final[ids]) + 1
+        if len(ends) != sum(parts) or (len(ids) and ends[-1] != len(ids)):
+            return None
+        cut = (2 * ends[np.cumsum(parts) - 1]).tolist()
+        raw = ids.astype("<u2").tobytes()
+        return [raw[x:y] for x, y in zip([0, *cut], cut, strict=False)]
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of the words, as little-endian 16-bit numbers."""
-        easy = [w for w in words if self.simple(w) and "<|" not in w]
-        got = dict(zip(easy, (x.astype("<u2").tobytes() for x in self._encode_simple(easy)), strict=True)) if easy else {}
-        rest = [w for w in words if w not in got]
-        for w in rest:
+        simple = self.simple
+        easy = [w for w in words if (w.isprintable() if w.isascii() else simple(w)) and "<" not in w]
+        coded = self._encode_simple(easy) if easy else []
+        got = dict(zip(easy, coded, strict=True)) if coded is not None else {}
+        for w in words - got.keys():
             got[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u2").tobytes()
         return got
 
@@ -255,8 +268,8 @@ class Coder:
 
 
 # ------------------------------------------------------------ files
-def write_token_files(docs: DataFrame, out: str, tokenizer_path: str,
-                      id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_token_files(docs: DataFrame, out: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+                      block_ids: int = BLOCK_IDS) -> None:
     """Write every text of ``docs`` as token blocks under ``out``.
 
     Null and empty texts hold the end id alone; null ids come last (stored as
@@ -306,7 +319,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer_path: str,
         for b in batches:
             for k, d, n, ids in zip(column(b, "bucket").to_pylist(), column(b, "doc_id").to_pylist(),
                                     column(b, "n").to_pylist(), column(b, "ids"), strict=True):
-                if docs_ and (k != bucket or held + n > BLOCK_IDS):
+                if docs_ and (k != bucket or held + n > block_ids):
                     yield block()
                     docs_, lens, parts, held = [], [], [], 0
                 if k != bucket:
