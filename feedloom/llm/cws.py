@@ -15,12 +15,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, documents, mix, prepare, range_splits, shingle_hashes, shuffle_width, text_rows, word_hashes
+from .common import column, documents, mix, prepare, range_number, range_splits, shingle_hashes, shuffle_width, text_rows, word_hashes
 
 SAMPLES = 64
 SHINGLE = 2
@@ -163,28 +162,22 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     their text; a single row is its own next; an empty table gives no rows."""
     rows = text_rows(docs, id_col, text_col)
     width = shuffle_width(docs.sparkSession)
-    splits = np.array(range_splits(rows, "doc_id", 4 * width), np.int64)
-    lowest = np.iinfo(np.int64).min
-
-    def ranges(ids: pd.Series) -> np.ndarray:
-        return np.searchsorted(splits, ids.astype("Int64").fillna(lowest).astype(np.int64).to_numpy(), "right")
-
-    @F.pandas_udf("int")
-    def bucket(ids: pd.Series) -> pd.Series:
-        return pd.Series(ranges(ids).astype(np.int32))
-
+    lowest = int(np.iinfo(np.int64).min)
+    order = F.coalesce("doc_id", F.lit(lowest))
+    bucket = range_number(order, range_splits(rows, "doc_id", 4 * width))
     # one number a range; the first row of each is copied to the range before
-    heads = sorted((r["bucket"], r["head"]) for r in rows.select(bucket("doc_id").alias("bucket"), "doc_id")
-                   .groupBy("bucket").agg(F.max("doc_id").alias("head")).collect())
-    to = {(lowest if heads[i][1] is None else heads[i][1]): heads[(i + 1) % len(heads)][0] for i in range(len(heads))}
-
-    @F.pandas_udf("array<int>")
-    def places(ids: pd.Series) -> pd.Series:
-        own = ranges(ids)
-        key = ids.astype("Int64").fillna(lowest).astype(np.int64)
-        return pd.Series([[int(o)] if (t := to.get(k)) is None else [int(o), int(t)] for o, k in zip(own, key, strict=True)])
-
-    dealt = rows.select("doc_id", "text", F.posexplode(places("doc_id")).alias("role", "bucket"))
+    # it (that of the largest ids to the range of the smallest)
+    heads = sorted((r["bucket"], r["head"]) for r in rows.select(bucket.alias("bucket"), order.alias("head"))
+                   .groupBy("bucket").agg(F.max("head").alias("head")).collect())
+    if not heads:
+        return docs.sparkSession.createDataFrame([], OUT)
+    before = [0] * (heads[-1][0] + 1)
+    for i, (b, _) in enumerate(heads):
+        before[b] = heads[(i + 1) % len(heads)][0]
+    to = F.element_at(F.array(*[F.lit(x) for x in before]), F.col("own") + 1)
+    own = rows.select("doc_id", "text", bucket.alias("own"), order.isin([h for _, h in heads]).alias("first"))
+    places = F.when(F.col("first"), F.array("own", to)).otherwise(F.array("own"))
+    dealt = own.select("doc_id", "text", F.posexplode(places).alias("role", "bucket"))
     return dealt.repartition(width, "bucket") \
         .sortWithinPartitions("bucket", "role", F.col("doc_id").desc_nulls_last(), F.xxhash64("text")) \
         .select("bucket", "role", "doc_id", "text").mapInArrow(_compare, OUT)
