@@ -231,20 +231,23 @@ class Pseudonymiser:
 
 
 # ------------------------------------------------------------ detection
-#: Tried in this order at each place; the first valid match wins.
+#: Tried in this order at each place; the first valid match wins.  A value
+#: ends at anything but an ASCII letter, "_" or a digit of any script, so
+#: text without blanks between words may touch it.
 _PATTERN = re.compile(r"""
-    (?P<mail>(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-]))
+    (?P<mail>(?<![A-Za-z_\d.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z_\d-]))
   | (?P<aws>(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<awsid>[A-Z0-9]{16})(?![A-Za-z0-9]))
-  | (?P<cred>(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key))\s{0,3}[=:]\s{0,3}["']?(?P<val>[A-Za-z0-9+/=_.-]{8,256}))
+  | (?P<cred>(?i:(?<![A-Za-z_\d])(?:password|passwd|pwd|token|secret|api[_-]?key))\s{0,3}[=:]\s{0,3}["']?(?P<val>[A-Za-z0-9+/=_.-]{8,256}))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-  | (?P<date>(?<![\w.,/-])(?:(?P<iso>(?P<y>[0-9]{4})(?P<s1>[-/.])(?P<m>[0-9]{1,2})(?P=s1)(?P<d>[0-9]{1,2}))
-       |(?P<p>[0-9]{1,2})(?P<s2>[-/.])(?P<q>[0-9]{1,2})(?P=s2)(?P<y2>[0-9]{4}))(?![\w/-]|[.][0-9]))
-  | (?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))
-  | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
-  | (?P<card>(?<![\w.+-])(?:[0-9]{13,19}|[0-9]{4}(?P<c1>[ -])[0-9]{4}(?P=c1)[0-9]{4}(?P=c1)[0-9]{1,7}
-       |[0-9]{4}(?P<c2>[ -])[0-9]{6}(?P=c2)[0-9]{4,5})(?![\w]|[-.][0-9]))
-  | (?P<phone>(?<![\w.])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?!\w|[-.][0-9]))
-  | (?P<intl>(?<!\w)\+[0-9](?:[ .()-]{0,2}[0-9]){7,14}(?!\w))
+  | (?P<date>(?<![A-Za-z_\d.,/-])(?:(?P<iso>(?P<y>[0-9]{4})(?P<s1>[-/.])(?P<m>[0-9]{1,2})(?P=s1)(?P<d>[0-9]{1,2}))
+       |(?P<p>[0-9]{1,2})(?P<s2>[-/.])(?P<q>[0-9]{1,2})(?P=s2)(?P<y2>[0-9]{4}))
+       (?:(?![A-Za-z_\d/-]|[.][0-9])|(?=[Tt][0-9]|[Zz](?![A-Za-z_\d])|[_-][0-9]{1,2}:[0-9]{2})))
+  | (?P<ip>(?<![A-Za-z_\d.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z_\d]|\.[0-9]))
+  | (?P<ssn>(?<![A-Za-z_\d-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z_\d-]))
+  | (?P<card>(?<![A-Za-z_\d.+-])(?:[0-9]{13,19}|[0-9]{4}(?P<c1>[ -])[0-9]{4}(?P=c1)[0-9]{4}(?P=c1)[0-9]{1,7}
+       |[0-9]{4}(?P<c2>[ -])[0-9]{6}(?P=c2)[0-9]{4,5})(?![A-Za-z_\d]|[-.][0-9]))
+  | (?P<phone>(?<![A-Za-z_\d.])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![A-Za-z_\d]|[-.][0-9]))
+  | (?P<intl>(?<![A-Za-z_\d])\+[0-9](?:[ .()-]{0,2}[0-9]){7,14}(?![A-Za-z_\d]))
 """, re.X)
 _MAY = re.compile(r"[0-9@=:]|A[KS]IA")
 KINDS = ("mail", "aws", "cred", "iban", "date", "ip", "ssn", "card", "phone", "intl")

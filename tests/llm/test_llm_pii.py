@@ -70,6 +70,25 @@ def test_dates(d):
         assert [int(x) for x in back.replace(".", "/").split("/")] == [int(x) for x in written.replace(".", "/").split("/")]
 
 
+def test_values_beside_other_scripts():
+    for value in ("Bosbt.42@mail8.example.com", "1987-03-04", "25/12/1999", "31.01.2001", "42.144.35.254", "4111 1111 1111 1111",
+                  "4111111111111111", "988-555-2485", "+1 (988) 555-2485", "+49 30 12345678", "123-45-6789", "password=e3b3ed3cc8548923d6"):
+        alone, n = pseudonymise(value, P)
+        assert n == 1 and alone != value
+        for left, right in (("日本", "語です"), ("电话", ""), ("", "。"), ("é", "é")):
+            assert pseudonymise(left + value + right, P) == (left + alone + right, 1), (left, value, right)
+            assert pseudonymise(left + alone + right, Q)[0] == left + value + right
+
+
+def test_days_before_times():
+    day = pseudonymise("2024-01-22", P)[0]
+    for rest in ("T10:00:00", "T10:00:00.123Z", "t1000", "T10:00:00+02:00", "Z", "_10:00", "-10:00", " 10:00:00"):
+        assert pseudonymise("2024-01-22" + rest, P) == (day + rest, 1)
+        assert pseudonymise(day + rest, Q)[0] == "2024-01-22" + rest
+    for left in ("2024-01-22Test", "2024-01-22-33", "x2024-01-22", "2024-01-22_3", "2024.01.22.5", "x4111111111111111", "42.144.35.254b", "٣1987-03-04"):
+        assert pseudonymise(left, P) == (left, 0)
+
+
 def test_awkward_rows(spark):
     got = pseudonymise_documents(messy(spark, [*rows(), (20, TEXT), (20, TEXT)])).collect()
     assert len(got) == len(rows()) + 2
