@@ -103,6 +103,7 @@ class Pseudonymiser:
         self.phone = lru_cache(1 << 15)(self._phone)
         self.mail = lru_cache(1 << 15)(self._mail)
         self.ip = lru_cache(1 << 15)(self._ip)
+        self.day = lru_cache(1 << 15)(self._day)
 
     # each takes the matched text and returns its pseudonym, or None if the
     # text isn't a valid value of the kind
@@ -195,35 +196,37 @@ class Pseudonymiser:
                 return permute_string(self._key["secret"], s, alphabet, self.inverse)
         return s
 
-    def day(self, ordinal: int) -> int:
+    def _day(self, ordinal: int) -> int:
+        """Days of the month above 12 and others are permuted apart, so that
+        each way of writing one is read again in the same order."""
         n = LAST_DAY - FIRST_DAY + 1
         b = 271
         a = -(-n // b)
-        return FIRST_DAY + walk(self._key["date"], ordinal - FIRST_DAY, a, b, lambda v: v < n, self.inverse)
+        late = lambda v: dt.date.fromordinal(FIRST_DAY + v).day > 12
+        high = late(ordinal - FIRST_DAY)
+        return FIRST_DAY + walk(self._key["date"], ordinal - FIRST_DAY, a, b, lambda v: v < n and late(v) == high, self.inverse)
 
     def date(self, m: re.Match) -> str | None:
-        """Real calendar days; the written order, separators and padding stay."""
+        """Real calendar days; the written order, separators and padding stay.
+        Month first with slashes, day first with others, or else the other way
+        round if that is no calendar day."""
         g = m.groupdict()
-        s = m.group()
-        try:
-            if g["iso"]:
-                y, sep, mo, d = g["y"], g["s1"], g["m"], g["d"]
-                order = "ymd"
-            else:
-                x, y, sep = g["p"], g["y2"], g["s2"]
-                order = "dmy" if sep != "/" or int(x) > 12 else "mdy"
-                d, mo = (x, g["q"]) if order == "dmy" else (g["q"], x)
-            old = dt.date(int(y), int(mo), int(d)).toordinal()
-        except ValueError:
+        if g["iso"]:
+            sep, orders = g["s1"], {"ymd": (g["y"], g["m"], g["d"])}
+        else:
+            sep, mdy, dmy = g["s2"], (g["y2"], g["p"], g["q"]), (g["y2"], g["q"], g["p"])
+            orders = {"mdy": mdy, "dmy": dmy} if sep == "/" else {"dmy": dmy, "mdy": mdy}
+        for order, (y, mo, d) in orders.items():
+            try:
+                old = dt.date(int(y), int(mo), int(d)).toordinal()
+                break
+            except ValueError:
+                continue
+        else:
             return None
         if not FIRST_DAY <= old <= LAST_DAY:
             return None
         new = dt.date.fromordinal(self.day(old))
-        # a day first above 12 written with slashes must stay readable the same way
-        if order != "ymd" and sep == "/":
-            same = (lambda t: t.day > 12) if order == "dmy" else (lambda t: True)
-            while not same(new):
-                new = dt.date.fromordinal(self.day(new.toordinal()))
         two = order == "ymd" or (len(d) == 2 and len(mo) == 2)
         f = (lambda v: f"{v:02d}") if two else str
         parts = {"y": f"{new.year:04d}", "m": f(new.month), "d": f(new.day)}

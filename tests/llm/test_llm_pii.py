@@ -89,6 +89,29 @@ def test_days_before_times():
         assert pseudonymise(left, P) == (left, 0)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.dates(dt.date(1900, 1, 1), dt.date(2099, 12, 31)))
+def test_all_spellings_of_a_day_stay_linked(d):
+    new = dt.date.fromisoformat(pseudonymise(d.isoformat(), P)[0])
+    forms = ["%d.%m.%Y", "%d-%m-%Y", "%Y/%m/%d", "%m/%d/%Y"] + ["%d/%m/%Y", "%m-%d-%Y", "%m.%d.%Y"] * (d.day > 12)
+    for form in forms:
+        assert pseudonymise(d.strftime(form), P) == (new.strftime(form), 1)
+        assert pseudonymise(new.strftime(form), Q)[0] == d.strftime(form)
+
+
+def test_month_first_with_any_separator():
+    for written in ("12-25-2023", "12.25.2023", "12/25/2023"):
+        assert pseudonymise(written, P)[1] == 1 and pseudonymise(written, P)[0] != written
+    for left in ("13-25-2023", "02.30.2023", "00/25/2023", "31/11/2023"):
+        assert pseudonymise(left, P) == (left, 0)
+
+
+def test_days_are_permuted():
+    some = [dt.date(2000, 1, 1).toordinal() + i for i in range(800)]
+    got = [P.day(x) for x in some]
+    assert len(set(got)) == 800 and [Q.day(x) for x in got] == some
+
+
 def test_awkward_rows(spark):
     got = pseudonymise_documents(messy(spark, [*rows(), (20, TEXT), (20, TEXT)])).collect()
     assert len(got) == len(rows()) + 2
