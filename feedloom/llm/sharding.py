@@ -15,7 +15,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, prepare, shuffle_width
+from .common import documents, prepare
 
 ROUNDS = 6
 #: The grid has fewer than ``isqrt(N) + 2`` cells beyond N, so about one pass
@@ -25,6 +25,9 @@ ROUNDS = 6
 WALK = 48
 #: Rows of a numbering block; only one count a block is summed in one place.
 BLOCK_ROWS = 100_000
+#: Least number of blocks, whatever the session's shuffle width: the numbers
+#: must not depend on it.
+LEAST_BLOCKS = 1024
 
 
 def _network(x: Column, rows: int, cols: int, key: str) -> Column:
@@ -56,7 +59,7 @@ def number_rows(rows: DataFrame, n: int) -> DataFrame:
     Equal rows are counted first, so no block holds a hot value more than
     once; blocks are numbered by a running sum of their counts."""
     cols = rows.columns
-    blocks = max(shuffle_width(rows.sparkSession), -(-n // BLOCK_ROWS))
+    blocks = max(LEAST_BLOCKS, -(-n // BLOCK_ROWS))
     groups = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")) \
         .withColumn("__block", F.pmod(F.xxhash64(*cols), F.lit(blocks)))
     totals = groups.groupBy("__block").agg(F.sum("__n").alias("__total"))

@@ -41,6 +41,18 @@ def test_same_result_for_any_partitioning(spark):
     assert key(assign_shards(messy(spark).repartition(1), 4)) == key(assign_shards(messy(spark).repartition(5), 4))
 
 
+def test_same_result_for_any_shuffle_width(spark):
+    key = lambda df: sorted((str(r["doc_id"]), r["text_crc32"], r["shard"], r["slot"]) for r in df.collect())
+    had, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for width in (3, 8, 17):
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+            got.append(key(assign_shards(messy(spark), 4)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", had)
+    assert got[0] == got[1] == got[2]
+
+
 def test_many_equal_rows(spark):
     df = spark.range(500).select(F.lit(7).alias("doc_id"), F.lit("same").alias("text"))
     check(assign_shards(df, 16).collect(), 500, 16)
