@@ -24,9 +24,10 @@ MASKS = ("11111", "110101", "1101001", "1011001", "11000101", "10100011", "10010
 #: An overlap is this many consecutive words of an item with at least 80 of
 #: 100 equal.
 WINDOW = 13
-#: Shorter items are matched whole and without substitutions; below this many
-#: words they carry too little to be a leak.
-MIN_WORDS = 5
+#: Shorter items are matched whole, below EDITED words without substitutions;
+#: below MIN_WORDS they carry too little to be a leak.  Any EDITED words or
+#: more with 80 of 100 equal contain a hit of a mask, too.
+EDITED, MIN_WORDS = 8, 5
 #: Items of the benchmark that a task holds at once.  A larger benchmark is
 #: taken in blocks of this many words, one after the other over all rows.
 BLOCK_WORDS = 1_000_000
@@ -34,7 +35,7 @@ BLOCK_WORDS = 1_000_000
 
 def _needed(words: int) -> int:
     """Equal words that an overlap of this length needs."""
-    return -(-words * 80 // 100) if words >= WINDOW else words
+    return -(-words * 80 // 100) if words >= EDITED else words
 
 
 def spaced_hashes(w: np.ndarray, mask: str, salt: int) -> np.ndarray:

@@ -3,7 +3,7 @@ import itertools
 import numpy as np
 from fixtures_llm import empty, messy, prose, rows
 
-from feedloom.llm.decontam import MASKS, WINDOW, benchmark_overlaps, decontaminate
+from feedloom.llm.decontam import EDITED, MASKS, WINDOW, benchmark_overlaps, decontaminate
 
 ITEMS = [(1, prose(100, 40)), (2, prose(101, 15)), (3, "one two three four five six seven"), (4, None), (5, ""), (6, "too short"),
          (1, prose(100, 40))]
@@ -38,6 +38,24 @@ def test_masks_cover_every_two_substitutions():
         assert any(all(c == "0" or i + j not in lost for j, c in enumerate(m)) for m in MASKS for i in range(WINDOW - len(m) + 1))
 
 
+def test_masks_cover_the_substitutions_of_short_items():
+    for n in range(EDITED, WINDOW):
+        for lost in itertools.combinations(range(n), n - -(-n * 80 // 100)):
+            assert any(all(c == "0" or i + j not in lost for j, c in enumerate(m)) for m in MASKS for i in range(n - len(m) + 1))
+
+
+def test_short_items_with_substitutions(spark):
+    items, texts = [], []
+    for n in range(EDITED, WINDOW):
+        item = prose(200 + n, n).split(" ")
+        items.append((n, " ".join(item)))
+        bad = n - -(-n * 80 // 100)
+        for lose in (bad, bad + 1):
+            texts.append((10 * n + lose - bad, " ".join([prose(300 + n, 9), *("edited" if 2 <= i < 2 + lose else w for i, w in enumerate(item)), prose(400 + n, 9)])))
+    got = {r["doc_id"]: [o["item_id"] for o in r["overlaps"]] for r in benchmark_overlaps(messy(spark, texts), bench(spark, items)).collect()}
+    assert got == {d: [] if d % 10 else [d // 10] for d, _ in texts}
+
+
 def brute(text, items):
     """Windows of WINDOW words of which at least 11 agree, or whole shorter items."""
     w = np.array((text or "").lower().split())
