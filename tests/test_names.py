@@ -1,13 +1,13 @@
 from feedloom.operators.resolve import resolution_log, resolve_names, resolution_rates
 
 GOLDEN = [
-    ("Open AI, Inc.", "OpenAI", "nospace_seed_match"),
-    ("Open AI", "OpenAI", "nospace_seed_match"),
-    ("OpenAI Inc.", "OpenAI", "exact_seed_match"),
-    ("Anthropic, PBC", "Anthropic", "exact_seed_match"),
-    ("Mistral AI Lab", "Mistral AI", "exact_seed_match"),
-    ("Stability.AI LLC", "Stability AI", "exact_seed_match"),
-    ("ThinkingNode Technologies Corp.", "ThinkingNode", "normalized"),
+    ("Lang Chain, Ltd.", "LangChain", "nospace_seed_match"),
+    ("Core Weave", "CoreWeave", "nospace_seed_match"),
+    ("Pinecone GmbH", "Pinecone", "exact_seed_match"),
+    ("Weaviate, LLC", "Weaviate", "exact_seed_match"),
+    ("Together AI Labs", "Together AI", "exact_seed_match"),
+    ("Character.AI PBC", "Character.AI", "exact_seed_match"),
+    ("Riverglass Tech Limited", "Riverglass", "normalized"),
     ("Foo Inc Bar", "Foo  Bar", "normalized"),
     ("Co-here", "-here", "normalized"),
     ("Labs", "Labs", "normalized"),

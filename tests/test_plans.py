@@ -7,7 +7,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import ROOT, SF_SMALL
+from helpers import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import oracle_check as OC  # noqa: E402
@@ -32,17 +32,21 @@ def test_entry_runs(spark):
 
 
 def test_every_plan_has_oracle_or_is_declared():
-    rows_only = {"html_clean_text", "extraction_input", "topic_clusters"}
-    assert set(QS) - set(SQLS) == rows_only
+    # iterative; its checkable facts are in topic_clusters_check
+    rows_only = {"topic_clusters"}
+    # the optional part has brute-force tests of its own
+    assert set(QS) - set(SQLS) - set(E.LLM_QUERIES) == rows_only
 
 
-@pytest.mark.parametrize("name", sorted(QS))
+@pytest.mark.parametrize("name", sorted(set(QS) - set(SQLS) - set(E.LLM_QUERIES)))
+def test_plan_without_oracle_runs(spark, name):
+    assert QS[name](spark, SF_SMALL).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(set(QS) & set(SQLS)))
 def test_plan_matches_oracle(spark, duck, name):
     sdf = QS[name](spark, SF_SMALL)
     srows = [tuple(r) for r in sdf.collect()]
-    if name not in SQLS:
-        assert len(srows) > 0
-        return
     res = duck.sql(SQLS[name])
     orows = [tuple(r) for r in res.fetchall()]
     assert sorted(sdf.columns) == sorted(res.columns)

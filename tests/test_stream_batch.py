@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from feedloom.functions.times import is_fresh
 from feedloom.plans import inputs as I
 from feedloom.session import scratch_path

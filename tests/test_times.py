@@ -1,4 +1,4 @@
-from conftest import one
+from helpers import one
 from feedloom.functions.times import format_iso, is_fresh, parse_date
 
 T = "2024-01-21 12:00:00"
