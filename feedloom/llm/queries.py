@@ -15,6 +15,7 @@ from .pii import op4_pii
 from .rans import op5_rans_tokens
 from .sampling import op10_sentencepiece
 from .sharding import op8_sharding
+from .spelling import op13_spelling
 from .suffix import ORACLE_SQL as SUFFIX_SQL
 from .suffix import op2_suffix_array
 from .toxicity import op3_toxicity
@@ -30,5 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op8_sharding,
     op9_fingerprints,
     op10_sentencepiece,
+    op13_spelling,
 )}
 SQL: dict[str, str] = {"op1_minhash": MINHASH_SQL, "op2_suffix_array": SUFFIX_SQL}
