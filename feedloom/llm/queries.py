@@ -19,6 +19,7 @@ from .spelling import op13_spelling
 from .suffix import ORACLE_SQL as SUFFIX_SQL
 from .suffix import op2_suffix_array
 from .toxicity import op3_toxicity
+from .whitening import op11_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_minhash,
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op8_sharding,
     op9_fingerprints,
     op10_sentencepiece,
+    op11_whitening,
     op13_spelling,
 )}
 SQL: dict[str, str] = {"op1_minhash": MINHASH_SQL, "op2_suffix_array": SUFFIX_SQL}
