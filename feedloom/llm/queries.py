@@ -14,6 +14,7 @@ from .minhash import op1_minhash
 from .pii import op4_pii
 from .rans import op5_rans_tokens
 from .sampling import op10_sentencepiece
+from .secrets import op12_secrets
 from .sharding import op8_sharding
 from .spelling import op13_spelling
 from .suffix import ORACLE_SQL as SUFFIX_SQL
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op9_fingerprints,
     op10_sentencepiece,
     op11_whitening,
+    op12_secrets,
     op13_spelling,
 )}
 SQL: dict[str, str] = {"op1_minhash": MINHASH_SQL, "op2_suffix_array": SUFFIX_SQL}
