@@ -109,6 +109,10 @@ def esc(c: Column) -> Column:
                      F.lit(">"), F.lit("&gt;"))
 
 
+def cdata(c: Column) -> Column:
+    return F.concat(F.lit("<![CDATA["), c, F.lit("]]>"))
+
+
 def first_line(text: Column) -> Column:
     return F.split(text, "\n", -1)[0]
 
@@ -133,9 +137,11 @@ def atom_paper_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 5 == 0, F.lit("<author><name> </name></author>")).otherwise(F.lit("")))
     comment = F.when(k % 3 == 0, F.concat(F.lit("<arxiv:comment>Code: https://github.com/org"), F.col("lang"),
                                           F.lit("/r"), k.cast("string"), F.lit("</arxiv:comment>"))).otherwise(F.lit(""))
+    # every fourth title stands in a CDATA section
+    title = F.when(k % 4 == 3, cdata(first_line(F.col("text")))).otherwise(esc(first_line(F.col("text"))))
     entry = F.concat(
         F.lit("<entry><id>http://arxiv.org/abs/"), paper_id(k, F.col("text")), F.lit("</id><published>"),
-        doc_published(k), F.lit("</published><title>"), esc(first_line(F.col("text"))), F.lit("</title><summary>"),
+        doc_published(k), F.lit("</published><title>"), title, F.lit("</title><summary>"),
         esc(F.col("text")), F.lit("</summary>"), authors, comment, F.lit("</entry>"))
     return assemble(d, (k / FEED_SIZE).cast("bigint"), k, entry,
                     '<?xml version="1.0" encoding="UTF-8"?><feed xmlns="http://www.w3.org/2005/Atom" '
@@ -154,16 +160,23 @@ def job_title(k: Column, company: Column) -> Column:
 
 def job_rss_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RSS job feeds; publish times step back from AS_OF_FRESH by the
-    document number (hours), in mail format."""
+    document number (hours), in mail format.  Every third title and link
+    stands in a CDATA section, as it is; descriptions hold named entities and
+    quoted tags."""
     d = table(spark, sf_dir, "documents")
     k = F.col("doc_id")
     company = company_name(k, F.concat(F.initcap("source"), F.lit(" Group")))
     pub = to_ts_lit(AS_OF_FRESH) - F.make_dt_interval(F.lit(0), (k % 40).cast("int"))
-    link = F.when(k % 5 == 0, F.lit("")).otherwise(
-        F.concat(F.lit("<link>https://jobs.example.org/"), k.cast("string"), F.lit("</link>")))
-    item = F.concat(F.lit("<item><title>"), esc(job_title(k, company)), F.lit("</title>"), link,
+    at = F.concat(F.lit("https://jobs.example.org/"), k.cast("string"))
+    link = F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(
+        F.lit("<link>"), F.when(k % 3 == 0, at).when(k % 3 == 1, cdata(F.concat(at, F.lit("?a=1&b=2"))))
+        .otherwise(F.concat(at, F.lit("?a=1&amp;b=2"))), F.lit("</link>")))
+    title = F.when(k % 3 == 1, cdata(job_title(k, company))).otherwise(esc(job_title(k, company)))
+    text = F.when(k % 4 == 1, cdata(F.concat(F.lit("<item><title>no &eacute;</title></item> <!-- "), F.col("text")))) \
+        .otherwise(F.concat(F.lit("Caf&eacute;&nbsp;a < b: "), esc(F.col("text"))))
+    item = F.concat(F.lit("<item><title>"), title, F.lit("</title>"), link,
                     F.lit("<pubDate>"), F.date_format(pub, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate>"),
-                    F.lit("<description>"), esc(F.col("text")), F.lit("</description></item>"))
+                    F.lit("<description>"), text, F.lit("</description></item>"))
     feeds = assemble(d, (k / FEED_SIZE).cast("bigint"), k, item, '<rss version="2.0"><channel>', "</channel></rss>")
     return feeds.withColumn("source_url", F.concat(F.lit("https://jobs.example.org/feed/"), F.col("feed_id").cast("string")))
 
@@ -172,7 +185,9 @@ def news_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News feeds, bodies as escaped HTML.  Two in three are Atom (entries
     with ``href`` links, the alternate before the edit link; some without a
     link), every third is RDF (items beside the channel, link as text).
-    Every second title has its ``&`` unescaped."""
+    Every second title has its ``&`` unescaped; of six titles one starts with
+    named entities, one holds a stray ``<`` and one quotes a tag in a CDATA
+    section; every fourth body is HTML in a CDATA section."""
     d = table(spark, sf_dir, "documents")
     k = F.col("doc_id")
     feed = (k / FEED_SIZE).cast("bigint")
@@ -183,13 +198,16 @@ def news_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit("<p>"), F.replace(F.col("text"), F.lit("&"), F.lit("and")), F.lit("</p>"))
     line = first_line(F.col("text"))
     bare = F.replace(F.replace(line, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    title = F.concat(F.lit("<title>"), F.when(k % 2 == 0, esc(line)).otherwise(bare), F.lit("</title>"))
+    title = F.concat(F.lit("<title>"), F.when(k % 6 == 4, F.concat(F.lit("Caf&eacute;&nbsp;"), esc(line)))
+                     .when(k % 6 == 1, F.concat(F.lit("1 < 2 "), bare)).when(k % 6 == 5, cdata(F.concat(F.lit("R&D <item> "), line)))
+                     .when(k % 2 == 0, esc(line)).otherwise(bare), F.lit("</title>"))
     at = F.concat(F.lit("https://news.example.org/a/"), k.cast("string"))
     links = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(
         F.lit('<link rel="alternate" href="'), at, F.lit('"/><link rel="edit" href="https://news.example.org/edit/'),
         k.cast("string"), F.lit('"/>')))
     text_link = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("<link>"), at, F.lit("</link>")))
-    summary = F.concat(F.lit("<summary>"), esc(body), F.lit("</summary>"))
+    summary = F.concat(F.lit("<summary>"), F.when(k % 4 == 1, cdata(F.concat(body, F.lit("<!-- <p>no</p> -->")))).otherwise(esc(body)),
+                       F.lit("</summary>"))
     rdf = feed % 3 == 2
     entry = F.when(rdf, F.concat(F.lit('<item rdf:about="urn:'), k.cast("string"), F.lit('">'), title, text_link, date_el, summary, F.lit("</item>"))) \
         .otherwise(F.concat(F.lit("<entry>"), title, links, date_el, summary, F.lit("</entry>")))
@@ -203,12 +221,30 @@ def news_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def broken_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job feeds, of which four in five are damaged: missing, not a feed,
-    with one unreadable item in front, blank."""
+    with an item in front that holds no field, blank."""
+    return job_rss_feeds(spark, sf_dir).withColumn("body", damaged("<html><body>moved</body></html>", F.replace(
+        F.col("body"), F.lit("<channel>"), F.lit("<channel><item><guid>7</guid></item>"))))
+
+
+def damaged(other: str, odd: Column, cut: Column | None = None) -> Column:
+    """A feed's body by its number: as it is, missing, another document, with
+    an odd entry in front, and blank (or ``cut``)."""
     k = F.col("feed_id") % 5
-    body = (F.when(k == 1, F.lit(None)).when(k == 2, F.lit("<html><body>moved</body></html>"))
-             .when(k == 3, F.replace(F.col("body"), F.lit("<channel>"), F.lit("<channel><item><title>cut<off</title></item>")))
-             .when(k == 4, F.lit("  ")).otherwise(F.col("body")))
-    return job_rss_feeds(spark, sf_dir).withColumn("body", body)
+    return (F.when(k == 1, F.lit(None)).when(k == 2, F.lit(other)).when(k == 3, odd)
+             .when(k == 4, F.lit("  ") if cut is None else cut).otherwise(F.col("body")))
+
+
+def broken_paper_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paper feeds, damaged in the same way; the odd entry has no id."""
+    odd = F.regexp_replace("body", "^(.*?<feed[^>]*>)", "$1<entry><title>none</title></entry>")
+    return atom_paper_feeds(spark, sf_dir).withColumn("body", damaged("<error>busy</error>", odd))
+
+
+def broken_org_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The organisation arrays: missing, of no array, with a string in front,
+    cut off."""
+    odd = F.concat(F.lit('["stray", '), F.substring(F.col("body"), 2, 1 << 30))
+    return org_feeds(spark, sf_dir).withColumn("body", damaged('{"error": "busy"}', odd, F.expr("left(body, length(body) - 3)")))
 
 
 def to_ts_lit(s: str) -> Column:
@@ -333,7 +369,9 @@ def product_rss_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("<link>https://products.example.org/p/"), (k / 2).cast("bigint").cast("string"), F.lit("</link>")))
     desc = F.element_at(F.array(F.lit("Free trial available"), F.lit("Custom pricing"), F.lit("MIT licensed"),
                                 F.lit("Subscription"), F.lit("New launch")), (k % 5 + 1).cast("int"))
-    item = F.concat(F.lit("<item><title>"), esc(title), F.lit("</title>"), link, F.lit("<description>"), desc,
+    title = F.when(k % 4 == 1, cdata(title)).otherwise(esc(title))
+    desc = F.when(k % 7 == 1, cdata(F.concat(desc, F.lit(" <item> R&D")))).otherwise(F.concat(desc, F.lit(" caf&eacute; & co")))
+    item = F.concat(F.lit("<item><title>"), title, F.lit("</title>"), link, F.lit("<description>"), desc,
                     F.lit("</description></item>"))
     return assemble(p, (k / FEED_SIZE).cast("bigint"), k, item, "<rss><channel>", "</channel></rss>")
 

@@ -404,7 +404,7 @@ def _doc_company() -> str:
 JOB_ROWS = f"""(SELECT doc_id // {I.FEED_SIZE} AS feed_id, doc_id % {I.FEED_SIZE} AS pos,
   {_JOB_ROLES}[doc_id % {len(I.JOB_ROLES)} + 1] || [' at ', ' - ', ' : ', ' | '][doc_id % 4 + 1] || {_doc_company()} AS title,
   CASE WHEN doc_id % 5 = 0 THEN 'https://jobs.example.org/feed/' || CAST(doc_id // {I.FEED_SIZE} AS VARCHAR)
-       ELSE 'https://jobs.example.org/' || CAST(doc_id AS VARCHAR) END AS url,
+       ELSE 'https://jobs.example.org/' || CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 3 = 0 THEN '' ELSE '?a=1&b=2' END END AS url,
   {_FRESH_A} - to_hours(CAST(doc_id % 40 AS BIGINT)) AS t FROM documents)"""
 
 SQL["rss_jobs"] = f"""
@@ -415,9 +415,10 @@ SELECT feed_id, pos, canonical_name AS company, {iso('t')} AS date, true AS is_r
 FROM {resolved('j')}
 """
 
+_NEWS_TITLE = "(CASE doc_id % 6 WHEN 4 THEN 'Café' || chr(160) WHEN 1 THEN '1 < 2 ' WHEN 5 THEN 'R&D <item> ' ELSE '' END || " + first_line("text") + ")"
 SQL["rss_news"] = f"""
 SELECT feed_id, pos, title, url, {iso('t')} AS publication_date, full_text FROM (
-  SELECT doc_id // {I.FEED_SIZE} AS feed_id, doc_id % {I.FEED_SIZE} AS pos, {strip(first_line('text'))} AS title,
+  SELECT doc_id // {I.FEED_SIZE} AS feed_id, doc_id % {I.FEED_SIZE} AS pos, {strip(_NEWS_TITLE)} AS title,
     CASE WHEN doc_id % 7 = 0 THEN 'https://news.example.org/feed/' || CAST(doc_id // {I.FEED_SIZE} AS VARCHAR)
          ELSE 'https://news.example.org/a/' || CAST(doc_id AS VARCHAR) END AS url,
     {_FRESH_A} - to_hours(CAST(doc_id % 40 AS BIGINT)) AS t,
@@ -430,6 +431,12 @@ _FEEDS = f"(SELECT DISTINCT doc_id // {I.FEED_SIZE} AS feed_id FROM documents)"
 SQL["feed_rejects"] = f"""SELECT feed_id, CAST(CASE feed_id % 5 WHEN 3 THEN 0 END AS BIGINT) AS pos,
   CASE feed_id % 5 WHEN 1 THEN 'empty_document' WHEN 2 THEN 'no_items' WHEN 3 THEN 'unreadable_item' ELSE 'empty_document' END AS reason
 FROM {_FEEDS} WHERE feed_id % 5 <> 0"""
+SQL["paper_rejects"] = SQL["feed_rejects"]
+SQL["json_rejects"] = f"""SELECT feed_id, CAST(CASE feed_id % 5 WHEN 3 THEN 0 END AS BIGINT) AS pos,
+  CASE feed_id % 5 WHEN 1 THEN 'empty_document' WHEN 2 THEN 'no_items' WHEN 3 THEN 'unreadable_item' ELSE 'unreadable_document' END AS reason
+FROM (SELECT DISTINCT s_suppkey // {I.FEED_SIZE} AS feed_id FROM supplier) WHERE feed_id % 5 <> 0"""
+SQL["json_rejects_kept"] = f"""SELECT s_suppkey // {I.FEED_SIZE} AS feed_id, count(*) AS entries FROM supplier
+WHERE s_suppkey // {I.FEED_SIZE} % 5 IN (0, 3) GROUP BY 1"""
 SQL["feed_reject_counts"] = f"""SELECT reason, count(*) AS n FROM (SELECT reason FROM ({SQL['feed_rejects']})
   UNION ALL SELECT 'kept' FROM documents WHERE doc_id // {I.FEED_SIZE} % 5 IN (0, 3)) GROUP BY reason"""
 

@@ -382,11 +382,31 @@ def rss_news(spark, sf):
 
 @register("feed_rejects")
 def feed_rejects(spark, sf):
-    """SRC3/SRC4: feed documents without items, and items that can't be
-    read, each with its reason."""
+    """SRC3/SRC4: feed documents without items, and items without any
+    field, each with its reason."""
     return FD.feed_rejects(I.broken_feeds(spark, sf), keep=["feed_id"])
 
 
+@register("paper_rejects")
+def paper_rejects(spark, sf):
+    """SRC1: paper feeds without entries, and entries without an id."""
+    return FD.paper_rejects(I.broken_paper_feeds(spark, sf), keep=["feed_id"])
+
+
+@register("json_rejects")
+def json_rejects(spark, sf):
+    """SRC6/SRC10: JSON documents and elements that give no record."""
+    return FD.json_rejects(I.broken_org_feeds(spark, sf), keep=["feed_id"])
+
+
+@register("json_rejects_kept")
+def json_rejects_kept(spark, sf):
+    """SRC6: entries kept of damaged JSON documents (an element of another
+    kind costs only itself)."""
+    e = FD.json_array_entries(I.broken_org_feeds(spark, sf), "name:string", keep=["feed_id"])
+    return e.where("e.name is not null").groupBy("feed_id").agg(F.count(F.lit(1)).alias("entries"))
+
+
 @register("feed_reject_counts")
 def feed_reject_counts(spark, sf):
     """Rejected documents and items by reason, beside the items kept."""

@@ -1,5 +1,6 @@
 import json
 
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from feedloom.operators import dedup
@@ -43,7 +44,7 @@ def test_links_items_and_rejects(spark):
         '<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>Oak & ash</title><link rel="alternate" href="https://n/1"/>'
         '<link rel="edit" href="https://n/edit/1"/></entry><entry><title>two</title><link>https://n/2</link></entry></feed>',
         '<rdf:RDF xmlns:rdf="x"><channel><title>c</title></channel><item><title>r</title><link>https://r/1</link>'
-        "<content:encoded><![CDATA[<b>e</b>]]></content:encoded></item><item><title>cut<off</title></item></rdf:RDF>",
+        "<content:encoded><![CDATA[<b>e</b>]]></content:encoded></item><item><guid>4</guid></item></rdf:RDF>",
         "", None, "<html>moved</html>", "<rss><channel><!-- <item><title>no</title></item> --><item><title>t</title></item></channel></rss>"]
     docs = spark.createDataFrame([(i, "https://feed", b) for i, b in enumerate(bodies)], "feed_id long, source_url string, body string")
     got = sorted((r.feed_id, r.pos, r.title, r.url, r.body_html) for r in feeds.feed_items(docs, keep=["feed_id"]).collect())
@@ -53,6 +54,65 @@ def test_links_items_and_rejects(spark):
     assert lost == [(1, 1, "unreadable_item"), (2, None, "empty_document"), (3, None, "empty_document"), (4, None, "no_items")]
 
 
+def _read(spark, *bodies):
+    docs = spark.createDataFrame([(i, "https://feed", b) for i, b in enumerate(bodies)], "feed_id long, source_url string, body string")
+    return [(r.feed_id, r.pos, r.title, r.url, r.body_html) for r in feeds.feed_items(docs, keep=["feed_id"]).orderBy("feed_id", "pos").collect()]
+
+
+def test_cdata_is_text_as_it_stands(spark):
+    got = _read(spark, "<rss><item><title><![CDATA[R&D Lead at A&B]]></title><link><![CDATA[http://x/9?a=1&b=2]]></link>"
+                       "<description><![CDATA[<p>x &amp; y</p><!-- kept --><item><title>quoted</title></item>]]></description></item></rss>")
+    assert got == [(0, 0, "R&D Lead at A&B", "http://x/9?a=1&b=2", "<p>x &amp; y</p><!-- kept --><item><title>quoted</title></item>")]
+
+
+def test_entities_and_stray_signs(spark):
+    got = _read(spark, "<rss><item><title>Caf&eacute; A&nbsp;B &#8212; &#x41; &unknown; &amp;lt; 1 < 2 & 3<4</title><link>http://x/?q=1&copy=2&amp;r=3</link></item></rss>",
+                "<rss><item><title>bad &#0; &#xD800; &#99999999;</title></item></rss>")
+    assert got == [(0, 0, "Café A\u00a0B — A &unknown; &lt; 1 < 2 & 3<4", "http://x/?q=1&copy=2&r=3", "Café A\u00a0B — A &unknown; &lt; 1 < 2 & 3<4"),
+                   (1, 0, "bad � � �", "https://feed", "bad � � �")]
+
+
+def test_damaged_markup_is_recovered(spark):
+    got = _read(spark, "<rss><item><title>one</b><link>http://1</link><item><title>two</title><description>cut <b>off</b",
+                "<rss><item><title>a</title></channel></item><item><title>b</title><guid>1</item><item><title>c</title></item></rss>",
+                "<feed><entry><source><title/></source><media:title>m</media:title><title>own</title><link href='http://e/1?x=1&amp;y=2' rel=\"a>b\"/></entry></feed>",
+                "<rss><ITEM><title>no</title></ITEM><item/><item><title>yes</title><![CDATA[stray]]></item></rss>")
+    assert [r[:4] for r in got] == [(0, 0, "onehttp://1", "http://1"), (0, 1, "two", "https://feed"), (1, 0, "a", "https://feed"), (1, 1, "b", "https://feed"),
+                                    (1, 2, "c", "https://feed"), (2, 0, "", "http://e/1?x=1&y=2"), (3, 1, "yes", "https://feed")]
+    assert got[1][4] == "cut off</b"
+
+
+def test_markup_within_a_field(spark):
+    got = _read(spark, "<feed><entry><title>t</title><summary type='xhtml'><div>a <b>bold</b> word</div></summary></entry></feed>")
+    assert got[0][4] == "a bold word"
+
+
+def test_paper_feeds_with_damage(spark):
+    docs = spark.createDataFrame([(0, ATOM.replace("Salt", "Salt & <water> &eacute;")), (1, "<feed><entry><id> </id></entry></feed>"), (2, " "), (3, "<error/>"), (4, None)],
+                                 "feed_id long, body string")
+    e = feeds.atom_paper_entries(docs, keep=["feed_id"]).orderBy("pos").collect()
+    assert [(r.feed_id, r.pos, r.title) for r in e] == [(0, 0, "Tide tables from buoys"), (0, 1, "Salt & é")]
+    lost = sorted((r.feed_id, r.pos, r.reason) for r in feeds.paper_rejects(docs, keep=["feed_id"]).collect())
+    assert lost == [(0, 2, "unreadable_item"), (1, 0, "unreadable_item"), (2, None, "empty_document"), (3, None, "no_items"), (4, None, "empty_document")]
+
+
+def test_json_rejects_and_what_is_kept(spark):
+    bodies = ['{"jobs": [{"t": "a"}, 5, null, {"t": 7}]}', '{"jobs": []}', '{"jobs": {"t": "a"}}', "{", "", None, '{"jobs": [{"t": {"x": 1}}]}']
+    docs = spark.createDataFrame(list(enumerate(bodies)), "feed_id long, body string")
+    kept = sorted((r.feed_id, r.pos, r.e.t) for r in feeds.json_array_entries(docs, "t:string", path="jobs", keep=["feed_id"]).collect())
+    assert kept == [(0, 0, "a"), (0, 3, "7"), (6, 0, '{"x":1}')]
+    lost = sorted((r.feed_id, -1 if r.pos is None else r.pos, r.reason) for r in feeds.json_rejects(docs, path="jobs", keep=["feed_id"]).collect())
+    assert lost == [(0, 1, "unreadable_item"), (0, 2, "unreadable_item"), (1, -1, "no_items"), (2, -1, "no_items"), (3, -1, "unreadable_document"), (4, -1, "empty_document"), (5, -1, "empty_document")]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<item>", "</item>", "<title>", "</title>", "<![CDATA[", "]]>", "<!--", "-->", "&amp;", "&", "<", ">", "x", "<link href='u'/>", "<a b=\"", "é"]), max_size=30).map("".join))
+def test_any_document_is_read(text):
+    from feedloom.sources.xml_items import scan
+    found = scan(text, ("item",), frozenset(["title", "link"]))
+    assert all(isinstance(e.text, str) for item in found["item"] for e in item)
+
+
 def test_malformed_feed_gives_no_rows(spark):
     docs = spark.createDataFrame([(0, "<feed><entry>"), (1, None)], "feed_id long, body string")
     assert feeds.atom_paper_entries(docs, keep=["feed_id"]).count() == 0
@@ -154,9 +214,6 @@ def test_source_url_rule(spark):
         ("b", ["missing:source.url"]), ("c", ["missing:source.url"])]
 
 
-from hypothesis import given, settings, strategies as st  # noqa: E402
-
-
 @settings(max_examples=20, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.integers(0, 3), st.integers(0, 50)),
                 min_size=1, max_size=40))
