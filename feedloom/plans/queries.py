@@ -1046,13 +1046,34 @@ def export_roundtrip(spark, sf):
 
 @register("topic_clusters_check")
 def topic_clusters_check(spark, sf):
-    """What must hold for any k-means result: every vector is assigned
-    once, to one of k clusters, at a distance."""
-    from feedloom.operators.clusters import topic_clusters as tc
+    """What k-means promises once it has converged: every vector in one
+    cluster, no centre nearer than its own, every centre the mean of its
+    members."""
+    from feedloom.operators.clusters import fit_clusters, optimality
     emb = I.table(spark, sf, "embeddings")
     k = max(2, emb.select(F.count_distinct("label")).first()[0])  # one scalar to the driver
-    got = tc(emb, "embedding", k)
-    return got.agg(F.count(F.lit(1)).alias("vectors"), F.count_distinct("vec_id").alias("distinct_vectors"),
-                   F.max((F.col("cluster") >= k) | (F.col("cluster") < 0)).alias("out_of_range"),
-                   F.max(F.col("distance").isNull() | (F.col("distance") < 0)).alias("bad_distance"),
-                   (F.count_distinct("cluster") <= k).alias("at_most_k"))
+    assigned, centres = fit_clusters(emb, "embedding", k, max_iter=200, tol=1e-9)
+    return optimality(emb, "embedding", assigned, centres)
+
+
+NEIGHBOURS = 10
+
+
+@register("embedding_neighbours")
+def embedding_neighbours(spark, sf):
+    """The ten nearest vectors by cosine of every vector whose id is
+    divisible by 50, among all (the index in its exact mode)."""
+    from feedloom.operators.neighbours import neighbours
+    return neighbours(I.table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, NEIGHBOURS)
+
+
+@register("embedding_recall")
+def embedding_recall(spark, sf):
+    """Share of those neighbours that the index finds in its approximate
+    mode, with the reach calibrated on a bounded sample."""
+    from feedloom.operators.neighbours import calibrate, neighbours
+    emb, asked = I.table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0
+    true = neighbours(emb, asked, NEIGHBOURS)
+    got = neighbours(emb, asked, NEIGHBOURS, calibrate(emb, asked, NEIGHBOURS))
+    hit = true.join(got.select("id", "neighbour", F.lit(1).alias("hit")), ["id", "neighbour"], "left")
+    return hit.agg(F.count(F.lit(1)).alias("neighbours"), (F.sum(F.coalesce("hit", F.lit(0))) >= 0.9 * F.count(F.lit(1))).alias("recall_met"))
\ No newline at end of file

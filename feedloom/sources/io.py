@@ -16,3 +16,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     df = spark.read.format(fmt).load(path)
     n = spark.conf.get(SCAN_PARTITIONS, None)
     return df.repartition(int(n)) if n else df
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read from
+    there, so that what follows neither repeats nor loses its work."""
+    from feedloom.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
