@@ -107,6 +107,7 @@ class Tokens:
     doc: np.ndarray
     #: no gap lies before it
     joined: np.ndarray
+    #: a row for each template
     features: np.ndarray
 
     def __len__(self) -> int:
@@ -147,7 +148,7 @@ def _tokens(data: np.ndarray, off: np.ndarray, files: np.ndarray) -> Tokens:
     joined = np.zeros(m, bool)
     joined[1:] = (start[1:] == end[:-1]) & (doc[1:] == doc[:-1])
     if not m:
-        return Tokens(start, end, doc, joined, np.zeros((0, len(TEMPLATES)), np.int32))
+        return Tokens(start, end, doc, joined, np.zeros((len(TEMPLATES), 0), np.int32))
 
     def sums(table: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         c = np.zeros(n + 1, np.int64)
@@ -212,9 +213,9 @@ def _tokens(data: np.ndarray, off: np.ndarray, files: np.ndarray) -> Tokens:
         bits, length, np.where((run_bits[run] & 20 > 0) & (run_bits[run] & 8 == 0), hashed(mix(first.astype(np.uint64)), 1024), 0),
         at(-1, hashed(name, 2048)), at(-2, hashed(name, 2048)), at(-3, hashed(name, 1024)), at(1, hashed(name, 1024)),
         gap, after, run_bits[run] * 9 + run_size[run], run_turns[run] * 9 + run_size[run], files[doc] * 3 + short)
-    feats = np.empty((m, len(TEMPLATES)), np.int32)
+    feats = np.empty((len(TEMPLATES), m), np.int32)
     for i, v in enumerate(values):
-        feats[:, i] = v + OFFSETS[i]
+        feats[i] = v + OFFSETS[i]
     return Tokens(start, end, doc, joined, feats)
 
 
@@ -228,8 +229,9 @@ class Crf:
 
     def scores(self, t: Tokens) -> np.ndarray:
         e = np.zeros((len(t), 3), np.float32)
-        for k in range(t.features.shape[1]):
-            e += self.emit[t.features[:, k]]
+        for j in range(3):
+            weight = np.ascontiguousarray(self.emit[:, j], np.float32)
+            e[:, j] = sum(weight[f] for f in t.features)
         # a secret goes on only without a gap
         e[~t.joined, I] += NEVER
         return e
@@ -251,37 +253,60 @@ def viterbi(e: np.ndarray, heads: np.ndarray, move: np.ndarray, first: np.ndarra
         return np.zeros(0, np.int64)
     blocks = -(-n // length)
     pad = blocks * length - n
-    e = np.concatenate([e.astype(np.float64), np.zeros((pad, 3))]).reshape(blocks, length, 3)
+    # a step's scores of all blocks lie side by side, label by label
+    e = np.ascontiguousarray(np.concatenate([e, np.zeros((pad, 3), e.dtype)]).reshape(blocks, length, 3).transpose(1, 2, 0), np.float64)
     # padding starts a chain, so that it says nothing of the last label
-    h = np.r_[heads, np.ones(pad, bool)].reshape(blocks, length)
-    move, first = move.astype(np.float64), first.astype(np.float64)
-    fresh = np.broadcast_to(first, (3, 3))
-    p = np.where(np.eye(3, dtype=bool), 0.0, -1e9)[None].repeat(blocks, 0)
+    h = np.ascontiguousarray(np.r_[heads, np.ones(pad, bool)].reshape(blocks, length).T)
+    fresh = h.any(1)
+
+    def ahead(v: list[np.ndarray], t: int, back: np.ndarray | None = None) -> list[np.ndarray]:
+        """Best scores after token ``t`` from those before it."""
+        new = []
+        for j in range(3):
+            from_o, from_b, from_i = (v[i] + move[i, j] for i in range(3))
+            best = np.maximum(from_o, from_b)
+            if back is not None:
+                back[j] = from_b > from_o
+                back[j][from_i > best] = I
+            best = np.maximum(best, from_i)
+            new.append(best)
+        if fresh[t]:
+            top = np.maximum(np.maximum(v[0], v[1]), v[2])
+            if back is not None:
+                was = np.where(v[2] >= top, I, np.where(v[1] >= top, B, O))
+            for j in range(3):
+                new[j] = np.where(h[t], top + first[j], new[j])
+                if back is not None:
+                    back[j][h[t]] = was[h[t]]
+        return [new[j] + e[t, j] for j in range(3)]
+
+    # p[j][i]: best score of a block that ends in j after i
+    p = [np.where(np.arange(3) == j, 0.0, -1e9)[:, None].repeat(blocks, 1) for j in range(3)]
     for t in range(length):
-        step = np.where(h[:, t, None, None], fresh, move)
-        p = (p[:, :, :, None] + step[:, None]).max(2) + e[:, t, None, :]
-    v = np.zeros((blocks, 3))
+        p = ahead(p, t)
+    p = np.stack(p)
+    start = np.zeros((blocks, 3))
     for b in range(1, blocks):
-        v[b] = (v[b - 1][:, None] + p[b - 1]).max(0)
-        v[b] -= v[b].max()
-    back = np.empty((blocks, length, 3), np.int8)
+        start[b] = (start[b - 1] + p[:, :, b - 1]).max(1)
+        start[b] -= start[b].max()
+    v = list(np.ascontiguousarray(start.T))
+    back = np.empty((length, 3, blocks), np.int8)
     for t in range(length):
-        s = v[:, :, None] + np.where(h[:, t, None, None], fresh, move)
-        back[:, t] = s.argmax(1)
-        v = s.max(1) + e[:, t]
+        v = ahead(v, t, back[t])
     # label before each block, for every label at its end
-    to = np.arange(3, dtype=np.int8)[None].repeat(blocks, 0)
+    at = np.arange(blocks)
+    to = [np.full(blocks, j, np.int8) for j in range(3)]
     for t in range(length - 1, -1, -1):
-        to = np.take_along_axis(back[:, t], to, 1)
+        to = [back[t][x, at] for x in to]
     last = np.empty(blocks, np.int8)
-    last[-1] = v[-1].argmax()
+    last[-1] = np.argmax([x[-1] for x in v])
     for b in range(blocks - 1, 0, -1):
-        last[b - 1] = to[b, last[b]]
-    out = np.empty((blocks, length), np.int8)
+        last[b - 1] = to[last[b]][b]
+    out = np.empty((length, blocks), np.int8)
     for t in range(length - 1, -1, -1):
-        out[:, t] = last
-        last = np.take_along_axis(back[:, t], last[:, None], 1)[:, 0]
-    return out.reshape(-1)[:n].astype(np.int64)
+        out[t] = last
+        last = back[t][last, at]
+    return out.T.reshape(-1)[:n].astype(np.int64)
 
 
 def _pieces(data: np.ndarray) -> list[int]:
@@ -436,11 +461,21 @@ def training_rows(docs: DataFrame, bound: int = FIT_DOCS) -> DataFrame:
     """``(text, key)`` of at most ``bound`` documents with and ``bound``
     without base spans."""
     rows = docs.where("text is not null").select("text", F.xxhash64("doc_id", "text").alias("key"))
-    has = F.col("text").rlike(ANY_BASE)
-    keys = rows.select("key", has.alias("has"))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The smallest keys of either kind in a task."""
+        best = {True: np.zeros(0, np.int64), False: np.zeros(0, np.int64)}
+        for b in batches:
+            keys, has = column(b, "key").to_numpy(), pc.match_substring_regex(column(b, "text"), ANY_BASE).to_numpy(zero_copy_only=False)
+            for kind in best:
+                best[kind] = np.unique(np.r_[best[kind], keys[has == kind]])[:bound]
+        for kind, keys in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.full(len(keys), kind))], names=["key", "has"])
+
+    few = materialize(rows.mapInArrow(some, "key long, has boolean"), "crf-keys")
     # two bounded lists of numbers, broadcast whatever the table's size
-    pick = keys.where("has").select("key").distinct().orderBy("key").limit(bound) \
-        .union(keys.where("not has").select("key").distinct().orderBy("key").limit(bound))
+    pick = few.where("has").select("key").distinct().orderBy("key").limit(bound) \
+        .union(few.where("not has").select("key").distinct().orderBy("key").limit(bound))
     return rows.join(F.broadcast(pick), "key").groupBy("key").agg(F.first("text").alias("text"))
 
 
@@ -461,7 +496,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.searchsorted(t.doc, np.arange(len(off)))
             for lo, hi in zip(first[:-1], first[1:]):
                 if hi > lo:
-                    yield pa.RecordBatch.from_arrays([pa.array([hi - lo], pa.int32()), pa.array([t.features[lo:hi].tobytes()], pa.binary()),
+                    yield pa.RecordBatch.from_arrays([pa.array([hi - lo], pa.int32()), pa.array([t.features[:, lo:hi].T.tobytes()], pa.binary()),
                                                       pa.array([t.joined[lo:hi].tobytes()], pa.binary()), pa.array([y[lo:hi].tobytes()], pa.binary())],
                                                      names=["n", "x", "joined", "y"])
 
