@@ -7,7 +7,8 @@
    voter's accuracy (firing rates under either label) and the correlations
    of voters within a label; correlated voters share their weight.
 3. A linear classifier is trained on the posterior labels and set to
-   probabilities with the training labels.
+   probabilities with the training labels.  Patterns lend weight to terms, but
+   can't make a text toxic without one.
 
 Scores read the text only.  Held-out rows (crc32 of doc_id as text mod 5 = 0)
 are never learnt from.
@@ -40,6 +41,8 @@ EM_STEPS = 8
 #: Residual correlation from which voters share weight: below it lie voters
 #: that merely occur in the same kind of text.
 STRONG = 0.6
+#: Score that patterns alone reach at most.
+PATTERN_LIMIT = 0.4
 #: Fixed lexicon of the first voters.
 LEXICON = ("idiot", "moron", "stupid", "loser", "pathetic", "worthless", "scum", "trash", "disgusting", "clown",
            "imbecile", "garbage", "filthy", "vermin", "hateful", "ugly")
@@ -244,6 +247,18 @@ def fit_label_model(votes: DataFrame, v: int) -> LabelModel:
 
 
 # ------------------------------------------------------------ classifier
+def bounded_patterns(weights: np.ndarray, bias: float, n_terms: int) -> np.ndarray:
+    """``weights`` with those of the patterns (after ``n_terms`` terms) shrunk
+    alike, so that all of them together, without a term, stay below
+    ``PATTERN_LIMIT``: how a text is written doesn't make it toxic."""
+    out = weights.copy()
+    up = np.maximum(out[n_terms:], 0).sum()
+    room = max(0.0, float(np.log(PATTERN_LIMIT / (1 - PATTERN_LIMIT))) - bias)
+    if up > room:
+        out[n_terms:] = np.where(out[n_terms:] > 0, out[n_terms:] * (room / up), out[n_terms:])
+    return out
+
+
 @dataclass
 class ToxicityModel:
     terms: np.ndarray
@@ -305,7 +320,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS) -> ToxicityMo
         scale, shift = 1.0, 0.0
     else:
         shift = float(cal.intercept)
-    return ToxicityModel(terms, weights * scale, bias * scale + shift, label_model)
+    weights, bias = weights * scale, bias * scale + shift
+    return ToxicityModel(terms, bounded_patterns(weights, bias, len(terms)), bias, label_model)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -325,7 +341,10 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; the same columns."""
+    """``docs`` without the rows that score ``threshold`` or more; the same columns.
+
+    Null and empty texts stay (no vote, no verdict); repeated rows stay or go
+    together; an empty table gives no rows; other columns are kept as they are."""
     model = fit(docs, labels)
     cols = docs.columns
     return score_documents(docs, model, score_col="__toxicity").where(F.col("__toxicity") < threshold) \
@@ -333,6 +352,10 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) ->
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every whole text of ``documents``.  Null and empty
+    texts get the score of no votes; texts of any length are read whole;
+    repeated rows get equal scores; ties don't arise; an empty table gives no
+    rows; only doc_id and text are read."""
     prepare(spark)
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
