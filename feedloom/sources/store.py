@@ -1,9 +1,9 @@
 """Record store and exports: SNK1-SNK7, SRC12, G2, G3, P9, X3, X4.
 
 The store is a Parquet table partitioned by ``record_type`` (and ``month``
-when asked, X3); payloads are JSON text so one table holds every record
-type.  Reads prune partitions on ``record_type`` and parse only the
-payload fields a caller selects.
+when asked, X3); payloads are variants, so one table holds every record
+type and no read parses text.  Reads prune partitions on ``record_type`` and
+take only the payload fields that a caller selects.
 """
 
 from __future__ import annotations
@@ -31,6 +31,12 @@ def envelope(df: DataFrame, record_type: str, content: dict[str, Column], source
     )
 
 
+def with_source_url(envelopes: DataFrame) -> DataFrame:
+    """SNK2: an empty source URL falls back to the paper's own."""
+    url = F.coalesce(nullif_empty(F.col("source.url")), F.col("content.paper_url"))
+    return envelopes.withColumn("source", F.struct(F.col("source.name").alias("name"), url.alias("url")))
+
+
 def to_store_rows(envelopes: DataFrame, record_type: str, month_from: str | None = None) -> DataFrame:
     """SNK1/SNK2: ``record_type, source_url, payload`` (+ ``month``).  The
     source URL falls back to ``content.paper_url`` when empty."""
@@ -38,12 +44,16 @@ def to_store_rows(envelopes: DataFrame, record_type: str, month_from: str | None
     if "paper_url" in envelopes.schema["content"].dataType.fieldNames():
         src = F.coalesce(nullif_empty(src), F.col("content.paper_url"))
     cols = [F.lit(record_type).alias("record_type"), src.alias("source_url"),
-            F.to_json(F.struct(*[F.col(c) for c in envelopes.columns])).alias("payload")]
+            _payload(envelopes.columns)]
     if month_from:
         cols.append(F.substring(F.col(month_from), 1, 7).alias("month"))
     return envelopes.select(*cols)
 
 
+def _payload(columns: Sequence[str]) -> Column:
+    return F.to_variant_object(F.struct(*[F.col(c) for c in columns])).alias("payload")
+
+
 def save_records(rows: DataFrame, path: str, partition_by: Sequence[str] = ("record_type",)) -> int:
     """SNK1 + G2: append (no dedup, as in the reference; pair with
     ``dedup.ledger_additions`` for insert-if-absent) and return the number
@@ -57,21 +67,24 @@ def save_records(rows: DataFrame, path: str, partition_by: Sequence[str] = ("rec
 def save_rejects(rejected: DataFrame, record_type: str, path: str) -> None:
     """P10: the records left out, as ``record_type, reason, payload``."""
     cols = [c for c in rejected.columns if c != "violations"]
-    (rejected.select(F.lit(record_type).alias("record_type"), F.array_join("violations", ",").alias("reason"),
-                     F.to_json(F.struct(*[F.col(c) for c in cols])).alias("payload"))
+    (rejected.select(F.lit(record_type).alias("record_type"), F.array_join("violations", ",").alias("reason"), _payload(cols))
      .write.mode("append").parquet(path))
 
 
-def save_log(log: DataFrame, path: str) -> None:
-    """SNK3."""
-    log.select("raw_name", "canonical_name", "match_method").write.mode("append").parquet(path)
+def save_log(log: DataFrame, path: str) -> int:
+    """SNK3: append the log and return the number of rows written, observed
+    during the write itself."""
+    from pyspark.sql import Observation
+    obs = Observation("logged")
+    log.select("raw_name", "canonical_name", "match_method").observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return int(obs.get["n"])
 
 
 def read_records(spark: SparkSession, path: str, record_type: str) -> DataFrame:
     """SRC12 + P9: one record type back as typed envelopes.  The filter on
     the partition column prunes every other type's files."""
     rows = spark.read.parquet(path).where(F.col("record_type") == record_type)
-    return rows.select(F.from_json("payload", envelope_schema(record_type)).alias("r")).select("r.*")
+    return rows.select(F.variant_get("payload", "$", envelope_schema(record_type).simpleString()).alias("r")).select("r.*")
 
 
 def count_by_type(spark: SparkSession, path: str) -> DataFrame:
@@ -80,9 +93,9 @@ def count_by_type(spark: SparkSession, path: str) -> DataFrame:
             .groupBy("record_type").agg(F.count(F.lit(1)).alias("n")))
 
 
-def payload_field(payload: Column, json_path: str) -> Column:
-    """Key query on the JSON payload."""
-    return F.get_json_object(payload, json_path)
+def payload_field(payload: Column, path: str, kind: str = "string") -> Column:
+    """Key query on the payload (null where the key is missing)."""
+    return F.try_variant_get(payload, path, kind)
 
 
 def _text(c: Column, dtype: str) -> Column:

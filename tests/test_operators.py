@@ -303,3 +303,69 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
     sc = SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none)))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=sc))
+
+
+def test_staged_fill_reads_no_more_sources_than_needed(spark):
+    df = spark.createDataFrame([("x", 1, 0), ("y", 1, 1), ("x", 2, 0), ("z", 2, 1), ("w", 3, 0), ("w", 3, 1)], "k string, p int, pos int")
+    built = []
+
+    def source(i):
+        def make():
+            built.append(i)
+            return df.where(F.col("p") == i)
+        return make
+    for limit in range(0, 7):
+        built.clear()
+        got = dedup.staged_fill([source(1), source(2), source(3)], "k", ["p", "pos"], limit).collect()
+        assert [tuple(r) for r in sorted(got, key=lambda r: (r.p, r.pos))] == \
+            [tuple(r) for r in dedup.priority_fill(df, "k", ["p", "pos"], limit).collect()]
+        assert built == {0: [1], 1: [1], 2: [1], 3: [1, 2]}.get(limit, [1, 2, 3])
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.sampled_from("abcde"), min_size=1, max_size=20), st.integers(0, 6))
+def test_log_is_cut_where_the_limit_is_reached(spark, names, limit):
+    df = spark.createDataFrame(list(enumerate(names)), "pos int, k string")
+    want, seen = [], set()
+    for i, k in enumerate(names):
+        if len(seen) >= limit:
+            break
+        want.append((i, k))
+        seen.add(k)
+    assert sorted(tuple(r) for r in dedup.cut_at_limit(df, "k", ["pos"], limit).collect()) == want
+
+
+def test_last_seen_over_days_and_hot_links(spark):
+    from feedloom.operators.history import last_seen
+    rows = [(i, "hot" if i % 3 else f"l{i % 4}", f"2024-01-{1 + i * 7 % 5:02d} {i % 24:02d}:00:00") for i in range(60)]
+    rows += [(100, None, "2024-01-01 00:00:00"), (101, "l0", None), (102, "hot", "2024-01-01 01:00:00"), (103, "hot", "2024-01-01 01:00:00")]
+    df = spark.createDataFrame(rows, "id long, link string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    got = {r.id: None if r.last_seen is None else str(r.last_seen) for r in last_seen(df, "link", "t", "id").collect()}
+    assert len(got) == len(rows)
+    for i, link, t in rows:
+        before = [u for j, other, u in rows if link and t and other == link and u and (u, j) < (t, i)]
+        assert got[i] == (max(before) if before else None)
+
+
+def test_variant_payload_keeps_every_type(spark, tmp_path):
+    from feedloom.sources import store
+    papers = spark.createDataFrame([("t", ["A", "B"], "https://p/1", None, 9007199254740993, "")], "title string, authors array<string>, paper_url string, "
+                                   "github_url string, github_stars long, src string")
+    env = store.envelope(papers, "RESEARCH_PAPER", {**{c: F.col(c) for c in ("title", "authors", "paper_url", "github_url", "github_stars")},
+                                                    "published_date": F.lit("d")}, F.lit("arXiv"), F.col("src"), F.lit("now"))
+    path = str(tmp_path / "store")
+    # an empty source URL falls back to the paper's own
+    assert store.save_records(store.to_store_rows(store.with_source_url(env), "RESEARCH_PAPER"), path) == 1
+    row = spark.read.parquet(path).select("source_url", store.payload_field(F.col("payload"), "$.content.github_stars", "bigint").alias("stars"),
+                                          store.payload_field(F.col("payload"), "$.content.none").alias("none"))
+    assert spark.read.parquet(path).schema["payload"].dataType.simpleString() == "variant"
+    assert tuple(row.first()) == ("https://p/1", 9007199254740993, None)
+    back = store.read_records(spark, path, "RESEARCH_PAPER").first()
+    assert back.content.asDict() == {"title": "t", "authors": ["A", "B"], "paper_url": "https://p/1", "github_url": None,
+                                     "github_stars": 9007199254740993, "published_date": "d"} and back.source.url == "https://p/1"
+
+
+def test_log_sink_returns_its_count(spark, tmp_path):
+    from feedloom.sources import store
+    log = spark.createDataFrame([("a", "A", "m")] * 3, "raw_name string, canonical_name string, match_method string")
+    assert store.save_log(log, str(tmp_path / "log")) == 3 == spark.read.parquet(str(tmp_path / "log")).count()
