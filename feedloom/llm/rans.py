@@ -27,12 +27,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.session import ensure_checkpoint_dir
 
-from .common import column, documents, materialize, prepare, range_splits, row_blocks, shuffle_width, text_rows, utf8_view
+from .common import (column, documents, materialize, prefix_hash, prepare, range_splits, row_blocks, shuffle_width, span_hash,
+                     text_rows, utf8_view)
 
 END_ID = 2
 SCALE = 18
@@ -42,9 +44,12 @@ LANES = 2048
 CHECK_STEPS = 128
 #: Ids of a block; a document is never split, a longer one has a block alone.
 BLOCK_IDS = 524_288
-#: Words whose ids a worker keeps; beyond it further words are encoded anew.
-CACHE_WORDS = 600_000
+#: Words whose ids a worker keeps (about 30 bytes each); beyond it further
+#: words are encoded anew.
+CACHE_WORDS = 1_500_000
 MAGIC = b"FRB1"
+#: Signs that often end a word; each is a pre-token of its own there.
+_STOPS = tuple(",.;:!?")
 _HEAD = struct.Struct("<4s8I")
 
 
@@ -81,7 +86,9 @@ class WordEncoder:
         vocab = self.whole.get_vocab()
         self.final = np.zeros(max(vocab.values()) + 1, bool)
         self.final[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        # what is known: ascending hashes of words, place and number of their ids
+        self.hashes, self.places, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint16), 0
 
     def _encode_simple(self, words: list[str]) -> list[bytes] | None:
         """Ids of each word; None if they can't be told apart."""
@@ -92,6 +99,10 @@ class WordEncoder:
                 # bytes of printable ASCII stand for themselves
                 text.append(w if w.isascii() else w.translate(latin))
                 parts.append(1)
+            elif w and w[-1] in _STOPS and w[:-1].isalpha():
+                text.append(w[:-1] if w.isascii() else w[:-1].translate(latin))
+                text.append(w[-1])
+                parts.append(2)
             else:
                 p = split(w)
                 text += p if w.isascii() else [x.translate(latin) for x in p]
@@ -104,34 +115,55 @@ class WordEncoder:
         raw = ids.astype("<u2").tobytes()
         return [raw[x:y] for x, y in zip([0, *cut], cut, strict=False)]
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of the words, as little-endian 16-bit numbers."""
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of each of the words, as little-endian 16-bit numbers."""
         simple = self.simple
-        easy = [w for w in words if (w.isprintable() if w.isascii() else simple(w)) and "<" not in w]
-        coded = self._encode_simple(easy) if easy else []
-        got = dict(zip(easy, coded, strict=True)) if coded is not None else {}
-        for w in words - got.keys():
-            got[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u2").tobytes()
-        return got
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        split = [self._words(t) for t in texts]
-        seen: set[str] = set()
-        for ws in split:
-            seen.update(ws)
-        new = self.learn(seen - self.known.keys())
-        if len(self.known) + len(new) <= CACHE_WORDS:
-            self.known |= new
-            ids = self.known
-        else:
-            ids = {w: self.known[w] if w in self.known else new[w] for w in seen}
+        easy = [i for i, w in enumerate(words) if w and (w.isprintable() if w.isascii() else simple(w)) and "<" not in w]
+        coded = self._encode_simple([words[i] for i in easy]) if easy else []
+        out: list[bytes | None] = [None] * len(words)
+        for i, x in zip(easy, coded or [], strict=False):
+            out[i] = x
+        return [np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u2").tobytes() if x is None else x
+                for w, x in zip(words, out, strict=True)]
+
+    def texts(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of a string column (null: empty), with the end id."""
+        texts = pc.fill_null(texts, "")
+        # U+001C..U+001F part words for Arrow and Python, not for the tokenizer
+        odd = pc.match_substring_regex(texts, "[\x1c-\x1f]").to_numpy(zero_copy_only=False)
+        split = pc.utf8_split_whitespace(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
+        words = split.flatten().dictionary_encode()
+        data, off = utf8_view(words.dictionary)
+        h = span_hash(prefix_hash(data), off[:-1], off[1:])
+        at = np.minimum(np.searchsorted(self.hashes, h), max(len(self.hashes) - 1, 0))
+        new = np.flatnonzero(self.hashes[at] != h) if len(self.hashes) else np.arange(len(h))
+        got = self.learn(words.dictionary.take(pa.array(new)).to_pylist())
+        place, size = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        old = np.ones(len(h), bool)
+        old[new] = False
+        place[old], size[old] = self.places[at[old]], self.sizes[at[old]]
+        fresh = np.frombuffer(b"".join(got), "<u2")
+        size[new] = [len(x) // 2 for x in got]
+        place[new] = self.used + np.cumsum(size[new]) - size[new]
+        if self.used + len(fresh) > len(self.ids):
+            self.ids = np.r_[self.ids, np.zeros(max(len(self.ids), len(fresh)), np.uint16)]
+        self.ids[self.used:self.used + len(fresh)] = fresh
+        # ids of the distinct words, then of all words in their order
+        end_of = np.cumsum(size)
+        raw = self.ids[np.repeat(place - (end_of - size), size) + np.arange(end_of[-1] if len(size) else 0)]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(np.r_[0, 2 * end_of]), pa.py_buffer(raw)])
+        if len(self.hashes) + len(new) <= CACHE_WORDS:
+            order = new[np.argsort(h[new])]
+            into = np.searchsorted(self.hashes, h[order])
+            self.hashes, self.places, self.sizes = (np.insert(x, into, y[order]) for x, y in ((self.hashes, h), (self.places, place), (self.sizes, size)))
+            self.used += len(fresh)
+        data, cuts = utf8_view(coded.take(words.indices))
+        raw, cut = data.tobytes(), cuts[split.offsets.to_numpy()].tolist()
         end = struct.pack("<H", END_ID)
-        return [b"".join(map(ids.__getitem__, ws)) + end for ws in split]
-
-    @staticmethod
-    def _words(t: str) -> list[str]:
-        # str.split() also parts at U+001C..U+001F, which are not white space here
-        return t.split() if t.isprintable() or not any(c in t for c in "\x1c\x1d\x1e\x1f") else [t]
+        out = [raw[x:y] + end for x, y in zip(cut, cut[1:], strict=False)]
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = np.array(self.whole.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u2").tobytes() + end
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -151,9 +183,9 @@ def tokenize(docs: DataFrame, path: str, splits: list[int]) -> DataFrame:
         cut = np.array(splits, np.int64)
         for b in batches:
             _, off = utf8_view(column(b, "text"))
-            for lo, hi in row_blocks(off, 8 << 20):
+            for lo, hi in row_blocks(off, 4 << 20):
                 part = b.slice(lo, hi - lo)
-                ids = enc.texts([t or "" for t in column(part, "text").to_pylist()])
+                ids = enc.texts(column(part, "text"))
                 doc = column(part, "doc_id")
                 key = doc.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
@@ -357,6 +389,9 @@ def read_token_files(spark: SparkSession, out: str) -> DataFrame:
 
 
 def op5_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of every whole text of ``documents``, read back.  Nulls,
+    empty and long texts, repeats, ties and empty tables: as stated by
+    ``write_token_files``."""
     prepare(spark)
     import public_tokenizers
 
