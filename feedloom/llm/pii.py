@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import secrets as tokens
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -21,18 +22,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, plus, prepare
 
-DEFAULT_KEY = "feedloom-pii-1"
+#: Session setting with the key.  Whoever has it can invert the pseudonyms, so
+#: it has no default; see ``session_key``.
+KEY_SETTING = "feedloom.pii.key"
 ROUNDS = 10
 DIGITS = "0123456789"
+#: Characters of a secret that are permuted as one.
+SECRET_BLOCK = 256
 LOWER_HEX = "0123456789abcdef"
 BASE36 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
-#: Calendar window of the date permutation; dates outside are left alone.
-FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
+BASE62 = DIGITS + BASE36[:26] + BASE36[:26].lower()
+#: Calendar windows of the date permutation: each day stays in its own.
+DAYS = [(a.toordinal(), b.toordinal()) for a, b in (
+    (dt.date(1, 1, 1), dt.date(1899, 12, 31)), (dt.date(1900, 1, 1), dt.date(2099, 12, 31)), (dt.date(2100, 1, 1), dt.date(9999, 12, 31)))]
 
 
 # ------------------------------------------------------------ permutation
 def _round(key: bytes, i: int, n: int, value: int, mod: int) -> int:
     h = hashlib.blake2b(f"{i}/{n}/{value}".encode(), key=key, digest_size=24).digest()
+    # as many bits as the half has, and 64 more
+    need = (mod.bit_length() + 64 + 7) // 8
+    if need > len(h):
+        h = hashlib.shake_256(key + h).digest(need)
     return int.from_bytes(h, "big") % mod
 
 
@@ -95,7 +106,9 @@ def _fill(pattern: str, chars: str) -> str:
 class Pseudonymiser:
     """Replaces every validated value of a text; see ``replace``."""
 
-    def __init__(self, key: str = DEFAULT_KEY, inverse: bool = False):
+    def __init__(self, key: str, inverse: bool = False):
+        if not key:
+            raise ValueError(f"pseudonyms need a key; set {KEY_SETTING}")
         self.inverse = inverse
         self._key = {k: hashlib.blake2b(f"{key}/{k}".encode(), digest_size=32).digest()
                      for k in ("card", "number", "phone", "ssn", "date", "ip", "mail", "iban", "secret")}
@@ -108,9 +121,10 @@ class Pseudonymiser:
     # each takes the matched text and returns its pseudonym, or None if the
     # text isn't a valid value of the kind
     def _card(self, s: str) -> str | None:
-        """13 to 19 digits: issuer digit kept, check digit made anew.  Without
-        a valid check digit the whole number is permuted as plain digits and
-        stays without one."""
+        """13 to 19 digits: issuer digit kept, check digit made anew.  16 digits
+        that start like a card but have a wrong check digit (a typing slip)
+        are permuted and keep a wrong one; other numbers without a valid one
+        (times, ISBNs) are no cards."""
         d = re.sub(r"\D", "", s)
         if not 13 <= len(d) <= 19 or len(set(d)) == 1:
             return None
@@ -118,6 +132,8 @@ class Pseudonymiser:
         if luhn_digit(d[:-1]) == d[-1]:
             new = head + permute_string(self._key["card"], body, DIGITS, self.inverse)
             return _fill(s, new + luhn_digit(new))
+        if len(d) != 16 or head not in "3456":
+            return None
         new = head + permute_string(self._key["number"], body, DIGITS, self.inverse)
         # the offset from the right check digit (1..9) stays, so it stays invalid
         off = (int(d[-1]) - int(luhn_digit(d[:-1]))) % 10
@@ -141,6 +157,9 @@ class Pseudonymiser:
         d = re.sub(r"\D", "", s)
         if not 8 <= len(d) <= 15:
             return None
+        if len(d) == 11 and d[0] == "1":
+            # one number, with or without signs between
+            return self.phone(s)
         return _fill(s, d[:2] + permute_string(self._key["phone"], d[2:], DIGITS, self.inverse))
 
     def ssn(self, s: str) -> str | None:
@@ -180,31 +199,41 @@ class Pseudonymiser:
 
     def iban(self, s: str) -> str | None:
         """Account digits permuted, the two check digits made anew."""
-        c = s.replace(" ", "")
+        c = s.replace(" ", "").upper()
         number = lambda x: int("".join(str(int(ch, 36)) for ch in x[4:] + x[:4]))
         if not 15 <= len(c) <= 34 or number(c) % 97 != 1:
             return None
         body = _fill(c[4:], permute_string(self._key["iban"], re.sub(r"\D", "", c[4:]), DIGITS, self.inverse))
         new = c[:2] + f"{98 - number(c[:2] + '00' + body) % 97:02d}" + body
         it = iter(new)
-        return "".join(" " if ch == " " else next(it) for ch in s)
+        return "".join(" " if ch == " " else next(it).lower() if ch.islower() else next(it) for ch in s)
 
-    def secret(self, s: str) -> str:
-        """Keys and tokens over the smallest of the known alphabets."""
-        for alphabet in (LOWER_HEX, BASE36, DIGITS + BASE36[:26] + BASE36[:26].lower() + "+/=_-."):
+    def secret(self, s: str, alphabets: tuple[str, ...] = (LOWER_HEX, BASE36, BASE62 + "+/=_-.")) -> str:
+        """Keys and tokens over the first of the alphabets that holds them."""
+        for alphabet in alphabets:
             if all(c in alphabet for c in s):
-                return permute_string(self._key["secret"], s, alphabet, self.inverse)
-        return s
+                break
+        else:
+            return s
+        # long ones by blocks, each under a key that the block before it gives
+        key, out = self._key["secret"], []
+        for lo in range(0, len(s), SECRET_BLOCK):
+            block = s[lo:lo + SECRET_BLOCK]
+            out.append(permute_string(key, block, alphabet, self.inverse))
+            plain = out[-1] if self.inverse else block
+            key = hashlib.blake2b(f"{lo}/{plain}".encode(), key=self._key["secret"], digest_size=32).digest()
+        return "".join(out)
 
     def _day(self, ordinal: int) -> int:
         """Days of the month above 12 and others are permuted apart, so that
         each way of writing one is read again in the same order."""
-        n = LAST_DAY - FIRST_DAY + 1
-        b = 271
+        first, last = next(x for x in DAYS if x[0] <= ordinal <= x[1])
+        n = last - first + 1
+        b = int(n**0.5) + 1
         a = -(-n // b)
-        late = lambda v: dt.date.fromordinal(FIRST_DAY + v).day > 12
-        high = late(ordinal - FIRST_DAY)
-        return FIRST_DAY + walk(self._key["date"], ordinal - FIRST_DAY, a, b, lambda v: v < n and late(v) == high, self.inverse)
+        late = lambda v: dt.date.fromordinal(first + v).day > 12
+        high = late(ordinal - first)
+        return first + walk(self._key["date"], ordinal - first, a, b, lambda v: v < n and late(v) == high, self.inverse)
 
     def date(self, m: re.Match) -> str | None:
         """Real calendar days; the written order, separators and padding stay.
@@ -224,8 +253,6 @@ class Pseudonymiser:
                 continue
         else:
             return None
-        if not FIRST_DAY <= old <= LAST_DAY:
-            return None
         new = dt.date.fromordinal(self.day(old))
         two = order == "ymd" or (len(d) == 2 and len(mo) == 2)
         f = (lambda v: f"{v:02d}") if two else str
@@ -240,8 +267,9 @@ class Pseudonymiser:
 _PATTERN = re.compile(r"""
     (?P<mail>(?<![A-Za-z_\d.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z_\d-]))
   | (?P<aws>(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<awsid>[A-Z0-9]{16})(?![A-Za-z0-9]))
-  | (?P<cred>(?i:(?<![A-Za-z_\d])(?:password|passwd|pwd|token|secret|api[_-]?key))\s{0,3}[=:]\s{0,3}["']?(?P<val>[A-Za-z0-9+/=_.-]{8,256}))
-  | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
+  | (?P<cred>(?i:(?<![A-Za-z_\d])(?:password|passwd|pwd|token|secret|api[_-]?key))\s{0,3}[=:]\s{0,3}["']?(?P<val>[A-Za-z0-9+/=_.-]{8,}))
+  | (?P<bare>(?<![A-Za-z0-9_-])(?:gh[pousr]_|github_pat_|glpat-|sk-|[sprk]k_(?:live|test)_|xox[abprs]-)(?P<bareid>[A-Za-z0-9_-]{16,}))
+  | (?P<iban>(?<![A-Za-z0-9])(?i:[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))
   | (?P<date>(?<![A-Za-z_\d.,/-])(?:(?P<iso>(?P<y>[0-9]{4})(?P<s1>[-/.])(?P<m>[0-9]{1,2})(?P=s1)(?P<d>[0-9]{1,2}))
        |(?P<p>[0-9]{1,2})(?P<s2>[-/.])(?P<q>[0-9]{1,2})(?P=s2)(?P<y2>[0-9]{4}))
        (?:(?![A-Za-z_\d/-]|[.][0-9])|(?=[Tt][0-9]|[Zz](?![A-Za-z_\d])|[_-][0-9]{1,2}:[0-9]{2})))
@@ -252,8 +280,8 @@ _PATTERN = re.compile(r"""
   | (?P<phone>(?<![A-Za-z_\d.])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![A-Za-z_\d]|[-.][0-9]))
   | (?P<intl>(?<![A-Za-z_\d])\+[0-9](?:[ .()-]{0,2}[0-9]){7,14}(?![A-Za-z_\d]))
 """, re.X)
-_MAY = re.compile(r"[0-9@=:]|A[KS]IA")
-KINDS = ("mail", "aws", "cred", "iban", "date", "ip", "ssn", "card", "phone", "intl")
+_MAY = re.compile(r"[0-9@=:]|A[KS]IA|(?:gh[pousr]|pat|live|test)_|(?:sk|xox[abprs])-")
+KINDS = ("mail", "aws", "cred", "bare", "iban", "date", "ip", "ssn", "card", "phone", "intl")
 
 
 def pseudonymise(text: str, p: Pseudonymiser) -> tuple[str, int]:
@@ -270,8 +298,10 @@ def pseudonymise(text: str, p: Pseudonymiser) -> tuple[str, int]:
             new = p.date(m)
         elif kind == "aws":
             new = s[:4] + permute_string(p._key["secret"], m.group("awsid"), BASE36, p.inverse)
-        elif kind == "cred":
-            new = s[:m.start("val") - m.start()] + p.secret(m.group("val"))
+        elif kind in ("cred", "bare"):
+            own = "val" if kind == "cred" else "bareid"
+            value = m.group(own)
+            new = s[:m.start(own) - m.start()] + (p.secret(value) if kind == "cred" else p.secret(value, (BASE62, BASE62 + "_-")))
         else:
             new = getattr(p, kind)(s)
         if new is None:
@@ -282,13 +312,25 @@ def pseudonymise(text: str, p: Pseudonymiser) -> tuple[str, int]:
     return _PATTERN.sub(one, text), count
 
 
-def pseudonymise_documents(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text",
+_RUN_KEYS: dict[str, str] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key that ``KEY_SETTING`` names; where it is unset, one drawn for
+    this application alone and kept nowhere: values are linked within the run,
+    and nobody can invert them afterwards."""
+    app = spark.sparkContext.applicationId
+    return spark.conf.get(KEY_SETTING, None) or _RUN_KEYS.setdefault(app, tokens.token_hex(32))
+
+
+def pseudonymise_documents(docs: DataFrame, key: str, text_col: str = "text",
                            count_col: str | None = "n_pii", inverse: bool = False) -> DataFrame:
     """``docs`` with personal data in ``text_col`` replaced; all other columns
     pass through.  ``count_col`` (None: left out) gets the number of values
     replaced; an existing column of that name is replaced.
 
-    One pass without a shuffle.  Null texts stay null with count 0; empty
+    One pass without a shuffle; a missing key is an error.  Texts and secrets
+    of any length are taken whole; ties don't arise.  Null texts stay null with count 0; empty
     texts stay empty; repeated rows give repeated results; an empty table
     gives no rows; a value that fails validation is left as it stands."""
     cols = [c for c in docs.columns if c != count_col]
@@ -315,6 +357,8 @@ def pseudonymise_documents(docs: DataFrame, key: str = DEFAULT_KEY, text_col: st
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, text with pseudonyms, n_pii of every document."""
+    """doc_id, text with pseudonyms, n_pii of every document, under the
+    session's key.  Nulls, empty and long texts, repeats, empty tables: as
+    stated by ``pseudonymise_documents``."""
     prepare(spark)
-    return pseudonymise_documents(documents(spark, sf_dir).select("doc_id", "text"))
+    return pseudonymise_documents(documents(spark, sf_dir).select("doc_id", "text"), session_key(spark))

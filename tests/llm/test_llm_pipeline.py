@@ -4,7 +4,7 @@ from fixtures_llm import CLASH, empty, messy, prose, rows
 
 import corpus_pipeline
 from feedloom.llm.common import materialize
-from feedloom.llm.pii import Pseudonymiser, pseudonymise
+from feedloom.llm.pii import Pseudonymiser, pseudonymise, session_key
 from test_llm_decontam import ITEMS
 from test_llm_minhash import edited
 from test_llm_toxicity import BAD, corpus, table
@@ -41,7 +41,7 @@ def test_each_decision_takes_effect(spark, tmp_path):
     assert set(range(300)) - toxic <= set(got["toxicity"]) and {1000, 1001, 1002} <= set(got["toxicity"])
     assert {1000, 1001, 1002} & set(got["near_dedup"]) == {1000} and set(range(300)) - toxic <= set(got["near_dedup"])
     assert set(got["near_dedup"]) - set(got["decontamination"]) == {1003}
-    assert got["pii"][1004]["text"] == pseudonymise(extra[1004], Pseudonymiser())[0] != extra[1004]
+    assert got["pii"][1004]["text"] == pseudonymise(extra[1004], Pseudonymiser(session_key(spark)))[0] != extra[1004]
     assert set(got["sentencepiece"]) == set(got["pii"]) == set(got["decontamination"])
     final = corpus_pipeline.run(spark, d).collect()
     assert {(r["doc_id"], r["sample"], r["ids_crc32"]) for r in final} == \
