@@ -184,5 +184,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text of ``documents`` and of its edited
+    text.  Nulls, empty and long texts, repeats, ties and empty tables: as
+    stated by ``fingerprint_documents``."""
     prepare(spark)
     return fingerprint_documents(documents(spark, sf_dir))

@@ -538,5 +538,8 @@ from t left join c using (doc_id)
 
 
 def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeat removal leaves of every whole text of ``documents``.
+    Nulls, empty and long texts, repeats, ties and empty tables: as stated by
+    ``remove_repeats``."""
     prepare(spark)
     return remove_repeats(documents(spark, sf_dir), with_bytes=False)
