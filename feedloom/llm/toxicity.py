@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
-1. Voters: a fixed lexicon, text patterns, and a lexicon of words and word
-   stems induced from labelled training rows.  A voter fires or is silent.
+1. Voters: a fixed lexicon, text patterns, and a lexicon of words, word
+   stems and stems in two different words induced from labelled training
+   rows.  A voter fires or is silent.
 2. Label model: a generative model of the voters' firing given the hidden
    label, fitted by EM from their agreement alone.  It estimates each
    voter's accuracy (firing rates under either label) and the correlations
@@ -48,6 +49,7 @@ LEXICON = ("idiot", "moron", "stupid", "loser", "pathetic", "worthless", "scum",
            "imbecile", "garbage", "filthy", "vermin", "hateful", "ugly")
 PATTERNS = ("shouting", "exclaiming", "stretched", "masked")
 
+_TWICE = np.uint64(1)
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[:128] = True
 for _c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789":
@@ -59,22 +61,41 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def term_stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of every word and stem of lower-cased texts."""
+def term_stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, hash of its whole word) of every word and stem of
+    lower-cased texts.  The last bit of a term's hash is 0; with 1 it stands
+    for the term ``stem in two different words``."""
     starts, ends, first = words(data, off, _SEPARATOR)
     row = np.repeat(np.arange(len(off) - 1), np.diff(first))
     pre = prefix_hash(data)
-    rows, hashes = [row], [span_hash(pre, starts, ends)]
+    whole = span_hash(pre, starts, ends) & ~_TWICE
+    rows, hashes, of = [row], [whole], [whole]
     for n in STEMS:
         long = ends - starts > n
         rows.append(row[long])
-        hashes.append(span_hash(pre, starts[long], starts[long] + n) ^ np.uint64(n))
-    return np.concatenate(rows), np.concatenate(hashes)
+        hashes.append((span_hash(pre, starts[long], starts[long] + n) ^ np.uint64(2 * n)) & ~_TWICE)
+        of.append(whole[long])
+    return np.concatenate(rows), np.concatenate(hashes), np.concatenate(of)
+
+
+def twice(row: np.ndarray, h: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the stems that two different words of a row share."""
+    stem = h != word
+    row, h, word = row[stem], h[stem], word[stem]
+    order = np.lexsort((word, h, row))
+    row, h, word = row[order], h[order], word[order]
+    if not len(row):
+        return row, h
+    same = (row[1:] == row[:-1]) & (h[1:] == h[:-1])
+    # a second word begins within the run of a row's stem
+    at = np.flatnonzero(same & (word[1:] != word[:-1])) + 1
+    pair = np.unique(np.stack([row[at].astype(np.uint64), h[at] | _TWICE], 1), axis=0) if len(at) else np.zeros((0, 2), np.uint64)
+    return pair[:, 0].astype(np.int64), pair[:, 1]
 
 
 def word_hash(word: str) -> int:
     data = np.frombuffer(word.encode(), np.uint8)
-    return int(span_hash(prefix_hash(data), np.array([0]), np.array([len(data)]))[0])
+    return int(span_hash(prefix_hash(data), np.array([0]), np.array([len(data)]))[0] & ~_TWICE)
 
 
 def pattern_hits(text: bytes) -> list[bool]:
@@ -108,11 +129,12 @@ class Features:
         data, off = utf8_view(pc.utf8_lower(col))
         out = np.zeros((len(off) - 1, self.size), bool)
         for lo, hi in row_blocks(off, 1 << 20):
-            row, h = term_stream(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+            row, h, word = term_stream(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
             at = np.flatnonzero(self.bits[(h >> np.uint64(44)).astype(np.int64)])
-            k = np.minimum(np.searchsorted(self.terms, h[at]), len(self.terms) - 1)
-            hit = self.terms[k] == h[at]
-            out[lo + row[at[hit]], k[hit]] = True
+            for r, x in ((row[at], h[at]), twice(row[at], h[at], word[at])):
+                k = np.minimum(np.searchsorted(self.terms, x), len(self.terms) - 1)
+                hit = self.terms[k] == x
+                out[lo + r[hit], k[hit]] = True
         for i in range(len(off) - 1):
             if raw_off[i + 1] > raw_off[i]:
                 out[i, len(self.terms):] = pattern_hits(raw[raw_off[i]:raw_off[i + 1]].tobytes())
@@ -138,7 +160,9 @@ def induce_terms(train: DataFrame) -> np.ndarray:
             data, off = utf8_view(pc.utf8_lower(column(b, "text")))
             y = np.array(column(b, "y").to_pylist(), np.int64)
             for lo, hi in row_blocks(off, 2 << 20):
-                row, h = term_stream(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+                row, h, word = term_stream(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+                row2, h2 = twice(row, h, word)
+                row, h = np.r_[row, row2], np.r_[h, h2]
                 pair = np.unique(np.stack([h, row.astype(np.uint64)], 1), axis=0) if len(h) else np.zeros((0, 2), np.uint64)
                 term, inv, n = np.unique(pair[:, 0], return_inverse=True, return_counts=True)
                 tox = np.bincount(inv.ravel(), weights=y[lo:hi][pair[:, 1].astype(np.int64)], minlength=len(term))
