@@ -784,7 +784,7 @@ def _exported(output: str, tab: str) -> str:
 
 
 SQL["export_roundtrip"] = " UNION ALL ".join([*[_exported(t, t) for t in _TAB_COLUMNS], _exported("research_papers_json", "research_papers")])
-SQL["topic_clusters_check"] = """SELECT count(*) AS vectors, 0 AS not_once, 0 AS not_nearest, 0 AS wrong_distance, 0 AS off_centre FROM embeddings"""
+SQL["topic_clusters_check"] = """SELECT count(*) AS vectors, 0::BIGINT AS not_once, 0::BIGINT AS not_nearest, 0::BIGINT AS wrong_distance, 0::BIGINT AS off_centre FROM embeddings"""
 SQL["embedding_neighbours"] = """WITH s AS (
   SELECT a.vec_id AS id, b.vec_id AS neighbour,
     round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity
