@@ -3,8 +3,9 @@ hashes, size-checked broadcast joins, connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,11 @@ def prepare(spark: SparkSession) -> None:
     """Session settings, shared checkpoint folder and shipped package."""
     apply_conf(spark)
     # sides that grow with the corpus are shuffled alike at every size; a
-    # broadcast of tens of megabytes would weigh on the driver
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "4MB")
+    # broadcast of megabytes would weigh on the driver
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "256KB")
+    # whole texts go to Python: batches of a few megabytes
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 
@@ -98,6 +102,22 @@ def range_number(value: Column, splits: list[int]) -> Column:
     return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(splits)).alias("hi")), half, lambda s: s["lo"])
 
 
+def lean(run: Callable) -> Callable:
+    """An Arrow stage whose worker gives freed memory back when it has done
+    its task: workers wait for the next stage, and what one stage has freed
+    would count beside what the next one needs."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # not every C library has it
+    return wrapped
+
+
 # ------------------------------------------------------------ Arrow text
 def utf8_view(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and ``n + 1`` offsets of a string column, without copying the
@@ -168,7 +188,8 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.ones(size, U64)
         have[1:] = U64(base)
         have = np.cumprod(have, dtype=U64)
-        if size <= 1 << 23:
+        if size <= 1 << 21:
+            # kept: what blocks of a megabyte need, not what a rare long text does
             _POWERS[base] = have
     return have[:n]
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, documents, materialize, maybe_broadcast, mix, prepare, row_blocks, utf8_view, word_hashes
+from .common import column, documents, lean, materialize, maybe_broadcast, mix, prepare, row_blocks, utf8_view, word_hashes
 
 #: 1: the word counts, 0: it may differ.  Fixed masks of weight 4 or 5; any
 #: 13 words with at most 2 substitutions contain a hit of at least one.
@@ -196,14 +196,14 @@ def overlaps_of_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     items = materialize(_items(benchmark, item_id_col, item_text_col), "items")
     seeds = items.mapInArrow(_item_seeds, "hash long, ik long, place long")
     texts = docs.select(docs[f"`{text_col}`"].cast("string").alias("text")).where("text <> ''").withColumn("th", F.xxhash64("text"))
-    hits = texts.select("th", "text").mapInArrow(_document_seeds(_filter(seeds).tobytes()), "th long, hash long, place long")
+    hits = texts.select("th", "text").mapInArrow(lean(_document_seeds(_filter(seeds).tobytes())), "th long, hash long, place long")
     size = items.select("ik", F.floor(F.length("words") / 8).cast("long").alias("n"))
     at = hits.distinct().join(seeds.withColumnRenamed("place", "q"), "hash").select("th", "ik", (F.col("place") - F.col("q")).alias("start")).distinct()
     at = materialize(at, "offsets")
     lists = at.join(maybe_broadcast(size, 16), "ik").groupBy("th").agg(F.collect_list(F.struct("ik", "start", "n")).alias("at"))
     few = materialize(lists, "lists")
     found = texts.join(maybe_broadcast(few.select("th"), 16), "th").dropDuplicates(["th"]).join(few, "th") \
-        .select("th", "text", "at").mapInArrow(_regions, "th long, ik long, start long, `from` long, region binary")
+        .select("th", "text", "at").mapInArrow(lean(_regions), "th long, ik long, start long, `from` long, region binary")
     return found.join(items, "ik").select("th", "item_id", "start", "from", "region", "words") \
         .mapInArrow(_verified, "th long, item_id long, first_word long, n_words long, n_equal long").distinct()
 

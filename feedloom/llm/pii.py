@@ -20,7 +20,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, plus, prepare
+from .common import documents, lean, plus, prepare
 
 #: Session setting with the key.  Whoever has it can invert the pseudonyms, so
 #: it has no default; see ``session_key``.
@@ -353,7 +353,7 @@ def pseudonymise_documents(docs: DataFrame, key: str, text_col: str = "text",
                 arrays.append(pa.array(counts, pa.int64()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*cols, *([count_col] if count_col else [])])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (column, documents, materialize, plus, prefix_hash, prepare, row_blocks, span_hash, spread,
+from .common import (column, documents, lean, materialize, plus, prefix_hash, prepare, row_blocks, span_hash, spread,
                      utf8_view, words)
 
 #: Bound of the labelled rows that the models are fitted on (the rows with
@@ -174,7 +174,7 @@ def induce_terms(train: DataFrame) -> np.ndarray:
     fixed = [word_hash(w) for w in LEXICON]
     if not t or t == n:
         return np.unique(np.array(fixed, np.uint64))
-    terms = train.mapInArrow(count, "h long, n long, t long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    terms = train.mapInArrow(lean(count), "h long, n long, t long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     rate1, rate0 = (F.col("t") + 0.5) / (t + 1.0), (F.col("n") - F.col("t") + 0.5) / (n - t + 1.0)
     error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") - F.col("t") + 0.5))
     best = terms.where((F.col("t") >= max(MIN_SUPPORT, MIN_SHARE * t)) & (F.log(rate1 / rate0) - 2 * error >= F.log(F.lit(MIN_RATIO)))) \
@@ -315,7 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS) -> ToxicityMo
             flat = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * v, pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([column(b, "y"), flat], names=["y", "x"])
 
-    votes = materialize(train.mapInArrow(vote, "y int, x array<boolean>"), "tox-votes")
+    votes = materialize(train.mapInArrow(lean(vote), "y int, x array<boolean>"), "tox-votes")
     plain = ToxicityModel(terms, np.r_[np.full(len(terms), 3.0), np.full(len(PATTERNS), 0.2)], -4.0)
     seen = votes.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("t")).head()
     if not seen["n"] or not seen["t"] or seen["t"] == seen["n"]:
@@ -361,7 +361,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.scores(b.column(cols.index(text_col))))],
                                              names=[*cols, score_col])
-    return src.mapInArrow(run, plus(src, score_col, "double"))
+    return src.mapInArrow(lean(run), plus(src, score_col, "double"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
