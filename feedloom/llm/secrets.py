@@ -58,14 +58,21 @@ NEVER = np.float32(-1e4)
 # ------------------------------------------------------------ base rules
 
 
-def base_spans(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) in code points, by start, then kind as listed."""
-    out = [("assign", *m.span(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
-    out += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
-    out += [("hex", *m.span()) for m in HEX.finditer(text) if m.end() - m.start() >= HEX_LEAST]
+def base_matches(text: str) -> list[tuple[str, int, int, int]]:
+    """(kind, start, end, start of the match) in code points, by start, then
+    kind as listed.  An assignment's secret is its value (group 2), which its
+    match ends with; the match starts at the name."""
+    out = [("assign", *m.span(2), m.start()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
+    out += [("access", *m.span(), m.start()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
+    out += [("hex", *m.span(), m.start()) for m in HEX.finditer(text) if m.end() - m.start() >= HEX_LEAST]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def base_spans(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of the secrets of ``base_matches``."""
+    return [s[:3] for s in base_matches(text)]
+
+
 # ------------------------------------------------------------ tokens
 _LOWER, _UPPER, _DIGIT, _OTHER, _SIGN = 1, 2, 3, 4, 5
 CLASS = np.zeros(256, np.uint8)
@@ -596,24 +603,26 @@ def fit(docs: DataFrame, bound: int = FIT_DOCS, steps: int = STEPS) -> Crf:
 
 
 # ------------------------------------------------------------ documents
-_SPANS = "array<struct<kind:string,start:int,end:int>>"
+_SPANS = "array<struct<kind:string,start:int,end:int,match_start:int>>"
 
 
 def find_secrets(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, spans)`` of every row: base spans and what the CRF adds, by
-    start, then kind as listed; code points, end exclusive.
+    start, then kind as listed; code points, end exclusive.  ``match_start``
+    is where a base rule's match starts: at an assignment's name, else (and
+    for the CRF's) at ``start``.
 
     Null and empty texts have no spans; repeated rows get equal spans; texts
     of any length are read whole; spans of several kinds may be equal; an
     empty table gives no rows; other columns are not read.  A CRF span that
     touches a base span adds nothing and is left out."""
-    kind = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+    kind = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("match_start", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = column(b, "text")
             known = pc.fill_null(pc.match_substring_regex(texts, ANY_BASE), False)
-            spans = [base_spans(texts[i].as_py()) if k else [] for i, k in enumerate(known.to_pylist())]
+            spans = [base_matches(texts[i].as_py()) if k else [] for i, k in enumerate(known.to_pylist())]
             data, off = utf8_view(texts)
             for lo, hi in row_blocks(off, PIECE):
                 at = off[lo]
@@ -624,20 +633,26 @@ def find_secrets(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col:
                     more = (raw & 0xC0) == 0x80
                     cs, ce = s - int(more[:s].sum()), e - int(more.sum())
                     row = spans[lo + d]
-                    if not any(x < ce and cs < y for k, x, y in row if k != "crf"):
-                        row.append(("crf", cs, ce))
-            out = [[{"kind": k, "start": s, "end": e} for k, s, e in sorted(r, key=lambda v: (v[1], KINDS.index(v[0])))] for r in spans]
+                    if not any(x < ce and cs < y for k, x, y, _ in row if k != "crf"):
+                        row.append(("crf", cs, ce, cs))
+            out = [[{"kind": k, "start": s, "end": e, "match_start": m} for k, s, e, m in sorted(r, key=lambda v: (v[1], KINDS.index(v[0])))] for r in spans]
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(out, pa.list_(kind))], names=["doc_id", "spans"])
     return text_rows(docs, id_col, text_col).mapInArrow(run, f"doc_id long, spans {_SPANS}")
 
 
 def _listed(spans: Column) -> Column:
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    """kind:start:end of the whole matches, by start, then kind as listed."""
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    by = F.array_sort(F.transform(spans, lambda s: F.struct(s["match_start"].alias("start"), F.array_position(kinds, s["kind"]).alias("order"),
+                                                            s["kind"].alias("kind"), s["end"].alias("end"))))
+    return F.array_join(F.transform(by, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every whole text of ``documents``.  Nulls, empty and long
-    texts, ties, repeats and empty tables: as stated by ``find_secrets``."""
+    """Secrets of every whole text of ``documents``.  The spans listed are
+    whole matches: an assignment's goes from its name to its value's end.
+    Nulls, empty and long texts, ties, repeats and empty tables: as stated by
+    ``find_secrets``."""
     prepare(spark)
     docs = documents(spark, sf_dir)
     found = find_secrets(docs, fit(text_rows(docs)))
