@@ -194,7 +194,9 @@ def overlaps_of_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """``(th, item_id, first_word, n_words, n_equal)``: the verified overlaps
     of each distinct text (``th``: xxhash64 of the text)."""
     items = materialize(_items(benchmark, item_id_col, item_text_col), "items")
-    seeds = items.mapInArrow(_item_seeds, "hash long, ik long, place long")
+    # each step in Python is written: two in one task would be two workers, and
+    # workers stay for the stages that follow
+    seeds = materialize(items.mapInArrow(lean(_item_seeds), "hash long, ik long, place long"), "seeds")
     texts = docs.select(docs[f"`{text_col}`"].cast("string").alias("text")).where("text <> ''").withColumn("th", F.xxhash64("text"))
     hits = texts.select("th", "text").mapInArrow(lean(_document_seeds(_filter(seeds).tobytes())), "th long, hash long, place long")
     size = items.select("ik", F.floor(F.length("words") / 8).cast("long").alias("n"))
@@ -204,8 +206,9 @@ def overlaps_of_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     few = materialize(lists, "lists")
     found = texts.join(maybe_broadcast(few.select("th"), 16), "th").dropDuplicates(["th"]).join(few, "th") \
         .select("th", "text", "at").mapInArrow(lean(_regions), "th long, ik long, start long, `from` long, region binary")
+    found = materialize(found, "regions")
     return found.join(items, "ik").select("th", "item_id", "start", "from", "region", "words") \
-        .mapInArrow(_verified, "th long, item_id long, first_word long, n_words long, n_equal long").distinct()
+        .mapInArrow(lean(_verified), "th long, item_id long, first_word long, n_words long, n_equal long").distinct()
 
 
 def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",

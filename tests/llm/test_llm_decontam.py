@@ -4,7 +4,8 @@ import random
 import numpy as np
 from fixtures_llm import empty, messy, prose, rows
 
-from feedloom.llm.decontam import EDITED, MASKS, WINDOW, benchmark_overlaps, decontaminate, op6_decontamination
+from feedloom.llm.common import prepare
+from feedloom.llm.decontam import EDITED, MASKS, WINDOW, benchmark_overlaps, decontaminate, op6_decontamination, overlaps_of_texts
 
 ITEMS = [(1, prose(100, 40)), (2, prose(101, 15)), (3, "one two three four five six seven"), (4, None), (5, ""), (6, "too short"),
          (1, prose(100, 40))]
@@ -137,3 +138,12 @@ def test_awkward_rows(spark):
     none = bench(spark).where("false")
     assert decontaminate(df, none).count() == len(rows())
     assert decontaminate(empty(spark), bench(spark)).count() == 0
+
+
+def test_one_python_step_a_task(spark):
+    # two in a row are two workers a task, which stay for what follows
+    docs = messy(spark, [(i, t) for i, t in enumerate(planted().values())])
+    plan = overlaps_of_texts(docs, bench(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    prepare(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
