@@ -171,3 +171,58 @@ def test_gaps_are_aligned_with_fewest_edits():
             for j, d in enumerate(y.tolist(), 1):
                 row.append(min(up[j - 1] + (c != d), up[j] + 1, row[j - 1] + 1))
         assert sum(i < 0 or j < 0 or x[i] != y[j] for i, j in cols) == row[-1]
+
+
+def test_links_between_documents_whose_seeds_stand_elsewhere_first(spark):
+    # every line, and every pair of neighbouring lines, stands first in a document of its own
+    rng = random.Random(4)
+    data, want = [], set()
+    for i in range(6):
+        lines = [prose(20_000 + 10 * i + k, 13) for k in range(5)]
+        early = [lines[k:k + 2] for k in range(4)] + [[lines[x], lines[y]] for x in range(5) for y in range(x + 2, 5)]
+        data += [(1000 * i + k, f"{prose(21_000 + 100 * i + k, 60)} {' '.join(two)} {prose(23_000 + 100 * i + k, 60)}") for k, two in enumerate(early)]
+        data += [(1000 * i + k, f"{prose(25_000 + 100 * i + k, 70)} {' '.join(lines[:2])} {'odd ' * (k - 50)}{' '.join(lines[2:])} "
+                                f"{prose(27_000 + 100 * i + k, 70)}") for k in (50, 51)]
+        want.add((1000 * i + 51, 1000 * i + 50))
+    rng.shuffle(data)
+    got = fuzzy_passages(messy(spark, data)).collect()
+    assert {(r["doc_id"], r["other_doc_id"]) for r in got} == want
+    assert all(r["class_id"] == r["other_doc_id"] and r["n_words"] >= 60 for r in got)
+
+
+def dense_diagonal(x, y):
+    n, none = (np.r_[0, np.cumsum(z)] for z in (x == y, (x == 0) | (y == 0)))
+    return any(((5 * (n[k:] - n[:-k]) >= 4 * k) & (none[k:] == none[:-k])).any() for k in range(MIN_WORDS, len(x) + 1))
+
+
+def test_classes_of_contexts_against_brute_force():
+    rng = np.random.default_rng(9)
+    around, linked = chaining.AROUND, 0
+    for _ in range(12):
+        line = rng.integers(1, 2**32, 12)
+        sources = rng.integers(1, 2**32, (3, chaining.SPAN))
+        words = rng.integers(1, 2**32, (14, chaining.SPAN))
+        for w in words:
+            lo, hi = around - rng.integers(0, 60), around + 5 + rng.integers(0, 60)
+            copy = sources[rng.integers(0, 3)].copy()
+            odd = rng.random(len(copy)) < rng.choice([0, 0.1, 0.18])
+            copy[odd] = rng.integers(1, 2**32, int(odd.sum()))
+            w[lo:hi] = copy[lo:hi]
+            w[around - 2:around + 10] = line
+        words = words.astype("<u4")
+        words[:, chaining.SPAN - around:] = 0
+        many = rng.random(len(words)) < rng.choice([0, 0.3])
+        near, far = [np.array([1, 2])] * len(words), [np.array([0, 5], "<i4")] * len(words)
+        found = chaining.between_classes(np.zeros(len(words), int), None, words, np.arange(len(words)), near, far, many)
+        up = np.arange(len(words))
+        for i in range(len(words)):
+            for j in range(i):
+                if dense_diagonal(words[i], words[j]):
+                    up[up == up[i]] = up[j]
+        got = np.arange(len(words))
+        for i, j, m in found:
+            assert dense_diagonal(words[i], words[j]) and len(m)
+            got[got == got[i]] = got[j]
+        assert [[x == y for y in got] for x in got] == [[x == y for y in up] for x in up]
+        linked += len(found)
+    assert linked > 20
