@@ -1,4 +1,6 @@
 import random
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 from fixtures_llm import empty, messy, prose, rows
@@ -226,3 +228,54 @@ def test_classes_of_contexts_against_brute_force():
         assert [[x == y for y in got] for x in got] == [[x == y for y in up] for x in up]
         linked += len(found)
     assert linked > 20
+
+
+def test_contexts_of_one_line_are_not_confirmed_pair_by_pair(monkeypatch):
+    # a line twice in every context, and the same words about it in another order
+    rng = np.random.default_rng(11)
+    around = chaining.AROUND
+    line, some = rng.integers(1, 2**32, 8), rng.integers(1, 2**32, 120)
+    words = np.array([rng.choice(some, chaining.SPAN) for _ in range(60)], "<u4")
+    words[:, around:around + 8] = words[:, around + 30:around + 38] = line
+    words[:, chaining.SPAN - around:] = 0
+    words[59] = words[7]
+    words[59, 100:290:20] = 5
+    calls, confirm = [], chaining._confirm
+    monkeypatch.setattr(chaining, "_confirm", lambda *a: calls.append(1) or confirm(*a))
+    near, far = [np.array([1, 2, 1, 2])] * 60, [np.array([0, 3, 30, 33], "<i4")] * 60
+    found = chaining.between_classes(np.zeros(60, int), None, words, np.arange(60), near, far, np.ones(60, bool))
+    assert [{i, j} for i, j, _ in found] == [{7, 59}] and len(calls) < 10
+
+
+def test_similar_contexts_against_brute_force():
+    rng = np.random.default_rng(12)
+    for q in range(20):
+        n = int(rng.integers(2, 40))
+        group, cls, odd = rng.integers(0, 3, n), rng.integers(0, 6, n), rng.random(n) < 0.4
+        source = rng.integers(1, 2 + 10 * (q % 4) ** 4, 600)
+        words = np.array([source[o:o + chaining.SPAN] for o in rng.integers(0, 600 - chaining.SPAN, n)]).astype("<u4")
+        words[rng.random(words.shape) < rng.choice([0, 0.1, 0.4])] = 7
+        words[rng.random(words.shape) < 0.01] = 0
+        got = {(min(i, j), max(i, j)) for x, y in chaining._similar(group, words, cls, odd) for i, j in zip(x.tolist(), y.tolist(), strict=True)}
+        runs = [Counter(z for z in zip(w[:-2], w[1:-1], w[2:], strict=True) if all(z)) for w in words.tolist()]
+        for i, j in combinations(range(n), 2):
+            may = group[i] == group[j] and cls[i] != cls[j] and (odd[i] or odd[j])
+            assert may or (i, j) not in got
+            if may and (runs[i] & runs[j]).total() >= 18:
+                assert (i, j) in got
+
+
+def test_bounds_let_every_passage_through():
+    rng = np.random.default_rng(13)
+    for q in range(40):
+        x, y = (rng.integers(1, 3 + 5 * q, chaining.SPAN).astype("<u4") for _ in range(2))
+        copy = np.delete(x[60:130], rng.choice(70, int(rng.integers(0, 12)), replace=False))
+        at = int(rng.integers(0, 200))
+        y[at:at + len(copy)] = copy
+        words, one, two = np.stack([x, y]), np.array([0]), np.array([1])
+        m = np.array([(j, i) for i in range(len(x) - K + 1) for j in range(len(y) - K + 1) if (x[i:i + K] == y[j:j + K]).all()], _MATCH)
+        bare = any(dense_stretches(align(x, y, c)[2]) for c in chains(m)) if len(m) else False
+        (box,) = chaining._where_near(words[:1], words[1:])
+        if bare:
+            assert len(chaining._overlap(words, one, two)[0]) and box is not None and chaining._in_order(x.tolist(), y.tolist()) >= 40
+        assert bare == (len(m) > 0 and box is not None and chaining._confirm(x, y, m, box))
