@@ -136,5 +136,16 @@ def test_awkward_rows(spark):
     assert key(got) == key(again)
 
 
+def test_query_returns_the_segmentations(spark, sp, tmp_path):
+    texts = {i: t for i, t in enumerate(["the cat  sat", "日本語 ñandú", "", None, "the cat  sat"])}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sampling.op10_sentencepiece(spark, str(tmp_path)).collect()
+    assert collections.Counter(r["doc_id"] for r in got) == {0: 2, 1: 2, 2: 1, 3: 1, 4: 2}
+    for r in got:
+        ids = np.frombuffer(r["ids"], "<u2")
+        assert len(ids) == r["n_tokens"] and zlib.crc32(ids.astype("<u4").tobytes()) == r["ids_crc32"]
+        assert sp.decode(ids.tolist()) == (texts[r["doc_id"]] or "")
+
+
 def test_empty(spark):
     assert sample_segmentations(empty(spark), PATH).count() == 0
