@@ -3,6 +3,8 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from fixtures_llm import empty, messy, prose, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -192,6 +194,29 @@ def test_links_between_documents_whose_seeds_stand_elsewhere_first(spark):
     assert all(r["class_id"] == r["other_doc_id"] and r["n_words"] >= 60 for r in got)
 
 
+@pytest.mark.parametrize("block", [chaining.BLOCK, 8])
+def test_contexts_of_a_seed_in_blocks_are_written_once(spark, monkeypatch, block):
+    # a line of all documents; two and two share the words before it too, without five equal ones in a row
+    line, data, want = prose(30_000, 30), [], set()
+    for i in range(24):
+        data.append((i, f"{prose(30_100 + i, 60)} {line} {prose(30_200 + i, 60)}"))
+    for i in range(100, 112, 2):
+        before = prose(30_300 + i, 40).split()
+        edited = [f"odd{i}x{k}" if k % 5 == 4 else w for k, w in enumerate(before)]
+        data += [(i, f"{prose(30_400 + i, 60)} {' '.join(before)} {line} {prose(30_500 + i, 60)}"),
+                 (i + 1, f"{prose(30_600 + i, 60)} {' '.join(edited)} {line} {prose(30_700 + i, 60)}")]
+        want.add((i + 1, i))
+    kept, write = {}, chaining.materialize
+    monkeypatch.setattr(chaining, "materialize", lambda df, name: kept.setdefault(name, write(df, name)) if name == "met" else write(df, name))
+    monkeypatch.setattr(chaining, "BLOCK", block)
+    got = fuzzy_passages(messy(spark, data)).collect()
+    assert {(r["doc_id"], r["other_doc_id"]) for r in got} == want and all(r["class_id"] == r["other_doc_id"] for r in got)
+    parts = [pa.ipc.open_stream(bytes(r["payload"])).read_all() for r in kept["met"].where("kind = 6").collect()]
+    contexts = [x for t in parts for x in zip(*(t.column(n).to_pylist() for n in ("hash", "did", "pos")), strict=True)]
+    assert len(set(contexts)) == len(contexts)
+    assert max(Counter(h for h, _, _ in contexts).values(), default=0) == (36 if block == 8 else 0)
+
+
 def dense_diagonal(x, y):
     n, none = (np.r_[0, np.cumsum(z)] for z in (x == y, (x == 0) | (y == 0)))
     return any(((5 * (n[k:] - n[:-k]) >= 4 * k) & (none[k:] == none[:-k])).any() for k in range(MIN_WORDS, len(x) + 1))
